@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,9 @@ class Config:
     weather: bool = False
     extra: dict = field(default_factory=dict)
 
+    def with_thresholds(self, activity: float, usage: float) -> Config:
+        return replace(self, activity_threshold=activity, usage_threshold=usage)
+
     def as_dict(self) -> dict:
         return asdict(self)
 

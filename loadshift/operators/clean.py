@@ -112,7 +112,7 @@ def value_quartiles(df: DataFrame, keys: list[str], column: str, non_zero: bool
     """
     rows = df.filter(F.col(column) != 0) if non_zero else df.filter(F.col(column).isNotNull())
     counts = rows.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_freq"))
-    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.75)), "_freq")
+    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.75)), F.col("_freq"))
     return counts.groupBy(*keys).agg(q.alias("_q")).select(
         *keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")
     )

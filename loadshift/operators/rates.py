@@ -49,8 +49,8 @@ def activity_split(features: DataFrame, train_days: int | None = None, floor: st
 def activity_rates(features: DataFrame) -> DataFrame:
     """household_id, date, hour, p, y: share of active days at that hour in the training set of ``date``.
 
-    The row predicts ``hour`` of date + 1, whose truth is y; ``truth`` is the flag of ``date`` itself.
-    p is NULL while nothing was trained.
+    The row predicts ``hour`` of date + 1, whose truth is y; ``truth`` is the flag of ``date`` itself and
+    n_pos, n_neg are the training counts. p is NULL while nothing was trained.
     """
     rows = features.select("household_id", F.to_date("hour_ts").alias("date"), "hour", "activity")
     start = F.date_add(_first_day("date", ["household_id"]), ACTIVITY_LEAD_DAYS)
@@ -66,6 +66,8 @@ def activity_rates(features: DataFrame) -> DataFrame:
         start.alias("start_date"),
         F.col("activity").alias("truth"),
         F.when(n > 0, positives / n).alias("p"),
+        positives.alias("n_pos"),
+        (n - positives).alias("n_neg"),
         F.lead("activity").over(by_day).alias("y"),
         F.lead("date").over(by_day).alias("target_date"),
     )
@@ -116,6 +118,17 @@ def cell_rates(counts: DataFrame) -> DataFrame:
     )
 
 
+def usage_train_cells(rated: DataFrame) -> DataFrame:
+    """household_id, device, date, p, n_pos, n_neg: the training rows of each date by feature cell."""
+    zipped = F.arrays_zip(
+        F.col("rate").alias("p"),
+        F.col("pos").alias("n_pos"),
+        F.zip_with("n", "pos", lambda n, p: n - p).alias("n_neg"),
+    )
+    rows = rated.select("household_id", "device", "date", F.inline(zipped))
+    return rows.filter(F.col("n_pos") + F.col("n_neg") > 0)
+
+
 def usage_rates(features: DataFrame) -> DataFrame:
     """household_id, device, date, p, y: the rate of tomorrow's cell as known on ``date``."""
     rated = cell_rates(usage_counts(features)).filter(F.col("target_date").isNotNull())

@@ -112,7 +112,7 @@ def price_sentence(price: Column) -> Column:
         F.col("friendly_name"),
         F.date_format("recommendation_date", "dd.MM.yyyy"),
         F.format_string("%02d:00", "best_launch_hour"),
-        F.format_string("%.2f", price),
+        F.round(price, 6).cast("string"),
     )
     return F.when(F.col("recommendation").isNotNull(), text)
 
@@ -131,7 +131,7 @@ def savings_sentence(saved: Column) -> Column:
         F.col("friendly_name"),
         F.date_format("recommendation_date", "dd.MM.yyyy"),
         F.format_string("%02d:00", "best_launch_hour"),
-        F.format_string("%.2f", saved),
+        saved.cast("string"),
     )
     none = F.concat(F.lit("There is no recommendation for the device "), F.col("friendly_name"), F.lit(" ."))
     return F.when(F.col("recommendation").isNotNull(), text).otherwise(none)

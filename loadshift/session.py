@@ -18,7 +18,7 @@ SETTINGS = {
 
 def build(app: str = "loadshift", cores: str = "*", shuffle_partitions: int | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    builder = builder.config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

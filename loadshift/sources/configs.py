@@ -9,10 +9,8 @@ from loadshift.schemas import CONFIG_JSON
 
 
 def read_configs(spark: SparkSession, path: str) -> DataFrame:
-    """household_id, shiftable_devices, active_appliances, threshold from every *config.json below a folder."""
-    raw = spark.read.json(
-        path, schema=CONFIG_JSON, multiLine=True, pathGlobFilter="*config.json", recursiveFileLookup=True
-    )
+    """household_id, shiftable_devices, active_appliances, threshold from every *config.json of a folder."""
+    raw = spark.read.json(f"{path}/*config.json", schema=CONFIG_JSON, multiLine=True)
     return raw.select(F.col("data.household").alias("household_id"), "user_input.*")
 
 

@@ -29,9 +29,9 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_households(spark: SparkSession, path: str) -> DataFrame:
-    """All CLEAN_HouseN.csv files of a folder, household_id taken from the file name."""
+    """All CLEAN_HouseN.csv files (or folders of part files) below a folder; household_id is N."""
     name = F.regexp_extract(F.input_file_name(), r"CLEAN_House(\d+)\.csv", 1)
-    files = spark.read.csv(path, schema=HOUSEHOLD_CSV, header=True, pathGlobFilter="CLEAN_House*.csv", recursiveFileLookup=True)
+    files = spark.read.csv(f"{path}/*CLEAN_House*.csv", schema=HOUSEHOLD_CSV, header=True)
     return files.withColumn("household_id", name.cast("int"))
 
 

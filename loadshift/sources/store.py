@@ -1,35 +1,47 @@
-"""Stage tables between sessions: Parquet by household, model type and weather flag, plus JSON configs."""
+"""Stage tables between sessions: Parquet by model type, weather flag and household bucket, plus JSON configs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PARTITIONS = ["household_id", "model_type", "weather"]
+# One folder per household would mean millions of folders; a household lies in one of these buckets,
+# sorted by household, so a lookup opens one folder and skips most row groups.
+BUCKETS = 64
+PARTITIONS = ["model_type", "weather", "bucket"]
 # The tables a run may leave behind.
 TABLES = ["config", "df", "output", "results", "scores", "predictions", "predictions_usage"]
 
 
-def dump(path: str, tables: dict[str, DataFrame], model_type: str, weather: bool) -> None:
-    """Write each table below ``path``; rows of one household land in one folder per model and weather flag.
+def bucket(household: Column | str) -> Column:
+    return F.pmod(F.xxhash64(household), F.lit(BUCKETS)).cast("int")
 
-    Rows are shuffled by household and a salt of the row, so a hot household is written by many tasks.
-    """
+
+def dump(path: str, tables: dict[str, DataFrame], model_type: str, weather: bool, salts: int = 4) -> None:
+    """Write each table below ``path``. A salt of the whole row spreads a hot household over ``salts`` tasks."""
     for name, df in tables.items():
         if name not in TABLES:
             raise ValueError(f"unknown table {name!r}")
-        out = df.withColumn("model_type", F.lit(model_type)).withColumn("weather", F.lit(weather))
+        out = (
+            df.withColumn("model_type", F.lit(model_type))
+            .withColumn("weather", F.lit(weather))
+            .withColumn("bucket", bucket("household_id"))
+        )
         if name == "config":
             out.write.mode("overwrite").partitionBy(*PARTITIONS).json(f"{path}/{name}")
             continue
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        out.repartition("household_id", salt).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{path}/{name}")
+        hashable = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
+        salt = F.pmod(F.xxhash64(*hashable), F.lit(salts))
+        ordered = out.repartition("bucket", salt).sortWithinPartitions("bucket", "household_id")
+        ordered.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{path}/{name}")
 
 
-def load(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:
-    """Read tables back; filters on household, model type or weather prune folders."""
+def load(spark: SparkSession, path: str, names: list[str], household: int | None = None) -> dict[str, DataFrame]:
+    """Read tables back; one household reads its bucket only."""
     out = {}
     for name in names:
-        reader = spark.read.option("basePath", f"{path}/{name}")
-        out[name] = reader.json(f"{path}/{name}") if name == "config" else reader.parquet(f"{path}/{name}")
+        df = spark.read.json(f"{path}/{name}") if name == "config" else spark.read.parquet(f"{path}/{name}")
+        if household is not None:
+            df = df.filter((F.col("bucket") == bucket(F.lit(household))) & (F.col("household_id") == household))
+        out[name] = df.drop("bucket")
     return out
