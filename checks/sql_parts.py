@@ -147,9 +147,9 @@ PARTS: dict[str, str] = {
     "best": """SELECT c.household_id, c.device, c.date, t.a,
       coalesce(arg_min(c.hour, (round(c.cost, 9), c.hour)) FILTER (c.cost IS NOT NULL AND r.p >= t.a),
                arg_min(c.hour, (round(c.cost, 9), c.hour)) FILTER (c.cost IS NOT NULL)) AS best_launch_hour,
-      CASE WHEN count(r.p) > 0 THEN CASE WHEN max(r.p) >= t.a THEN 0 ELSE 1 END END AS flag_a
+      CASE WHEN count(r.p) > 0 THEN CASE WHEN max(r.p) >= max(t.a) THEN 0 ELSE 1 END END AS flag_a
       FROM cost c CROSS JOIN (SELECT a FROM athr UNION SELECT 0.15) t
-      LEFT JOIN ar r ON r.household_id = c.household_id AND r.date = c.date AND r.hour = c.hour AND r.target_date IS NOT NULL GROUP BY ALL""",
+      LEFT JOIN ar r ON r.household_id = c.household_id AND r.date = c.date AND r.hour = c.hour AND r.target_date IS NOT NULL GROUP BY c.household_id, c.device, c.date, t.a""",
     "name": """SELECT household_id, entity_id AS device, arg_max(upper(entity_id[1]) || entity_id[2:] || ' plug ' || (k % 2), last_updated_ts) AS friendly_name
       FROM st WHERE entity_id IN ('purchase','signup') AND last_updated_ts > TIMESTAMP '2024-01-01 00:00:00' GROUP BY ALL""",
     "rec1": """SELECT b.household_id, b.device, b.date, n.friendly_name, b.best_launch_hour, b.flag_a,

@@ -10,6 +10,7 @@ from loadshift.catalog.features import CONFIG, activity_table, load_table, usage
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
 from loadshift.config import eighths
 from loadshift.operators import backtest, clean, rates, recommend
+from loadshift.operators.joins import join_reference
 from loadshift.operators.prices import dense_prices, fill_from_previous_days, horizons, price_grid, shifted_prices
 from loadshift.plans import stages
 from loadshift.session import scratch_dir
@@ -79,7 +80,7 @@ def _show(table: DataFrame) -> DataFrame:
 @query
 def cheapest_launch_hour(spark: SparkSession, sf: str) -> DataFrame:
     """Cheapest launch hour of every device for the day after each date, and its cost."""
-    best = recommend.cheapest_hour(F.col("costs"))
+    best = recommend.cheapest_hour()
     out = costs(spark, sf).withColumn("best_launch_hour", best)
     return out.select(
         *KEYS, day("date"), "best_launch_hour", r6(F.get("costs", F.col("best_launch_hour")) * 1000, "cost_mill")
@@ -126,7 +127,7 @@ def r3_j10_cost_by_start(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def t4_best_hour(spark: SparkSession, sf: str) -> DataFrame:
     """The first of the cheapest start hours."""
-    return costs(spark, sf).select(*KEYS, day("date"), recommend.cheapest_hour(F.col("costs")).alias("hour"))
+    return costs(spark, sf).select(*KEYS, day("date"), recommend.cheapest_hour().alias("hour"))
 
 
 # recommendations ----------------------------------------------------------------------------------
@@ -177,9 +178,9 @@ def r9_sentences(spark: SparkSession, sf: str) -> DataFrame:
     """The three texts of a recommendation: plain, with the price, with the percentage saved."""
     table = recs(spark, sf)
     prices = horizon(spark, sf).select(F.col("date").alias("recommendation_calculation_date"), "prices")
-    priced = table.join(prices, "recommendation_calculation_date", "left")
+    priced = join_reference(table, prices, ["recommendation_calculation_date"])
     price = F.get("prices", F.col("best_launch_hour"))
-    saved = recommend.savings_percent(F.col("prices"), F.col("best_launch_hour"))
+    saved = recommend.savings_percent("prices", "best_launch_hour")
     return priced.select(
         "household_id",
         "index",
@@ -234,7 +235,7 @@ def j7_usage_truth(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def j8_activity_truth(spark: SparkSession, sf: str) -> DataFrame:
     """Was someone active at the best hour of the recommended day?"""
-    keys = costs(spark, sf).select(*KEYS, "date", recommend.cheapest_hour(F.col("costs")).alias("hour"))
+    keys = costs(spark, sf).select(*KEYS, "date", recommend.cheapest_hour().alias("hour"))
     truth = backtest.activity_truth(activity_table(spark, sf))
     out = keys.join(truth, ["household_id", "date"], "left")
     return out.select(*KEYS, day("date"), "hour", F.get("activity_true", F.col("hour")).alias("activity_true"))
@@ -253,9 +254,9 @@ def j9_run_lookup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def j11_nearest_start(spark: SparkSession, sf: str) -> DataFrame:
     """The actual start closest to the cheapest hour."""
-    keys = costs(spark, sf).select(*KEYS, "date", recommend.cheapest_hour(F.col("costs")).alias("hour"))
+    keys = costs(spark, sf).select(*KEYS, "date", recommend.cheapest_hour().alias("hour"))
     out = keys.join(backtest.actual_starts(load_table(spark, sf)), [*KEYS, "date"], "left")
-    return out.select(*KEYS, day("date"), "hour", backtest.nearest_start(F.col("starts"), F.col("hour")).alias("relevant_start"))
+    return out.select(*KEYS, day("date"), "hour", backtest.nearest_start("starts", "hour").alias("relevant_start"))
 
 
 @query
@@ -270,8 +271,8 @@ def r10_run_cost(spark: SparkSession, sf: str) -> DataFrame:
     """Cost of every actual run with the prices of its day."""
     starts = backtest.actual_starts(load_table(spark, sf)).select(*KEYS, "date", F.inline("starts"))
     prices = horizon(spark, sf).select("date", "prices")
-    priced = starts.join(prices, "date")
-    cost = backtest.run_cost(F.col("prices"), F.col("hour"), F.col("load"))
+    priced = join_reference(starts, prices, ["date"]).filter(F.col("prices").isNotNull())
+    cost = backtest.run_cost("prices", "hour", "load")
     return priced.select(*KEYS, day("date"), "hour", r6(cost, "cost"))
 
 

@@ -22,24 +22,31 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def ts(col: Column | str, name: str | None = None) -> Column:
+    if isinstance(col, str):
+        return F.expr(f"date_format(`{col}`, 'yyyy-MM-dd HH:mm:ss') AS `{name or col}`")
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss").alias(name or str(col))
 
 
 def day(col: Column | str, name: str | None = None) -> Column:
+    if isinstance(col, str):
+        return F.expr(f"date_format(`{col}`, 'yyyy-MM-dd') AS `{name or col}`")
     return F.date_format(col, "yyyy-MM-dd").alias(name or str(col))
 
 
 def r6(col: Column | str, name: str | None = None) -> Column:
     """Six digits for comparison; the nudge moves exact ties to one side in every engine."""
-    c = F.col(col) if isinstance(col, str) else col
-    return (F.round(c + 1e-9, 6) + F.lit(0.0)).alias(name or str(col))
+    if isinstance(col, str):
+        return F.expr(f"round(`{col}` + 1e-9D, 6) + 0D AS `{name or col}`")
+    return (F.round(col + 1e-9, 6) + F.lit(0.0)).alias(name or str(col))
 
 
 def big(col: Column | str, name: str | None = None) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("bigint").alias(name or str(col))
+    if isinstance(col, str):
+        return F.expr(f"cast(`{col}` AS bigint) AS `{name or col}`")
+    return col.cast("bigint").alias(name or str(col))
 
 
 def integer(col: Column | str, name: str | None = None) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("int").alias(name or str(col))
+    if isinstance(col, str):
+        return F.expr(f"cast(`{col}` AS int) AS `{name or col}`")
+    return col.cast("int").alias(name or str(col))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loadshift.operators.clean import unpack_attributes
 from loadshift.sources.states import join_attributes
 
+EVENTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 SHIFTABLE = ["purchase", "signup"]
 ACTIVE = ["purchase", "signup", "view", "click", "error"]
 WATT = ["purchase", "signup", "view"]
@@ -21,45 +22,33 @@ WEATHER_SOURCE = {"temp": "click", "dwpt": "error", "rhum": "purchase", "wdir":
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return df.withColumn("ts", F.col("ts").cast("timestamp"))
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _entity_index() -> F.Column:
-    return F.array_position(F.array(*[F.lit(e) for e in ACTIVE]), F.col("event_type")) - 1
-
-
-def _k() -> F.Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+_ENTITIES = ", ".join(f"'{e}'" for e in ACTIVE)
+_IS_WATT = "event_type IN ({})".format(", ".join(f"'{e}'" for e in WATT))
+_K = "cast(get_json_object(props, '$.k') AS bigint)"
+_ATTRIBUTES_ID = f"{_K} * 8 + array_position(array({_ENTITIES}), event_type) - 1"
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    watt = F.col("event_type").isin(WATT)
-    switch = F.when(F.col("value") >= 35, "on").otherwise("off")
-    return events(spark, sf_dir).select(
-        F.floor(F.col("user_id") / 5).cast("int").alias("household_id"),
-        F.col("event_type").alias("entity_id"),
-        F.when(watt, F.col("value").cast("string")).otherwise(switch).alias("state"),
-        F.col("ts").alias("last_updated_ts"),
-        (_k() * 8 + _entity_index()).alias("attributes_id"),
+    return events(spark, sf_dir).selectExpr(
+        "cast(floor(user_id / 5) AS int) AS household_id",
+        "event_type AS entity_id",
+        f"CASE WHEN {_IS_WATT} THEN cast(value AS string) WHEN value >= 35 THEN 'on' ELSE 'off' END AS state",
+        "ts AS last_updated_ts",
+        f"{_ATTRIBUTES_ID} AS attributes_id",
     )
 
 
 def state_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (entity, k); switches have no unit, and only a few sets carry a nested calibration."""
-    unit = F.when(F.col("event_type").isin(WATT), F.lit('"unit_of_measurement": "W", ')).otherwise(F.lit(""))
-    calibration = F.when(F.col("k") == 7, F.lit(', "calibration": {"offset": 0.5}')).otherwise(F.lit(""))
-    pairs = (
-        events(spark, sf_dir)
-        .select("event_type", _k().alias("k"), (_k() * 8 + _entity_index()).alias("attributes_id"))
-        .distinct()
-    )
-    text = F.concat(
-        F.lit("{"), unit, F.lit('"friendly_name": "'), F.initcap("event_type"), F.lit(" plug "),
-        (F.col("k") % 2).cast("string"), F.lit('", "restored": '),
-        F.when(F.col("k") % 3 == 0, "true").otherwise("false"), F.lit(', "device_class": null'), calibration, F.lit("}"),
-    )
-    return pairs.select("attributes_id", text.alias("shared_attrs"))
+    pairs = events(spark, sf_dir).selectExpr("event_type", f"{_K} AS k", f"{_ATTRIBUTES_ID} AS attributes_id").distinct()
+    text = f"""concat('{{', CASE WHEN {_IS_WATT} THEN '"unit_of_measurement": "W", ' ELSE '' END,
+        '"friendly_name": "', initcap(event_type), ' plug ', k % 2,
+        '", "restored": ', CASE WHEN k % 3 = 0 THEN 'true' ELSE 'false' END, ', "device_class": null',
+        CASE WHEN k = 7 THEN ', "calibration": {{"offset": 0.5}}' ELSE '' END, '}}') AS shared_attrs"""
+    return pairs.selectExpr("attributes_id", text)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:

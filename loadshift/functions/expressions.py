@@ -1,8 +1,9 @@
-"""Column builders shared by the operators; all stay inside the JVM."""
+"""Column builders shared by the operators; all stay inside the JVM.
 
-from __future__ import annotations
+Wide expressions are SQL text: one parsed string costs far less to set up than a tree of Python calls.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,41 +52,25 @@ def dummies(col: Column, categories: list[str], prefix: str) -> list[Column]:
     return [(col == c).cast("int").alias(f"{prefix}_{c}") for c in categories if c != first]
 
 
-def day_dummies(ts: Column | str) -> list[Column]:
-    ts = F.col(ts) if isinstance(ts, str) else ts
+def day_dummies(ts: str) -> list[Column]:
     return [
-        (F.weekday(ts) == i).cast("int").alias(f"day_name_{name}")
+        F.expr(f"cast(weekday(`{ts}`) = {i} AS int) AS day_name_{name}")
         for i, name in enumerate(DAY_NAMES)
         if name != "Friday"
     ]
 
 
-def any_of(flags: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, flags)
-
-
-def row_sum(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, cols)
+def dot(a: str, b: str) -> str:
+    """Dot product of two array expressions; a missing element counts as zero."""
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> coalesce(x * y, 0D)), 0D, (acc, x) -> acc + x)"
 
 
-def dot(a: Column, b: Column) -> Column:
-    """Dot product of two arrays; a missing element counts as zero."""
-    product = F.zip_with(a, b, lambda x, y: F.coalesce(x * y, F.lit(0.0)))
-    return F.aggregate(product, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def dot_strict(a: Column, b: Column) -> Column:
+def dot_strict(a: str, b: str) -> str:
     """Dot product that is NULL when any element is missing."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> x * y), 0D, (acc, x) -> acc + x)"
 
 
-def sliding_costs(prices: Column, load: Column, hours: int = 24) -> Column:
+def sliding_costs(prices: str, load: str, hours: int = 24) -> Column:
     """cost(h) = sum over j of prices[h + j] * load[j], for h = 0..hours-1, in money per MWh times W."""
-    size = F.size(load)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(hours - 1)), lambda h: dot_strict(F.slice(prices, h + 1, size), load) / 1e6
-    )
-
-
-def round6(col: Column | str) -> Column:
-    return F.round(col, 6) + F.lit(0.0)
+    cost = dot_strict(f"slice({prices}, h + 1, size({load}))", load)
+    return F.expr(f"transform(sequence(0, {hours - 1}), h -> {cost} / 1e6D)")

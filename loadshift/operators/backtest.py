@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.functions.expressions import dot
-from loadshift.operators.recommend import KEYS, recommend
+from loadshift.operators.recommend import KEYS, gate, recommend
 from loadshift.operators.runs import run_vectors
 
 PAIR = ["activity_threshold", "usage_threshold"]
@@ -24,11 +24,8 @@ def usage_truth(usage: DataFrame) -> DataFrame:
 def activity_truth(activity: DataFrame) -> DataFrame:
     """The 24 activity flags of the recommended day."""
     day = F.date_sub(F.to_date("hour_ts"), 1).alias("date")
-    flags = F.map_from_entries(F.collect_list(F.struct(F.hour("hour_ts"), "activity")))
-    by_hour = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.try_element_at("_flags", h))
-    return activity.groupBy("household_id", day).agg(flags.alias("_flags")).select(
-        "household_id", "date", by_hour.alias("activity_true")
-    )
+    by_hour = [f"max(CASE WHEN hour(hour_ts) = {h} THEN activity END)" for h in range(24)]
+    return activity.groupBy("household_id", day).agg(F.expr(f"array({', '.join(by_hour)}) AS activity_true"))
 
 
 def actual_starts(load: DataFrame) -> DataFrame:
@@ -51,53 +48,49 @@ def evaluation_inputs(
     )
 
 
-def nearest_start(starts: Column, hour: Column) -> Column:
+def nearest_start(starts: str, hour: str) -> Column:
     """Start closest to ``hour``, the earlier one on ties; the first start of the day without an hour."""
-    distance = F.transform(
-        starts, lambda s: F.struct(F.coalesce(F.abs(s["hour"] - hour), F.lit(0)).alias("d"), s["hour"].alias("hour"))
-    )
-    return F.array_min(distance)["hour"]
+    distance = f"transform({starts}, s -> named_struct('d', coalesce(abs(s.hour - {hour}), 0), 'hour', s.hour))"
+    return F.expr(f"array_min({distance}).hour")
 
 
-def run_cost(prices: Column, hour: Column, load: Column) -> Column:
+def run_cost(prices: str, hour: str, load: str) -> Column:
     """Cost of a run's load with the day's prices from ``hour`` on; NULL without an hour."""
-    return F.when(hour.isNotNull(), dot(F.slice(prices, hour + 1, F.size(load)), load))
+    return F.expr(f"if({hour} IS NULL, NULL, {dot(f'slice({prices}, {hour} + 1, size({load}))', load)})")
 
 
 def with_thresholds(df: DataFrame, activity_thresholds: list[float], usage_thresholds: list[float]) -> DataFrame:
     """Every threshold pair for every row; the pairs come from a literal list."""
-    pairs = [
-        F.struct(F.lit(float(a)).alias(PAIR[0]), F.lit(float(u)).alias(PAIR[1]))
-        for a in activity_thresholds
-        for u in usage_thresholds
-    ]
-    return df.select("*", F.inline(F.array(*pairs)))
+    return df.select("*", _explode(activity_thresholds, PAIR[0])).select("*", _explode(usage_thresholds, PAIR[1]))
+
+
+def _explode(values: list[float], name: str) -> Column:
+    return F.expr(f"explode(array({', '.join(f'{float(v)!r}D' for v in values)})) AS {name}")
 
 
 def recommendations_for(inputs: DataFrame, activity_thresholds: list[float], usage_thresholds: list[float]) -> DataFrame:
     """Recommendations for all threshold pairs. The best hour depends on the activity threshold only, so it
     is found once per activity threshold before the usage thresholds multiply the rows."""
-    hour_free = inputs.withColumn(PAIR[0], F.explode(F.array(*[F.lit(float(a)) for a in activity_thresholds])))
-    best = recommend(hour_free, F.col(PAIR[0]), 0.0).drop("no_recommend_flag_usage", "recommendation")
-    rows = best.withColumn(PAIR[1], F.explode(F.array(*[F.lit(float(u)) for u in usage_thresholds])))
-    low = F.when(F.col("usage_p").isNotNull(), (F.col("usage_p") < F.col(PAIR[1])).cast("int"))
-    both = (F.col("no_recommend_flag_activity") == 0) & (low == 0)
-    return rows.select("*", low.alias("no_recommend_flag_usage"), F.when(both, F.col("best_launch_hour")).alias("recommendation"))
+    best = recommend(inputs.select("*", _explode(activity_thresholds, PAIR[0])), PAIR[0], 0.0)
+    best = best.drop("no_recommend_flag_usage", "recommendation", "probs", "costs")
+    return gate(best.select("*", _explode(usage_thresholds, PAIR[1])), PAIR[1])
 
 
 def evaluate(recs: DataFrame) -> DataFrame:
     """recs: inputs of ``evaluation_inputs`` plus recommendation -> acceptability, costs and savings."""
-    rec = F.col("recommendation")
-    zeros = F.array_repeat(F.lit(0.0), 24)
-    start = nearest_start(F.col("starts"), rec)
-    run = F.filter("starts", lambda s: s["hour"] == F.col("relevant_start"))
+    run = "get(filter(starts, s -> s.hour = relevant_start), 0).load"
     priced = (
-        recs.withColumn("activity_true_at", F.get("activity_true", rec))
-        .withColumn("acceptable", (F.col("usage_true") * F.col("activity_true_at")).cast("int"))
-        .withColumn("relevant_start", start)
-        .withColumn("_load", F.coalesce(F.get(run, F.lit(0))["load"], zeros))
-        .withColumn("cost_no_recommendation", run_cost(F.col("prices"), F.col("relevant_start"), F.col("_load")))
-        .withColumn("cost_recommendation", run_cost(F.col("prices"), rec, F.col("_load")))
+        recs.select(
+            "*",
+            F.expr("cast(usage_true * get(activity_true, recommendation) AS int) AS acceptable"),
+            nearest_start("starts", "recommendation").alias("relevant_start"),
+        )
+        .withColumn("run_load", F.expr(f"coalesce({run}, array_repeat(0D, 24))"))
+        .select(
+            "*",
+            run_cost("prices", "relevant_start", "run_load").alias("cost_no_recommendation"),
+            run_cost("prices", "recommendation", "run_load").alias("cost_recommendation"),
+        )
     )
     savings = F.col("cost_no_recommendation") - F.col("cost_recommendation")
     relative = F.when(F.col("cost_no_recommendation") != 0, savings / F.col("cost_no_recommendation"))

@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadshift.functions.expressions import row_sum
 from loadshift.operators import learners
 from loadshift.operators.models import USAGE_FEATURES, _prepare, _trainable, train_mask
 
@@ -41,48 +40,38 @@ def usage_shapley(rated: DataFrame) -> DataFrame:
     A cell number is its three feature bits, so the row mixed from the explained cell x and a background
     cell b under a coalition is (x AND mask) OR (b AND NOT mask): no rows are exploded.
     """
-    total = F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    x = F.col("next_cell")
-
-    def coalition(mask: int) -> Column:
-        terms = [
-            F.get("n", F.lit(b)) * F.get("rate", x.bitwiseAND(F.lit(mask)) + F.lit(b & ~mask & 7)) for b in range(8)
-        ]
-        return row_sum(terms) / total
+    def coalition(mask: int) -> str:
+        terms = [f"get(n, {b}) * get(rate, (next_cell & {mask}) + {b & ~mask & 7})" for b in range(8)]
+        return f"({' + '.join(terms)}) / total"
 
     bits = dict(zip(USAGE_FEATURES, (4, 2, 1)))
     weights = shapley_weights(3)
 
-    def contribution(bit: int) -> Column:
-        terms = [
-            (F.get("_v", F.lit(m | bit)) - F.get("_v", F.lit(m))) * weights[bin(m).count("1")]
-            for m in range(8)
-            if not m & bit
-        ]
-        return row_sum(terms)
-
-    ready = rated.filter(F.col("target_date").isNotNull() & (total > 0))
-    valued = ready.withColumn("_v", F.array(*[coalition(m) for m in range(8)]))
-    items = [
-        F.struct(F.lit(name).alias("feature"), contribution(bit).alias("importance")) for name, bit in bits.items()
-    ]
-    return valued.select(
+    def contribution(bit: int) -> str:
+        without = [m for m in range(8) if not m & bit]
+        return " + ".join(f"(get(v, {m | bit}) - get(v, {m})) * {weights[bin(m).count('1')]!r}D" for m in without)
+
+    ready = rated.filter("target_date IS NOT NULL").selectExpr("*", "aggregate(n, 0L, (acc, x) -> acc + x) AS total")
+    valued = ready.filter("total > 0").selectExpr("*", f"array({', '.join(coalition(m) for m in range(8))}) AS v")
+    items = [f"named_struct('feature', '{name}', 'importance', {contribution(bit)})" for name, bit in bits.items()]
+    return valued.selectExpr(
         "household_id",
         "device",
         "date",
         "target_date",
         "next_cell",
         "y",
-        F.get("rate", x).alias("p"),
-        F.get("_v", F.lit(0)).alias("base_value"),
-        F.array(*items).alias("importance"),
+        "get(rate, next_cell) AS p",
+        "get(v, 0) AS base_value",
+        f"array({', '.join(items)}) AS importance",
     )
 
 
 def reconstruct(explained: DataFrame) -> DataFrame:
     """shap = base value + sum of the contributions; equals the model's prediction."""
-    total = F.aggregate("importance", F.lit(0.0), lambda acc, s: acc + s["importance"])
-    return explained.withColumn("shap", F.col("base_value") + total)
+    return explained.withColumn(
+        "shap", F.expr("base_value + aggregate(importance, 0D, (acc, s) -> acc + s.importance)")
+    )
 
 
 def sorted_importance(importance: Column | str) -> Column:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from loadshift.functions.expressions import any_of, day_dummies
-from loadshift.operators.hourly import dense_hours, hourly_means, to_long, value_columns
+from loadshift.functions.expressions import day_dummies
+from loadshift.operators.hourly import dense_hours, hourly_means, inline_devices, to_long, value_columns
 
 
 def usage_flag(col: Column | str, threshold: float) -> Column:
@@ -18,8 +18,10 @@ def usage_flag(col: Column | str, threshold: float) -> Column:
     return (col >= threshold).cast("int")
 
 
-def activity_flag(columns: list[str], threshold: float) -> Column:
-    return any_of([F.col(c) >= threshold for c in columns]).cast("int")
+def activity_flag(columns: list[str], threshold: float | str) -> Column:
+    """1 if any column reaches the threshold, a number or the name of a column."""
+    limit = threshold if isinstance(threshold, str) else f"{threshold!r}D"
+    return F.expr(f"cast({' OR '.join(f'{c} >= {limit}' for c in columns)} AS int)")
 
 
 def masked(col: str, threshold: float) -> Column:
@@ -65,8 +67,7 @@ def daily_usage(
     day = F.to_date("hour_ts").alias("day")
     flags = [F.max(usage_flag(c, threshold)).alias(c) for c in cols[: len(devices)]]
     per_day = grid.groupBy("household_id", day).agg(F.max(activity_flag(active, threshold)).alias("activity"), *flags)
-    items = [F.struct(F.lit(d).alias("device"), F.col(c).alias("usage")) for c, d in zip(cols, devices)]
-    return per_day.select("household_id", "day", "activity", F.inline(F.array(*items)))
+    return per_day.select("household_id", "day", "activity", inline_devices(cols[: len(devices)], devices, "usage"))
 
 
 def usage_features(
@@ -92,9 +93,7 @@ def usage_features(
 
 def active_last_2_days() -> Column:
     """NULL lags compare false."""
-    lag1 = F.coalesce(F.col("activity_lag_1") == 1, F.lit(False))
-    lag2 = F.coalesce(F.col("activity_lag_2") == 1, F.lit(False))
-    return (lag1 | lag2).cast("int")
+    return F.expr("cast(coalesce(activity_lag_1 = 1, false) OR coalesce(activity_lag_2 = 1, false) AS int)")
 
 
 def load_input(states: DataFrame, devices: list[str], threshold: float, today: str | None = None) -> DataFrame:
@@ -115,8 +114,6 @@ def threshold_profile(
     cols = value_columns(devices)
     grid = dense_hours(hourly_means(states, devices, with_switches=True), cols, ["household_id"], today)
     rows = grid.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
-    t = F.col("threshold")
-    activity = any_of([F.col(c) >= t for c in cols]).cast("int")
     cells = rows.groupBy(
         "threshold",
         F.hour("hour_ts").alias("hour"),
@@ -124,8 +121,8 @@ def threshold_profile(
         F.month("hour_ts").alias("month"),
     ).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(activity).alias("activity"),
-        *[F.sum((F.col(c) >= t).cast("int")).alias(c) for c in cols],
+        F.sum(activity_flag(cols, "threshold")).alias("activity"),
+        *[F.expr(f"sum(cast({c} >= threshold AS int)) AS {c}") for c in cols],
     )
     dims = F.array(
         F.struct(F.lit("hour").alias("dimension"), F.col("hour").cast("int").alias("bucket")),
@@ -137,7 +134,7 @@ def threshold_profile(
         .groupBy("threshold", "dimension", "bucket")
         .agg(
             (F.sum("activity") / F.sum("n")).alias("activity"),
-            *[(F.sum(c) / F.sum("n")).alias(c) for c in cols],
+            *[F.expr(f"sum({c}) / sum(n) AS {c}") for c in cols],
         )
     )
     names = {c: f"{d}_usage" for c, d in zip(cols, devices)}

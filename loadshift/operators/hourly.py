@@ -32,39 +32,27 @@ def hourly_means(states: DataFrame, devices: list[str], with_switches: bool = Fa
     of the group in that hour; unparsable states count as 0. Switches that are on count 1 over the
     distinct timestamps at which any switch of the group was on.
     """
-    is_watt = F.col("unit_of_measurement").isin("W")
-    is_on = (F.col("state") == "on") if with_switches else F.lit(False)
-    rows = states.filter(F.col("entity_id").isin(list(devices)) & (F.coalesce(is_watt, F.lit(False)) | is_on))
-    value = F.when(is_watt, F.coalesce(number("state"), F.lit(0.0))).otherwise(F.lit(1.0))
-    cols = value_columns(devices)
-    watt = F.coalesce(is_watt, F.lit(False))
-
-    def first_flag(condition: Column) -> Column:
-        return F.max(condition.cast("int"))
-
-    per_ts = rows.groupBy("household_id", F.col("last_updated_ts").alias("ts")).agg(
-        first_flag(watt).alias("n_watt"),
-        first_flag(~watt).alias("n_on"),
-        *[F.sum(F.when((F.col("entity_id") == d) & watt, value)).alias(f"w_{c}") for c, d in zip(cols, devices)],
-        *(
-            [F.sum(F.when((F.col("entity_id") == d) & ~watt, value)).alias(f"s_{c}") for c, d in zip(cols, devices)]
-            if with_switches
-            else []
-        ),
-    )
-    per_hour = per_ts.groupBy("household_id", F.date_trunc("hour", "ts").alias("hour_ts")).agg(
-        F.sum("n_watt").alias("n_watt"),
-        F.sum("n_on").alias("n_on"),
-        *[F.sum(c).alias(c) for c in per_ts.columns if c[:2] in ("w_", "s_")],
+    watt = "coalesce(unit_of_measurement = 'W', false)"
+    wanted = f"{watt} OR state = 'on'" if with_switches else watt
+    rows = states.filter(F.col("entity_id").isin(list(devices))).filter(wanted)
+    rows = rows.select(
+        "household_id",
+        "entity_id",
+        F.col("last_updated_ts").alias("ts"),
+        F.expr(f"{watt} AS watt"),
+        F.coalesce(number("state"), F.lit(0.0)).alias("value"),
     )
-
-    def mean(c: str) -> Column:
-        power = F.coalesce(F.col(f"w_{c}") / F.col("n_watt"), F.lit(0.0))
-        if not with_switches:
-            return power
-        return power + F.coalesce(F.col(f"s_{c}") / F.col("n_on"), F.lit(0.0))
-
-    return per_hour.select("household_id", "hour_ts", *[mean(c).alias(c) for c in cols])
+    cols = value_columns(devices)
+    literal = {c: d.replace("'", "''") for c, d in zip(cols, devices)}
+    power = [F.expr(f"sum(CASE WHEN watt AND entity_id = '{literal[c]}' THEN value END) AS w_{c}") for c in cols]
+    switch = [F.expr(f"sum(CASE WHEN NOT watt AND entity_id = '{literal[c]}' THEN 1D END) AS s_{c}") for c in cols]
+    sums = power + switch if with_switches else power
+    flags = [F.expr("max(cast(watt AS int)) AS n_watt"), F.expr("max(cast(NOT watt AS int)) AS n_on")]
+    per_ts = rows.groupBy("household_id", "ts").agg(*flags, *sums)
+    totals = [F.expr(f"sum({c}) AS {c}") for c in per_ts.columns if c not in ("household_id", "ts")]
+    per_hour = per_ts.groupBy("household_id", F.date_trunc("hour", "ts").alias("hour_ts")).agg(*totals)
+    mean = "coalesce(w_{0} / n_watt, 0D) + coalesce(s_{0} / n_on, 0D)" if with_switches else "coalesce(w_{0} / n_watt, 0D)"
+    return per_hour.select("household_id", "hour_ts", *[F.expr(f"{mean.format(c)} AS {c}") for c in cols])
 
 
 def dense_hours(hourly: DataFrame, columns: list[str], keys: list[str], today: str | None = None) -> DataFrame:
@@ -86,16 +74,23 @@ def dense_hours(hourly: DataFrame, columns: list[str], keys: list[str], today: s
         *columns,
         F.explode(F.sequence("hour_ts", F.coalesce(F.col("next_ts") - one, end), one)).alias("hour_ts"),
     )
-    real = F.col("hour_ts") == F.col("seen_ts")
-    return grid.select(*keys, "hour_ts", *[F.when(real, F.col(c)).otherwise(F.lit(0.0)).alias(c) for c in columns])
+    values = [F.expr(f"if(hour_ts = seen_ts, {c}, 0D) AS {c}") for c in columns]
+    return grid.select(*keys, "hour_ts", *values)
 
 
 def to_long(wide: DataFrame, devices: list[str], name: str = "value") -> DataFrame:
     """One row per device instead of one column per device."""
     cols = value_columns(devices)
     keep = [c for c in wide.columns if c not in cols]
-    items = F.array(*[F.struct(F.lit(d).alias("device"), F.col(c).alias(name)) for c, d in zip(cols, devices)])
-    return wide.select(*keep, F.inline(items))
+    return wide.select(*keep, inline_devices(cols, devices, name))
+
+
+def inline_devices(columns: list[str], devices: list[str], name: str) -> Column:
+    """Rows (device, name) from one column per device."""
+    items = [
+        "named_struct('device', '{}', '{}', {})".format(d.replace("'", "''"), name, c) for c, d in zip(columns, devices)
+    ]
+    return F.expr(f"inline(array({', '.join(items)}))")
 
 
 def resample_mean(df: DataFrame, keys: list[str], ts: str, columns: list[str], period: str) -> DataFrame:

@@ -39,14 +39,12 @@ def horizons(
     filled = fill_from_previous_days(prices)
     days = F.explode(F.sequence(F.lit(first_date).cast("date"), F.lit(last_date).cast("date"))).alias("date")
     zones = prices.groupBy("zone").agg(F.max(F.to_date(F.from_utc_timestamp("hour", timezone))).alias("last_day"))
-    start = F.to_utc_timestamp(F.date_add("date", 1).cast("timestamp"), timezone)
-    wanted = zones.select("zone", "last_day", days).select(
-        "zone",
-        "date",
-        "last_day",
-        F.posexplode(
-            F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), lambda i: start + F.make_dt_interval(hours=i))
-        ).alias("offset", "hour"),
+    hours = f"transform(sequence(0, {HOURS - 1}), i -> midnight + make_dt_interval(0, i))"
+    midnight = F.to_utc_timestamp(F.date_add("date", 1).cast("timestamp"), timezone).alias("midnight")
+    wanted = (
+        zones.select("zone", "last_day", days)
+        .select("*", midnight)
+        .select("zone", "date", "last_day", F.expr(f"posexplode({hours}) AS (offset, hour)"))
     )
     joined = wanted.join(filled, ["zone", "hour"], "left")
     price = F.col("price")
@@ -56,8 +54,8 @@ def horizons(
         )
         joined = joined.withColumn("_h", F.hour(F.from_utc_timestamp("hour", timezone))).join(today, ["zone", "_h"], "left")
         price = F.when(F.date_add("date", 1) > F.col("last_day"), F.col("_today")).otherwise(price)
-    ordered = F.sort_array(F.collect_list(F.struct("offset", price.alias("price"))))
-    return joined.groupBy("zone", "date").agg(F.transform(ordered, lambda s: s["price"]).alias("prices"))
+    ordered = F.expr("transform(sort_array(collect_list(struct(offset, price))), s -> s.price) AS prices")
+    return joined.withColumn("price", price).groupBy("zone", "date").agg(ordered)
 
 
 def price_grid(horizon: DataFrame) -> DataFrame:
@@ -69,5 +67,5 @@ def shifted_prices(horizon: DataFrame) -> DataFrame:
     """24 rows per (zone, date) with Price_at_H+0 .. Price_at_H+23: the price i hours after the start hour."""
     hour = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
     rows = horizon.select("zone", "date", "prices", hour)
-    cols = [F.get("prices", F.col("hour") + i).alias(f"Price_at_H+{i}") for i in range(24)]
+    cols = [F.expr(f"get(prices, hour + {i}) AS `Price_at_H+{i}`") for i in range(24)]
     return rows.select("zone", "date", "hour", *cols)

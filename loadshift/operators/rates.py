@@ -76,13 +76,13 @@ def activity_rates(features: DataFrame) -> DataFrame:
 def activity_rate_arrays(rates: DataFrame) -> DataFrame:
     """household_id, date, probs[24], only for dates with a trained day before a predictable one."""
     usable = rates.filter(F.col("p").isNotNull() & F.col("target_date").isNotNull())
-    ordered = F.sort_array(F.collect_list(F.struct("hour", "p")))
-    return usable.groupBy("household_id", "date").agg(F.transform(ordered, lambda s: s["p"]).alias("probs"))
+    ordered = F.expr("transform(sort_array(collect_list(struct(hour, p))), s -> s.p) AS probs")
+    return usable.groupBy("household_id", "date").agg(ordered)
 
 
 def usage_cell():
-    lag1, lag2 = F.coalesce("usage_lag_1", F.lit(0)), F.coalesce("usage_lag_2", F.lit(0))
-    return (lag1 * 4 + lag2 * 2 + F.col("active_last_2_days")).cast("int")
+    """The three binary features of the usage model as one number 0..7."""
+    return F.expr("coalesce(usage_lag_1, 0) * 4 + coalesce(usage_lag_2, 0) * 2 + active_last_2_days")
 
 
 def usage_counts(features: DataFrame) -> DataFrame:
@@ -91,42 +91,36 @@ def usage_counts(features: DataFrame) -> DataFrame:
     rows = features.select(*keys, F.col("day").alias("date"), "usage", usage_cell().alias("cell"))
     start = F.date_add(_first_day("date", keys), ACTIVITY_LEAD_DAYS)
     used = rows.withColumn("_ok", F.col("date") >= start)
-    by_day = Window.partitionBy(*keys).orderBy("date")
-    upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    by_day = "(PARTITION BY household_id, device ORDER BY date"
+    upto = f"OVER {by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-    def running(value, c):
-        return F.sum(F.when(F.col("_ok") & (F.col("cell") == c), value).otherwise(0)).over(upto)
+    def running(value: str) -> str:
+        cells = [f"sum(CASE WHEN _ok AND cell = {c} THEN {value} ELSE 0 END) {upto}" for c in range(USAGE_CELLS)]
+        return f"array({', '.join(cells)})"
 
     return used.select(
         *keys,
         "date",
-        F.array(*[running(1, c) for c in range(USAGE_CELLS)]).alias("n"),
-        F.array(*[running(F.col("usage"), c) for c in range(USAGE_CELLS)]).alias("pos"),
-        F.lead("cell").over(by_day).alias("next_cell"),
-        F.lead("usage").over(by_day).alias("y"),
-        F.lead("date").over(by_day).alias("target_date"),
+        F.expr(f"{running('1')} AS n"),
+        F.expr(f"{running('usage')} AS pos"),
+        F.expr(f"lead(cell) OVER {by_day}) AS next_cell"),
+        F.expr(f"lead(usage) OVER {by_day}) AS y"),
+        F.expr(f"lead(date) OVER {by_day}) AS target_date"),
     )
 
 
 def cell_rates(counts: DataFrame) -> DataFrame:
     """Add rate[8]: positive share per cell, the overall share where a cell was never trained."""
-    total = F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    positives = F.aggregate("pos", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    overall = F.when(total > 0, positives / total)
-    return counts.withColumn(
-        "rate", F.zip_with("pos", "n", lambda p, n: F.when(n > 0, p / n).otherwise(overall))
-    )
+    total = "aggregate({}, 0L, (acc, x) -> acc + x)"
+    out = counts.selectExpr("*", f"{total.format('n')} AS _n", f"{total.format('pos')} AS _pos")
+    rate = "zip_with(pos, n, (p, n) -> if(n > 0, p / n, if(_n > 0, _pos / _n, NULL))) AS rate"
+    return out.selectExpr("*", rate).drop("_n", "_pos")
 
 
 def usage_train_cells(rated: DataFrame) -> DataFrame:
     """household_id, device, date, p, n_pos, n_neg: the training rows of each date by feature cell."""
-    zipped = F.arrays_zip(
-        F.col("rate").alias("p"),
-        F.col("pos").alias("n_pos"),
-        F.zip_with("n", "pos", lambda n, p: n - p).alias("n_neg"),
-    )
-    rows = rated.select("household_id", "device", "date", F.inline(zipped))
-    return rows.filter(F.col("n_pos") + F.col("n_neg") > 0)
+    cells = "inline(arrays_zip(rate, pos, zip_with(n, pos, (a, b) -> a - b))) AS (p, n_pos, n_neg)"
+    return rated.selectExpr("household_id", "device", "date", cells).filter("n_pos + n_neg > 0")
 
 
 def usage_rates(features: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.functions.expressions import sliding_costs
+from loadshift.operators.joins import join_reference
 
 KEYS = ["household_id", "device", "date"]
 # Costs are compared after rounding to this many digits, so ties resolve to the earliest hour.
@@ -17,51 +18,49 @@ COST_DIGITS = 9
 
 
 def with_costs(profiles: DataFrame, households: DataFrame, horizon: DataFrame) -> DataFrame:
-    """profiles + costs[24]. A zone's horizon is a few rows per date and is joined by (zone, date)."""
-    priced = profiles.join(households, "household_id").join(horizon, ["zone", "date"], "left")
-    return priced.withColumn("costs", sliding_costs(F.col("prices"), F.col("load")))
+    """profiles + costs[24]. A zone's horizon is one row per date, matched by all its households."""
+    priced = join_reference(profiles.join(households, "household_id"), horizon, ["zone", "date"])
+    return priced.withColumn("costs", sliding_costs("prices", "load"))
 
 
 def cost_rows(costs: DataFrame) -> DataFrame:
     return costs.select(*KEYS, F.posexplode("costs").alias("hour", "cost"))
 
 
-def cheapest_hour(costs: Column, acceptable: Column | None = None) -> Column:
-    """First hour of minimal cost, among the hours whose flag in ``acceptable`` is true."""
-    items = F.transform(costs, lambda c, h: F.struct(F.round(c, COST_DIGITS).alias("cost"), h.alias("hour")))
-    items = F.filter(items, lambda s: s["cost"].isNotNull())
-    if acceptable is not None:
-        items = F.filter(items, lambda s: F.coalesce(F.get(acceptable, s["hour"]), F.lit(False)))
-    return F.array_min(items)["hour"].cast("int")
+def cheapest_hour(costs: str = "costs", acceptable: str = "true") -> Column:
+    """First hour of minimal cost among the acceptable ones; ``acceptable`` may use s.hour."""
+    items = f"transform({costs}, (c, h) -> named_struct('cost', round(c, {COST_DIGITS}), 'hour', h))"
+    usable = f"filter({items}, s -> s.cost IS NOT NULL AND coalesce({acceptable}, false))"
+    return F.expr(f"cast(array_min({usable}).hour AS int)")
 
 
-def recommend(inputs: DataFrame, activity_threshold: Column | float, usage_threshold: Column | float) -> DataFrame:
+def recommend(inputs: DataFrame, activity_threshold: str | float, usage_threshold: str | float) -> DataFrame:
     """inputs: household_id, device, date, costs[24], probs[24], usage_p -> flags, best hour, recommendation.
 
     An hour is acceptable when its activity probability reaches the threshold. If no hour is, the best
     hour is the cheapest overall and the activity flag is 1. The usage flag is 1 when the usage
-    probability stays below its threshold. Missing inputs give NULL flags and an error text.
+    probability stays below its threshold. Missing inputs give NULL flags and an error text. The
+    thresholds are numbers or names of columns.
     """
-    a = activity_threshold if isinstance(activity_threshold, Column) else F.lit(float(activity_threshold))
-    u = usage_threshold if isinstance(usage_threshold, Column) else F.lit(float(usage_threshold))
-    ok = F.transform("probs", lambda p: p >= a)
-    none_ok = F.when(F.col("probs").isNotNull(), (~F.exists(ok, lambda x: F.coalesce(x, F.lit(False)))).cast("int"))
-    low_usage = F.when(F.col("usage_p").isNotNull(), (F.col("usage_p") < u).cast("int"))
-    best = F.coalesce(cheapest_hour(F.col("costs"), ok), cheapest_hour(F.col("costs")))
-    error = (
-        F.when(F.col("costs").isNull() | best.isNull(), "no price")
-        .when(F.col("probs").isNull(), "no activity prediction")
-        .when(F.col("usage_p").isNull(), "no usage prediction")
-    )
+    a = activity_threshold if isinstance(activity_threshold, str) else f"{float(activity_threshold)!r}D"
+    any_ok = f"exists(probs, p -> coalesce(p >= {a}, false))"
+    best = F.coalesce(cheapest_hour("costs", f"get(probs, s.hour) >= {a}"), cheapest_hour("costs"))
+    error = """CASE WHEN best_launch_hour IS NULL THEN 'no price'
+        WHEN probs IS NULL THEN 'no activity prediction' WHEN usage_p IS NULL THEN 'no usage prediction' END AS error"""
     out = inputs.select(
         "*",
         best.alias("best_launch_hour"),
-        none_ok.alias("no_recommend_flag_activity"),
-        low_usage.alias("no_recommend_flag_usage"),
-        error.alias("error"),
+        F.expr(f"if(probs IS NULL, NULL, cast(NOT {any_ok} AS int)) AS no_recommend_flag_activity"),
     )
-    both = (F.col("no_recommend_flag_activity") == 0) & (F.col("no_recommend_flag_usage") == 0)
-    return out.withColumn("recommendation", F.when(both, F.col("best_launch_hour")))
+    return gate(out.select("*", F.expr(error)), usage_threshold)
+
+
+def gate(best: DataFrame, usage_threshold: str | float) -> DataFrame:
+    """Add the usage flag and the recommendation: the best hour if both flags are 0."""
+    u = usage_threshold if isinstance(usage_threshold, str) else f"{float(usage_threshold)!r}D"
+    low = F.expr(f"cast(usage_p < {u} AS int) AS no_recommend_flag_usage")
+    both = "no_recommend_flag_activity = 0 AND no_recommend_flag_usage = 0"
+    return best.select("*", low).withColumn("recommendation", F.expr(f"CASE WHEN {both} THEN best_launch_hour END"))
 
 
 def join_predictions(costs: DataFrame, activity: DataFrame, usage: DataFrame) -> DataFrame:
@@ -117,11 +116,10 @@ def price_sentence(price: Column) -> Column:
     return F.when(F.col("recommendation").isNotNull(), text)
 
 
-def savings_percent(prices: Column, hour: Column) -> Column:
+def savings_percent(prices: str, hour: str) -> Column:
     """Percent saved against the mean of the day's 24 hourly prices."""
-    day = F.slice(prices, 1, 24)
-    mean = F.aggregate(day, F.lit(0.0), lambda acc, x: acc + x) / 24
-    return F.round((1 - F.get(prices, hour) / mean) * 100, 2)
+    mean = f"(aggregate(slice({prices}, 1, 24), 0D, (acc, x) -> acc + x) / 24)"
+    return F.expr(f"round((1 - get({prices}, {hour}) / {mean}) * 100, 2)")
 
 
 def savings_sentence(saved: Column) -> Column:

@@ -47,21 +47,19 @@ def device_runs(load: DataFrame) -> DataFrame:
 
 def run_vectors(load: DataFrame) -> DataFrame:
     """One row per run with its 24 hourly loads as an array, missing hours 0."""
-    per_offset = [F.max(F.when(F.col("offset") == j, F.col("load"))) for j in range(MAX_HOURS)]
-    return (
-        device_runs(load)
-        .groupBy(*KEYS, "run_start")
-        .agg(F.array(*[F.coalesce(m, F.lit(0.0)) for m in per_offset]).alias("load"))
-    )
+    per_offset = [f"coalesce(max(CASE WHEN offset = {j} THEN load END), 0D)" for j in range(MAX_HOURS)]
+    vector = F.expr(f"array({', '.join(per_offset)}) AS load")
+    return device_runs(load).groupBy(*KEYS, "run_start").agg(vector)
 
 
 def load_profile(load: DataFrame) -> DataFrame:
     """Mean load per offset over all runs of a device; 0 without runs."""
     marked = mark_runs(load)
-    runs = F.sum((F.col("offset") == 0).cast("int"))
-    sums = [F.sum(F.when(F.col("offset") == j, F.col("load"))) for j in range(MAX_HOURS)]
-    mean = [F.coalesce(s / runs, F.lit(0.0)) for s in sums]
-    return marked.groupBy(*KEYS).agg(F.array(*mean).alias("load"), F.coalesce(runs, F.lit(0)).alias("n_runs"))
+    runs = "sum(cast(offset = 0 AS int))"
+    mean = [f"coalesce(sum(CASE WHEN offset = {j} THEN load END) / {runs}, 0D)" for j in range(MAX_HOURS)]
+    return marked.groupBy(*KEYS).agg(
+        F.expr(f"array({', '.join(mean)}) AS load"), F.expr(f"coalesce({runs}, 0) AS n_runs")
+    )
 
 
 def profiles_by_date(load: DataFrame) -> DataFrame:
@@ -71,22 +69,18 @@ def profiles_by_date(load: DataFrame) -> DataFrame:
     over days replace one pass per date. The caller passes hours with a complete first day.
     """
     marked = mark_runs(load)
-    sums = [
-        F.sum(F.when(F.col("offset") == j, F.col("load")).otherwise(F.lit(0.0))).alias(f"o{j}")
-        for j in range(MAX_HOURS)
-    ]
-    starts = F.sum(F.when(F.col("offset") == 0, 1).otherwise(0)).alias("starts")
+    sums = [F.expr(f"sum(CASE WHEN offset = {j} THEN load ELSE 0D END) AS o{j}") for j in range(MAX_HOURS)]
+    starts = F.expr("sum(CASE WHEN offset = 0 THEN 1 ELSE 0 END) AS starts")
     daily = marked.groupBy(*KEYS, F.to_date("hour_ts").alias("date")).agg(starts, *sums)
-    before = Window.partitionBy(*KEYS).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    before = "OVER (PARTITION BY household_id, device ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     running = daily.select(
         *KEYS,
         "date",
-        F.coalesce(F.sum("starts").over(before), F.lit(0)).cast("int").alias("n_runs"),
-        *[F.sum(f"o{j}").over(before).alias(f"o{j}") for j in range(MAX_HOURS)],
+        F.expr(f"cast(coalesce(sum(starts) {before}, 0) AS int) AS n_runs"),
+        *[F.expr(f"sum(o{j}) {before} AS o{j}") for j in range(MAX_HOURS)],
     )
-    n = F.col("n_runs")
-    mean = [F.when(n > 0, F.col(f"o{j}") / n).otherwise(F.lit(0.0)) for j in range(MAX_HOURS)]
-    return running.select(*KEYS, "date", "n_runs", F.array(*mean).alias("load"))
+    mean = [f"if(n_runs > 0, o{j} / n_runs, 0D)" for j in range(MAX_HOURS)]
+    return running.select(*KEYS, "date", "n_runs", F.expr(f"array({', '.join(mean)}) AS load"))
 
 
 def starting_times(load: DataFrame) -> DataFrame:

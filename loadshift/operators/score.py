@@ -118,22 +118,9 @@ def usage_cold_start(rated: DataFrame, last: str) -> DataFrame:
     end = F.lit(last).cast("date")
     whole = Window.partitionBy("household_id", "device")
     final = F.max_by(F.struct("n", "pos"), F.when(F.col("date") <= end, F.col("date"))).over(whole)
-    cells = rated.withColumn("_all", final).filter(
-        (F.col("date") < end) & (F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x) > 0)
-    )
-    rows = cells.select(
-        "household_id",
-        "device",
-        "date",
-        F.inline(
-            F.arrays_zip(
-                F.col("rate").alias("p"),
-                F.col("_all.pos").alias("n_pos"),
-                F.zip_with("_all.n", "_all.pos", lambda n, p: n - p).alias("n_neg"),
-            )
-        ),
-    )
-    seen = rows.filter(F.col("n_pos") + F.col("n_neg") > 0)
+    trained = rated.withColumn("_all", final).filter(F.col("date") < end).filter("exists(n, x -> x > 0)")
+    cells = "inline(arrays_zip(rate, _all.pos, zip_with(_all.n, _all.pos, (a, b) -> a - b))) AS (p, n_pos, n_neg)"
+    seen = trained.selectExpr("household_id", "device", "date", cells).filter("n_pos + n_neg > 0")
     return auc_from_counts(seen, ["household_id", "device", "date"]).select(
         "household_id",
         F.concat(F.lit("usage_"), safe_name("device")).alias("agent"),
