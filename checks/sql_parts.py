@@ -36,6 +36,13 @@ def runs_sql(source: str) -> str:
       WHERE offs < CASE WHEN first_rn = 1 THEN 1 ELSE 24 END"""
 
 
+def auc_sql(source: str, keys: str) -> str:
+    """ROC AUC from (keys, p, n_pos, n_neg): positives beat the negatives below them, ties count half."""
+    return f"""SELECT {keys}, CASE WHEN sum(n_pos) > 0 AND sum(n_neg) > 0 THEN sum(n_pos * (below + n_neg / 2)) / (sum(n_pos) * sum(n_neg)) END AS auc,
+      sum(n_pos) + sum(n_neg) AS n FROM (SELECT *, coalesce(sum(n_neg) OVER (PARTITION BY {keys} ORDER BY p
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM {source}) GROUP BY {keys}"""
+
+
 PARTS: dict[str, str] = {
     "st": """SELECT CAST(user_id // 5 AS INTEGER) AS household_id, event_type AS entity_id,
       CASE WHEN event_type IN ('purchase','signup','view') THEN CAST(value AS VARCHAR)
@@ -181,6 +188,102 @@ PARTS: dict[str, str] = {
     "summ": """SELECT household_id, a, u, count(rec) AS n_recommendations, avg(acceptable) AS acceptable,
       coalesce(sum(acceptable * savings), 0) AS total_savings, avg(relative_savings) AS relative_savings_mean,
       quantile_cont(relative_savings, 0.5) AS relative_savings_median FROM bt GROUP BY ALL""",
+    "urate": """SELECT a.household_id, a.device, a.date, k.cell, coalesce(c.pos / c.n, a.pos / a.n) AS p, coalesce(c.n, 0) AS n, coalesce(c.pos, 0) AS pos
+      FROM uall a CROSS JOIN (SELECT unnest(range(8)) AS cell) k
+      LEFT JOIN ucell c ON c.household_id = a.household_id AND c.device = a.device AND c.date = a.date AND c.cell = k.cell""",
+    # Shapley values of the three usage bits: value of each coalition, then weighted differences
+    "sv": """SELECT x.household_id, x.device, x.date, x.y, x.p, x.next_cell, m.m, sum(b.n * r.p) / sum(b.n) AS v FROM ur x CROSS JOIN (SELECT unnest(range(8)) AS m) m
+      JOIN ucell b ON b.household_id = x.household_id AND b.device = x.device AND b.date = x.date
+      JOIN urate r ON r.household_id = x.household_id AND r.device = x.device AND r.date = x.date AND r.cell = ((x.next_cell & m.m) | (b.cell & (7 - m.m))) GROUP BY ALL""",
+    "svw": """SELECT household_id, device, date, any_value(y) AS y, any_value(p) AS p, any_value(next_cell) AS next_cell,
+      max(v) FILTER (m = 0) AS v0, max(v) FILTER (m = 1) AS v1, max(v) FILTER (m = 2) AS v2, max(v) FILTER (m = 3) AS v3,
+      max(v) FILTER (m = 4) AS v4, max(v) FILTER (m = 5) AS v5, max(v) FILTER (m = 6) AS v6, max(v) FILTER (m = 7) AS v7 FROM sv GROUP BY household_id, device, date""",
+    "shap": """SELECT household_id, device, date, y, p, next_cell, v0,
+      (v4 - v0) / 3 + (v5 - v1) / 6 + (v6 - v2) / 6 + (v7 - v3) / 3 AS f1,
+      (v2 - v0) / 3 + (v3 - v1) / 6 + (v6 - v4) / 6 + (v7 - v5) / 3 AS f2,
+      (v1 - v0) / 3 + (v3 - v2) / 6 + (v5 - v4) / 6 + (v7 - v6) / 3 AS f3 FROM svw""",
+    # runs against the profile of their day
+    "truth": """SELECT r.household_id, r.device, r.run_start, o.offs, max(CASE WHEN r.offs = o.offs THEN r.load ELSE 0 END) AS y FROM run r
+      CROSS JOIN (SELECT unnest(range(24)) AS offs) o GROUP BY ALL""",
+    "gap": """SELECT t.*, coalesce(p.load, 0) AS yh FROM truth t LEFT JOIN prof p ON p.household_id = t.household_id AND p.device = t.device
+      AND p.date = CAST(t.run_start AS DATE) AND p.offs = t.offs""",
+    "mse": "SELECT household_id, device, run_start, avg((y - yh) * (y - yh)) AS error FROM gap GROUP BY ALL",
+    # cold start
+    "csa": """SELECT household_id, date, p, sum(w.n_pos) AS n_pos, sum(w.n_neg) AS n_neg FROM ar
+      JOIN (SELECT household_id, hour, sum(truth) AS n_pos, sum(1 - truth) AS n_neg FROM ar WHERE date >= start AND date <= DATE '2024-01-30' GROUP BY ALL) w
+      USING (household_id, hour) WHERE date >= start AND date < DATE '2024-01-30' GROUP BY ALL""",
+    "csu": """SELECT r.household_id, r.device, r.date, r.p, sum(w.pos) AS n_pos, sum(w.n - w.pos) AS n_neg FROM urate r
+      JOIN (SELECT household_id, device, cell, n, pos FROM ucell WHERE date = DATE '2024-01-30') w USING (household_id, device, cell)
+      WHERE r.date < DATE '2024-01-30' GROUP BY ALL""",
+    "csl": """SELECT p.household_id, p.device, p.date, avg((p.load - l.load) * (p.load - l.load)) AS score FROM prof p
+      JOIN (SELECT household_id, device, offs, arg_max(load, date) AS load FROM prof WHERE date <= DATE '2024-01-30' GROUP BY ALL) l USING (household_id, device, offs)
+      WHERE p.date <= DATE '2024-01-30' GROUP BY ALL""",
+    "cs": """SELECT household_id, 'activity' AS agent, date, auc AS score FROM csa_auc
+      UNION ALL SELECT household_id, 'usage_' || device, date, auc FROM csu_auc
+      UNION ALL SELECT household_id, 'load_' || device, date, score FROM csl""",
+    "csa_auc": auc_sql("csa", "household_id, date"),
+    "csu_auc": auc_sql("csu", "household_id, device, date"),
+    "csg": """SELECT g.household_id, g.date, a.agent, c.score, CAST(dense_rank() OVER (PARTITION BY g.household_id ORDER BY g.date) AS INTEGER) AS d
+      FROM (SELECT DISTINCT household_id, date FROM cs) g
+      CROSS JOIN (SELECT unnest(['activity','usage_purchase','usage_signup','load_purchase','load_signup']) AS agent) a
+      LEFT JOIN cs c ON c.household_id = g.household_id AND c.date = g.date AND c.agent = a.agent""",
+    "csb": "SELECT *, max(score) OVER (PARTITION BY household_id, agent) AS best FROM csg",
+    "csd": """SELECT household_id, t AS tolerance, agent, CAST(coalesce(max(d) FILTER (NOT coalesce(
+        CASE WHEN agent LIKE 'load%' THEN score < t ELSE score > best * (1 - t) END, false)), 0) + 1 AS INTEGER) AS days
+      FROM csb CROSS JOIN (SELECT CAST(unnest([0.05, 0.10, 0.15, 0.20, 0.25]) AS DOUBLE) AS t) GROUP BY ALL""",
+    "csf": "SELECT * FROM csd UNION ALL SELECT household_id, tolerance, 'framework', max(days) FROM csd GROUP BY ALL",
+    # walk-forward scores
+    "wa_test": """SELECT household_id, p, sum(y) AS n_pos, sum(1 - y) AS n_neg FROM ar WHERE p IS NOT NULL AND y IS NOT NULL
+      AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-28' GROUP BY ALL""",
+    "wa_train": """SELECT household_id, date, p, sum(n_pos) AS n_pos, sum(n_neg) AS n_neg FROM ar WHERE p IS NOT NULL
+      AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-28' GROUP BY ALL""",
+    "wa_test_auc": auc_sql("wa_test", "household_id"),
+    "wa_train_auc": auc_sql("wa_train", "household_id, date"),
+    "wa": """SELECT household_id, a.auc_train, t.auc AS auc_test, a.n_dates, t.n AS n_test FROM wa_test_auc t
+      JOIN (SELECT household_id, avg(auc) AS auc_train, count(auc) AS n_dates FROM wa_train_auc GROUP BY ALL) a USING (household_id)""",
+    "wu_test": """SELECT household_id, device, p, sum(y) AS n_pos, sum(1 - y) AS n_neg FROM ur
+      WHERE date > DATE '2024-01-08' AND date < DATE '2024-01-28' GROUP BY ALL""",
+    "wu_train": """SELECT household_id, device, date, p, sum(pos) AS n_pos, sum(n - pos) AS n_neg FROM urate
+      WHERE n > 0 AND date > DATE '2024-01-08' AND date < DATE '2024-01-28' GROUP BY ALL""",
+    "wu_test_auc": auc_sql("wu_test", "household_id, device"),
+    "wu_train_auc": auc_sql("wu_train", "household_id, device, date"),
+    "wu": """SELECT household_id, device, a.auc_train, t.auc AS auc_test, a.n_dates, t.n AS n_test FROM wu_test_auc t
+      JOIN (SELECT household_id, device, avg(auc) AS auc_train, count(auc) AS n_dates FROM wu_train_auc GROUP BY ALL) a USING (household_id, device)""",
+    "agents": """SELECT household_id, 'activity_auc' AS agent, '-' AS device, auc_test AS score FROM wa
+      UNION ALL SELECT household_id, 'usage_auc', device, auc_test FROM wu
+      UNION ALL SELECT household_id, 'load_mse', device, avg(error) FROM mse GROUP BY household_id, device""",
+    # nearest neighbours: all pairs of a test row and the training rows of its date
+    "ku": """SELECT household_id, device, day, usage, usage_lag_1 AS a, usage_lag_2 AS b, active_last_2_days AS c,
+      day >= min(day) OVER (PARTITION BY household_id, device) + 3 AS ok FROM us""",
+    "ku_nn": """SELECT t.household_id, t.device, t.day, t.usage AS y, r.usage,
+      row_number() OVER (PARTITION BY t.household_id, t.device, t.day ORDER BY pow(t.a - r.a, 2) + pow(t.b - r.b, 2) + pow(t.c - r.c, 2), r.day DESC) AS k,
+      count(*) OVER g AS n, min(r.usage) OVER g AS lo, max(r.usage) OVER g AS hi
+      FROM ku t JOIN ku r ON r.household_id = t.household_id AND r.device = t.device AND r.ok AND r.day < t.day
+      WHERE t.day - 1 BETWEEN DATE '2024-01-05' AND DATE '2024-01-29' WINDOW g AS (PARTITION BY t.household_id, t.device, t.day)""",
+    "ku_p": """SELECT household_id, device, day, any_value(y) AS y, avg(usage) AS p FROM ku_nn
+      WHERE k <= 10 AND n >= 10 AND lo < hi GROUP BY household_id, device, day""",
+    "ka": """SELECT household_id, hour_ts, CAST(hour_ts AS DATE) AS day, activity, hour, isodow(hour_ts) AS wd,
+      coalesce(activity_lag_24, 0) AS a, coalesce(activity_lag_48, 0) AS b, coalesce(activity_lag_72, 0) AS c,
+      CAST(hour_ts AS DATE) >= min(CAST(hour_ts AS DATE)) OVER (PARTITION BY household_id) + 3 AS ok FROM actf""",
+    "ka_nn": """SELECT t.household_id, t.hour_ts, t.day, t.activity AS y, r.activity,
+      row_number() OVER (PARTITION BY t.household_id, t.hour_ts ORDER BY (t.hour - r.hour) * (t.hour - r.hour)
+        + CASE WHEN t.wd = r.wd THEN 0 WHEN t.wd = 5 OR r.wd = 5 THEN 1 ELSE 2 END
+        + abs(t.a - r.a) + abs(t.b - r.b) + abs(t.c - r.c), r.hour_ts DESC) AS k,
+      count(*) OVER g AS n, min(r.activity) OVER g AS lo, max(r.activity) OVER g AS hi
+      FROM ka t JOIN ka r ON r.household_id = t.household_id AND r.ok AND r.day < t.day
+      WHERE t.day - 1 BETWEEN DATE '2024-01-05' AND DATE '2024-01-29' WINDOW g AS (PARTITION BY t.household_id, t.hour_ts)""",
+    "ka_p": """SELECT household_id, hour_ts, day, any_value(y) AS y, avg(activity) AS p FROM ka_nn
+      WHERE k <= 10 AND n >= 10 AND lo < hi GROUP BY household_id, hour_ts, day""",
+    # weather imputation: all pairs of an hour with a gap and the hours that have the value
+    "wl": "SELECT time, unnest(['temp','dwpt','rhum','wdir','wspd']) AS c, unnest([temp, dwpt, rhum, wdir, wspd]) AS v FROM we",
+    "wg": "SELECT time FROM wl GROUP BY time HAVING count(v) < 5",
+    "wd": """SELECT a.time AS t, b.time AS u, sqrt(sum((a.v - b.v) * (a.v - b.v)) * 5 / count(*)) AS d FROM wl a JOIN wg ON wg.time = a.time
+      JOIN wl b ON b.c = a.c AND b.time <> a.time WHERE a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY a.time, b.time""",
+    "wn": """SELECT a.time, a.c, b.v, wd.d, row_number() OVER (PARTITION BY a.time, a.c ORDER BY wd.d, b.time) AS k FROM wl a
+      JOIN wd ON wd.t = a.time JOIN wl b ON b.time = wd.u AND b.c = a.c WHERE a.v IS NULL AND b.v IS NOT NULL""",
+    "wi": """SELECT l.time, l.c, coalesce(l.v, n.v, (SELECT avg(v) FROM wl m WHERE m.c = l.c)) AS v FROM wl l
+      LEFT JOIN (SELECT time, c, CASE WHEN min(d) = 0 THEN avg(v) FILTER (d = 0) ELSE sum(v / d) / sum(1 / d) END AS v FROM wn WHERE k <= 7 GROUP BY ALL) n
+      ON n.time = l.time AND n.c = l.c""",
     "we": """SELECT 'W1' AS station, date_trunc('hour', ts) AS time,
       avg(value) FILTER (event_type = 'click') AS temp, avg(value) FILTER (event_type = 'error') AS dwpt,
       avg(value) FILTER (event_type = 'purchase') AS rhum, avg(value) FILTER (event_type = 'signup') AS wdir,

@@ -1 +1,422 @@
-"""."""
+"""Models, scores, cold start, explanations, weather and the streaming base."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loadshift import fixtures as fx
+from loadshift.catalog.decisions import FIRST, KEYS, LAST
+from loadshift.catalog.features import CONFIG, activity_table, load_table, usage_table
+from loadshift.catalog.registry import big, day, integer, query, r6, ts
+from loadshift.operators import explain, impute, models, rates, score
+from loadshift.operators.learners import LEARNERS
+from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
+from loadshift.plans import stages
+from loadshift.session import scratch_dir
+from loadshift.streaming.hourly import hourly_sums
+
+WEATHER = list(fx.WEATHER_SOURCE)
+TOLERANCES = [0.05, 0.10, 0.15, 0.20, 0.25]
+AGENTS = score.agent_names(fx.SHIFTABLE)
+
+
+def _activity_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return rates.activity_rates(activity_table(spark, sf))
+
+
+def _usage_rated(spark: SparkSession, sf: str) -> DataFrame:
+    return rates.cell_rates(rates.usage_counts(usage_table(spark, sf)))
+
+
+# models -------------------------------------------------------------------------------------------
+
+
+def _usage_model(spark: SparkSession, sf: str, model_type: str, first: str = FIRST, **args) -> DataFrame:
+    out = models.usage_walk_forward(usage_table(spark, sf), model_type, first, LAST, **args)
+    return out.select(*KEYS, day("date"), day("day"), "y", r6("p"))
+
+
+@query
+def m3_logit_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Logistic regression per household and date: probability of activity for every hour of the next day."""
+    out = models.activity_walk_forward(activity_table(spark, sf), "logit", FIRST, LAST)
+    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"))
+
+
+@query
+def m3_logit_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return _usage_model(spark, sf, "logit")
+
+
+@query
+def m4_knn_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of active hours among the 10 nearest training hours."""
+    out = models.activity_walk_forward(activity_table(spark, sf), "knn", FIRST, LAST)
+    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"))
+
+
+@query
+def m4_knn_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return _usage_model(spark, sf, "knn")
+
+
+@query
+def m5_random_forest_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return _usage_model(spark, sf, "random forest", chunks=2)
+
+
+@query
+def m6_ada_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return _usage_model(spark, sf, "ada")
+
+
+@query
+def m7_boosted_trees_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return _usage_model(spark, sf, "xgboost")
+
+
+@query
+def m8_ebm_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return _usage_model(spark, sf, "ebm")
+
+
+@query
+def m9_logit_sm_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return _usage_model(spark, sf, "logit_sm")
+
+
+@query
+def m10_every_model_type(spark: SparkSession, sf: str) -> DataFrame:
+    """All seven model types for the last date."""
+    parts = [_usage_model(spark, sf, m, LAST).withColumn("model_type", F.lit(m)) for m in LEARNERS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def m10_m11_distributed_logit(spark: SparkSession, sf: str) -> DataFrame:
+    """One distributed model over the training rows of all households, and its predictions for the next day."""
+    train, test = models.usage_split(usage_table(spark, sf), "2024-01-25")
+    model = models.fit_table(train, USAGE_FEATURES, "usage", "logit")
+    out = models.predict_table(model, test)
+    return out.select(*KEYS, day("day"), "usage", r6("p"))
+
+
+@query
+def m12_next_day_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """One date: the random forest of every household for the hours of the next day."""
+    out = models.activity_walk_forward(activity_table(spark, sf), "random forest", LAST, LAST)
+    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"))
+
+
+@query
+def m12_next_day_with_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """The same date with five weather columns among the features."""
+    weather = impute.enrich(fx.weather(spark, sf), WEATHER)
+    table = impute.join_weather(activity_table(spark, sf), weather, "hour_ts").filter(F.col("household_id").isNotNull())
+    out = models.activity_walk_forward(
+        table, "xgboost", "2024-01-25", "2024-01-25", features=[*ACTIVITY_FEATURES, *WEATHER]
+    )
+    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"))
+
+
+# weather ------------------------------------------------------------------------------------------
+
+
+@query
+def m14_knn_impute(spark: SparkSession, sf: str) -> DataFrame:
+    """Every gap from the 7 nearest hours, weighted by inverse distance."""
+    out = impute.knn_impute(fx.weather(spark, sf), "station", "time", WEATHER)
+    return out.select("station", ts("time"), *[r6(c) for c in WEATHER])
+
+
+@query
+def m13_weather_enriched(spark: SparkSession, sf: str) -> DataFrame:
+    """Empty columns dropped, gaps filled, values scaled to 0..1."""
+    out = impute.enrich(fx.weather(spark, sf), [*WEATHER, "tsun"])
+    return out.select("station", ts("time"), *[r6(c) for c in sorted(WEATHER)])
+
+
+@query
+def j4_weather_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Activity hours with the weather of the hour; weather hours without features stay."""
+    out = impute.join_weather(activity_table(spark, sf), fx.weather(spark, sf).drop("tsun"), "hour_ts")
+    return out.select("household_id", ts("time"), "activity", *[r6(c) for c in WEATHER])
+
+
+# scores -------------------------------------------------------------------------------------------
+
+
+@query
+def e1_auc_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    """AUC of the hourly activity rates for each next day; NULL where the day has one class."""
+    out = score.auc(_activity_rates(spark, sf), ["household_id", "date"])
+    return out.select("household_id", day("date"), r6("auc"), big("n"))
+
+
+def _activity_scores(spark: SparkSession, sf: str) -> DataFrame:
+    out = _activity_rates(spark, sf)
+    cells = out.select("household_id", "date", "p", "n_pos", "n_neg")
+    return score.walk_forward_auc(out, cells, ["household_id"], "2024-01-08", "2024-01-28")
+
+
+def _usage_scores(spark: SparkSession, sf: str) -> DataFrame:
+    rated = _usage_rated(spark, sf)
+    test = rates.usage_rates(usage_table(spark, sf))
+    return score.walk_forward_auc(
+        test, rates.usage_train_cells(rated), KEYS, "2024-01-08", "2024-01-28", inclusive=False
+    )
+
+
+@query
+def e2_activity_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean train AUC over the dates and the pooled test AUC."""
+    out = _activity_scores(spark, sf)
+    return out.select("household_id", r6("auc_train"), r6("auc_test"), big("n_dates"), big("n_test"))
+
+
+@query
+def e2_usage_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """The same per device; both end dates are excluded."""
+    out = _usage_scores(spark, sf)
+    return out.select(*KEYS, r6("auc_train"), r6("auc_test"), big("n_dates"), big("n_test"))
+
+
+@query
+def e2_knn_activity_auc(spark: SparkSession, sf: str) -> DataFrame:
+    """Pooled test AUC of the nearest-neighbour model."""
+    out = score.auc(models.activity_walk_forward(activity_table(spark, sf), "knn", FIRST, LAST), ["household_id"])
+    return out.select("household_id", r6("auc"), big("n"))
+
+
+def _load_errors(spark: SparkSession, sf: str, metric) -> DataFrame:
+    load = load_table(spark, sf)
+    return score.load_errors(load, stages.complete_days(load), metric)
+
+
+@query
+def e3_load_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Squared error of every run against the profile known on its day."""
+    out = _load_errors(spark, sf, "mse")
+    return out.select(*KEYS, ts("run_start"), r6("error"))
+
+
+@query
+def e3_load_score(spark: SparkSession, sf: str) -> DataFrame:
+    out = score.load_score(_load_errors(spark, sf, "mse"))
+    return out.select(*KEYS, r6("error"), big("n_runs"))
+
+
+@query
+def e6_user_metric(spark: SparkSession, sf: str) -> DataFrame:
+    """A Python score function instead of a registered one: the largest absolute error."""
+    out = score.load_score(_load_errors(spark, sf, lambda a, b: np.abs(a - b).max()))
+    return out.select(*KEYS, r6("error"), big("n_runs"))
+
+
+@query
+def e7_normalised_distance(spark: SparkSession, sf: str) -> DataFrame:
+    out = _load_errors(spark, sf, "normalised_distance")
+    return out.select(*KEYS, ts("run_start"), r6("error"))
+
+
+def _agent_scores(spark: SparkSession, sf: str) -> DataFrame:
+    activity = _activity_scores(spark, sf).withColumnRenamed("auc_test", "auc")
+    usage = _usage_scores(spark, sf).withColumnRenamed("auc_test", "auc")
+    return score.agent_scores(activity, usage, score.load_score(_load_errors(spark, sf, "mse")))
+
+
+@query
+def e4_agent_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """One AUC for activity, one AUC and one error per device."""
+    return _agent_scores(spark, sf).select("household_id", "agent", "device", r6("score"))
+
+
+@query
+def a18_a20_scores_by_position(spark: SparkSession, sf: str) -> DataFrame:
+    """All households, one column per score and device position."""
+    out = score.scores_by_position(_agent_scores(spark, sf), fx.SHIFTABLE)
+    return out.select("household_id", *[r6(c) for c in out.columns[1:]])
+
+
+# cold start ---------------------------------------------------------------------------------------
+
+
+@query
+def e5_predict_all_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Every date's model for all cells: hour, probability, training counts."""
+    out = _activity_rates(spark, sf).filter(F.col("p").isNotNull())
+    return out.select("household_id", day("date"), "hour", r6("p"), big("n_pos"), big("n_neg"))
+
+
+@query
+def e5_predict_all_usage(spark: SparkSession, sf: str) -> DataFrame:
+    out = _usage_rated(spark, sf).select(*KEYS, "date", F.expr("posexplode(rate) AS (cell, p)"))
+    return out.filter(F.col("p").isNotNull()).select(*KEYS, day("date"), integer("cell"), r6("p"))
+
+
+def _cold_start(spark: SparkSession, sf: str) -> DataFrame:
+    prepared = stages.prepare(fx.readings(spark, sf), CONFIG, fx.TODAY)
+    return stages.cold_start_scores(prepared, fx.TODAY)
+
+
+@query
+def e6_cold_start_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Score of each date's models on the full truth."""
+    return _cold_start(spark, sf).select("household_id", "agent", day("date"), r6("score"))
+
+
+@query
+def a22_cold_start_table(spark: SparkSession, sf: str) -> DataFrame:
+    out = score.cold_start_table(_cold_start(spark, sf), AGENTS)
+    return out.select("household_id", day("date"), *[r6(a) for a in AGENTS])
+
+
+def _cold_start_days(spark: SparkSession, sf: str) -> DataFrame:
+    table = score.cold_start_table(_cold_start(spark, sf), AGENTS)
+    return score.cold_start_days(table, AGENTS, TOLERANCES)
+
+
+@query
+def w10_cold_start_days(spark: SparkSession, sf: str) -> DataFrame:
+    """First day from which the score stays within the tolerance, per agent and for the slowest one."""
+    return _cold_start_days(spark, sf).select("household_id", "tolerance", "agent", "days")
+
+
+@query
+def a19_cold_start_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return score.cold_start_summary(_cold_start_days(spark, sf), fx.SHIFTABLE)
+
+
+# explanations -------------------------------------------------------------------------------------
+
+
+@query
+def x1_usage_shapley(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact Shapley values of the usage features for every device and date."""
+    out = explain.usage_shapley(_usage_rated(spark, sf))
+    long = out.select(*KEYS, "date", "base_value", F.inline("importance"))
+    return long.select(*KEYS, day("date"), "feature", r6("importance"), r6("base_value"))
+
+
+@query
+def x3_shapley_reconstruction(spark: SparkSession, sf: str) -> DataFrame:
+    """Base value plus contributions next to the prediction."""
+    out = explain.reconstruct(explain.usage_shapley(_usage_rated(spark, sf)))
+    return out.select(*KEYS, day("date"), r6("p"), r6("shap"))
+
+
+@query
+def t1_sorted_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Features in descending order of importance (rounded first, names on ties)."""
+    out = explain.usage_shapley(_usage_rated(spark, sf))
+    rounded = F.expr("transform(importance, s -> named_struct('feature', s.feature, 'importance', round(s.importance, 6)))")
+    ranked = out.withColumn("importance", rounded).withColumn("importance", explain.sorted_importance("importance"))
+    return ranked.select(*KEYS, day("date"), F.expr("array_join(importance.feature, ' > ') AS ranking"))
+
+
+@query
+def x7_t6_usage_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """Why a device is expected to be used."""
+    out = explain.usage_shapley(_usage_rated(spark, sf))
+    rounded = F.expr("transform(importance, s -> named_struct('feature', s.feature, 'importance', round(s.importance, 6)))")
+    text = explain.usage_sentence("importance", F.expr("next_cell & 1"))
+    return out.withColumn("importance", rounded).select(*KEYS, day("date"), text.alias("sentence"))
+
+
+def _activity_explained(spark: SparkSession, sf: str) -> DataFrame:
+    """The logit model's attributions for the hour 18:00 of the day after the last date, per household."""
+    table = activity_table(spark, sf)
+    best = table.filter((F.to_date("hour_ts") == F.lit(fx.TODAY).cast("date")) & (F.col("hour") == 18))
+    return explain.explain(
+        table, ["household_id"], ACTIVITY_FEATURES, "activity", "hour_ts", "logit", LAST, LAST, targets=best
+    )
+
+
+@query
+def x1_x2_activity_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Shapley values over 1,024 coalitions against sampled training hours."""
+    out = explain.reconstruct(_activity_explained(spark, sf))
+    long = out.select("household_id", "date", "p", "shap", F.inline(explain.sorted_importance("importance")))
+    return long.select("household_id", day("date"), r6("p"), r6("shap"), "feature", r6("importance"))
+
+
+@query
+def x6_activity_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """Why a resident is expected to be active, from the attributions of the activity model."""
+    table = activity_table(spark, sf)
+    lags = [F.coalesce(f"activity_lag_{k}", F.lit(0)) for k in (24, 48, 72)]
+    out = _activity_explained(spark, sf).join(table.drop("activity"), ["household_id", "hour_ts"])
+    text = explain.activity_sentence("importance", lags)
+    return out.select("household_id", ts("hour_ts"), text.alias("sentence"))
+
+
+@query
+def x6_sentence_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The sentence for every hour of 29 January, with the spread of activity as importance of a feature."""
+    table = activity_table(spark, sf)
+    spread = [F.expr(f"round(avg(CASE WHEN {f} = 1 THEN activity END) - avg(activity), 6) AS `{f}`") for f in ACTIVITY_FEATURES[1:]]
+    hour = F.expr("round(avg(CASE WHEN hour >= 12 THEN activity END) - avg(activity), 6) AS hour")
+    per_house = table.groupBy("household_id").agg(hour, *spread)
+    items = ", ".join(f"named_struct('feature', '{f}', 'importance', `{f}`)" for f in ACTIVITY_FEATURES)
+    importance = per_house.select("household_id", F.expr(f"array({items}) AS importance"))
+    hours = table.filter(F.to_date("hour_ts") == F.lit("2024-01-29").cast("date")).join(importance, "household_id")
+    lags = [F.coalesce(f"activity_lag_{k}", F.lit(0)) for k in (24, 48, 72)]
+    return hours.select(
+        "household_id",
+        ts("hour_ts"),
+        explain.activity_sentence("importance", lags).alias("sentence"),
+        explain.activity_sentence("importance", lags, compat=True).alias("literal_sentence"),
+    )
+
+
+def _usage_explained(spark: SparkSession, sf: str) -> DataFrame:
+    return explain.explain(usage_table(spark, sf), KEYS, USAGE_FEATURES, "usage", "day", "logit", "2024-01-20", LAST)
+
+
+@query
+def x4_lime_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """Local linear prediction next to the model's and the Shapley reconstruction."""
+    out = explain.reconstruct(_usage_explained(spark, sf))
+    return out.select(*KEYS, day("date"), "y", r6("p"), r6("shap"), r6("lime"))
+
+
+@query
+def e8_xai_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """How well the two explainers reproduce truth and predictions, per device."""
+    out = score.xai_metrics(explain.reconstruct(_usage_explained(spark, sf)), ["device"])
+    return out.select("device", *[r6(c) for c in out.columns[1:]])
+
+
+@query
+def e8_xai_metric_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics for two stand-in explainers: yesterday's rate and the base value."""
+    out = explain.usage_shapley(_usage_rated(spark, sf))
+    rows = out.select(*KEYS, "y", "p", F.expr("round(p, 1) AS lime"), F.expr("round(base_value, 3) AS shap"))
+    metrics = score.xai_metrics(rows, ["device"], 0.1)
+    return metrics.select("device", *[r6(c) for c in metrics.columns[1:]])
+
+
+# streaming ----------------------------------------------------------------------------------------
+
+
+@query
+def stream_hourly_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed hours of the event stream, appended to files as the watermark passes them."""
+    path = scratch_dir(spark)
+    events = spark.readStream.schema(fx.EVENTS).parquet(f"{sf}/events*.parquet")
+    out = hourly_sums(fx.states_of(events), fx.SHIFTABLE)
+    job = (
+        out.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", f"{path}/hours")
+        .option("checkpointLocation", f"{path}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    job.awaitTermination()
+    hours = spark.read.schema(out.schema).parquet(f"{path}/hours")
+    return hours.select("household_id", "entity_id", ts("hour_ts"), r6("value_sum"), big("n"))

@@ -32,7 +32,11 @@ _ATTRIBUTES_ID = f"{_K} * 8 + array_position(array({_ENTITIES}), event_type) - 1
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).selectExpr(
+    return states_of(events(spark, sf_dir))
+
+
+def states_of(events_: DataFrame) -> DataFrame:
+    return events_.selectExpr(
         "cast(floor(user_id / 5) AS int) AS household_id",
         "event_type AS entity_id",
         f"CASE WHEN {_IS_WATT} THEN cast(value AS string) WHEN value >= 35 THEN 'on' ELSE 'off' END AS state",
