@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.operators import learners
-from loadshift.operators.models import USAGE_FEATURES, _prepare, _trainable, train_mask
+from loadshift.operators.models import USAGE_FEATURES, _prepare, _trainable, spread, train_mask
 
 IMPORTANCE = "array<struct<feature:string,importance:double>>"
 # Model types explained against a sample of the training rows; the others use all of them.
@@ -164,7 +164,7 @@ def explain(
     else:
         marks = targets.select(*keys, ts).distinct().withColumn("_explain", F.lit(True))
         flagged = flagged.join(marks, [*keys, ts], "left").withColumn("_explain", F.coalesce("_explain", F.lit(False)))
-    return flagged.groupBy(*keys).applyInPandas(one_group, schema)
+    return spread(flagged, keys).groupBy(*keys).applyInPandas(one_group, schema)
 
 
 # sentences ----------------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.operators.clean import all_null_columns
+from loadshift.operators.models import spread
 
 CHUNKS = 16
 
@@ -22,45 +23,38 @@ def knn_impute(df: DataFrame, key: str, ts: str, columns: list[str], n_neighbors
     """
     names = ", ".join(f"`{c}` double" for c in columns)
     schema = f"`{key}` {_type(df, key)}, `{ts}` {_type(df, ts)}, {names}"
-    complete = F.lit(True)
-    for c in columns:
-        complete = complete & F.col(c).isNotNull()
     rows = df.select(key, ts, *columns)
-    gaps = rows.filter(~complete).withColumn("_chunk", F.pmod(F.xxhash64(ts), F.lit(chunks)).cast("int"))
-    donors = rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-
-    def fill(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
-            return left[[key, ts, *columns]]
-        right = right.sort_values(ts)
-        X, D = left[columns].to_numpy(dtype=float), right[columns].to_numpy(dtype=float)
-        means = np.nanmean(D, axis=0)
-        present = ~np.isnan(D)
-        D0 = np.nan_to_num(D)
-        out = X.copy()
-        for i, x in enumerate(X):
-            both = present & ~np.isnan(x)
+    gap = " OR ".join(f"`{c}` IS NULL" for c in columns)
+    spread_rows = rows.selectExpr("*", f"explode(sequence(0, {chunks - 1})) AS _chunk").selectExpr(
+        "*", f"({gap}) AND _chunk = pmod(xxhash64(`{ts}`), {chunks}) AS _fill"
+    )
+
+    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(ts)
+        wanted = pdf["_fill"].to_numpy(dtype=bool)
+        D = pdf[columns].to_numpy(dtype=float)
+        out = D[wanted]
+        present, D0 = ~np.isnan(D), np.nan_to_num(D)
+        for x in out:
+            known = ~np.isnan(x)
+            both = present & known
             shared = both.sum(axis=1)
             d2 = np.where(both, (D0 - np.nan_to_num(x)) ** 2, 0.0).sum(axis=1)
             with np.errstate(divide="ignore", invalid="ignore"):
                 d = np.sqrt(d2 * len(columns) / shared)
-            for j in np.flatnonzero(np.isnan(x)):
+            for j in np.flatnonzero(~known):
                 usable = np.flatnonzero(present[:, j] & (shared > 0))
                 if len(usable) == 0:
-                    out[i, j] = means[j]
+                    x[j] = D[present[:, j], j].mean()
                     continue
                 near = usable[np.argsort(d[usable], kind="stable")[:n_neighbors]]
                 exact = near[d[near] == 0]
-                if len(exact):
-                    out[i, j] = D[exact, j].mean()
-                else:
-                    out[i, j] = np.average(D[near, j], weights=1 / d[near])
-        return pd.DataFrame(out, columns=columns).assign(**{key: left[key].to_numpy(), ts: left[ts].to_numpy()})[
-            [key, ts, *columns]
-        ]
-
-    groups = gaps.groupBy(key, "_chunk").cogroup(donors.groupBy(key, "_chunk"))
-    return rows.filter(complete).unionByName(groups.applyInPandas(fill, schema))
+                x[j] = D[exact, j].mean() if len(exact) else np.average(D[near, j], weights=1 / d[near])
+        filled = pd.DataFrame(out, columns=columns)
+        return filled.assign(**{c: pdf.loc[wanted, c].to_numpy() for c in (key, ts)})[[key, ts, *columns]]
+
+    filled = spread(spread_rows, [key, "_chunk"]).groupBy(key, "_chunk").applyInPandas(fill, schema)
+    return rows.filter(f"NOT ({gap})").unionByName(filled)
 
 
 def _type(df: DataFrame, name: str) -> str:

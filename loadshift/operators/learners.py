@@ -83,55 +83,61 @@ def _thresholds(X):
 
 
 def _grow(B, of_feature, g, h, depth, ridge=0.0, min_child=0.0, n_features=None, rng=None):
-    """A tree in heap order: the split chosen at each node (-1 = leaf) and the node's value g / (h + ridge).
+    """Trees in heap order, all grown level by level at once: g and h hold one row of weights per tree.
 
-    The split maximises the sum of g^2 / (h + ridge) over the children. With class weights as g and total
-    weights as h that is the Gini criterion, with gradients and curvatures it is Newton boosting.
+    Returns the split of each node (-1 = leaf) and its value g / (h + ridge). A split maximises the sum of
+    g^2 / (h + ridge) over the children. With class weights as g and total weights as h that is the Gini
+    criterion, with gradients and curvatures it is Newton boosting.
     """
-    split = np.full(2 ** (depth + 1) - 1, -1)
-    value = np.zeros(len(split))
-    rows = np.flatnonzero(h > 0)
-    node = np.zeros(len(B), dtype=int)
+    n_trees, n = g.shape
+    size = 2 ** (depth + 1) - 1
+    split, value = np.full(n_trees * size, -1), np.zeros(n_trees * size)
+    used = np.flatnonzero(h.ravel() > 0)
+    node, row, g, h = used // n * size, used % n, g.ravel()[used], h.ravel()[used]
+    least = max(min_child, 1e-9)
     for level in range(depth + 1):
-        if len(rows) == 0:
+        if len(node) == 0:
             break
-        rows = rows[np.argsort(node[rows], kind="stable")]
-        ids, first = np.unique(node[rows], return_index=True)
-        G, H = np.add.reduceat(g[rows], first), np.add.reduceat(h[rows], first)
+        order = np.argsort(node, kind="stable")
+        node, row, g, h = node[order], row[order], g[order], h[order]
+        ids, first = np.unique(node, return_index=True)
+        G, H = np.add.reduceat(g, first), np.add.reduceat(h, first)
         value[ids] = G / (H + ridge)
         if level == depth or B.shape[1] == 0:
             break
-        GR = np.add.reduceat(g[rows, None] * B[rows], first, axis=0)
-        HR = np.add.reduceat(h[rows, None] * B[rows], first, axis=0)
+        right = B[row]
+        GR = np.add.reduceat(g[:, None] * right, first, axis=0)
+        HR = np.add.reduceat(h[:, None] * right, first, axis=0)
         GL, HL = G[:, None] - GR, H[:, None] - HR
-        least = max(min_child, 1e-9)
-        ok = (HL >= least) & (HR >= least)
         with np.errstate(divide="ignore", invalid="ignore"):
             gain = GL**2 / (HL + ridge) + GR**2 / (HR + ridge) - (G**2 / (H + ridge))[:, None]
-        gain = np.where(ok, gain, -1.0)
+        gain = np.where((HL >= least) & (HR >= least), gain, -1.0)
         if n_features is not None:
-            n_all = of_feature.max() + 1
-            rank = rng.random((len(ids), n_all)).argsort(axis=1).argsort(axis=1)
+            rank = rng.random((len(ids), of_feature.max() + 1)).argsort(axis=1).argsort(axis=1)
             gain = np.where(rank[:, of_feature] < n_features, gain, np.minimum(gain, 1e-12))
         best = gain.argmax(axis=1)
         chosen = np.where(gain[np.arange(len(ids)), best] > 1e-9, best, -1)
         split[ids] = chosen
-        per_row = np.repeat(chosen, np.diff(np.append(first, len(rows))))
-        live = per_row >= 0
-        rows, per_row = rows[live], per_row[live]
-        node[rows] = 2 * node[rows] + 1 + B[rows, per_row].astype(int)
-    return split, value
+        chosen = np.repeat(chosen, np.diff(np.append(first, len(node))))
+        live = chosen >= 0
+        node, row, g, h, chosen = node[live], row[live], g[live], h[live], chosen[live]
+        tree = node // size * size
+        node = tree + 2 * (node - tree) + 1 + B[row, chosen].astype(int)
+    return split.reshape(n_trees, size), value.reshape(n_trees, size)
 
 
 def _leaf_values(B, split, value):
-    node = np.zeros(len(B), dtype=int)
-    at = np.arange(len(B))
+    """One row of leaf values per tree."""
+    n_trees, size = split.shape
+    base = np.arange(n_trees)[:, None] * size
+    node = np.repeat(base, len(B), axis=1)
+    at = np.arange(len(B))[None, :]
     while True:
-        s = split[node]
+        s = split.ravel()[node]
         live = s >= 0
         if not live.any():
-            return value[node]
-        node = np.where(live, 2 * node + 1 + B[at, np.maximum(s, 0)].astype(int), node)
+            return value.ravel()[node]
+        node = np.where(live, base + 2 * (node - base) + 1 + B[at, np.maximum(s, 0)].astype(int), node)
 
 
 def _design(X):
@@ -145,16 +151,15 @@ def random_forest(X, pos, neg, max_depth=10, n_estimators=500, max_features="sqr
     B = design(X)
     m = max(1, int(np.sqrt(X.shape[1]))) if max_features == "sqrt" else max_features
     weights = np.concatenate([pos, neg])
-    total = int(round(weights.sum()))
-    trees = []
-    for _ in range(n_estimators):
-        draw = rng.multinomial(total, weights / weights.sum()).astype(float)
-        p, n = draw[: len(X)], draw[len(X) :]
-        trees.append(_grow(B, f, p, p + n, max_depth, n_features=m, rng=rng))
+    draw = rng.multinomial(int(round(weights.sum())), weights / weights.sum(), n_estimators).astype(float)
+    p, n = draw[:, : len(X)], draw[:, : len(X)] + draw[:, len(X) :]
+    block = max(1, 20_000 // len(X))
+    blocks = range(0, n_estimators, block)
+    trees = [_grow(B, f, p[i : i + block], n[i : i + block], max_depth, n_features=m, rng=rng) for i in blocks]
 
     def score(Z):
         BZ = design(Z)
-        return np.mean([_leaf_values(BZ, *t) for t in trees], axis=0)
+        return sum(_leaf_values(BZ, *t).sum(axis=0) for t in trees) / n_estimators
 
     return score
 
@@ -172,9 +177,9 @@ def ada(X, pos, neg, learning_rate=0.1, n_estimators=100):
         return np.log(p) - np.log(1 - p)
 
     for _ in range(n_estimators):
-        stump = _grow(B, f, wp, wp + wn, 1)
+        stump = _grow(B, f, wp[None], (wp + wn)[None], 1)
         stumps.append(stump)
-        p = _leaf_values(B, *stump)
+        p = _leaf_values(B, *stump)[0]
         error = wp[p <= 0.5].sum() + wn[p > 0.5].sum()
         if error <= 0:
             break
@@ -182,10 +187,10 @@ def ada(X, pos, neg, learning_rate=0.1, n_estimators=100):
         wp, wn = wp * np.exp(-0.5 * learning_rate * odds), wn * np.exp(0.5 * learning_rate * odds)
         total = (wp + wn).sum()
         wp, wn = wp / total, wn / total
+    split, value = (np.concatenate(x) for x in zip(*stumps))
 
     def score(Z):
-        BZ = design(Z)
-        return 1 / (1 + np.exp(-np.mean([half_odds(_leaf_values(BZ, *s)) for s in stumps], axis=0)))
+        return 1 / (1 + np.exp(-half_odds(_leaf_values(design(Z), split, value)).mean(axis=0)))
 
     return score
 
@@ -201,14 +206,15 @@ def xgboost(X, pos, neg, learning_rate=0.1, max_depth=6, reg_lambda=1.0, reg_alp
     trees = []
     for _ in range(n_estimators):
         p = 1 / (1 + np.exp(-margin))
-        split, value = _grow(B, f, pos - n * p, n * p * (1 - p), max_depth, ridge=reg_lambda, min_child=1.0)
-        tree = (split, learning_rate * value)
-        trees.append(tree)
-        margin = margin + _leaf_values(B, *tree)
+        split, value = _grow(
+            B, f, (pos - n * p)[None], (n * p * (1 - p))[None], max_depth, ridge=reg_lambda, min_child=1.0
+        )
+        trees.append((split, learning_rate * value))
+        margin = margin + _leaf_values(B, *trees[-1])[0]
+    split, value = (np.concatenate(x) for x in zip(*trees))
 
     def score(Z):
-        BZ = design(Z)
-        return 1 / (1 + np.exp(-np.sum([_leaf_values(BZ, *t) for t in trees], axis=0)))
+        return 1 / (1 + np.exp(-_leaf_values(design(Z), split, value).sum(axis=0)))
 
     return score
 

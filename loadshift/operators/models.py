@@ -46,6 +46,12 @@ def _trainable(y, model_type, args):
     return len(np.unique(y)) == 2 and (model_type != "knn" or len(y) >= args.get("n_neighbors", 10))
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash by key into the session's full number of partitions. Fitting is costly per byte, so partitions
+    must not be merged because they are small."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def walk_forward(
     df: DataFrame,
     keys: list[str],
@@ -95,21 +101,21 @@ def walk_forward(
         return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
 
     chunk = F.explode(F.array(*[F.lit(i) for i in range(chunks)])).alias("_chunk")
-    needed = df.select(*keys, ts, *features, label, chunk)
+    needed = spread(df.select(*keys, ts, *features, label, chunk), [*keys, "_chunk"])
     return needed.groupBy(*keys, "_chunk").applyInPandas(one_group, f"{head}, date date, {tail}")
 
 
-def activity_walk_forward(features: DataFrame, model_type: str, first_date: str, last_date: str, **kw) -> DataFrame:
+def activity_walk_forward(table: DataFrame, model_type: str, first_date: str, last_date: str, **kw) -> DataFrame:
     names = kw.pop("features", ACTIVITY_FEATURES)
     return walk_forward(
-        features, ["household_id"], names, "activity", "hour_ts", model_type, first_date, last_date, **kw
+        table, ["household_id"], names, "activity", "hour_ts", model_type, first_date, last_date, **kw
     )
 
 
-def usage_walk_forward(features: DataFrame, model_type: str, first_date: str, last_date: str, **kw) -> DataFrame:
+def usage_walk_forward(table: DataFrame, model_type: str, first_date: str, last_date: str, **kw) -> DataFrame:
     names = kw.pop("features", USAGE_FEATURES)
     return walk_forward(
-        features, ["household_id", "device"], names, "usage", "day", model_type, first_date, last_date, **kw
+        table, ["household_id", "device"], names, "usage", "day", model_type, first_date, last_date, **kw
     )
 
 
