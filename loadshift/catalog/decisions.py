@@ -52,7 +52,7 @@ def evaluation_inputs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def results(spark: SparkSession, sf: str) -> DataFrame:
-    return backtest.evaluate(backtest.recommendations_for(evaluation_inputs(spark, sf), eighths(), eighths()))
+    return backtest.evaluate_grid(evaluation_inputs(spark, sf), eighths(), eighths())
 
 
 def summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,7 +289,7 @@ def r11_back_test(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def r12_evaluate_pair(spark: SparkSession, sf: str) -> DataFrame:
     """One threshold pair, summed up per device."""
-    rows = backtest.recommendations_for(evaluation_inputs(spark, sf), [0.125], [0.5])
+    rows = recommend.recommend(evaluation_inputs(spark, sf), 0.125, 0.5)
     out = backtest.evaluate(rows)
     return out.groupBy("device").agg(
         big(F.count("recommendation"), "n_recommendations"),

@@ -10,10 +10,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.functions.expressions import dot
-from loadshift.operators.recommend import KEYS, gate, recommend
+from loadshift.operators.recommend import KEYS, recommend
 from loadshift.operators.runs import run_vectors
 
 PAIR = ["activity_threshold", "usage_threshold"]
+RESULT = [
+    "recommendation",
+    "acceptable",
+    "relevant_start",
+    "cost_no_recommendation",
+    "cost_recommendation",
+    "savings",
+    "relative_savings",
+]
 
 
 def usage_truth(usage: DataFrame) -> DataFrame:
@@ -68,24 +77,19 @@ def _explode(values: list[float], name: str) -> Column:
     return F.expr(f"explode(array({', '.join(f'{float(v)!r}D' for v in values)})) AS {name}")
 
 
-def recommendations_for(inputs: DataFrame, activity_thresholds: list[float], usage_thresholds: list[float]) -> DataFrame:
-    """Recommendations for all threshold pairs. The best hour depends on the activity threshold only, so it
-    is found once per activity threshold before the usage thresholds multiply the rows."""
-    best = recommend(inputs.select("*", _explode(activity_thresholds, PAIR[0])), PAIR[0], 0.0)
-    best = best.drop("no_recommend_flag_usage", "recommendation", "probs", "costs")
-    return gate(best.select("*", _explode(usage_thresholds, PAIR[1])), PAIR[1])
+def _run_load(start: str) -> str:
+    return f"coalesce(get(filter(starts, s -> s.hour = {start}), 0).load, array_repeat(0D, 24))"
 
 
 def evaluate(recs: DataFrame) -> DataFrame:
     """recs: inputs of ``evaluation_inputs`` plus recommendation -> acceptability, costs and savings."""
-    run = "get(filter(starts, s -> s.hour = relevant_start), 0).load"
     priced = (
         recs.select(
             "*",
             F.expr("cast(usage_true * get(activity_true, recommendation) AS int) AS acceptable"),
             nearest_start("starts", "recommendation").alias("relevant_start"),
         )
-        .withColumn("run_load", F.expr(f"coalesce({run}, array_repeat(0D, 24))"))
+        .withColumn("run_load", F.expr(_run_load("relevant_start")))
         .select(
             "*",
             run_cost("prices", "relevant_start", "run_load").alias("cost_no_recommendation"),
@@ -94,21 +98,41 @@ def evaluate(recs: DataFrame) -> DataFrame:
     )
     savings = F.col("cost_no_recommendation") - F.col("cost_recommendation")
     relative = F.when(F.col("cost_no_recommendation") != 0, savings / F.col("cost_no_recommendation"))
-    thresholds = [c for c in PAIR if c in recs.columns]
     return priced.select(
         *KEYS,
-        *thresholds,
-        F.date_add("date", 1).alias("recommendation_date"),
-        "recommendation",
-        "acceptable",
-        "relevant_start",
-        "cost_no_recommendation",
-        "cost_recommendation",
+        *[c for c in [*PAIR, "usage_p", "without"] if c in priced.columns],
+        *RESULT[:5],
         savings.alias("savings"),
         relative.alias("relative_savings"),
     )
 
 
+def evaluate_grid(inputs: DataFrame, activity_thresholds: list[float], usage_thresholds: list[float]) -> DataFrame:
+    """Back-test every threshold pair.
+
+    Best hour, start and costs depend on the activity threshold only; the usage threshold decides between
+    that result and the one without a recommendation. Both stand in the row before the usage thresholds
+    multiply it.
+    """
+    first = inputs.select("*", nearest_start("starts", "CAST(NULL AS INT)").alias("first_start"))
+    first = first.withColumn("run_load", F.expr(_run_load("first_start")))
+    first = first.withColumn("first_cost", run_cost("prices", "first_start", "run_load"))
+    without = F.expr(
+        """named_struct('recommendation', CAST(NULL AS INT), 'acceptable', CAST(NULL AS INT), 'relevant_start', first_start,
+        'cost_no_recommendation', first_cost, 'cost_recommendation', CAST(NULL AS DOUBLE), 'savings', CAST(NULL AS DOUBLE),
+        'relative_savings', CAST(NULL AS DOUBLE)) AS without"""
+    )
+    rows = first.select(*inputs.columns, without, _explode(activity_thresholds, PAIR[0]))
+    given = evaluate(recommend(rows, PAIR[0], "usage_p"))
+    pairs = given.select(
+        *KEYS, PAIR[0], "usage_p", "without", F.struct(*RESULT).alias("given"), _explode(usage_thresholds, PAIR[1])
+    )
+    keep = f"usage_p >= {PAIR[1]} AND given.recommendation IS NOT NULL"
+    return pairs.select(*KEYS, *PAIR, F.expr(f"if({keep}, given, without) AS chosen")).select(
+        *KEYS, *PAIR, "chosen.*"
+    )
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """Per household and threshold pair; a household's results are bounded by devices x dates."""
     return results.groupBy("household_id", *PAIR).agg(
@@ -121,7 +145,7 @@ def summarise(results: DataFrame) -> DataFrame:
 
 
 def grid_search(inputs: DataFrame, activity_thresholds: list[float], usage_thresholds: list[float]) -> DataFrame:
-    return summarise(evaluate(recommendations_for(inputs, activity_thresholds, usage_thresholds)))
+    return summarise(evaluate_grid(inputs, activity_thresholds, usage_thresholds))
 
 
 def sensitivity(summary: DataFrame, target: str, usage_thresholds: list[float]) -> DataFrame:

@@ -106,7 +106,7 @@ def back_test(
     inputs: DataFrame, prepared: Prepared, activity_thresholds: list[float], usage_thresholds: list[float]
 ) -> DataFrame:
     rows = backtest.evaluation_inputs(inputs, prepared.usage, prepared.activity, prepared.load)
-    return backtest.evaluate(backtest.recommendations_for(rows, activity_thresholds, usage_thresholds))
+    return backtest.evaluate_grid(rows, activity_thresholds, usage_thresholds)
 
 
 def cold_start_scores(prepared: Prepared, last_day: str) -> DataFrame:
