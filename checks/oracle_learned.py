@@ -13,7 +13,7 @@ def run_errors(expr: str) -> str:
 
 
 def xai(kind: str, y: str, x: str) -> str:
-    return f"SELECT device, {x} AS p, sum({y}) AS n_pos, sum(1 - ({y})) AS n_neg FROM xr GROUP BY ALL"
+    return f"SELECT household_id, device, {x} AS p, sum({y}) AS n_pos, sum(1 - ({y})) AS n_neg FROM xr GROUP BY ALL"
 
 
 ABOVE = "CASE WHEN {} > 0.1 THEN 1 ELSE 0 END"
@@ -142,19 +142,29 @@ SQL = {
         + " FROM actf GROUP BY 1",
     ),
     "e8_xai_metric_rules": with_(
-        f"""SELECT device, {r6("a.auc", "lime_auc_true")}, {r6("b.auc", "lime_auc_pred")}, {r6("m.l", "lime_mae")},
+        f"""SELECT {HD}, {r6("a.auc", "lime_auc_true")}, {r6("b.auc", "lime_auc_pred")}, {r6("m.l", "lime_mae")},
         {r6("c.auc", "shap_auc_true")}, {r6("d.auc", "shap_auc_pred")}, {r6("m.s", "shap_mae")}
-        FROM aa a JOIN ab b USING (device) JOIN ac c USING (device) JOIN ad d USING (device)
-        JOIN (SELECT device, avg(abs(p - lime)) AS l, avg(abs(p - shap)) AS s FROM xr GROUP BY 1) m USING (device)""",
-        xr="SELECT device, y, p, round(p, 1) AS lime, round(v0, 3) AS shap FROM shap",
+        FROM aa a JOIN ab b USING ({HD}) JOIN ac c USING ({HD}) JOIN ad d USING ({HD})
+        JOIN (SELECT {HD}, avg(abs(p - lime)) AS l, avg(abs(p - shap)) AS s FROM xr GROUP BY {HD}) m USING ({HD})""",
+        xr="SELECT household_id, device, y, p, round(p, 1) AS lime, round(v0, 3) AS shap FROM shap",
         x1=xai("true", "y", "lime"),
         x2=xai("pred", ABOVE.format("p"), ABOVE.format("lime")),
         x3=xai("true", "y", "shap"),
         x4=xai("pred", ABOVE.format("p"), ABOVE.format("shap")),
-        aa=auc_sql("x1", "device"),
-        ab=auc_sql("x2", "device"),
-        ac=auc_sql("x3", "device"),
-        ad=auc_sql("x4", "device"),
+        aa=auc_sql("x1", HD),
+        ab=auc_sql("x2", HD),
+        ac=auc_sql("x3", HD),
+        ad=auc_sql("x4", HD),
+    ),
+    "t7_weather_clause": with_(
+        f"""SELECT 'W1' AS station, {day("d", "time")}, CASE WHEN n2 >= 0 THEN 'The weather conditions (' || t1 || ', ' || t2 || ') support that recommendation.'
+        WHEN n1 >= 0 THEN 'The weather condition (' || t1 || ') support that recommendation.' ELSE '' END AS clause
+        FROM (SELECT d, max(f) FILTER (r = 1) AS n1, max(f) FILTER (r = 2) AS n2, max(t) FILTER (r = 1) AS t1, max(t) FILTER (r = 2) AS t2 FROM ranked GROUP BY d)""",
+        dly="SELECT date_trunc('day', time) AS d, c, avg(v) AS m FROM wl GROUP BY ALL",
+        ranked="""SELECT d, f, t, row_number() OVER (PARTITION BY d ORDER BY f DESC, i) AS r FROM (
+          SELECT d, round(m - avg(m) OVER (PARTITION BY c), 6) + 0.0 AS f, list_position(['dwpt','rhum','temp','wdir','wspd'], c) AS i,
+          CASE c WHEN 'dwpt' THEN 'dewing point' WHEN 'rhum' THEN 'relative humidity' WHEN 'temp' THEN 'temperature' WHEN 'wdir' THEN 'wind direction'
+            ELSE 'windspeed' END || ':' || CAST(round(m, 2) AS VARCHAR) AS t FROM dly)""",
     ),
     "stream_hourly_sums": with_(
         f"""SELECT household_id, device AS entity_id, {ts("hour_ts")}, {r6("sum(v)", "value_sum")}, count(*) AS n FROM load_rows

@@ -17,6 +17,7 @@ from loadshift.operators.learners import LEARNERS
 from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
 from loadshift.plans import stages
 from loadshift.session import scratch_dir
+from loadshift.sources.weather import daily as weather_daily
 from loadshift.streaming.hourly import hourly_sums
 
 WEATHER = list(fx.WEATHER_SOURCE)
@@ -386,9 +387,9 @@ def x4_lime_usage(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def e8_xai_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """How well the two explainers reproduce truth and predictions, per device."""
-    out = score.xai_metrics(explain.reconstruct(_usage_explained(spark, sf)), ["device"])
-    return out.select("device", *[r6(c) for c in out.columns[1:]])
+    """How well the two explainers reproduce truth and predictions, per household and device."""
+    out = score.xai_metrics(explain.reconstruct(_usage_explained(spark, sf)), KEYS)
+    return out.select(*KEYS, *[r6(c) for c in out.columns[2:]])
 
 
 @query
@@ -396,8 +397,20 @@ def e8_xai_metric_rules(spark: SparkSession, sf: str) -> DataFrame:
     """The metrics for two stand-in explainers: yesterday's rate and the base value."""
     out = explain.usage_shapley(_usage_rated(spark, sf))
     rows = out.select(*KEYS, "y", "p", F.expr("round(p, 1) AS lime"), F.expr("round(base_value, 3) AS shap"))
-    metrics = score.xai_metrics(rows, ["device"], 0.1)
-    return metrics.select("device", *[r6(c) for c in metrics.columns[1:]])
+    metrics = score.xai_metrics(rows, KEYS, 0.1)
+    return metrics.select(*KEYS, *[r6(c) for c in metrics.columns[2:]])
+
+
+@query
+def t7_weather_clause(spark: SparkSession, sf: str) -> DataFrame:
+    """The two strongest weather columns of each day, by distance from the station's mean over the days."""
+    table = weather_daily(fx.weather(spark, sf))
+    above = ", ".join(
+        f"named_struct('feature', '{c}', 'importance', round({c} - avg({c}) OVER (PARTITION BY station), 6))" for c in WEATHER
+    )
+    rows = table.selectExpr("*", f"array({above}) AS importance")
+    clause = explain.weather_clause("importance", {c: F.col(c) for c in WEATHER})
+    return rows.select("station", day("time"), clause.alias("clause"))
 
 
 # streaming ----------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadshift.functions.expressions import number
+from loadshift.operators.joins import join_reference
 from loadshift.schemas import ATTRIBUTE_FIELDS
 
 
@@ -108,7 +109,7 @@ def value_quartiles(df: DataFrame, keys: list[str], column: str, non_zero: bool
     """Exact Q1 and Q3 by linear interpolation per key.
 
     Equal values are counted first, so a hot key reaches its reducer as distinct sensor readings with
-    frequencies and not as rows.
+    frequencies and not as rows; their number is bounded by the sensor's range and resolution.
     """
     rows = df.filter(F.col(column) != 0) if non_zero else df.filter(F.col(column).isNotNull())
     counts = rows.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_freq"))
@@ -136,7 +137,7 @@ def outlier_truncation(
     if non_zero:
         cut = F.when(value != 0, cut).otherwise(value)
     bounds = value_quartiles(df, keys, column, non_zero)
-    return df.join(bounds, keys, "left").withColumn(column, cut).drop("q1", "q3")
+    return join_reference(df, bounds, keys).withColumn(column, cut).drop("q1", "q3")
 
 
 def scale(df: DataFrame, keys: list[str], column: str, kind: str = "MinMax") -> DataFrame:
@@ -146,7 +147,7 @@ def scale(df: DataFrame, keys: list[str], column: str, kind: str = "MinMax") ->
     span = F.col("_max") - F.col("_min")
     ranges = df.groupBy(*keys).agg(F.min(column).alias("_min"), F.max(column).alias("_max"))
     scaled = F.when(span == 0, F.lit(0.0)).otherwise((F.col(column) - F.col("_min")) / span)
-    return df.join(ranges, keys, "left").withColumn(column, scaled).drop("_min", "_max")
+    return join_reference(df, ranges, keys).withColumn(column, scaled).drop("_min", "_max")
 
 
 def friendly_names(df: DataFrame, devices: list[str], now: str, days: int = 30) -> DataFrame:

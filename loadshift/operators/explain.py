@@ -170,12 +170,11 @@ def explain(
 # sentences ----------------------------------------------------------------------------------------
 
 
-def _value_of(importance: Column | str, feature: str) -> Column:
-    found = F.filter(importance, lambda s: s["feature"] == feature)
-    return F.get(found, F.lit(0))["importance"]
+def _value_of(importance: str, feature: str) -> Column:
+    return F.expr(f"get(filter({importance}, s -> s.feature = '{feature}'), 0).importance")
 
 
-def _weather_clause(importance: Column | str, values: dict[str, Column]) -> Column:
+def weather_clause(importance: str, values: dict[str, Column]) -> Column:
     """The one or two weather columns that speak most for the prediction."""
     items = F.array(
         *[
@@ -187,7 +186,7 @@ def _weather_clause(importance: Column | str, values: dict[str, Column]) -> Colu
             for i, name in enumerate(WEATHER_LABELS)
         ]
     )
-    top = F.array_sort(items)
+    top = F.slice(F.array_sort(items), 1, 2)
     one = F.concat(F.lit("The weather condition ("), top[0]["text"], F.lit(") support that recommendation."))
     two = F.concat(
         F.lit("The weather conditions ("), top[0]["text"], F.lit(", "), top[1]["text"], F.lit(") support that recommendation.")
@@ -196,7 +195,7 @@ def _weather_clause(importance: Column | str, values: dict[str, Column]) -> Colu
 
 
 def activity_sentence(
-    importance: Column | str, lags: list[Column], weather: dict[str, Column] | None = None, compat: bool = False
+    importance: str, lags: list[Column], weather: dict[str, Column] | None = None, compat: bool = False
 ) -> Column:
     """Why the resident is expected to be active.
 
@@ -229,13 +228,13 @@ def activity_sentence(
         .when(hour, "The hour strenghtens that prediction.")
         .otherwise("")
     )
-    part2 = _weather_clause(importance, weather) if weather else F.lit("")
+    part2 = weather_clause(importance, weather) if weather else F.lit("")
     start = F.lit("We based the recommendation on your past activity and usage of the device. ")
     return F.concat(start, part1, part2, part3)
 
 
 def usage_sentence(
-    importance: Column | str, active_last_2_days: Column, weather: dict[str, Column] | None = None, compat: bool = False
+    importance: str, active_last_2_days: Column, weather: dict[str, Column] | None = None, compat: bool = False
 ) -> Column:
     """Why the device is expected to be used."""
     lag1, lag2 = _value_of(importance, "usage_lag_1"), _value_of(importance, "usage_lag_2")
@@ -249,5 +248,5 @@ def usage_sentence(
         word,
         F.lit("active during the last 2 days"),
     )
-    part2 = _weather_clause(importance, weather) if weather else F.lit("")
+    part2 = weather_clause(importance, weather) if weather else F.lit("")
     return F.concat(start, part1, F.lit("."), part2)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.operators.clean import all_null_columns
+from loadshift.operators.joins import join_reference
 from loadshift.operators.models import spread
 
 CHUNKS = 16
@@ -72,7 +73,7 @@ def min_max(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
         return F.when(span == 0, F.lit(0.0)).otherwise((F.col(c) - F.col(f"_lo_{c}")) / span).alias(c)
 
     rest = [c for c in df.columns if c not in columns]
-    return df.join(bounds, key, "left").select(*rest, *[scaled(c) for c in columns])
+    return join_reference(df, bounds, [key]).select(*rest, *[scaled(c) for c in columns])
 
 
 def enrich(weather: DataFrame, columns: list[str], key: str = "station", ts: str = "time") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadshift.operators.joins import join_reference
 from loadshift.schemas import HOUSEHOLD_CSV
 
 
@@ -39,13 +40,12 @@ def label_appliances(households: DataFrame, labels: DataFrame) -> DataFrame:
     """Long form with the house's own labels: household_id, Time, device, value.
 
     The wide row is unpivoted in place and the label table (ten rows per house) is joined, instead of
-    renaming columns house by house.
+    renaming columns house by house. One house may hold a third of the readings.
     """
     appliances = [c for c in households.columns if c.startswith("Appliance")]
     long = households.unpivot(["household_id", "Time"], appliances, "appliance", "value")
-    return long.join(labels, ["household_id", "appliance"]).select(
-        "household_id", "Time", F.col("label").alias("device"), "value"
-    )
+    labelled = join_reference(long, labels, ["household_id", "appliance"]).filter(F.col("label").isNotNull())
+    return labelled.select("household_id", "Time", F.col("label").alias("device"), "value")
 
 
 def load_household(spark: SparkSession, path: str, labels_path: str, house_id: int | None = None) -> DataFrame:
