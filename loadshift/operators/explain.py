@@ -168,6 +168,7 @@ def explain(
 
 
 # sentences ----------------------------------------------------------------------------------------
+# The texts are fixed values, spelling included.
 
 
 def _value_of(importance: str, feature: str) -> Column:

@@ -10,6 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 MAX_THRESHOLDS = 32
+# Numbers held at once while distances are formed, so memory does not grow with a long history.
+MAX_CELLS = 4_000_000
 
 
 def logit(X, pos, neg, max_iter=100, penalty=1.0, intercept=True):
@@ -57,13 +59,14 @@ def ebm(X, pos, neg):
 def knn(X, pos, neg, n_neighbors=10):
     """Share of positives among the nearest rows (Euclidean); of equally far rows the latest ones count."""
     train, y = X[::-1], pos[::-1]
+    batch = max(1, MAX_CELLS // train.size)
 
     def score(Z):
         out = np.empty(len(Z))
-        for i in range(0, len(Z), 256):
-            d = ((Z[i : i + 256, None, :] - train[None, :, :]) ** 2).sum(axis=2)
+        for i in range(0, len(Z), batch):
+            d = ((Z[i : i + batch, None, :] - train[None, :, :]) ** 2).sum(axis=2)
             nearest = np.argsort(d, axis=1, kind="stable")[:, :n_neighbors]
-            out[i : i + 256] = y[nearest].mean(axis=1)
+            out[i : i + batch] = y[nearest].mean(axis=1)
         return out
 
     return score
@@ -230,12 +233,17 @@ LEARNERS = {
 }
 
 
+def merge_rows(X, model_type):
+    """Distinct rows and each row's number among them; knn keeps all rows, since its ties go by time."""
+    if model_type == "knn":
+        return X, np.arange(len(X))
+    cells, at = np.unique(X, axis=0, return_inverse=True)
+    return cells, at.reshape(-1)
+
+
 def fit(X, pos, neg, model_type, **args):
-    """Fit by model name. Equal rows are merged first, except for knn, whose ties go by time."""
+    """Fit by model name, with equal rows merged."""
     if model_type not in LEARNERS:
         raise ValueError(f"unknown model type {model_type!r}")
-    if model_type != "knn":
-        X, cell = np.unique(X, axis=0, return_inverse=True)
-        cell = cell.reshape(-1)
-        pos, neg = np.bincount(cell, pos, len(X)), np.bincount(cell, neg, len(X))
-    return LEARNERS[model_type](X, pos, neg, **args)
+    cells, at = merge_rows(X, model_type)
+    return LEARNERS[model_type](cells, np.bincount(at, pos, len(cells)), np.bincount(at, neg, len(cells)), **args)

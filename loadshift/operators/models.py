@@ -42,6 +42,11 @@ def _prepare(pdf, features, label, ts):
     return pdf, day, np.nan_to_num(X), pdf[label].fillna(0).to_numpy(dtype=float)
 
 
+def _counts(cell, y, rows, n_cells):
+    """Positives and rows per cell among the marked rows."""
+    return np.bincount(cell[rows], y[rows], n_cells), np.bincount(cell[rows], minlength=n_cells).astype(float)
+
+
 def _trainable(y, model_type, args):
     return len(np.unique(y)) == 2 and (model_type != "knn" or len(y) >= args.get("n_neighbors", 10))
 
@@ -73,6 +78,8 @@ def walk_forward(
     scope 'train' / 'all': score cells (keys, date, p, n_pos, n_neg) of the training rows / of all rows.
     Dates whose training set has a single class, or too few rows, give no rows.
     """
+    if model_type not in learners.LEARNERS:
+        raise ValueError(f"unknown model type {model_type!r}")
     dates = np.arange(np.datetime64(first_date, "D"), np.datetime64(last_date, "D") + 1)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     head = ", ".join(f"`{k}` {fields[k]}" for k in keys)
@@ -83,20 +90,23 @@ def walk_forward(
         chunk = int(pdf["_chunk"].iloc[0])
         key = [pdf[k].iloc[0] for k in keys]
         pdf, day, X, y = _prepare(pdf, features, label, ts)
+        cells, at = learners.merge_rows(X, model_type)
         parts = []
         for date in dates[chunk::chunks]:
             train, test = train_mask(day, date, train_days, floor), day == date + 1
             if not test.any() or not _trainable(y[train], model_type, args):
                 continue
-            score = learners.fit(X[train], y[train], 1 - y[train], model_type, **args)
+            pos, n = _counts(at, y, train, len(cells))
+            seen = n > 0
+            score = learners.LEARNERS[model_type](cells[seen], pos[seen], (n - pos)[seen], **args)
             if scope == "test":
                 part = {ts: pdf.loc[test, ts].to_numpy(), "y": y[test].astype("int32"), "p": score(X[test])}
             else:
-                used = train if scope == "train" else np.ones(len(y), dtype=bool)
-                cells, at = np.unique(X[used], axis=0, return_inverse=True)
-                at = at.reshape(-1)
-                n_pos = np.bincount(at, y[used], len(cells)).astype("int64")
-                part = {"p": score(cells), "n_pos": n_pos, "n_neg": np.bincount(at, minlength=len(cells)) - n_pos}
+                if scope == "all":
+                    pos, n = _counts(at, y, np.ones(len(y), dtype=bool), len(cells))
+                used = n > 0
+                n_pos, n_neg = pos[used].astype("int64"), (n - pos)[used].astype("int64")
+                part = {"p": score(cells[used]), "n_pos": n_pos, "n_neg": n_neg}
             parts.append(pd.DataFrame(part).assign(date=date.item(), **dict(zip(keys, key))))
         return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
 

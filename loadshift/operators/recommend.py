@@ -93,6 +93,7 @@ def recommendation_table(recs: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
+# The texts below are fixed values.
 def device_sentence() -> Column:
     """One device, one sentence; NULL without a recommendation."""
     text = F.format_string(

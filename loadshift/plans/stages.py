@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadshift.config import Config
 from loadshift.operators import backtest, models, rates, recommend, runs, score
-from loadshift.operators.clean import drop_incomplete_first_day
 from loadshift.operators.features import activity_features, load_input, usage_features
 from loadshift.operators.prices import horizons
 from loadshift.sources import store
@@ -45,7 +44,11 @@ def prepare(states: DataFrame, config: Config, today: str) -> Prepared:
 
 
 def complete_days(load: DataFrame) -> DataFrame:
-    return drop_incomplete_first_day(load, ["household_id", "device"], "hour_ts")
+    """Without an incomplete first day. The load table has no gaps, so its first day is complete if it
+    starts at midnight, which one window tells."""
+    first = F.min("hour_ts").over(Window.partitionBy("household_id", "device"))
+    kept = "hour(_first) = 0 OR to_date(hour_ts) > to_date(_first)"
+    return load.withColumn("_first", first).filter(kept).drop("_first")
 
 
 def typical_loads(load: DataFrame, first_date: str, last_date: str) -> DataFrame:
