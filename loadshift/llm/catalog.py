@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadshift.llm import packing, substring_dedup, token_files
+from loadshift.llm import decontaminate, packing, quality_rules, secret_scan, substring_dedup, token_files, url_rules
 from loadshift.llm.shared import stored, table
+from loadshift.session import scratch_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -19,6 +20,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.drop("row")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
     # The checksum stands for the ids from here on.
@@ -26,9 +32,46 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(pieces)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.token_files(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
     return files.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op4_packing, op6_token_files)}
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _of(spans: str, kinds: list[str]) -> Column:
+    return F.filter(spans, lambda s: s["kind"].isin(kinds))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = secret_scan.with_spans(docs, f"{scratch_dir(spark)}/ledger")
+    kinds = [r.kind for r in secret_scan.BASE]
+    counts = [F.size(_of("spans", [k])).cast("bigint").alias(f"n_{k}") for k in kinds]
+    base = _of("spans", kinds)
+    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op3_decontamination,
+        op4_packing,
+        op5_quality_rules,
+        op6_token_files,
+        op7_url_rules,
+        op9_secret_scan,
+    )
+}
