@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadshift.llm import decontaminate, packing, quality_rules, secret_scan, substring_dedup, token_files, url_rules
+from loadshift.llm import decontaminate, packing, parity_join, quality_rules, secret_scan, substring_dedup, token_files, toxicity, url_rules
 from loadshift.llm.shared import stored, table
 from loadshift.session import scratch_dir
 
@@ -46,6 +46,13 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    scored = toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -63,6 +70,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.link(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_quality_rules,
         op6_token_files,
         op7_url_rules,
+        op8_toxicity,
         op9_secret_scan,
+        op10_ngram_join,
     )
 }

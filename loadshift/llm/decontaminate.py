@@ -78,7 +78,9 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     laid = items.select("item_words", F.posexplode("item_grams").alias("item_place", "gram")).distinct()
     # Every shingle of every document against those of the benchmark.
     hashed = keyed.select("row", word_hashes(_text()).alias("h"))
-    shingles = hashed.select("row", F.size("h").alias("n"), grams("h", GRAM).alias("g")).select("row", "n", F.posexplode("g").alias("place", "gram"))
+    shingles = hashed.select("row", F.size("h").alias("n"), grams("h", GRAM).alias("g"))
+    # The outer form of explode keeps Spark from testing the array's size before it has a column.
+    shingles = shingles.select("row", "n", F.posexplode_outer("g").alias("place", "gram")).filter(F.col("gram").isNotNull())
     hits = shingles.join(broadcast_if_small(laid, SMALL), "gram")
     length = F.least("item_words", "n")
     first = F.greatest(F.lit(0), F.least(F.col("place") - F.col("item_place"), F.col("n") - length))
@@ -86,11 +88,11 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     windows = stored(windows.groupBy("row").agg(F.collect_list(F.struct("start", "length", "item_words")).alias("windows")), "windows")
     met = keyed.join(broadcast_if_small(windows, SMALL // 10), "row").dropDuplicates(["row"])
     met = met.withColumn("h", word_hashes(_text())).withColumn("g", grams("h", GRAM))
-    each = met.select("doc_id", "row", "g", F.explode("windows").alias("w")).select("doc_id", "row", "w.*", F.expr(f"slice(g, w.start + 1, w.length - {GRAM - 1})").alias("window_grams"))
+    each = met.select("doc_id", "row", "g", F.explode_outer("windows").alias("w")).select("doc_id", "row", "w.*", F.expr(f"slice(g, w.start + 1, w.length - {GRAM - 1})").alias("window_grams"))
     each = each.withColumn("window_print", simhash("window_grams"))
-    filed = items.select("item_id", "item_words", "item_print", "item_grams", F.explode(_blocks("item_print")).alias("b"))
-    filed = filed.select("*", "b.block", F.explode(F.transform(F.array(*[F.lit(m) for m in _masks()]), lambda m: F.col("b.value").bitwiseXOR(m))).alias("value")).drop("b")
-    probes = each.select("*", F.explode(_blocks("window_print")).alias("b")).select("*", "b.block", "b.value").drop("b")
+    filed = items.select("item_id", "item_words", "item_print", "item_grams", F.explode_outer(_blocks("item_print")).alias("b"))
+    filed = filed.select("*", "b.block", F.explode_outer(F.transform(F.array(*[F.lit(m) for m in _masks()]), lambda m: F.col("b.value").bitwiseXOR(m))).alias("value")).drop("b")
+    probes = each.select("*", F.explode_outer(_blocks("window_print")).alias("b")).select("*", "b.block", "b.value").drop("b")
     distance = F.bit_count(F.col("item_print").bitwiseXOR(F.col("window_print")))
     met_items = probes.join(filed.drop("item_grams"), ["item_words", "block", "value"]).withColumn("distance", distance).filter(F.col("distance") <= RADIUS)
     pairs = met_items.dropDuplicates(["row", "start", "length", "item_id"]).drop("block", "value", "window_print", "item_print")

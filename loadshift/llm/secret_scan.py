@@ -74,8 +74,9 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         F.struct(F.lit(r.key).alias("rule"), F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"), F.when(F.array_contains("wanted", r.key), _matches("text", r)).alias("matches"))
         for r in rules
     ]
-    by_rule = blobs.select("blob", F.explode(F.filter(F.array(*found), lambda x: x["matches"].isNotNull())).alias("f"))
-    each = by_rule.select("blob", "f.rule", "f.kind", "f.least", F.posexplode("f.matches").alias("number", "m"))
+    # The outer form of explode keeps Spark from scanning the texts once more for empty results.
+    by_rule = blobs.select("blob", F.explode_outer(F.filter(F.array(*found), lambda x: x["matches"].isNotNull())).alias("f"))
+    each = by_rule.select("blob", "f.rule", "f.kind", "f.least", F.posexplode_outer("f.matches").alias("number", "m")).filter(F.col("m").isNotNull())
     upto = Window.partitionBy("blob", "rule").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
     ends = each.withColumn("end", F.sum(F.col("m.gap") + F.col("m.size")).over(upto).cast("int"))
     return ends.filter(F.col("m.tested") >= F.col("least")).select("blob", "rule", "kind", (F.col("end") - F.col("m.size")).alias("start"), "end")

@@ -122,3 +122,7 @@ class Hasher:
         last = np.repeat(words.bounds[1:], words.counts)
         at = np.flatnonzero(np.arange(len(hashes)) + length <= last)
         return at, mix(self._ranges(hashes, at, at + length, WORD_BASE))
+
+    def sequences(self, hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of word sequences of any length, apart from those of windows."""
+        return mix(self._ranges(hashes, start, end, WORD_BASE) + (end - start).astype(np.uint64))
