@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadshift.llm import decontaminate, packing, parity_join, quality_rules, secret_scan, substring_dedup, token_files, toxicity, url_rules
+from loadshift.llm import decontaminate, packing, parity_join, quality_rules, secret_scan, substring_dedup, token_counts, token_files, toxicity, url_rules
 from loadshift.llm.shared import stored, table
 from loadshift.session import scratch_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_RANKS)
+    return counted.withColumn("score", F.round("score", 6))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
     return found.drop("row")
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup,
+        op2_token_counts,
         op3_decontamination,
         op4_packing,
         op5_quality_rules,

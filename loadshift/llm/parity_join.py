@@ -326,8 +326,9 @@ def across(members: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataFram
     return pairs, labelled.filter(F.col("rest") > pivots).select("signature", "a")
 
 
-def link(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles (size of the set), class_id (equal for equal sets) and component_id of each row of docs (doc_id, text).
+def link_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, row (a hash of doc_id and text), n_shingles (size of the set), class_id (equal for equal sets), root (equal for what is
+    linked) and component_id of each row of docs (doc_id, text).
 
     The set of a text: its distinct five-word shingles in lower case; with fewer words the whole sequence as one. Null or empty text,
     or one without words: an empty set, null class_id, linked with nothing. Two rows are linked if their sets' similarity is 0.8 or
@@ -365,6 +366,29 @@ def link(docs: DataFrame) -> DataFrame:
             break
     root = classes.select("class", "least").join(labels.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     smallest = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = stored(root.join(smallest, "root").select("class", "component_id"), "by_class")
-    out = rows.drop("row", "sketch").join(by_class, "class", "left")
-    return out.select("doc_id", "n_shingles", F.col("class").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    by_class = stored(root.join(smallest, "root").select("class", "root", "component_id"), "by_class")
+    out = rows.drop("sketch").join(by_class, "class", "left")
+    return out.select("doc_id", "row", "n_shingles", F.col("class").alias("class_id"), "root", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def link(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, class_id and component_id of each row of docs; see link_rows()."""
+    return link_rows(docs).select("doc_id", "n_shingles", "class_id", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text and any columns) with one row of each linked group, the one of the smallest doc_id, null after all others, and
+    among those of the smallest hash of doc_id and text. Rows with an empty set stay, all of them."""
+    rows = stored(link_rows(docs).filter(F.col("root").isNotNull()).select("doc_id", "row", "root"), "linked")
+    last = F.lit(int(np.iinfo(np.int64).max))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", last), "row")).alias("first"))
+    gone = rows.join(first.select("root", F.col("first.row").alias("stays")), "root").filter("row <> stays").select(F.col("row").alias("_gone")).distinct()
+    keyed = docs.withColumn("_row", F.xxhash64(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), F.col("text").cast("string")))
+    left = keyed.join(broadcast_if_small(stored(gone, "gone"), SMALL), F.col("_row") == F.col("_gone"), "left_anti")
+    repeated = rows.groupBy("row").count().filter("count > 1")
+    if not is_empty(repeated):
+        # Rows equal in doc_id and text have one hash; those without words are not in `rows` and get a number of their own.
+        again = stored(repeated.select(F.col("row").alias("_again")), "repeated")
+        twice = left.join(broadcast_if_small(again, SMALL), F.col("_row") == F.col("_again"), "left")
+        left = twice.filter(F.col("_again").isNull()).unionByName(twice.filter(F.col("_again").isNotNull()).dropDuplicates(["_row"]))
+    return left.select(*docs.columns)
