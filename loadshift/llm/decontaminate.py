@@ -105,6 +105,6 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs without the rows in which find() meets an item."""
-    found = find(docs, benchmark, similarity).select(F.col("row").alias("_row")).distinct()
+    found = find(docs, benchmark, similarity).select(F.col("row").alias("__llm_row")).distinct()
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), F.col("text").cast("string"))
-    return docs.withColumn("_key", key).join(broadcast_if_small(stored(found, "contaminated"), SMALL), F.col("_key") == F.col("_row"), "left_anti").drop("_key")
+    return docs.withColumn("__llm_key", key).join(broadcast_if_small(stored(found, "contaminated"), SMALL), F.col("__llm_key") == F.col("__llm_row"), "left_anti").drop("__llm_key")

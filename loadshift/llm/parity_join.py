@@ -382,13 +382,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows = stored(link_rows(docs).filter(F.col("root").isNotNull()).select("doc_id", "row", "root"), "linked")
     last = F.lit(int(np.iinfo(np.int64).max))
     first = rows.groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", last), "row")).alias("first"))
-    gone = rows.join(first.select("root", F.col("first.row").alias("stays")), "root").filter("row <> stays").select(F.col("row").alias("_gone")).distinct()
-    keyed = docs.withColumn("_row", F.xxhash64(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), F.col("text").cast("string")))
-    left = keyed.join(broadcast_if_small(stored(gone, "gone"), SMALL), F.col("_row") == F.col("_gone"), "left_anti")
+    gone = rows.join(first.select("root", F.col("first.row").alias("stays")), "root").filter("row <> stays").select(F.col("row").alias("__llm_gone")).distinct()
+    keyed = docs.withColumn("__llm_row", F.xxhash64(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), F.col("text").cast("string")))
+    left = keyed.join(broadcast_if_small(stored(gone, "gone"), SMALL), F.col("__llm_row") == F.col("__llm_gone"), "left_anti")
     repeated = rows.groupBy("row").count().filter("count > 1")
     if not is_empty(repeated):
         # Rows equal in doc_id and text have one hash; those without words are not in `rows` and get a number of their own.
-        again = stored(repeated.select(F.col("row").alias("_again")), "repeated")
-        twice = left.join(broadcast_if_small(again, SMALL), F.col("_row") == F.col("_again"), "left")
-        left = twice.filter(F.col("_again").isNull()).unionByName(twice.filter(F.col("_again").isNotNull()).dropDuplicates(["_row"]))
+        again = stored(repeated.select(F.col("row").alias("__llm_again")), "repeated")
+        twice = left.join(broadcast_if_small(again, SMALL), F.col("__llm_row") == F.col("__llm_again"), "left")
+        left = twice.filter(F.col("__llm_again").isNull()).unionByName(twice.filter(F.col("__llm_again").isNotNull()).dropDuplicates(["__llm_row"]))
     return left.select(*docs.columns)

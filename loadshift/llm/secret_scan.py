@@ -147,8 +147,9 @@ def spans_by_blob(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataF
 
 
 def with_spans(paths: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """paths without text, plus `spans` of each; rows without a finding have an empty array."""
-    addressed, findings = scan(paths, folder, rules)
+    """paths without text, plus `blob` and `spans` of each, which replace columns of these names; rows without a finding have an empty
+    array."""
+    addressed, findings = scan(paths.drop("blob", "spans"), folder, rules)
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     joined = addressed.join(spans_by_blob(findings, rules), "blob", "left")
     return joined.withColumn("spans", F.coalesce("spans", empty))
@@ -158,14 +159,14 @@ def redact(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, mark:
     """docs with every found span replaced by `mark`; overlapping spans are replaced once. Texts without a finding and nulls stay as
     they are. The columns stay the same."""
     _, findings = scan(docs.select("text"), folder, rules)
-    spans = spans_by_blob(findings, rules).select(F.col("blob").alias("_blob"), "spans")
+    spans = spans_by_blob(findings, rules).select(F.col("blob").alias("__llm_blob"), "spans")
     # Spans ascend by start: one that begins before the end so far adds only what lies beyond.
     cut = F.expr(
-        f"""aggregate(_spans, named_struct('at', 0, 'out', cast('' AS string)),
+        f"""aggregate(__llm_spans, named_struct('at', 0, 'out', cast('' AS string)),
               (a, s) -> named_struct(
                 'at', greatest(a.at, s.end),
                 'out', CASE WHEN s.start >= a.at THEN concat(a.out, substring(text, a.at + 1, s.start - a.at), {_literal(mark)}) ELSE a.out END),
               a -> concat(a.out, substring(text, a.at + 1)))"""
     )
-    joined = docs.withColumn("_address", F.unhex(F.sha2(F.col("text"), 256))).join(spans.withColumnRenamed("spans", "_spans"), F.col("_address") == F.col("_blob"), "left")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
+    joined = docs.withColumn("__llm_address", F.unhex(F.sha2(F.col("text"), 256))).join(spans.withColumnRenamed("spans", "__llm_spans"), F.col("__llm_address") == F.col("__llm_blob"), "left")
+    return joined.withColumn("text", F.when(F.col("__llm_spans").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)

@@ -355,7 +355,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """docs without the rows that score `threshold` or more; the columns stay the same."""
-    copy = docs.withColumn("_kept_text", F.col("text"))
-    scored = score(copy.withColumnRenamed("score", "_score") if "score" in docs.columns else copy, model)
-    scored = scored.filter(F.col("score") < threshold).drop("score").withColumnRenamed("_kept_text", "text").withColumnRenamed("_score", "score")
+    copy = docs.withColumn("__llm_kept_text", F.col("text"))
+    scored = score(copy.withColumnRenamed("score", "__llm_score") if "score" in docs.columns else copy, model)
+    scored = scored.filter(F.col("score") < threshold).drop("score").withColumnRenamed("__llm_kept_text", "text").withColumnRenamed("__llm_score", "score")
     return scored.select(*docs.columns)
