@@ -97,11 +97,10 @@ SQL = {
         b=BEST,
     ),
     "j9_run_lookup": with_(
-        f"""SELECT d.household_id, d.device, {day("d.date")}, """
-        + ", ".join(r6(f"coalesce(max(r.load) FILTER (r.offs = {j}), 0)", f"h{j + 1}") for j in range(4))
-        + f""" FROM prof_day d JOIN dates USING (date)
-        LEFT JOIN (SELECT {HD}, date, min(run_start) AS run_start FROM rstart GROUP BY ALL) s USING ({HD}, date)
-        LEFT JOIN run r ON r.household_id = d.household_id AND r.device = d.device AND r.run_start = s.run_start GROUP BY 1, 2, d.date"""
+        f"""SELECT d.household_id, d.device, {day("d.date")}, s.start_hour AS hour, """
+        + ", ".join(r6(f"coalesce(max(r.load) FILTER (r.offs = {j}), 0)", f"h{j + 1}") for j in range(24))
+        + f""" FROM prof_day d JOIN dates USING (date) LEFT JOIN rstart s USING ({HD}, date)
+        LEFT JOIN run r ON r.household_id = d.household_id AND r.device = d.device AND r.run_start = s.run_start GROUP BY 1, 2, d.date, s.start_hour"""
     ),
     "j11_nearest_start": with_(
         f"""SELECT b.household_id, b.device, {day("b.date")}, b.hour,
@@ -113,7 +112,9 @@ SQL = {
         "SELECT DISTINCT household_id, a AS activity_threshold, u AS usage_threshold FROM st CROSS JOIN athr CROSS JOIN uthr"
     ),
     "r10_run_cost": with_(
-        f"SELECT {HD}, {day('date')}, hour, {r6('cost')} FROM rcost WHERE hour = start_hour"
+        f"""SELECT s.household_id, s.device, {day('s.date')}, s.start_hour AS hour, {r6('c.cost')} FROM rstart s
+        LEFT JOIN rcost c ON c.household_id = s.household_id AND c.device = s.device AND c.date = s.date
+          AND c.start_hour = s.start_hour AND c.hour = s.start_hour"""
     ),
     "r11_back_test": with_(
         f"""SELECT {HD}, {day("date")}, a AS activity_threshold, u AS usage_threshold, rec AS recommendation, acceptable, relevant_start,

@@ -17,7 +17,7 @@ def profile(thresholds: list[str]) -> str:
     means = ", ".join(r6(f"avg({d}_usage)", f"{d}_usage") for d in devices)
 
     def block(name: str, expr: str) -> str:
-        return f"SELECT {r6('t', 'threshold')}, '{name}' AS dimension, CAST({expr} AS INTEGER) AS bucket, {r6('avg(activity)', 'activity')}, {means} FROM fl GROUP BY t, 3"
+        return f"SELECT household_id, {r6('t', 'threshold')}, '{name}' AS dimension, CAST({expr} AS INTEGER) AS bucket, {r6('avg(activity)', 'activity')}, {means} FROM fl GROUP BY household_id, t, 4"
 
     return with_(
         " UNION ALL ".join(
@@ -28,6 +28,15 @@ def profile(thresholds: list[str]) -> str:
     )
 
 
+def split_rows(end: str) -> str:
+    return with_(
+        f"""SELECT household_id, CASE WHEN hour_ts < TIMESTAMP '2024-01-21 00:00:00' THEN 'train' ELSE 'test' END AS part,
+        {ts("hour_ts")}, activity, hour, coalesce(activity_lag_24, 0) AS activity_lag_24, coalesce(activity_lag_48, 0) AS activity_lag_48,
+        coalesce(activity_lag_72, 0) AS activity_lag_72 FROM actf
+        WHERE hour_ts >= TIMESTAMP '2023-12-21 00:00:00' AND hour_ts < TIMESTAMP '{end} 00:00:00'"""
+    )
+
+
 SPLIT = f"""SELECT household_id, {day("date")},
   CAST(coalesce((SELECT sum(r) FROM dd b WHERE b.household_id = a.household_id AND b.date <= a.date AND b.date >= {{start}}), 0) AS BIGINT) AS train_rows,
   CAST(coalesce((SELECT sum(p) FROM dd b WHERE b.household_id = a.household_id AND b.date <= a.date AND b.date >= {{start}}), 0) AS BIGINT) AS train_positives,
@@ -69,14 +78,15 @@ SQL = {
     ),
     "a9_threshold_profile": profile(["30.0"]),
     "a10_threshold_candidates": profile(["0.0", "10.0", "20.0", "40.0", "80.0"]),
-    "a11_activity_by_hour": with_(f"SELECT hour, {r6('avg(activity)', 'activity')} FROM actf GROUP BY hour"),
+    "a11_activity_by_hour": with_(f"SELECT household_id, hour, {r6('avg(activity)', 'activity')} FROM actf GROUP BY household_id, hour"),
     "a13_date_range": with_(
         f"""SELECT household_id, {day("CAST(min(last_updated_ts) AS DATE) + 1", "first_date")},
         {day("CAST(max(last_updated_ts) AS DATE) - 1", "last_date")} FROM st GROUP BY 1"""
     ),
     "a13_start_dates": with_(
         f"""SELECT household_id, {day("a.d", "activity")}, {day("u.d", "usage")}, {day("l.d", "load")},
-        {day("greatest(a.d, u.d, l.d)", "combined")} FROM a JOIN u USING (household_id) JOIN l USING (household_id)""",
+        {day("CASE WHEN a.d IS NOT NULL AND u.d IS NOT NULL AND l.d IS NOT NULL THEN greatest(a.d, u.d, l.d) END", "combined")}
+        FROM a FULL JOIN u USING (household_id) FULL JOIN l USING (household_id)""",
         a="SELECT household_id, min(CAST(hour_ts AS DATE)) AS d FROM actf WHERE hour = 0 AND activity_lag_72 IS NOT NULL GROUP BY 1",
         u="SELECT household_id, min(day) AS d FROM us WHERE usage_lag_3 IS NOT NULL GROUP BY 1",
         l="SELECT household_id, min(CAST(hour_ts AS DATE)) AS d FROM ldp WHERE hour(hour_ts) = 0 GROUP BY 1",
@@ -121,12 +131,8 @@ SQL = {
         FROM (SELECT *, min(us.day) OVER (PARTITION BY {HD}) + 3 AS s FROM us) q
         WHERE (q.day BETWEEN s AND DATE '2024-01-20') OR q.day = DATE '2024-01-21'"""
     ),
-    "m2_activity_split": with_(
-        f"""SELECT household_id, CASE WHEN hour_ts < TIMESTAMP '2024-01-21 00:00:00' THEN 'train' ELSE 'test' END AS part,
-        {ts("hour_ts")}, activity, hour, coalesce(activity_lag_24, 0) AS activity_lag_24, coalesce(activity_lag_48, 0) AS activity_lag_48,
-        coalesce(activity_lag_72, 0) AS activity_lag_72 FROM actf
-        WHERE hour_ts >= TIMESTAMP '2024-01-15 00:00:00' AND hour_ts < TIMESTAMP '2024-01-22 00:00:00'"""
-    ),
+    "m2_activity_split": split_rows("2024-01-22"),
+    "m2_activity_split_open": split_rows("9999-01-01"),
     "p1_activity_table": with_(
         f"""SELECT household_id, {ts("hour_ts")}, activity, hour, {DUMMIES.format("actf.hour_ts")},
         activity_lag_24, activity_lag_48, activity_lag_72 FROM actf"""

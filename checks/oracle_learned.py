@@ -51,7 +51,7 @@ SQL = {
         x="SELECT time, c, (v - min(v) OVER (PARTITION BY c)) / (max(v) OVER (PARTITION BY c) - min(v) OVER (PARTITION BY c)) AS s FROM wi",
     ),
     "j4_weather_join": with_(
-        f"SELECT a.household_id, {ts('w.time')}, a.activity, "
+        f"SELECT a.household_id, w.station, {ts('w.time')}, a.activity, "
         + ", ".join(r6(f"w.{c}") for c in WEATHER)
         + " FROM act a RIGHT JOIN we w ON w.time = a.hour_ts"
     ),

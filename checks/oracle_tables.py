@@ -10,18 +10,20 @@ ATTR_TEXT = """'{' || CASE WHEN entity_id IN ('purchase','signup','view') THEN '
 CAL = "CASE WHEN k = 7 THEN CAST(0.5 AS DOUBLE) END"
 NAME = "upper(entity_id[1]) || entity_id[2:] || ' plug ' || (k % 2)"
 N = "count(*) AS n"
+# Without April, the first in alphabetical order.
+MONTHS = "January February March May June July August September October November December".split()
 WEATHER = ", ".join(r6(c) for c in ("temp", "dwpt", "rhum", "wdir", "wspd"))
 
 
-def resample(entity: str, seconds: int) -> str:
+def resample(seconds: int) -> str:
     return with_(
-        f"""SELECT g.household_id, {ts("g.o + g.b * INTERVAL " + str(seconds) + " SECOND", "last_updated_ts")}, {r6("m", "value")}
-        FROM gr g LEFT JOIN bi USING (household_id, b)""",
-        w1=f"SELECT household_id, last_updated_ts AS t, TRY_CAST(state AS DOUBLE) AS v FROM st WHERE entity_id = '{entity}'",
-        o1="SELECT household_id, date_trunc('day', min(t)) AS o FROM w1 GROUP BY ALL",
-        bn=f"SELECT household_id, o, CAST(floor(date_diff('second', o, date_trunc('minute', t)) / {seconds}.0) AS BIGINT) AS b, v FROM w1 JOIN o1 USING (household_id)",
-        bi="SELECT household_id, b, avg(v) AS m FROM bn GROUP BY ALL",
-        gr="SELECT household_id, any_value(o) AS o, unnest(generate_series(min(b), max(b))) AS b FROM bn GROUP BY household_id",
+        f"""SELECT g.household_id, g.entity_id, {ts("g.o + g.b * INTERVAL " + str(seconds) + " SECOND", "last_updated_ts")}, {r6("m", "value")}
+        FROM gr g LEFT JOIN bi USING (household_id, entity_id, b)""",
+        w1=f"SELECT household_id, entity_id, last_updated_ts AS t, TRY_CAST(state AS DOUBLE) AS v FROM st WHERE entity_id IN {WATT}",
+        o1="SELECT household_id, entity_id, date_trunc('day', min(t)) AS o FROM w1 GROUP BY ALL",
+        bn=f"SELECT household_id, entity_id, o, CAST(floor(date_diff('second', o, date_trunc('minute', t)) / {seconds}.0) AS BIGINT) AS b, v FROM w1 JOIN o1 USING (household_id, entity_id)",
+        bi="SELECT household_id, entity_id, b, avg(v) AS m FROM bn GROUP BY ALL",
+        gr="SELECT household_id, entity_id, any_value(o) AS o, unnest(generate_series(min(b), max(b))) AS b FROM bn GROUP BY household_id, entity_id",
     )
 
 
@@ -43,7 +45,7 @@ SQL = {
     ),
     "s5_prices_around_date": with_(
         f"""SELECT zone, {ts("hour - INTERVAL 1 HOUR", "hour")}, {r6("price")} FROM pr
-        WHERE hour BETWEEN TIMESTAMP '2024-01-11 00:00:00' AND TIMESTAMP '2024-01-21 00:00:00'"""
+        WHERE hour BETWEEN TIMESTAMP '2023-12-27 00:00:00' AND TIMESTAMP '2024-02-05 00:00:00'"""
     ),
     "s6_price_history": with_(
         f"""SELECT zone, {ts("hour")}, {r6("price")} FROM pr
@@ -67,7 +69,8 @@ SQL = {
         CASE WHEN household_id % 2 = 0 THEN 'signup' END AS device_1 FROM st"""
     ),
     "s9_s10_store_round_trip": with_(
-        f"SELECT household_id, device, 'knn' AS model_type, {N}, {r6('sum(load)', 'load')} FROM ld GROUP BY household_id, device"
+        f"""SELECT household_id, device, activity_model, usage_model, {N}, {r6('sum(load)', 'load')} FROM ld
+        CROSS JOIN (VALUES ('knn', 'knn'), ('logit', 'rate')) m(activity_model, usage_model) GROUP BY ALL"""
     ),
     "f1_unpack_attributes": with_(
         f"""SELECT attributes_id, unit_of_measurement, friendly_name, CAST(NULL AS VARCHAR) AS device_class,
@@ -143,18 +146,21 @@ SQL = {
         FROM st WHERE entity_id IN {SHIFT} GROUP BY household_id, st.last_updated_ts"""
     ),
     "a1_duplicate_readings": with_(
-        f"""SELECT household_id, entity_id, {ts("date_trunc('hour', last_updated_ts)", "last_updated_ts")}, {N}
-        FROM st GROUP BY 1, 2, date_trunc('hour', st.last_updated_ts) HAVING count(*) > 1"""
+        " UNION ALL ".join(
+            f"""SELECT household_id, entity_id, {ts(f"date_trunc('{unit}', last_updated_ts)", "last_updated_ts")}, {N}
+            FROM st GROUP BY 1, 2, date_trunc('{unit}', st.last_updated_ts) HAVING count(*) > 1"""
+            for unit in ("second", "hour")
+        )
     ),
     "a2_hourly_load": with_(f"SELECT household_id, device, {ts('hour_ts')}, {r6('value')} FROM ld"),
-    "a3_resample_7min": resample("purchase", 420),
-    "a3_resample_daily": resample("signup", 86400),
+    "a3_resample_7min": resample(420),
+    "a3_resample_daily": resample(86400),
     "a5_outlier_truncation": with_(
         f"""SELECT household_id, entity_id, {ts("last_updated_ts")},
         {r6("CASE WHEN v > q3 + 0.2 * (q3 - q1) THEN trunc(q3 + 0.2 * (q3 - q1)) WHEN v < q1 - 0.2 * (q3 - q1) THEN trunc(q1 - 0.2 * (q3 - q1)) ELSE v END", "value")}
-        FROM w JOIN q USING (entity_id)""",
+        FROM w JOIN q USING (household_id, entity_id)""",
         w=f"SELECT *, TRY_CAST(state AS DOUBLE) AS v FROM st WHERE entity_id IN {WATT}",
-        q="SELECT entity_id, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM w GROUP BY ALL",
+        q="SELECT household_id, entity_id, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM w GROUP BY ALL",
     ),
     "a6_truncate_non_zero": with_(
         f"""SELECT household_id, device, {ts("hour_ts")},
@@ -184,14 +190,14 @@ SQL = {
         CAST(abs(date_diff('day', CAST(max(last_updated_ts) AS DATE), DATE '2024-02-10')) AS INTEGER) AS days FROM st GROUP BY 1"""
     ),
     "a26_data_profile": with_(
-        f"""SELECT entity_id, count(v) AS count, count(*) - count(v) AS missing, {r6("avg(v)", "mean")},
+        f"""SELECT household_id, entity_id, count(v) AS count, count(*) - count(v) AS missing, {r6("avg(v)", "mean")},
         {r6("stddev_samp(v)", "std")}, {r6("min(v)", "min")}, {r6("max(v)", "max")}, {r6("quantile_cont(v, 0.25)", "q1")},
-        {r6("quantile_cont(v, 0.5)", "q2")}, {r6("quantile_cont(v, 0.75)", "q3")} FROM w GROUP BY 1""",
+        {r6("quantile_cont(v, 0.5)", "q2")}, {r6("quantile_cont(v, 0.75)", "q3")} FROM w GROUP BY 1, 2""",
         w=f"SELECT *, TRY_CAST(state AS DOUBLE) AS v FROM st WHERE entity_id IN {WATT}",
     ),
     "a26_histogram": with_(
-        f"""SELECT entity_id, CAST(CASE WHEN v < 0 THEN 0 WHEN v >= 500 THEN 11 ELSE floor(v / 50) + 1 END AS INTEGER) AS bin, {N}
-        FROM w GROUP BY 1, 2""",
+        f"""SELECT household_id, entity_id, CAST(CASE WHEN v < 0 THEN 0 WHEN v >= 500 THEN 11 ELSE floor(v / 50) + 1 END AS INTEGER) AS bin, {N}
+        FROM w GROUP BY 1, 2, 3""",
         w=f"SELECT *, TRY_CAST(state AS DOUBLE) AS v FROM st WHERE entity_id IN {WATT}",
     ),
     "fn_time_features": with_(
@@ -202,9 +208,9 @@ SQL = {
     "fn_safe_names": """SELECT DISTINCT 'Sensor.' || event_type || ' (Plug 1)' AS entity,
         'sensor_' || event_type || ' plug 1' AS safe, 'sensor.' || event_type || '_plug_1' AS safe_spaced FROM events""",
     "fn_dummies": with_(
-        """SELECT household_id, CAST(count(*) AS BIGINT) AS month_January, CAST(0 AS BIGINT) AS month_February,
-        CAST(0 AS BIGINT) AS month_March, CAST(0 AS BIGINT) AS month_May,
-        count(*) FILTER (entity_id = 'purchase') AS entity_purchase, count(*) FILTER (entity_id = 'signup') AS entity_signup,
+        "SELECT household_id, "
+        + ", ".join(f"count(*) FILTER (monthname(last_updated_ts) = '{m}') AS month_{m}" for m in MONTHS)
+        + """, count(*) FILTER (entity_id = 'purchase') AS entity_purchase, count(*) FILTER (entity_id = 'signup') AS entity_signup,
         count(*) FILTER (entity_id = 'view') AS entity_view, count(*) FILTER (entity_id = 'error') AS entity_error
         FROM st GROUP BY 1"""
     ),

@@ -177,8 +177,8 @@ def r8_recommendations_on_dates(spark: SparkSession, sf: str) -> DataFrame:
 def r9_sentences(spark: SparkSession, sf: str) -> DataFrame:
     """The three texts of a recommendation: plain, with the price, with the percentage saved."""
     table = recs(spark, sf)
-    prices = horizon(spark, sf).select(F.col("date").alias("recommendation_calculation_date"), "prices")
-    priced = join_reference(table, prices, ["recommendation_calculation_date"])
+    prices = horizon(spark, sf).select("zone", F.col("date").alias("recommendation_calculation_date"), "prices")
+    priced = join_reference(table, prices, ["zone", "recommendation_calculation_date"])
     price = F.get("prices", F.col("best_launch_hour"))
     saved = recommend.savings_percent("prices", "best_launch_hour")
     return priced.select(
@@ -243,12 +243,12 @@ def j8_activity_truth(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def j9_run_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """The day's first run of each device, 24 zeros where there was none."""
+    """Every run of each device and day with its 24 hourly loads; a day without a run has 24 zeros and no hour."""
     keys = costs(spark, sf).select(*KEYS, "date")
     out = keys.join(backtest.actual_starts(load_table(spark, sf)), [*KEYS, "date"], "left")
-    zeros = F.array_repeat(F.lit(0.0), 24)
-    run = F.coalesce(F.get("starts", F.lit(0))["load"], zeros)
-    return out.select(*KEYS, day("date"), *[r6(run[j], f"h{j + 1}") for j in range(4)])
+    each = out.select(*KEYS, "date", F.inline_outer("starts"))
+    run = F.coalesce("load", F.array_repeat(F.lit(0.0), 24))
+    return each.select(*KEYS, day("date"), "hour", *[r6(run[j], f"h{j + 1}") for j in range(24)])
 
 
 @query
@@ -268,10 +268,10 @@ def j12_threshold_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def r10_run_cost(spark: SparkSession, sf: str) -> DataFrame:
-    """Cost of every actual run with the prices of its day."""
+    """Cost of every actual run with the prices of its zone and day; NULL where the day has none."""
     starts = backtest.actual_starts(load_table(spark, sf)).select(*KEYS, "date", F.inline("starts"))
-    prices = horizon(spark, sf).select("date", "prices")
-    priced = join_reference(starts, prices, ["date"]).filter(F.col("prices").isNotNull())
+    zoned = join_reference(starts, fx.households(spark, sf), ["household_id"])
+    priced = join_reference(zoned, horizon(spark, sf).select("zone", "date", "prices"), ["zone", "date"])
     cost = backtest.run_cost("prices", "hour", "load")
     return priced.select(*KEYS, day("date"), "hour", r6(cost, "cost"))
 

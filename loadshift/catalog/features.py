@@ -100,7 +100,7 @@ def p2_usage_all_devices(spark: SparkSession, sf: str) -> DataFrame:
 def _profile(spark: SparkSession, sf: str, thresholds: list[float]) -> DataFrame:
     out = features.threshold_profile(fx.readings(spark, sf), fx.ACTIVE, thresholds, fx.TODAY)
     return out.select(
-        r6("threshold"), "dimension", "bucket", r6("activity"), *[r6(f"{d}_usage") for d in fx.ACTIVE]
+        "household_id", r6("threshold"), "dimension", "bucket", r6("activity"), *[r6(f"{d}_usage") for d in fx.ACTIVE]
     )
 
 
@@ -118,7 +118,7 @@ def a10_threshold_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a11_activity_by_hour(spark: SparkSession, sf: str) -> DataFrame:
-    return activity_table(spark, sf).groupBy("hour").agg(r6(F.avg("activity"), "activity"))
+    return activity_table(spark, sf).groupBy("household_id", "hour").agg(r6(F.avg("activity"), "activity"))
 
 
 @query
@@ -129,13 +129,14 @@ def a13_date_range(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a13_start_dates(spark: SparkSession, sf: str) -> DataFrame:
-    """First midnight without gaps per table; the run may start at the latest of them."""
+    """First midnight without gaps per table; the run may start at the latest of them. A household without a table has NULL there."""
     a = clean.min_start_date(activity_table(spark, sf), ["household_id"], "hour_ts")
     u = clean.min_start_date(usage_table(spark, sf), ["household_id"], "day")
     lo = clean.min_start_date(load_table(spark, sf), ["household_id"], "hour_ts")
     named = [x.withColumnRenamed("start_date", n) for x, n in ((a, "activity"), (u, "usage"), (lo, "load"))]
-    joined = named[0].join(named[1], "household_id").join(named[2], "household_id")
-    combined = F.greatest("activity", "usage", "load")
+    joined = named[0].join(named[1], "household_id", "full_outer").join(named[2], "household_id", "full_outer")
+    every = F.col("activity").isNotNull() & F.col("usage").isNotNull() & F.col("load").isNotNull()
+    combined = F.when(every, F.greatest("activity", "usage", "load"))
     return joined.select("household_id", day("activity"), day("usage"), day("load"), day(combined, "combined"))
 
 
@@ -232,8 +233,18 @@ def m1_usage_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def m2_activity_split(spark: SparkSession, sf: str) -> DataFrame:
-    """Training hours from 5 days before the date and the 24 test hours of the next day."""
-    train, test = activity_split(activity_table(spark, sf), "2024-01-20", -5, 1, "2024-01-01")
+    """Training hours from 30 days before the date and the 24 test hours of the next day."""
+    return _activity_split(spark, sf, 1)
+
+
+@query
+def m2_activity_split_open(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with all hours after the date to test on."""
+    return _activity_split(spark, sf, None)
+
+
+def _activity_split(spark: SparkSession, sf: str, test_days: int | None) -> DataFrame:
+    train, test = activity_split(activity_table(spark, sf), "2024-01-20", -30, test_days)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     cols = ["activity", "hour", *[f"activity_lag_{k}" for k in (24, 48, 72)]]
     return both.select("household_id", "part", ts("hour_ts"), *cols)

@@ -117,7 +117,7 @@ def m12_next_day_activity(spark: SparkSession, sf: str) -> DataFrame:
 def m12_next_day_with_weather(spark: SparkSession, sf: str) -> DataFrame:
     """The same date with five weather columns among the features."""
     weather = impute.enrich(fx.weather(spark, sf), WEATHER)
-    table = impute.join_weather(activity_table(spark, sf), weather, "hour_ts").filter(F.col("household_id").isNotNull())
+    table = impute.join_weather(activity_table(spark, sf), weather, fx.households(spark, sf), "hour_ts").filter(F.col("household_id").isNotNull())
     out = models.activity_walk_forward(
         table, "xgboost", "2024-01-25", "2024-01-25", features=[*ACTIVITY_FEATURES, *WEATHER]
     )
@@ -144,8 +144,8 @@ def m13_weather_enriched(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def j4_weather_join(spark: SparkSession, sf: str) -> DataFrame:
     """Activity hours with the weather of the hour; weather hours without features stay."""
-    out = impute.join_weather(activity_table(spark, sf), fx.weather(spark, sf).drop("tsun"), "hour_ts")
-    return out.select("household_id", ts("time"), "activity", *[r6(c) for c in WEATHER])
+    out = impute.join_weather(activity_table(spark, sf), fx.weather(spark, sf).drop("tsun"), fx.households(spark, sf), "hour_ts")
+    return out.select("household_id", "station", ts("time"), "activity", *[r6(c) for c in WEATHER])
 
 
 # scores -------------------------------------------------------------------------------------------

@@ -93,8 +93,8 @@ def s4_price_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def s5_prices_around_date(spark: SparkSession, sf: str) -> DataFrame:
-    """Local hours within 5 days of the day after the date, as UTC."""
-    out = prices.prices_around(fx.prices(spark, sf), "2024-01-15", "Europe/Brussels", 5)
+    """Local hours within 20 days of the day after the date, as UTC."""
+    out = prices.prices_around(fx.prices(spark, sf), "2024-01-15", "Europe/Brussels", 20)
     return out.select("zone", ts("hour"), r6("price"))
 
 
@@ -155,11 +155,12 @@ def a21_device_legend(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def s9_s10_store_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """Load table written by model, weather flag and household bucket, then read back."""
+    """Load table written twice, under two pairs of activity and usage models, then read back: both are there."""
     path = scratch_dir(spark)
-    store.dump(path, {"df": _load(spark, sf)}, "knn", False)
+    for activity_model, usage_model in (("knn", "knn"), ("logit", "rate"), ("knn", "knn")):
+        store.dump(path, {"df": _load(spark, sf)}, activity_model, usage_model, False)
     back = store.load(spark, path, ["df"])["df"]
-    return back.groupBy("household_id", "device", "model_type").agg(
+    return back.groupBy("household_id", "device", "activity_model", "usage_model").agg(
         big(F.count(F.lit(1)), "n"), r6(F.sum("load"), "load")
     )
 
@@ -280,7 +281,7 @@ def j2_outer_pivot(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def j5_column_bind(spark: SparkSession, sf: str) -> DataFrame:
     """Attribute columns next to the base columns, by key."""
-    out = clean.unpack_attributes(states.join_attributes(fx.states(spark, sf), fx.state_attributes(spark, sf)))
+    out = states.join_attributes(fx.states(spark, sf), clean.unpack_attributes(fx.state_attributes(spark, sf)))
     return out.select(*EVENT, ts("last_updated_ts"), "attributes_id", "unit_of_measurement", "friendly_name")
 
 
@@ -316,9 +317,10 @@ def a1_device_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a1_duplicate_readings(spark: SparkSession, sf: str) -> DataFrame:
-    """Readings that share household, device and second."""
-    seconds = fx.states(spark, sf).withColumn("last_updated_ts", F.date_trunc("hour", "last_updated_ts"))
-    out = hourly.duplicate_readings(seconds)
+    """Readings that share household, device and second, and, coarser, the hour."""
+    rows = fx.states(spark, sf)
+    parts = [rows.withColumn("last_updated_ts", F.date_trunc(unit, "last_updated_ts")) for unit in ("second", "hour")]
+    out = hourly.duplicate_readings(parts[0]).unionByName(hourly.duplicate_readings(parts[1]))
     return out.select("household_id", "entity_id", ts("last_updated_ts"), big("n"))
 
 
@@ -328,26 +330,28 @@ def a2_hourly_load(spark: SparkSession, sf: str) -> DataFrame:
     return _load(spark, sf).select("household_id", "device", ts("hour_ts"), r6("value"))
 
 
+def _resampled(spark: SparkSession, sf: str, period: str) -> DataFrame:
+    rows = hourly.watt_rows(fx.readings(spark, sf), fx.WATT).withColumn("value", number("state"))
+    out = hourly.resample_mean(rows, ["household_id", "entity_id"], "last_updated_ts", ["value"], period)
+    return out.select("household_id", "entity_id", ts("last_updated_ts"), r6("value"))
+
+
 @query
 def a3_resample_7min(spark: SparkSession, sf: str) -> DataFrame:
-    """7-minute means counted from midnight of the first day; empty bins are NULL."""
-    rows = hourly.watt_rows(fx.readings(spark, sf), ["purchase"]).withColumn("value", number("state"))
-    out = hourly.resample_mean(rows, ["household_id"], "last_updated_ts", ["value"], "7T")
-    return out.select("household_id", ts("last_updated_ts"), r6("value"))
+    """7-minute means of every power device, counted from midnight of its first day; empty bins are NULL."""
+    return _resampled(spark, sf, "7T")
 
 
 @query
 def a3_resample_daily(spark: SparkSession, sf: str) -> DataFrame:
-    rows = hourly.watt_rows(fx.readings(spark, sf), ["signup"]).withColumn("value", number("state"))
-    out = hourly.resample_mean(rows, ["household_id"], "last_updated_ts", ["value"], "1D")
-    return out.select("household_id", ts("last_updated_ts"), r6("value"))
+    return _resampled(spark, sf, "1D")
 
 
 @query
 def a5_outlier_truncation(spark: SparkSession, sf: str) -> DataFrame:
-    """Every reading of a power sensor, cut at the quartile bounds of its device."""
+    """Every reading of a power sensor, cut at the quartile bounds of the household's device."""
     rows = hourly.watt_rows(fx.readings(spark, sf), fx.WATT).withColumn("value", number("state"))
-    out = clean.outlier_truncation(rows, ["entity_id"], "value", 0.2)
+    out = clean.outlier_truncation(rows, ["household_id", "entity_id"], "value", 0.2)
     return out.select("household_id", "entity_id", ts("last_updated_ts"), r6("value"))
 
 
@@ -393,14 +397,14 @@ def a16_last_reported(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a26_data_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Count, missing, mean, spread and quartiles per power sensor."""
+    """Count, missing, mean, spread and quartiles per household and power sensor."""
     rows = hourly.watt_rows(fx.readings(spark, sf), fx.WATT).withColumn("value", number("state"))
-    counted = rows.groupBy("entity_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = rows.groupBy("household_id", "entity_id", "value").agg(F.count(F.lit(1)).alias("n"))
     q = F.percentile("value", F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)]), F.col("n"))
     n = F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
     mean = F.sum(F.col("value") * F.col("n")) / n
     square = F.sum(F.col("value") * F.col("value") * F.col("n"))
-    out = counted.groupBy("entity_id").agg(
+    out = counted.groupBy("household_id", "entity_id").agg(
         big(n, "count"),
         big(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)), "missing"),
         r6(mean, "mean"),
@@ -414,10 +418,10 @@ def a26_data_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a26_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    """Readings per device in 10 equal bins of 0..500."""
+    """Readings per household and device in 10 equal bins of 0..500."""
     rows = hourly.watt_rows(fx.readings(spark, sf), fx.WATT).withColumn("value", number("state"))
     bin_ = F.width_bucket("value", F.lit(0.0), F.lit(500.0), F.lit(10))
-    return rows.groupBy("entity_id", integer(bin_, "bin")).agg(big(F.count(F.lit(1)), "n"))
+    return rows.groupBy("household_id", "entity_id", integer(bin_, "bin")).agg(big(F.count(F.lit(1)), "n"))
 
 
 # scalar functions ---------------------------------------------------------------------------------
@@ -444,5 +448,5 @@ def fn_dummies(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.states(spark, sf)
     month = dummies(F.date_format("last_updated_ts", "MMMM"), MONTH_NAMES, "month")
     entity = dummies(F.col("entity_id"), fx.ACTIVE, "entity")
-    flagged = rows.select("household_id", *month[:4], *entity)
+    flagged = rows.select("household_id", *month, *entity)
     return flagged.groupBy("household_id").agg(*[big(F.sum(c), c) for c in flagged.columns[1:]])

@@ -82,5 +82,5 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def households(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each household with its price zone."""
-    return states(spark, sf_dir).select("household_id").distinct().withColumn("zone", F.lit(ZONE))
+    """Each household with its price zone and weather station."""
+    return states(spark, sf_dir).select("household_id").distinct().withColumns({"zone": F.lit(ZONE), "station": F.lit(STATION)})

@@ -64,8 +64,8 @@ def nearest_start(starts: str, hour: str) -> Column:
 
 
 def run_cost(prices: str, hour: str, load: str) -> Column:
-    """Cost of a run's load with the day's prices from ``hour`` on; NULL without an hour."""
-    return F.expr(f"if({hour} IS NULL, NULL, {dot(f'slice({prices}, {hour} + 1, size({load}))', load)})")
+    """Cost of a run's load with the day's prices from ``hour`` on; NULL without an hour or prices."""
+    return F.expr(f"if({hour} IS NULL OR {prices} IS NULL, NULL, {dot(f'slice({prices}, {hour} + 1, size({load}))', load)})")
 
 
 def with_thresholds(df: DataFrame, activity_thresholds: list[float], usage_thresholds: list[float]) -> DataFrame:

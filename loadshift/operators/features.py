@@ -107,31 +107,37 @@ def load_input(states: DataFrame, devices: list[str], threshold: float, today: s
 def threshold_profile(
     states: DataFrame, devices: list[str], thresholds: list[float], today: str | None = None
 ) -> DataFrame:
-    """Share of active / used hours by hour, weekday and month, for every candidate threshold.
+    """Share of active / used hours by hour, weekday and month, per household and for every candidate threshold.
 
-    Rows shrink to (threshold, hour, weekday, month) sums before the three profiles are formed.
+    A household's hours shrink to sums per (hour, weekday, month), one set of columns for each threshold, so no row is
+    repeated before it is summed; the thresholds become rows afterwards.
     """
     cols = value_columns(devices)
     grid = dense_hours(hourly_means(states, devices, with_switches=True), cols, ["household_id"], today)
-    rows = grid.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
-    cells = rows.groupBy(
-        "threshold",
+    sums = []
+    for i, t in enumerate(thresholds):
+        limit = F.lit(float(t))
+        sums.append(F.sum(activity_flag(cols, repr(float(t)) + "D")).alias(f"activity_{i}"))
+        sums += [F.sum((F.col(c) >= limit).cast("int")).alias(f"{c}_{i}") for c in cols]
+    per_cell = grid.groupBy(
+        "household_id",
         F.hour("hour_ts").alias("hour"),
         F.weekday("hour_ts").alias("weekday"),
         F.month("hour_ts").alias("month"),
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(activity_flag(cols, "threshold")).alias("activity"),
-        *[F.expr(f"sum(cast({c} >= threshold AS int)) AS {c}") for c in cols],
-    )
+    ).agg(F.count(F.lit(1)).alias("n"), *sums)
+    by_threshold = [
+        F.struct(F.lit(float(t)).alias("threshold"), *[F.col(f"{c}_{i}").alias(c) for c in ("activity", *cols)])
+        for i, t in enumerate(thresholds)
+    ]
+    cells = per_cell.select("household_id", "hour", "weekday", "month", "n", F.inline(F.array(*by_threshold)))
     dims = F.array(
         F.struct(F.lit("hour").alias("dimension"), F.col("hour").cast("int").alias("bucket")),
         F.struct(F.lit("day_of_week").alias("dimension"), F.col("weekday").cast("int").alias("bucket")),
         F.struct(F.lit("month").alias("dimension"), F.col("month").cast("int").alias("bucket")),
     )
     profile = (
-        cells.select("threshold", "n", "activity", *cols, F.inline(dims))
-        .groupBy("threshold", "dimension", "bucket")
+        cells.select("household_id", "threshold", "n", "activity", *cols, F.inline(dims))
+        .groupBy("household_id", "threshold", "dimension", "bucket")
         .agg(
             (F.sum("activity") / F.sum("n")).alias("activity"),
             *[F.expr(f"sum({c}) / sum(n) AS {c}") for c in cols],

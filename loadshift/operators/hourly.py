@@ -130,12 +130,16 @@ def _seconds(period: str) -> int:
 
 
 def pivot_devices(rows: DataFrame, devices: list[str], value: Column, fill: float | None = 0.0) -> DataFrame:
-    """(household, timestamp) x device table; the device list is given, so no extra pass finds it."""
+    """(household, timestamp) x device table; the device list is given, so no extra pass finds it. Two readings of a device at
+    the same time have no place in it: the job fails and names them; ``duplicate_readings`` lists all."""
+    rows = rows.select("household_id", "last_updated_ts", "entity_id", value.alias("value"))
+    kind = rows.schema["value"].dataType
+    twice = F.concat_ws(" ", F.lit("several readings of one device at"), F.first("last_updated_ts"), F.lit("in household"), F.first("household_id"))
     wide = (
-        rows.select("household_id", "last_updated_ts", "entity_id", value.alias("value"))
+        rows
         .groupBy("household_id", "last_updated_ts")
         .pivot("entity_id", list(devices))
-        .agg(F.first("value"))
+        .agg(F.when(F.count(F.lit(1)) > 1, F.raise_error(twice).cast(kind)).otherwise(F.first("value")))
     )
     return wide if fill is None else wide.na.fill(fill, list(devices))
 

@@ -83,13 +83,14 @@ def enrich(weather: DataFrame, columns: list[str], key: str = "station", ts: str
     return min_max(knn_impute(weather, key, ts, kept), key, kept)
 
 
-def join_weather(features: DataFrame, weather: DataFrame, ts: str, grain: str = "hour") -> DataFrame:
-    """RIGHT join on the hour or day: weather rows without features stay, with NULL features.
+def join_weather(features: DataFrame, weather: DataFrame, stations: DataFrame, ts: str, grain: str = "hour") -> DataFrame:
+    """RIGHT join of each household to the weather of its station (household_id, station) on the hour or day: weather rows without
+    features stay, with NULL features.
 
-    Written as an inner join plus the unmatched weather rows. The small weather table may then be
-    broadcast, and no hour, which holds a row of every household, has to pass through one task.
+    Written as an inner join plus the unmatched weather rows, so that neither side of an hour that all households share has to
+    pass through one task: the weather may be broadcast, and a shuffled hot (station, hour) is split by adaptive execution.
     """
-    right = weather.withColumn("_at", F.date_trunc(grain, "time")).drop("station")
-    left = features.withColumn("_at", F.date_trunc(grain, ts))
-    unmatched = right.join(left.select("_at").distinct(), "_at", "left_anti")
-    return left.join(right, "_at").unionByName(unmatched, allowMissingColumns=True).drop("_at")
+    right = weather.withColumn("_at", F.date_trunc(grain, "time"))
+    left = features.withColumn("_at", F.date_trunc(grain, ts)).join(stations.select("household_id", "station"), "household_id")
+    unmatched = right.join(left.select("station", "_at").distinct(), ["station", "_at"], "left_anti")
+    return left.join(right, ["station", "_at"]).unionByName(unmatched, allowMissingColumns=True).drop("_at")

@@ -3,24 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-SALTS = 32
 
-
-def join_reference(big: DataFrame, small: DataFrame, keys: list[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def join_reference(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """LEFT join to a table such as prices per (zone, date), where one key may match a third of all rows.
 
-    The reference table is counted, at most up to the limit, and kept for the join that follows. Within
-    the limit it is broadcast and the big side does not move. Beyond it, the big side is salted by its
-    row content and the reference rows are repeated per salt, so a hot key is shared by many tasks.
+    No hint and no job: Spark broadcasts the reference table while its bytes stay below
+    spark.sql.autoBroadcastJoinThreshold, and otherwise shuffles, where adaptive execution splits the rows of a hot key.
     """
-    small = small.persist()
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return big.join(F.broadcast(small), keys, "left")
-    small = small.unpersist()
-    plain = [f"`{f.name}`" for f in big.schema.fields if "map<" not in f.dataType.simpleString()]
-    salted = big.selectExpr("*", f"pmod(xxhash64({', '.join(plain)}), {SALTS}) AS _salt")
-    repeated = small.selectExpr("*", f"explode(sequence(0L, {SALTS - 1}L)) AS _salt")
-    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
+    return big.join(small, keys, "left")

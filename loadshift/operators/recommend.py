@@ -18,8 +18,10 @@ COST_DIGITS = 9
 
 
 def with_costs(profiles: DataFrame, households: DataFrame, horizon: DataFrame) -> DataFrame:
-    """profiles + costs[24]. A zone's horizon is one row per date, matched by all its households."""
-    priced = join_reference(profiles.join(households, "household_id"), horizon, ["zone", "date"])
+    """profiles + costs[24]. A zone's horizon is one row per date, matched by all its households. A household without a zone stays,
+    without costs."""
+    zoned = join_reference(profiles, households.select("household_id", "zone"), ["household_id"])
+    priced = join_reference(zoned, horizon, ["zone", "date"])
     return priced.withColumn("costs", sliding_costs("prices", "load"))
 
 
@@ -45,7 +47,7 @@ def recommend(inputs: DataFrame, activity_threshold: str | float, usage_threshol
     a = activity_threshold if isinstance(activity_threshold, str) else f"{float(activity_threshold)!r}D"
     any_ok = f"exists(probs, p -> coalesce(p >= {a}, false))"
     best = F.coalesce(cheapest_hour("costs", f"get(probs, s.hour) >= {a}"), cheapest_hour("costs"))
-    error = """CASE WHEN best_launch_hour IS NULL THEN 'no price'
+    error = """CASE WHEN zone IS NULL THEN 'no price zone' WHEN best_launch_hour IS NULL THEN 'no price'
         WHEN probs IS NULL THEN 'no activity prediction' WHEN usage_p IS NULL THEN 'no usage prediction' END AS error"""
     out = inputs.select(
         "*",
@@ -81,6 +83,7 @@ def recommendation_table(recs: DataFrame, names: DataFrame) -> DataFrame:
     return named.select(
         F.concat_ws("_", F.date_format(tomorrow, "yyyy-MM-dd"), F.col("device")).alias("index"),
         "household_id",
+        "zone",
         F.col("date").alias("recommendation_calculation_date"),
         tomorrow.alias("recommendation_date"),
         "device",

@@ -137,8 +137,8 @@ def run(
     """prepare -> predict -> recommend with every stage written below ``path``, one folder per stage."""
 
     def stage(name: str, df: DataFrame) -> DataFrame:
-        store.dump(f"{path}/{name}", {"output": df}, config.model_type, config.weather)
-        return store.load(spark, f"{path}/{name}", ["output"])["output"].drop("model_type", "weather")
+        store.dump(f"{path}/{name}", {"output": df}, model_type, model_type, config.weather)
+        return store.load(spark, f"{path}/{name}", ["output"])["output"].drop("activity_model", "usage_model", "weather")
 
     prepared = prepare(states, config, today)
     prepared = Prepared(

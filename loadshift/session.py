@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,8 +34,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder; a local one only where none is set."""
+    """A new folder below the cluster's shared checkpoint folder. Where none is set, a session inside one process gets a local one;
+    a cluster, whose machines would not see each other's files, gets an error."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/loadshift-{uuid.uuid4().hex}"
+    if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     return tempfile.mkdtemp(prefix="loadshift-")

@@ -1,4 +1,4 @@
-"""Stage tables between sessions: Parquet by model type, weather flag and household bucket, plus JSON configs."""
+"""Stage tables between sessions: Parquet by activity model, usage model, weather flag and household bucket, plus JSON configs."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # One folder per household would mean millions of folders; a household lies in one of these buckets,
 # sorted by household, so a lookup opens one folder and skips most row groups.
 BUCKETS = 64
-PARTITIONS = ["model_type", "weather", "bucket"]
+PARTITIONS = ["activity_model", "usage_model", "weather", "bucket"]
 # The tables a run may leave behind.
 TABLES = ["config", "df", "output", "results", "scores", "predictions", "predictions_usage"]
 
@@ -17,23 +17,28 @@ def bucket(household: Column | str) -> Column:
     return F.pmod(F.xxhash64(household), F.lit(BUCKETS)).cast("int")
 
 
-def dump(path: str, tables: dict[str, DataFrame], model_type: str, weather: bool, salts: int = 4) -> None:
-    """Write each table below ``path``. A salt of the whole row spreads a hot household over ``salts`` tasks."""
+def dump(path: str, tables: dict[str, DataFrame], activity_model: str, usage_model: str, weather: bool) -> None:
+    """Write each table below ``path``; only the buckets and models written are replaced, whatever else is there stays.
+
+    Rows are laid out by ranges of (bucket, household, row content), as many as the session has shuffle partitions, so a hot
+    household is spread over many tasks and the number of tasks follows the session.
+    """
     for name, df in tables.items():
         if name not in TABLES:
             raise ValueError(f"unknown table {name!r}")
         out = (
-            df.withColumn("model_type", F.lit(model_type))
+            df.withColumn("activity_model", F.lit(activity_model))
+            .withColumn("usage_model", F.lit(usage_model))
             .withColumn("weather", F.lit(weather))
             .withColumn("bucket", bucket("household_id"))
         )
-        if name == "config":
-            out.write.mode("overwrite").partitionBy(*PARTITIONS).json(f"{path}/{name}")
-            continue
-        hashable = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
-        salt = F.pmod(F.xxhash64(*hashable), F.lit(salts))
-        ordered = out.repartition("bucket", salt).sortWithinPartitions("bucket", "household_id")
-        ordered.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{path}/{name}")
+        if name != "config":
+            hashable = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
+            ranged = out.withColumn("_spread", F.xxhash64(*hashable))
+            n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            out = ranged.repartitionByRange(n, "bucket", "household_id", "_spread").sortWithinPartitions("bucket", "household_id").drop("_spread")
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS)
+        writer.json(f"{path}/{name}") if name == "config" else writer.parquet(f"{path}/{name}")
 
 
 def load(spark: SparkSession, path: str, names: list[str], household: int | None = None) -> dict[str, DataFrame]:
