@@ -35,9 +35,9 @@ def sentence(inactive: str, weekday: str) -> str:
 
 
 SQL = {
-    "m4_knn_usage": with_(f"SELECT {HD}, {day('day - 1', 'date')}, {day('day')}, y, {r6('p')} FROM ku_p"),
+    "m4_knn_usage": with_(f"SELECT {HD}, {day('day - 1', 'date')}, {day('day')}, y, {r6('p')}, error FROM ku_p"),
     "m4_knn_activity": with_(
-        f"SELECT household_id, {day('day - 1', 'date')}, {ts('hour_ts')}, y, {r6('p')} FROM ka_p"
+        f"SELECT household_id, {day('day - 1', 'date')}, {ts('hour_ts')}, y, {r6('p')}, error FROM ka_p"
     ),
     "m14_knn_impute": with_(
         "SELECT 'W1' AS station, strftime(wi.time, '%Y-%m-%d %H:%M:%S') AS time, "
@@ -69,7 +69,7 @@ SQL = {
     "e2_knn_activity_auc": with_(
         f"SELECT household_id, {r6('auc')}, CAST(n AS BIGINT) AS n FROM x",
         x=auc_sql("y", "household_id"),
-        y="SELECT household_id, p, sum(y) AS n_pos, sum(1 - y) AS n_neg FROM ka_p GROUP BY ALL",
+        y="SELECT household_id, p, sum(y) AS n_pos, sum(1 - y) AS n_neg FROM ka_p WHERE p IS NOT NULL GROUP BY ALL",
     ),
     "e3_load_errors": with_(f"SELECT {HD}, {ts('run_start')}, {r6('error')} FROM mse"),
     "e3_load_score": with_(f"SELECT {HD}, {r6('avg(error)', 'error')}, count(*) AS n_runs FROM mse GROUP BY {HD}"),

@@ -257,11 +257,11 @@ PARTS: dict[str, str] = {
       day >= min(day) OVER (PARTITION BY household_id, device) + 3 AS ok FROM us""",
     "ku_nn": """SELECT t.household_id, t.device, t.day, t.usage AS y, r.usage,
       row_number() OVER (PARTITION BY t.household_id, t.device, t.day ORDER BY pow(t.a - r.a, 2) + pow(t.b - r.b, 2) + pow(t.c - r.c, 2), r.day DESC) AS k,
-      count(*) OVER g AS n, min(r.usage) OVER g AS lo, max(r.usage) OVER g AS hi
-      FROM ku t JOIN ku r ON r.household_id = t.household_id AND r.device = t.device AND r.ok AND r.day < t.day
+      count(r.usage) OVER g AS n, min(r.usage) OVER g AS lo, max(r.usage) OVER g AS hi
+      FROM ku t LEFT JOIN ku r ON r.household_id = t.household_id AND r.device = t.device AND r.ok AND r.day < t.day
       WHERE t.day - 1 BETWEEN DATE '2024-01-05' AND DATE '2024-01-29' WINDOW g AS (PARTITION BY t.household_id, t.device, t.day)""",
-    "ku_p": """SELECT household_id, device, day, any_value(y) AS y, avg(usage) AS p FROM ku_nn
-      WHERE k <= 10 AND n >= 10 AND lo < hi GROUP BY household_id, device, day""",
+    "ku_p": """SELECT household_id, device, day, any_value(y) AS y, CASE WHEN any_value(error) IS NULL THEN avg(usage) END AS p, any_value(error) AS error
+      FROM (SELECT *, CASE WHEN n = 0 THEN 'no training rows' WHEN lo = hi THEN 'one class in the training rows' WHEN n < 10 THEN 'fewer training rows than neighbours' END AS error FROM ku_nn) WHERE k <= 10 GROUP BY household_id, device, day""",
     "ka": """SELECT household_id, hour_ts, CAST(hour_ts AS DATE) AS day, activity, hour, isodow(hour_ts) AS wd,
       coalesce(activity_lag_24, 0) AS a, coalesce(activity_lag_48, 0) AS b, coalesce(activity_lag_72, 0) AS c,
       CAST(hour_ts AS DATE) >= min(CAST(hour_ts AS DATE)) OVER (PARTITION BY household_id) + 3 AS ok FROM actf""",
@@ -269,11 +269,11 @@ PARTS: dict[str, str] = {
       row_number() OVER (PARTITION BY t.household_id, t.hour_ts ORDER BY (t.hour - r.hour) * (t.hour - r.hour)
         + CASE WHEN t.wd = r.wd THEN 0 WHEN t.wd = 5 OR r.wd = 5 THEN 1 ELSE 2 END
         + abs(t.a - r.a) + abs(t.b - r.b) + abs(t.c - r.c), r.hour_ts DESC) AS k,
-      count(*) OVER g AS n, min(r.activity) OVER g AS lo, max(r.activity) OVER g AS hi
-      FROM ka t JOIN ka r ON r.household_id = t.household_id AND r.ok AND r.day < t.day
+      count(r.activity) OVER g AS n, min(r.activity) OVER g AS lo, max(r.activity) OVER g AS hi
+      FROM ka t LEFT JOIN ka r ON r.household_id = t.household_id AND r.ok AND r.day < t.day
       WHERE t.day - 1 BETWEEN DATE '2024-01-05' AND DATE '2024-01-29' WINDOW g AS (PARTITION BY t.household_id, t.hour_ts)""",
-    "ka_p": """SELECT household_id, hour_ts, day, any_value(y) AS y, avg(activity) AS p FROM ka_nn
-      WHERE k <= 10 AND n >= 10 AND lo < hi GROUP BY household_id, hour_ts, day""",
+    "ka_p": """SELECT household_id, hour_ts, day, any_value(y) AS y, CASE WHEN any_value(error) IS NULL THEN avg(activity) END AS p, any_value(error) AS error
+      FROM (SELECT *, CASE WHEN n = 0 THEN 'no training rows' WHEN lo = hi THEN 'one class in the training rows' WHEN n < 10 THEN 'fewer training rows than neighbours' END AS error FROM ka_nn) WHERE k <= 10 GROUP BY household_id, hour_ts, day""",
     # weather imputation: all pairs of an hour with a gap and the hours that have the value
     "wl": "SELECT time, unnest(['temp','dwpt','rhum','wdir','wspd']) AS c, unnest([temp, dwpt, rhum, wdir, wspd]) AS v FROM we",
     "wg": "SELECT time FROM wl GROUP BY time HAVING count(v) < 5",

@@ -12,7 +12,7 @@ from loadshift import fixtures as fx
 from loadshift.catalog.decisions import FIRST, KEYS, LAST
 from loadshift.catalog.features import CONFIG, activity_table, load_table, usage_table
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
-from loadshift.operators import explain, impute, models, rates, score
+from loadshift.operators import cells, explain, impute, models, rates, score
 from loadshift.operators.learners import LEARNERS
 from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
 from loadshift.plans import stages
@@ -36,16 +36,24 @@ def _usage_rated(spark: SparkSession, sf: str) -> DataFrame:
 # models -------------------------------------------------------------------------------------------
 
 
+CELL_MODELS = {"logit": cells.logit_usage, "logit_sm": cells.logit_sm_usage, "knn": cells.knn_usage}
+
+
 def _usage_model(spark: SparkSession, sf: str, model_type: str, first: str = FIRST, **args) -> DataFrame:
-    out = models.usage_walk_forward(usage_table(spark, sf), model_type, first, LAST, **args)
-    return out.select(*KEYS, day("date"), day("day"), "y", r6("p"))
+    """Models of running counts where there are any, one fit per household, device and date otherwise."""
+    table = usage_table(spark, sf)
+    if model_type in CELL_MODELS:
+        out = CELL_MODELS[model_type](table, first, LAST)
+    else:
+        out = models.usage_walk_forward(table, model_type, first, LAST, **args)
+    return out.select(*KEYS, day("date"), day("day"), "y", r6("p"), "error")
 
 
 @query
 def m3_logit_activity(spark: SparkSession, sf: str) -> DataFrame:
     """Logistic regression per household and date: probability of activity for every hour of the next day."""
     out = models.activity_walk_forward(activity_table(spark, sf), "logit", FIRST, LAST)
-    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"))
+    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
 @query
@@ -57,7 +65,7 @@ def m3_logit_usage(spark: SparkSession, sf: str) -> DataFrame:
 def m4_knn_activity(spark: SparkSession, sf: str) -> DataFrame:
     """Share of active hours among the 10 nearest training hours."""
     out = models.activity_walk_forward(activity_table(spark, sf), "knn", FIRST, LAST)
-    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"))
+    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
 @query
@@ -110,7 +118,7 @@ def m10_m11_distributed_logit(spark: SparkSession, sf: str) -> DataFrame:
 def m12_next_day_activity(spark: SparkSession, sf: str) -> DataFrame:
     """One date: the random forest of every household for the hours of the next day."""
     out = models.activity_walk_forward(activity_table(spark, sf), "random forest", LAST, LAST)
-    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"))
+    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
 @query
@@ -121,7 +129,7 @@ def m12_next_day_with_weather(spark: SparkSession, sf: str) -> DataFrame:
     out = models.activity_walk_forward(
         table, "xgboost", "2024-01-25", "2024-01-25", features=[*ACTIVITY_FEATURES, *WEATHER]
     )
-    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"))
+    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
 # weather ------------------------------------------------------------------------------------------

@@ -10,12 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.operators import learners
-from loadshift.operators.models import USAGE_FEATURES, _prepare, _trainable, spread, train_mask
+from loadshift.operators.models import USAGE_FEATURES, _prepare, spread, train_mask, untrainable
 
 IMPORTANCE = "array<struct<feature:string,importance:double>>"
-# Model types explained against a sample of the training rows; the others use all of them.
-SAMPLED_BACKGROUND = ("logit", "ada", "knn", "ebm", "logit_sm")
-BACKGROUND_ROWS = 100
 # Labels of the weather columns in sentences.
 WEATHER_LABELS = {
     "dwpt": "dewing point",
@@ -99,9 +96,9 @@ def explain(
     seed: int = 0,
     **args,
 ) -> DataFrame:
-    """Fit per date and explain rows of the day after: y, p, base_value, importance and the LIME value.
+    """Fit per date and explain rows of the day after: y, p, base_value, importance and the LIME value, all NULL where no fit is possible.
 
-    Shapley values enumerate all coalitions of the features against the background rows. ``targets``
+    Shapley values enumerate all coalitions of the features against all training rows. ``targets``
     (keys + ts) limits the explained rows, e.g. to the recommended hours. The group is one household's
     hours; Spark spreads the households.
     """
@@ -142,14 +139,15 @@ def explain(
         out = []
         for date in dates:
             train, test = train_mask(day, date), (day == date + 1) & wanted
-            if not test.any() or not _trainable(y[train], model_type, args):
+            if not test.any():
+                continue
+            if untrainable(y[train], model_type, args):
+                out += [[*key, date.item(), times[i], int(y[i]), None, None, None, None] for i in np.flatnonzero(test)]
                 continue
             T = X[train]
             score = learners.fit(T, y[train], 1 - y[train], model_type, **args)
-            background = T
-            if model_type in SAMPLED_BACKGROUND and len(T) > BACKGROUND_ROWS:
-                background = T[rng.choice(len(T), BACKGROUND_ROWS, replace=False)]
-            cells, count = np.unique(background, axis=0, return_counts=True)
+            # Every training row is background; equal rows are one cell with their number.
+            cells, count = np.unique(T, axis=0, return_counts=True)
             for i in np.flatnonzero(test):
                 base, phi = shapley(score, X[i], cells, count / count.sum())
                 near = lime(score, X[i], T, rng) if lime_samples else None

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import numpy as np
 
-MAX_THRESHOLDS = 32
 # Numbers held at once while distances are formed, so memory does not grow with a long history.
 MAX_CELLS = 4_000_000
 
@@ -72,14 +71,14 @@ def knn(X, pos, neg, n_neighbors=10):
     return score
 
 
-def _thresholds(X):
-    """Candidate splits (feature, threshold): midpoints between distinct values, at most 32 per feature."""
+def _thresholds(X, bins=None):
+    """Candidate splits (feature, threshold): all midpoints between distinct values, or quantiles of them into ``bins`` bins."""
     features, cuts = [], []
     for j in range(X.shape[1]):
         v = np.unique(X[:, j])
         mid = (v[:-1] + v[1:]) / 2
-        if len(mid) > MAX_THRESHOLDS:
-            mid = np.unique(np.quantile(mid, np.linspace(0, 1, MAX_THRESHOLDS), method="nearest"))
+        if bins is not None and len(mid) >= bins:
+            mid = np.unique(np.quantile(mid, np.linspace(0, 1, bins - 1), method="nearest"))
         features += [j] * len(mid)
         cuts += list(mid)
     return np.array(features, dtype=int), np.array(cuts)
@@ -143,8 +142,8 @@ def _leaf_values(B, split, value):
         node = np.where(live, base + 2 * (node - base) + 1 + B[at, np.maximum(s, 0)].astype(int), node)
 
 
-def _design(X):
-    f, t = _thresholds(X)
+def _design(X, bins=None):
+    f, t = _thresholds(X, bins)
     return f, lambda Z: (Z[:, f] > t).astype(float)
 
 
@@ -198,11 +197,11 @@ def ada(X, pos, neg, learning_rate=0.1, n_estimators=100):
     return score
 
 
-def xgboost(X, pos, neg, learning_rate=0.1, max_depth=6, reg_lambda=1.0, reg_alpha=0.0, n_estimators=100):
-    """Newton-boosted trees from a start of 0.5, at least one unit of curvature per leaf."""
+def xgboost(X, pos, neg, learning_rate=0.1, max_depth=6, reg_lambda=1.0, reg_alpha=0.0, n_estimators=100, max_bin=256):
+    """Newton-boosted trees from a start of 0.5, at least one unit of curvature per leaf. ``max_bin`` is a parameter of the model."""
     if reg_alpha:
         raise ValueError("reg_alpha other than 0 is not available")
-    f, design = _design(X)
+    f, design = _design(X, max_bin)
     B = design(X)
     n = pos + neg
     margin = np.zeros(len(X))

@@ -23,6 +23,7 @@ DAY_DUMMIES = [f"day_name_{d}" for d in ("Monday", "Tuesday", "Wednesday", "Thur
 ACTIVITY_FEATURES = ["hour", *DAY_DUMMIES, "activity_lag_24", "activity_lag_48", "activity_lag_72"]
 USAGE_FEATURES = ["usage_lag_1", "usage_lag_2", "active_last_2_days"]
 LEAD_DAYS = 3
+NO_ROWS, ONE_CLASS, FEW_ROWS = "no training rows", "one class in the training rows", "fewer training rows than neighbours"
 
 
 def train_mask(day, date, train_days=None, floor=None):
@@ -47,8 +48,13 @@ def _counts(cell, y, rows, n_cells):
     return np.bincount(cell[rows], y[rows], n_cells), np.bincount(cell[rows], minlength=n_cells).astype(float)
 
 
-def _trainable(y, model_type, args):
-    return len(np.unique(y)) == 2 and (model_type != "knn" or len(y) >= args.get("n_neighbors", 10))
+def untrainable(y, model_type, args) -> str | None:
+    """Why no model can be fitted to these labels, or None."""
+    if not len(y):
+        return NO_ROWS
+    if len(np.unique(y)) < 2:
+        return ONE_CLASS
+    return FEW_ROWS if model_type == "knn" and len(y) < args.get("n_neighbors", 10) else None
 
 
 def spread(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -74,17 +80,18 @@ def walk_forward(
 ) -> DataFrame:
     """Fit on the days up to each date and score.
 
-    scope 'test': one row per row of the day after the date (keys, date, ts, y, p).
+    scope 'test': one row per row of the day after the date (keys, date, ts, y, p, error); where no fit is possible, p is NULL and error
+    says why.
     scope 'train' / 'all': score cells (keys, date, p, n_pos, n_neg) of the training rows / of all rows.
-    Dates whose training set has a single class, or too few rows, give no rows.
+    There, dates whose training set has a single class, or too few rows, have no score and no rows.
     """
     if model_type not in learners.LEARNERS:
         raise ValueError(f"unknown model type {model_type!r}")
     dates = np.arange(np.datetime64(first_date, "D"), np.datetime64(last_date, "D") + 1)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     head = ", ".join(f"`{k}` {fields[k]}" for k in keys)
-    tail = f"`{ts}` {fields[ts]}, y int, p double" if scope == "test" else "p double, n_pos bigint, n_neg bigint"
-    columns = [*keys, "date", ts, "y", "p"] if scope == "test" else [*keys, "date", "p", "n_pos", "n_neg"]
+    tail = f"`{ts}` {fields[ts]}, y int, p double, error string" if scope == "test" else "p double, n_pos bigint, n_neg bigint"
+    columns = [*keys, "date", ts, "y", "p", "error"] if scope == "test" else [*keys, "date", "p", "n_pos", "n_neg"]
 
     def one_group(pdf: pd.DataFrame) -> pd.DataFrame:
         chunk = int(pdf["_chunk"].iloc[0])
@@ -94,13 +101,19 @@ def walk_forward(
         parts = []
         for date in dates[chunk::chunks]:
             train, test = train_mask(day, date, train_days, floor), day == date + 1
-            if not test.any() or not _trainable(y[train], model_type, args):
+            if not test.any():
+                continue
+            error = untrainable(y[train], model_type, args)
+            if error:
+                if scope == "test":
+                    part = {ts: pdf.loc[test, ts].to_numpy(), "y": y[test].astype("int32"), "p": np.nan, "error": error}
+                    parts.append(pd.DataFrame(part).assign(date=date.item(), **dict(zip(keys, key))))
                 continue
             pos, n = _counts(at, y, train, len(cells))
             seen = n > 0
             score = learners.LEARNERS[model_type](cells[seen], pos[seen], (n - pos)[seen], **args)
             if scope == "test":
-                part = {ts: pdf.loc[test, ts].to_numpy(), "y": y[test].astype("int32"), "p": score(X[test])}
+                part = {ts: pdf.loc[test, ts].to_numpy(), "y": y[test].astype("int32"), "p": score(X[test]), "error": None}
             else:
                 if scope == "all":
                     pos, n = _counts(at, y, np.ones(len(y), dtype=bool), len(cells))
@@ -112,7 +125,9 @@ def walk_forward(
 
     chunk = F.explode(F.array(*[F.lit(i) for i in range(chunks)])).alias("_chunk")
     needed = spread(df.select(*keys, ts, *features, label, chunk), [*keys, "_chunk"])
-    return needed.groupBy(*keys, "_chunk").applyInPandas(one_group, f"{head}, date date, {tail}")
+    out = needed.groupBy(*keys, "_chunk").applyInPandas(one_group, f"{head}, date date, {tail}")
+    # pandas has no NULL among numbers.
+    return out.withColumn("p", F.when(~F.isnan("p"), F.col("p"))) if scope == "test" else out
 
 
 def activity_walk_forward(table: DataFrame, model_type: str, first_date: str, last_date: str, **kw) -> DataFrame:

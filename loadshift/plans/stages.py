@@ -60,7 +60,7 @@ def typical_loads(load: DataFrame, first_date: str, last_date: str) -> DataFrame
 def probability_arrays(rows: DataFrame) -> DataFrame:
     """(household, date, hour_ts, p) of the next day to one probs[24] per (household, date)."""
     ordered = F.expr("transform(sort_array(collect_list(struct(hour_ts, p))), s -> s.p) AS probs")
-    return rows.groupBy("household_id", "date").agg(ordered)
+    return rows.filter(F.col("p").isNotNull()).groupBy("household_id", "date").agg(ordered)
 
 
 def predict(prepared: Prepared, model_type: str, first_date: str, last_date: str, **args) -> Predicted:

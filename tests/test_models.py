@@ -200,3 +200,58 @@ def test_weather_clause_names_the_two_strongest_columns(spark):
         "We believe you are active today since you were not active during the last two days."
         "The weather conditions (temperature:1.23, windspeed:1.23) support that recommendation."
     )
+
+
+def test_cell_models_equal_one_fit_per_date(spark):
+    from loadshift.operators import cells
+
+    df = usage_rows(spark)
+    by_name = {"logit": cells.logit_usage, "logit_sm": cells.logit_sm_usage, "knn": cells.knn_usage}
+    for name, of_cells in by_name.items():
+        want = {(r.household_id, r.date): (r.p, r.error) for r in models.usage_walk_forward(df, name, "2024-01-02", "2024-01-23").collect()}
+        got = {(r.household_id, r.date): (r.p, r.error) for r in of_cells(df, "2024-01-02", "2024-01-23").collect()}
+        assert got.keys() == want.keys() and len(got) == 44
+        for k, (p, error) in want.items():
+            assert got[k][1] == error and (got[k][0] == pytest.approx(p, abs=1e-6) if p is not None else got[k][0] is None)
+        assert {e for _, e in got.values()} >= {None, "no training rows"}
+
+
+def test_store_keeps_other_models_and_households(spark):
+    from loadshift.session import scratch_dir
+    from loadshift.sources import store
+
+    path = scratch_dir(spark)
+    one = spark.createDataFrame([(1, 1.0), (2, 2.0)], "household_id int, x double")
+    store.dump(path, {"output": one}, "knn", "rate", False)
+    store.dump(path, {"output": one}, "logit", "rate", False)
+    store.dump(path, {"output": spark.createDataFrame([(3, 3.0)], "household_id int, x double")}, "knn", "rate", False)
+    back = store.load(spark, path, ["output"])["output"]
+    got = sorted((r.activity_model, r.household_id) for r in back.collect())
+    assert {("logit", 1), ("logit", 2), ("knn", 3)} <= set(got)
+
+
+def test_weather_follows_the_station_of_the_household(spark):
+    features = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00")], "household_id int, t string").selectExpr("household_id", "cast(t AS timestamp) AS hour_ts")
+    weather = spark.createDataFrame([("A", 1.0), ("B", 2.0), ("C", 3.0)], "station string, temp double").withColumn("time", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    stations = spark.createDataFrame([(1, "A"), (2, "B")], "household_id int, station string")
+    got = {(r.household_id, r.station, r.temp) for r in impute.join_weather(features, weather, stations, "hour_ts").collect()}
+    assert got == {(1, "A", 1.0), (2, "B", 2.0), (None, "C", 3.0)}
+
+
+def test_pivot_refuses_two_readings_at_one_time(spark):
+    from loadshift.operators import hourly
+
+    rows = spark.createDataFrame([(1, "a", 1.0), (1, "a", 9.0)], "household_id int, entity_id string, v double").withColumn("last_updated_ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    with pytest.raises(Exception, match="several readings"):
+        hourly.pivot_devices(rows, ["a"], F.col("v")).collect()
+    assert hourly.duplicate_readings(rows).first().n == 2
+
+
+def test_prices_follow_the_zone(spark):
+    from loadshift.operators import recommend
+
+    profiles = spark.createDataFrame([(1, "x", "2024-01-01", [1.0] * 24), (2, "x", "2024-01-01", [1.0] * 24), (3, "x", "2024-01-01", [1.0] * 24)], "household_id int, device string, date string, load array<double>")
+    homes = spark.createDataFrame([(1, "Z1"), (2, "Z2")], "household_id int, zone string")
+    horizon = spark.createDataFrame([("Z1", "2024-01-01", [1.0] * 48), ("Z2", "2024-01-01", [2.0] * 48)], "zone string, date string, prices array<double>")
+    got = {r.household_id: r.costs and r.costs[0] for r in recommend.with_costs(profiles, homes, horizon).collect()}
+    assert set(got) == {1, 2, 3} and got[2] == pytest.approx(2 * got[1]) and got[3] is None
