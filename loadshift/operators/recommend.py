@@ -47,7 +47,8 @@ def recommend(inputs: DataFrame, activity_threshold: str | float, usage_threshol
     a = activity_threshold if isinstance(activity_threshold, str) else f"{float(activity_threshold)!r}D"
     any_ok = f"exists(probs, p -> coalesce(p >= {a}, false))"
     best = F.coalesce(cheapest_hour("costs", f"get(probs, s.hour) >= {a}"), cheapest_hour("costs"))
-    error = """CASE WHEN zone IS NULL THEN 'no price zone' WHEN best_launch_hour IS NULL THEN 'no price'
+    zone = "zone IS NULL" if "zone" in inputs.columns else "false"
+    error = f"""CASE WHEN {zone} THEN 'no price zone' WHEN best_launch_hour IS NULL THEN 'no price'
         WHEN probs IS NULL THEN 'no activity prediction' WHEN usage_p IS NULL THEN 'no usage prediction' END AS error"""
     out = inputs.select(
         "*",
@@ -83,7 +84,7 @@ def recommendation_table(recs: DataFrame, names: DataFrame) -> DataFrame:
     return named.select(
         F.concat_ws("_", F.date_format(tomorrow, "yyyy-MM-dd"), F.col("device")).alias("index"),
         "household_id",
-        "zone",
+        *[c for c in recs.columns if c == "zone"],
         F.col("date").alias("recommendation_calculation_date"),
         tomorrow.alias("recommendation_date"),
         "device",

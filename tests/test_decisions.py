@@ -94,14 +94,26 @@ def test_grid_equals_single_pairs(spark):
                 assert [g[c] for c in backtest.RESULT] == [r[c] for c in backtest.RESULT]
 
 
-def test_salted_join_equals_broadcast_join(spark):
-    big = spark.range(2000).selectExpr("cast(id % 3 AS int) AS k", "id AS v")
-    small = spark.createDataFrame([(0, "x"), (1, "y")], "k int, name string")
-    a = joins.join_reference(big, small, ["k"])
-    b = joins.join_reference(big, small, ["k"], max_rows=1)
-    assert sorted(map(tuple, a.select("k", "v", "name").collect()), key=str) == sorted(
-        map(tuple, b.select("k", "v", "name").collect()), key=str
-    )
+def test_reference_join_keeps_unmatched_rows_and_runs_no_job(spark):
+    big = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
+    small = spark.createDataFrame([(1, "one")], "k int, name string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    joined = joins.join_reference(big, small, ["k"])
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("", "")
+    assert sorted(map(tuple, joined.select("v", "name").collect()), key=str) == [("a", "one"), ("b", "one"), ("c", None), ("d", None)]
+
+
+@pytest.mark.parametrize("name", ["r7_j6_recommendation_table", "r11_back_test", "r13_a17_grid_search", "a5_outlier_truncation"])
+def test_queries_build_without_jobs_or_cached_tables(spark, sf, name):
+    import __spark_entry__ as entry
+
+    spark.sparkContext.setJobGroup(name, name)
+    entry.queries()[name](spark, sf)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+    spark.sparkContext.setJobGroup("", "")
+    assert not jobs and not spark.sparkContext._jsc.getPersistentRDDs()
 
 
 def test_leap_day_is_not_replicated(spark, tmp_path):
