@@ -28,7 +28,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return found.drop("row")
+    return found.select("doc_id", "item_id", "start", "length", "similarity")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,94 @@
-"""DuckDB SQL for those queries that SQL can express."""
+"""DuckDB SQL for those queries that SQL can express. Hash filters, sketches and pigeonholes only find candidates, so SQL states what
+remains after the exact checks."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from loadshift.llm import secret_scan, url_rules
+
+WORD = r"'[^\x20\x09-\x0D]+'"
+ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def run_of(words: str, first: str, n: int) -> str:
+    return f"array_to_string(list_slice({words}, {first}, {first} + {n - 1}), ' ')"
+
+
+DEDUP = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORD}) AS w FROM documents),
+windows AS (SELECT doc_id, i, md5({run_of("w", "i", 50)}) AS h FROM d, unnest(range(1, len(w) - 48)) r(i)),
+firsts AS (SELECT h, min(doc_id) AS m FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (h) WHERE m < doc_id),
+each AS (SELECT doc_id, p, w[p] AS x FROM d, unnest(range(1, len(w) + 1)) r(p)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS k FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+LEAKS = f"""
+WITH it AS (SELECT item_id, regexp_extract_all(lower(text), {WORD}) AS w FROM benchmark),
+ig AS (SELECT item_id, len(w) AS size, i - 1 AS q, {run_of("w", "i", 5)} AS g FROM it, unnest(range(1, len(w) - 3)) r(i)),
+dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), {WORD}) AS w FROM documents),
+dg AS (SELECT doc_id, len(w) AS n, i - 1 AS p, {run_of("w", "i", 5)} AS g FROM dw, unnest(range(1, len(w) - 3)) r(i)),
+win AS (SELECT DISTINCT doc_id, size, greatest(0, least(p - q, n - least(size, n))) AS s, least(size, n) AS len
+  FROM dg JOIN (SELECT DISTINCT size, q, g FROM ig) USING (g)),
+wb AS (SELECT win.doc_id, size, s, len, g, count(*) AS c FROM win JOIN dg ON dg.doc_id = win.doc_id AND p BETWEEN s AND s + len - 5 GROUP BY ALL),
+wt AS (SELECT doc_id, size, s, sum(c) AS t FROM wb GROUP BY ALL),
+ib AS (SELECT item_id, size, g, count(*) AS c FROM ig GROUP BY ALL),
+tt AS (SELECT item_id, sum(c) AS t FROM ib GROUP BY ALL),
+j AS (SELECT doc_id, item_id, size, s, len, sum(least(wb.c, ib.c)) AS c FROM wb JOIN ib USING (size, g) GROUP BY ALL),
+k AS (SELECT doc_id, item_id, s, len, CAST(j.c AS DOUBLE) / CAST(wt.t + tt.t - j.c AS DOUBLE) AS similarity FROM j JOIN wt USING (doc_id, size, s) JOIN tt USING (item_id))
+SELECT doc_id, item_id, CAST(arg_max(s, (similarity, -s)) AS INTEGER) AS start, CAST(arg_max(len, (similarity, -s)) AS INTEGER) AS length, max(similarity) AS similarity
+FROM k WHERE similarity >= 0.8 GROUP BY doc_id, item_id"""
+
+HOST = ASCII_LOWER.format(r"coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")
+BASE_RULES = ", ".join(f"({text(r.name)}, {text(r.verdict)}, {text(r.name.split('/', 1)[0])}, {text('/' + r.name.split('/', 1)[1])})" for r in url_rules.BASE_RULES)
+URLS = rf"""
+WITH p AS (SELECT page_id, {HOST} AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(name, v, h, q) AS (VALUES {BASE_RULES}),
+best AS (SELECT page_id, arg_max(name, length(name)) AS rule, arg_max(v, length(name)) AS v FROM p
+  JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY page_id)
+SELECT p.page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches(host, '(?:^|[.-])(?:{"|".join(url_rules.HOST_WORDS)})(?:[.-]|$)')
+  THEN 'block' ELSE 'allow' END) AS verdict FROM p LEFT JOIN best USING (page_id)"""
+
+
+def secrets() -> str:
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, '{r.kind}' AS kind, {i} AS place, {r.least} AS least, regexp_extract_all(t, {text(r.pattern)}) AS m,
+        regexp_extract_all(t, {text(r.pattern)}, {r.group}) AS tested, string_split_regex(t, {text(r.pattern)}) AS gaps FROM d
+        WHERE regexp_matches(t, {text(r.pattern)})"""
+        for i, r in enumerate(secret_scan.RULES)
+    )
+    base = ", ".join(f"'{r.kind}'" for r in secret_scan.BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.BASE)
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({found}),
+    s AS (SELECT doc_id, kind, place, least, length(tested[i]) AS size,
+      list_sum(list_transform(list_slice(gaps, 1, i), lambda x: length(x))) + coalesce(list_sum(list_transform(list_slice(m, 1, i - 1), lambda x: length(x))), 0) AS a,
+      a + length(m[i]) AS b FROM f, unnest(range(1, len(m) + 1)) r(i)),
+    g AS (SELECT doc_id, {counts}, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) FILTER (kind IN ({base})) AS base,
+      string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) AS spans FROM s WHERE size >= least GROUP BY doc_id)
+    SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.BASE)}, sha256(coalesce(base, '')) AS base_sha256,
+      coalesce(spans, '') AS spans FROM d LEFT JOIN g ON g.doc_id = d.doc_id"""
+
+
+LINKS = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, {WORD}) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, {run_of("w", "i", 5)} AS g FROM d, unnest(range(1, greatest(len(w) - 3, 2))) r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.x, e.y FROM reach JOIN e ON e.x = reach.y),
+c AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"""
+
+SQL: dict[str, str] = {
+    "op1_substring_dedup": DEDUP,
+    "op3_decontamination": LEAKS,
+    "op7_url_rules": URLS,
+    "op9_secret_scan": secrets(),
+    "op10_ngram_join": LINKS,
+}
