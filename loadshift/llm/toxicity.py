@@ -7,7 +7,8 @@ value, and how often values are high), and mapped by the landmarks' own kernel m
 trained on these descriptions of a bounded sample of labelled texts; its margins become scores by logistic calibration.
 
 Words are lower-cased and stripped of all but letters and digits, so characters inserted from outside fall away; runs of single
-characters count as one word. A word that lacks over a quarter of a landmark's letters counts as unlike it.
+characters count as one word. A word that lacks over two fifths of a landmark's neighbouring letters, with up to two characters between
+them in the word, counts as unlike it; a hashed table of such pairs in each word finds those worth a kernel.
 """
 
 from __future__ import annotations
@@ -33,6 +34,11 @@ CANDIDATES = 1500
 HELD_OUT = 5
 PREFIXES = (4, 5, 6, 7, 8)
 LIKE = 0.5
+#: Characters in between that a landmark's neighbours may have in a word, and one more.
+REACH = 3
+PAIR_BITS = 256
+#: What is worked on at once: bytes of text, characters of words, strings in a kernel.
+SLICE, GROUP_CHARACTERS, KERNEL_ROWS = 4 << 20, 2_000_000, 20_000
 
 
 def encode(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,24 +54,25 @@ def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row: the gap-weighted subsequence kernel of the strings in a and b (padded code points). Dynamic programming over the
     characters of a; `tail` is the weight of common subsequences whose last character is followed by gaps up to the current place."""
     n, width = b.shape
-    # count[i][:, j]: subsequences of i characters in a so far and the first j characters of b, weighted to the current ends of both.
-    count = [np.ones((n, width + 1), np.float64)] + [np.zeros((n, width + 1), np.float64) for _ in range(ORDER - 1)]
-    total = np.zeros(n)
-    for k in range(a.shape[1]):
-        same = (a[:, k : k + 1] == b) & (b != 0) & (a[:, k : k + 1] != 0)
-        if not same.any():
-            for i in range(1, ORDER):
-                count[i] *= DECAY
-            continue
-        total += (count[ORDER - 1][:, :width] * same).sum(axis=1) * DECAY**2
+    # A row for each place in b, so that steps along it are steps through memory.
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    # count[i][j]: subsequences of i characters in a so far and the first j characters of b, weighted to the current ends of both.
+    count = [np.ones((width + 1, n), np.float32)] + [np.zeros((width + 1, n), np.float32) for _ in range(ORDER - 1)]
+    total, tail = np.zeros(n, np.float32), np.empty(n, np.float32)
+    decay, both = np.float32(DECAY), np.float32(DECAY**2)
+    for character in a:
+        same = (character == b) & (b != 0)
+        total += (count[ORDER - 1][:width] * same).sum(axis=0)
         for i in range(ORDER - 1, 0, -1):
-            step = np.where(same, DECAY**2 * count[i - 1][:, :width], 0.0)
-            tail = np.zeros(n)
-            count[i] *= DECAY
+            step = count[i - 1][:width] * same
+            step *= both
+            count[i] *= decay
+            tail[:] = 0
             for j in range(width):
-                tail = tail * DECAY + step[:, j]
-                count[i][:, j + 1] += tail
-    return total
+                tail *= decay
+                tail += step[j]
+                count[i][j + 1] += tail
+    return total.astype(np.float64) * DECAY**2
 
 
 def own_kernel(codes: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -80,13 +87,25 @@ def own_kernel(codes: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def plain(word: str) -> str:
-    return "".join(c for c in word.lower() if c.isalnum())
+    word = word.lower()
+    return word if word.isalnum() else "".join(c for c in word if c.isalnum())
 
 
-def letters(codes: np.ndarray) -> np.ndarray:
-    """Which of 64 letter groups a string holds, as bits."""
-    bits = np.where(codes > 0, np.uint64(1) << (codes.astype(np.uint64) % np.uint64(64)), np.uint64(0))
-    return np.bitwise_or.reduce(bits, axis=1) if codes.shape[1] else np.zeros(len(codes), np.uint64)
+def pair_bits(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The place of each pair of code points in a table of PAIR_BITS bits."""
+    return ((first.astype(np.uint32) * np.uint32(0x9E3779B1) + second) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - PAIR_BITS.bit_length() + 1)
+
+
+def pair_table(codes: np.ndarray) -> np.ndarray:
+    """For each string the pairs of characters at most REACH apart, as PAIR_BITS / 64 numbers of 64 bits."""
+    out = np.zeros((len(codes), PAIR_BITS // 64), np.uint64)
+    for gap in range(1, min(REACH, codes.shape[1] - 1) + 1):
+        first, second = codes[:, :-gap], codes[:, gap:]
+        place = pair_bits(first, second)
+        bit = np.where((first > 0) & (second > 0), np.uint64(1) << (place & np.uint32(63)).astype(np.uint64), np.uint64(0))
+        for k in range(out.shape[1]):
+            out[:, k] |= np.bitwise_or.reduce(np.where(place >> np.uint32(6) == k, bit, np.uint64(0)), axis=1)
+    return out
 
 
 @dataclass
@@ -98,34 +117,45 @@ class Landmarks:
     def __post_init__(self):
         self.codes, self.size = encode(self.strings)
         self.own = own_kernel(self.codes, self.size)
-        self.letters = letters(self.codes)
+        self.pairs = [pair_bits(c[: n - 1], c[1:n]).astype(np.int64) for c, n in zip(self.codes, self.size)]
 
     def similar(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word, landmark and normalised kernel value of all that are alike."""
-        codes, size = encode(["^" + w + "$" for w in words])
-        held = letters(codes)
-        rows, marks, values, own = [], [], [], np.full(len(words), np.nan)
-        for m in range(len(self.strings)):
-            shared = np.bitwise_count(held & self.letters[m])
-            near = np.flatnonzero(4 * shared.astype(int) >= 3 * int(np.bitwise_count(self.letters[m])))
-            if not len(near):
-                continue
-            # Strings far longer than the landmark are compared apart, so that they do not stretch the others' table.
-            for part in (near[size[near] <= 24], near[size[near] > 24]):
-                if not len(part):
-                    continue
-                todo = part[np.isnan(own[part])]
-                own[todo] = own_kernel(codes[todo], size[todo])
-                mark = np.broadcast_to(self.codes[m, : self.size[m]], (len(part), int(self.size[m])))
-                value = kernel(codes[part, : int(size[part].max())], mark) / np.sqrt(np.maximum(own[part] * self.own[m], 1e-300))
-                alike = value >= LIKE
-                rows.append(part[alike])
-                marks.append(np.full(int(alike.sum()), m))
-                values.append(value[alike])
+        rows, marks, values = [], [], []
+        for part in by_length(words):
+            row, mark, value = self._similar([words[i] for i in part])
+            rows.append(part[row])
+            marks.append(mark)
+            values.append(value)
         if not rows:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         return np.concatenate(rows), np.concatenate(marks), np.concatenate(values)
 
+    def _similar(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        codes, size = encode(["^" + w + "$" for w in words])
+        held = pair_table(codes)
+        rows, marks = [], []
+        for m in range(len(self.strings)):
+            shared = np.zeros(len(words), np.int64)
+            for place in self.pairs[m]:
+                shared += ((held[:, place >> 6] >> np.uint64(place & 63)) & np.uint64(1)).astype(np.int64)
+            near = np.flatnonzero(5 * shared >= 3 * len(self.pairs[m]))
+            rows.append(near)
+            marks.append(np.full(len(near), m))
+        row, mark = np.concatenate(rows), np.concatenate(marks)
+        own, known = np.zeros(len(words)), np.unique(row)
+        for part in np.array_split(known, len(known) // KERNEL_ROWS + 1):
+            own[part] = own_kernel(codes[part], size[part])
+        value = np.zeros(len(row))
+        # Landmarks of one length are compared together.
+        for n in np.unique(self.size[mark]):
+            of = np.flatnonzero(self.size[mark] == n)
+            for part in np.array_split(of, len(of) // KERNEL_ROWS + 1):
+                value[part] = kernel(codes[row[part]], self.codes[mark[part], :n])
+        value /= np.sqrt(np.maximum(own[row] * self.own[mark], 1e-300))
+        alike = value >= LIKE
+        return row[alike], mark[alike], value[alike]
+
     def matrix(self) -> np.ndarray:
         n = len(self.strings)
         out = np.zeros((n, n))
@@ -135,26 +165,15 @@ class Landmarks:
         return out
 
 
-class WordCache:
-    """Likenesses of words seen in this task; starts anew when it holds too many."""
-
-    def __init__(self, landmarks: Landmarks, most: int = 400_000):
-        self.landmarks, self.most = landmarks, most
-        self.known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-    def get(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        if len(self.known) > self.most:
-            self.known = {}
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if new:
-            row, mark, value = self.landmarks.similar(new)
-            self.known.update(dict.fromkeys(new))
-            order = np.argsort(row, kind="stable")
-            row, mark, value = row[order], mark[order], value[order]
-            at = np.flatnonzero(np.diff(row, prepend=-1))
-            for a, b in zip(at, [*at[1:], len(row)]):
-                self.known[new[row[a]]] = (mark[a:b], value[a:b])
-        return [self.known[w] for w in words]
+def by_length(words: list[str]) -> list[np.ndarray]:
+    """Numbers of the words, in groups of like length that are worked on together."""
+    size = np.array([len(w) for w in words], np.int64)
+    band = np.searchsorted([10, 16, 32, 64, 256, 1024, 4096], size)
+    out = []
+    for g in np.unique(band):
+        of = np.flatnonzero(band == g)
+        out += np.array_split(of, len(of) * int(size[of].max() + 2) // GROUP_CHARACTERS + 1)
+    return out
 
 
 def plain_words(rows: pa.RecordBatch, text: int, hasher: Hasher) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -178,22 +197,24 @@ def plain_words(rows: pa.RecordBatch, text: int, hasher: Hasher) -> tuple[list[s
     return words + extra, doc, which, found.counts
 
 
-def describe(rows: pa.RecordBatch, text: int, cache: WordCache, hasher: Hasher) -> np.ndarray:
+def describe(rows: pa.RecordBatch, text: int, landmarks: Landmarks, hasher: Hasher) -> np.ndarray:
     """For each text the largest value with each landmark, then the logarithm of how often values are high, in parts of all words."""
     words, doc, which, counts = plain_words(rows, text, hasher)
-    m = len(cache.landmarks.strings)
+    m = len(landmarks.strings)
     top, often = np.zeros((rows.num_rows, m)), np.zeros((rows.num_rows, m))
-    likenesses = cache.get(words)
-    like = np.array([x is not None for x in likenesses], bool)
-    hit = np.flatnonzero(like[which]) if len(which) else np.zeros(0, np.int64)
+    word, mark, value = landmarks.similar(words)
+    order = np.argsort(word, kind="stable")
+    mark, value = mark[order], value[order]
+    each = np.bincount(word, minlength=len(words))
+    first = np.cumsum(each) - each
+    hit = np.flatnonzero(each[which] > 0) if len(which) else np.zeros(0, np.int64)
     if len(hit):
-        size = np.array([0 if x is None else len(x[0]) for x in likenesses])
-        each = size[which[hit]]
-        d = np.repeat(doc[hit], each)
-        mark = np.concatenate([likenesses[i][0] for i in which[hit]])
-        value = np.concatenate([likenesses[i][1] for i in which[hit]])
-        np.maximum.at(top, (d, mark), value)
-        np.add.at(often, (d, mark), value**4)
+        n = each[which[hit]]
+        stop = np.cumsum(n)
+        take = np.repeat(first[which[hit]] - stop + n, n) + np.arange(int(stop[-1]))
+        d = np.repeat(doc[hit], n)
+        np.maximum.at(top, (d, mark[take]), value[take])
+        np.add.at(often, (d, mark[take]), value[take] ** 4)
     return np.hstack([top, np.log1p(200 * often / np.maximum(counts, 1)[:, None])])
 
 
@@ -299,10 +320,10 @@ class Model:
 
 def _describer(landmarks: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, hasher = WordCache(Landmarks(landmarks)), Hasher()
+        marks, hasher = Landmarks(landmarks), Hasher()
         for batch in batches:
-            for rows in slices(batch, 0):
-                described = describe(rows, 0, cache, hasher)
+            for rows in slices(batch, 0, SLICE):
+                described = describe(rows, 0, marks, hasher)
                 yield pa.RecordBatch.from_arrays([rows.column(1), pa.array(list(described), pa.list_(pa.float64()))], ["toxic", "described"])
 
     return run
@@ -336,10 +357,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 def _scorer(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, hasher = WordCache(Landmarks(model.landmarks)) if model.landmarks else None, Hasher()
+        marks, hasher = Landmarks(model.landmarks) if model.landmarks else None, Hasher()
         for batch in batches:
-            for rows in slices(batch, 0):
-                described = describe(rows, 0, cache, hasher) if cache else np.zeros((rows.num_rows, 0))
+            for rows in slices(batch, 0, SLICE):
+                described = describe(rows, 0, marks, hasher) if marks else np.zeros((rows.num_rows, 0))
                 yield pa.RecordBatch.from_arrays([*rows.columns[1:], pa.array(model.scores(described))], [*rows.schema.names[1:], "score"])
 
     return run
