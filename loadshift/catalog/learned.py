@@ -5,14 +5,15 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadshift import fixtures as fx
-from loadshift.catalog.decisions import FIRST, KEYS, LAST
+from loadshift.catalog.decisions import FIRST, KEYS, LAST, horizon, recs
 from loadshift.catalog.features import CONFIG, activity_table, load_table, usage_table
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
-from loadshift.operators import cells, explain, impute, models, rates, score
+from loadshift.operators import cells, explain, impute, models, rates, recommend, score
+from loadshift.operators.joins import join_reference
 from loadshift.operators.learners import LEARNERS
 from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
 from loadshift.plans import stages
@@ -336,21 +337,30 @@ def x7_t6_usage_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("importance", rounded).select(*KEYS, day("date"), text.alias("sentence"))
 
 
+def _last_recommendations(spark: SparkSession, sf: str) -> DataFrame:
+    """Each household's recommendations of its last date with a best launch hour, with the time of that hour."""
+    date = F.col("recommendation_calculation_date")
+    last = F.max(F.when(F.col("best_launch_hour").isNotNull(), date)).over(Window.partitionBy("household_id"))
+    found = recs(spark, sf).withColumn("_last", last).filter(date == F.col("_last")).drop("_last")
+    at = F.expr("cast(recommendation_date AS timestamp) + make_dt_interval(0, best_launch_hour)")
+    return found.withColumn("hour_ts", at)
+
+
 def _activity_explained(spark: SparkSession, sf: str) -> DataFrame:
-    """The logit model's attributions for the hour 18:00 of the day after the last date, per household."""
+    """The logit model's attributions at the best launch hours of each household's last recommended day."""
     table = activity_table(spark, sf)
-    best = table.filter((F.to_date("hour_ts") == F.lit(fx.TODAY).cast("date")) & (F.col("hour") == 18))
+    best = _last_recommendations(spark, sf).filter(F.col("hour_ts").isNotNull()).select("household_id", "hour_ts")
     return explain.explain(
-        table, ["household_id"], ACTIVITY_FEATURES, "activity", "hour_ts", "logit", LAST, LAST, targets=best
+        table, ["household_id"], ACTIVITY_FEATURES, "activity", "hour_ts", "logit", FIRST, LAST, targets=best
     )
 
 
 @query
 def x1_x2_activity_importance(spark: SparkSession, sf: str) -> DataFrame:
-    """Shapley values over 1,024 coalitions against sampled training hours."""
+    """Shapley values over 1,024 coalitions against all training hours."""
     out = explain.reconstruct(_activity_explained(spark, sf))
-    long = out.select("household_id", "date", "p", "shap", F.inline(explain.sorted_importance("importance")))
-    return long.select("household_id", day("date"), r6("p"), r6("shap"), "feature", r6("importance"))
+    long = out.select("household_id", "date", "hour_ts", "p", "shap", F.inline_outer(explain.sorted_importance("importance")))
+    return long.select("household_id", day("date"), ts("hour_ts"), r6("p"), r6("shap"), "feature", r6("importance"))
 
 
 @query
@@ -363,6 +373,32 @@ def x6_activity_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("household_id", ts("hour_ts"), text.alias("sentence"))
 
 
+@query
+def x_explained_recommendations(spark: SparkSession, sf: str) -> DataFrame:
+    """Every recommendation of a household's last date with the reasons of both agents and the saving; without one, the text that says so."""
+    found = _last_recommendations(spark, sf)
+    prices = horizon(spark, sf).select("zone", F.col("date").alias("recommendation_calculation_date"), "prices")
+    found = join_reference(found, prices, ["zone", "recommendation_calculation_date"])
+    table = activity_table(spark, sf)
+    lags = [F.coalesce(f"activity_lag_{k}", F.lit(0)) for k in (24, 48, 72)]
+    active = _activity_explained(spark, sf).join(table.drop("activity"), ["household_id", "hour_ts"])
+    active = active.select("household_id", "hour_ts", explain.activity_sentence("importance", lags).alias("activity_reason"))
+    rounded = F.expr("transform(importance, s -> named_struct('feature', s.feature, 'importance', round(s.importance, 6)))")
+    used = explain.usage_shapley(_usage_rated(spark, sf)).withColumn("importance", rounded)
+    reason = explain.usage_sentence("importance", F.expr("next_cell & 1")).alias("usage_reason")
+    used = used.select(*KEYS, F.col("date").alias("recommendation_calculation_date"), reason)
+    out = found.join(active, ["household_id", "hour_ts"], "left").join(used, [*KEYS, "recommendation_calculation_date"], "left")
+    some = F.col("recommendation").isNotNull()
+    return out.select(
+        "household_id",
+        "index",
+        "recommendation",
+        recommend.savings_sentence(recommend.savings_percent("prices", "best_launch_hour")).alias("text"),
+        F.when(some, F.col("activity_reason")).alias("activity_reason"),
+        F.when(some, F.col("usage_reason")).alias("usage_reason"),
+    )
+
+
 @query
 def x6_sentence_rules(spark: SparkSession, sf: str) -> DataFrame:
     """The sentence for every hour of 29 January, with the spread of activity as importance of a feature."""
