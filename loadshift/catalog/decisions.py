@@ -215,6 +215,7 @@ def j13_stored_predictions(spark: SparkSession, sf: str) -> DataFrame:
         FIRST,
         LAST,
         scratch_dir(spark),
+        timezone="UTC",
     )
     return out["recommendations"].filter(F.col("index").isNotNull()).select(
         "index", "household_id", "best_launch_hour", "recommendation"

@@ -133,6 +133,15 @@ def m12_next_day_with_weather(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
+@query
+def m12_usage_with_daily_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """The usage model of one date with the daily weather of the household's station among the features, through the stages."""
+    prepared = stages.prepare(fx.readings(spark, sf), CONFIG, fx.TODAY)
+    prepared = stages.with_weather(prepared, fx.weather(spark, sf).drop("tsun"), fx.households(spark, sf), WEATHER)
+    out = stages.predict(prepared, "logit", "2024-01-25", "2024-01-25", CONFIG, tuple(WEATHER)).usage
+    return out.select(*KEYS, day("date"), day("day"), "y", r6("p"), "error")
+
+
 # weather ------------------------------------------------------------------------------------------
 
 

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadshift.config import Config
-from loadshift.operators import backtest, models, rates, recommend, runs, score
+from loadshift.operators import backtest, impute, models, rates, recommend, runs, score
 from loadshift.operators.features import activity_features, load_input, usage_features
 from loadshift.operators.prices import horizons
 from loadshift.sources import store
+from loadshift.sources import weather as weather_source
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,20 @@ def prepare(states: DataFrame, config: Config, today: str) -> Prepared:
     )
 
 
+def with_weather(prepared: Prepared, weather: DataFrame, stations: DataFrame, columns: list[str]) -> Prepared:
+    """The feature tables with the weather of each household's station (household_id, station), imputed and scaled: hourly for
+    activity, daily means for usage. Rows without weather keep NULLs."""
+    hourly = impute.enrich(weather.select("station", "time", *columns), columns)
+    daily = weather_source.daily(hourly, columns)
+
+    def joined(features: DataFrame, rows: DataFrame, ts: str, grain: str) -> DataFrame:
+        out = impute.join_weather(features, rows, stations, ts, grain).filter(F.col("household_id").isNotNull()).drop("time", "station")
+        keys = [c for c in ("household_id", "device", ts) if c in features.columns]
+        return features.join(out.select(*keys, *columns), keys, "left")
+
+    return Prepared(joined(prepared.activity, hourly, "hour_ts", "hour"), joined(prepared.usage, daily, "day", "day"), prepared.load)
+
+
 def complete_days(load: DataFrame) -> DataFrame:
     """Without an incomplete first day. The load table has no gaps, so its first day is complete if it
     starts at midnight, which one window tells."""
@@ -63,16 +78,28 @@ def probability_arrays(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("p").isNotNull()).groupBy("household_id", "date").agg(ordered)
 
 
-def predict(prepared: Prepared, model_type: str, first_date: str, last_date: str, **args) -> Predicted:
-    """model_type 'rate' is the positive share per feature cell; other names are fitted models."""
+def predict(
+    prepared: Prepared,
+    model_type: str,
+    first_date: str,
+    last_date: str,
+    config: Config | None = None,
+    weather: tuple[str, ...] = (),
+    **args,
+) -> Predicted:
+    """model_type 'rate' is the positive share per feature cell; other names are fitted models, which take further arguments and
+    the ``weather`` columns of ``with_weather`` as features. With a configuration the activity model trains on its last
+    ``activity_train_days`` days, never before ``train_floor``."""
     dates = F.col("date").between(F.lit(first_date).cast("date"), F.lit(last_date).cast("date"))
     load = typical_loads(prepared.load, first_date, last_date)
     if model_type == "rate":
         activity = rates.activity_rate_arrays(rates.activity_rates(prepared.activity))
         usage = rates.usage_rates(prepared.usage)
         return Predicted(activity.filter(dates), usage.filter(dates), load)
-    activity = models.activity_walk_forward(prepared.activity, model_type, first_date, last_date, **args)
-    usage = models.usage_walk_forward(prepared.usage, model_type, first_date, last_date, **args)
+    span = {"train_days": config.activity_train_days, "floor": config.train_floor} if config else {}
+    active, used = [*models.ACTIVITY_FEATURES, *weather], [*models.USAGE_FEATURES, *weather]
+    activity = models.activity_walk_forward(prepared.activity, model_type, first_date, last_date, features=active, **span, **args)
+    usage = models.usage_walk_forward(prepared.usage, model_type, first_date, last_date, features=used, **args)
     return Predicted(probability_arrays(activity), usage, load)
 
 
@@ -132,22 +159,30 @@ def run(
     last_date: str,
     path: str,
     model_type: str = "rate",
-    timezone: str = "UTC",
+    timezone: str | None = None,
+    weather: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """prepare -> predict -> recommend with every stage written below ``path``, one folder per stage."""
+    """prepare -> predict -> recommend with every stage written below ``path``, one folder per stage.
+
+    ``timezone`` is the configuration's unless given. With ``config.weather`` the weather of the households' stations joins the
+    features of fitted models.
+    """
+    columns = [c for c in weather.columns if c not in ("station", "time")] if config.weather and weather is not None else []
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         store.dump(f"{path}/{name}", {"output": df}, model_type, model_type, config.weather)
         return store.load(spark, f"{path}/{name}", ["output"])["output"].drop("activity_model", "usage_model", "weather")
 
     prepared = prepare(states, config, today)
+    if columns:
+        prepared = with_weather(prepared, weather, households, columns)
     prepared = Prepared(
         stage("activity_features", prepared.activity),
         stage("usage_features", prepared.usage),
         stage("load_input", prepared.load),
     )
-    predicted = predict(prepared, model_type, first_date, last_date)
-    inputs = stage("inputs", recommendation_inputs(predicted, households, prices, first_date, last_date, timezone))
+    predicted = predict(prepared, model_type, first_date, last_date, config, tuple(columns))
+    inputs = stage("inputs", recommendation_inputs(predicted, households, prices, first_date, last_date, timezone or config.timezone))
     recs = recommendations(inputs, names, config.activity_threshold, config.usage_threshold)
     final = with_errors(requested(states, list(config.shiftable_devices), first_date, last_date), recs)
     return {"inputs": inputs, "recommendations": stage("recommendations", final)}
