@@ -166,6 +166,10 @@ SQL = {
           CASE c WHEN 'dwpt' THEN 'dewing point' WHEN 'rhum' THEN 'relative humidity' WHEN 'temp' THEN 'temperature' WHEN 'wdir' THEN 'wind direction'
             ELSE 'windspeed' END || ':' || CAST(round(m, 2) AS VARCHAR) AS t FROM dly)""",
     ),
+    "stream_completed_hours": with_(
+        f"""SELECT household_id, device AS entity_id, {ts("hour_ts")}, {r6("sum(v)", "value_sum")}, count(*) AS n FROM load_rows
+        GROUP BY household_id, device, load_rows.hour_ts"""
+    ),
     "stream_hourly_sums": with_(
         f"""SELECT household_id, device AS entity_id, {ts("hour_ts")}, {r6("sum(v)", "value_sum")}, count(*) AS n FROM load_rows
         WHERE hour_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM load_rows) - INTERVAL 2 HOUR GROUP BY household_id, device, load_rows.hour_ts"""

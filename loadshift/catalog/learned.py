@@ -19,7 +19,7 @@ from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
 from loadshift.plans import stages
 from loadshift.session import scratch_dir
 from loadshift.sources.weather import daily as weather_daily
-from loadshift.streaming.hourly import hourly_sums
+from loadshift.streaming.hourly import closing_sums, completed, hourly_sums
 
 WEATHER = list(fx.WEATHER_SOURCE)
 TOLERANCES = [0.05, 0.10, 0.15, 0.20, 0.25]
@@ -469,8 +469,7 @@ def t7_weather_clause(spark: SparkSession, sf: str) -> DataFrame:
 # streaming ----------------------------------------------------------------------------------------
 
 
-@query
-def stream_hourly_sums(spark: SparkSession, sf: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf: str) -> DataFrame:
     """Closed hours of the event stream, appended to files as the watermark passes them."""
     path = scratch_dir(spark)
     events = spark.readStream.schema(fx.EVENTS).parquet(f"{sf}/events*.parquet")
@@ -484,5 +483,18 @@ def stream_hourly_sums(spark: SparkSession, sf: str) -> DataFrame:
         .start()
     )
     job.awaitTermination()
-    hours = spark.read.schema(out.schema).parquet(f"{path}/hours")
-    return hours.select("household_id", "entity_id", ts("hour_ts"), r6("value_sum"), big("n"))
+    return spark.read.schema(out.schema).parquet(f"{path}/hours")
+
+
+@query
+def stream_hourly_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """The hours that the stream closes."""
+    return _streamed(spark, sf).select("household_id", "entity_id", ts("hour_ts"), r6("value_sum"), big("n"))
+
+
+@query
+def stream_completed_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the batch step that adds open hours and late events."""
+    closed = _streamed(spark, sf)
+    out = completed(closed, closing_sums(fx.states(spark, sf), fx.SHIFTABLE, closed))
+    return out.select("household_id", "entity_id", ts("hour_ts"), r6("value_sum"), big("n"))
