@@ -4,15 +4,16 @@ Equal sets are one class. Sets of a and b members whose similarity is t or more
 
 * Parity sketch: every member flips one bit; the Hamming distance of two sketches is at most the number of members in which the sets
   differ. Sketches of a size band have a fixed width; a band's width is twice that of the band below, to which it folds.
-* Pigeonhole: in each band members are dealt into parts, and the parity bits of a part, drawn wide, make its signature. Two sets that
-  differ in d members share all but d of their parts, so some signature among the first d + 1 of each set, in any order common to
-  all, is the same. Parts that consist of very frequent shingles only come last in that order.
+* Pigeonhole: in each band members are dealt into m non-empty parts, and the parity bits of a part, drawn wide, make its signature.
+  Two sets that differ in d members share at least m - d of their signatures.
 * Verify: classes that share a signature are compared by their sketches, and if these are near enough, by their sets.
 
-Signatures are sent packed and met in hash ranges. A signature that few classes share gives all their pairs. One that many share does
-not: some of its classes, the pivots, are compared with all others, and once components are known only classes outside the
-signature's largest component go on, until each signature's classes are one component or all its pairs across components have been
-compared. So no link between components is lost, while a group of thousands of near copies needs few comparisons.
+Signatures are sent packed and met in hash ranges. A signature that few classes share gives all their pairs. One that many share
+gives none by itself: a class with fewer than m - d such signatures shares another one with each class it is linked to, so it is
+done with. What remains are classes that consist of common passages, or have very many near copies. There some classes of a
+signature, the pivots, are compared with all others, and once components are known only classes outside the signature's largest
+component go on, until each signature's classes are one component or all its pairs across components have been compared. So no link
+between components is lost, while a group of thousands of near copies needs few comparisons.
 """
 
 from __future__ import annotations
@@ -22,23 +23,26 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loadshift.llm.components import components
 from loadshift.llm.shared import broadcast_if_small, is_empty, partitions, stored
-from loadshift.llm.words import Hasher, find_words, lower_ascii, mix, slices, text_bytes
+from loadshift.llm.substring_dedup import pack, unpack
+from loadshift.llm.words import Hasher, find_words, lower_ascii, mix, slices, text_bytes, tidy
 
 GRAM = 5
 SIMILARITY = Fraction(4, 5)
-#: Shingles that a task gathers before it sends signatures.
-FLUSH = 2_000_000
-#: A shingle is frequent from this share of documents on; so there are at most 2 / share times the mean set size of them.
-FREQUENT = 1 / 1000
-LEAST_FREQUENT = 16
+#: Signatures that a task gathers before it sends them.
+FLUSH = 1_000_000
 #: Classes of a signature up to which all its pairs are compared at once.
 FEW = 8
-PIVOTS = 2
+PIVOTS = 1
+#: By which pivots grow from round to round, so that rounds grow with the logarithm of the classes that stay apart.
+GROWTH = 64
+#: Least bits of a sketch.
+WIDTH = 256
 #: Rows of candidates that are joined by broadcasting ids.
 SMALL = 500_000
 SEED = np.uint64(0xA0761D6478BD642F)
@@ -57,7 +61,7 @@ def parts_of(number: int) -> int:
 
 
 def sketch_bits(number: np.ndarray) -> np.ndarray:
-    return np.int64(1) << np.maximum(number + 1, 8)
+    return np.maximum(np.int64(1) << (number + 1), WIDTH)
 
 
 class Sets:
@@ -85,24 +89,26 @@ class Sets:
         return np.diff(self.bounds)
 
     def classes(self) -> np.ndarray:
-        """A number for each set, equal for equal sets."""
+        """An even number for each set, equal for equal sets."""
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.member ^ SEED), dtype=np.uint64)])
         other = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.member + SEED), dtype=np.uint64)])
         lo, hi = self.bounds[:-1], self.bounds[1:]
-        return mix((sums[hi] - sums[lo]) ^ mix((other[hi] - other[lo]) + self.size.astype(np.uint64))).view(np.int64)
+        return mix((sums[hi] - sums[lo]) ^ mix((other[hi] - other[lo]) + self.size.astype(np.uint64))).view(np.int64) & ~1
 
 
 def parity_sketch(members: np.ndarray, bits: int) -> np.ndarray:
+    """Bit i is the parity of the members that are i modulo the width, in 64-bit numbers."""
     places = (members % np.uint64(bits)).astype(np.int64)
-    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8))
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
 
 def hamming(a: np.ndarray, b: np.ndarray) -> int:
-    """Of two sketches; the wider one is folded. Bit i of a narrow sketch is the parity of all bits i modulo its width."""
+    """Of two sketches; the wider one is folded, which gives the sketch of half the width."""
     a, b = (a, b) if len(a) <= len(b) else (b, a)
     while len(b) > len(a):
         b = b[: len(b) // 2] ^ b[len(b) // 2 :]
-    return int(np.bitwise_count(a ^ b).sum())
+    # The count of a negative number would be that of its absolute value.
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
 
 
 def may_differ(a: int, b: int, similarity: Fraction = SIMILARITY) -> int:
@@ -120,57 +126,46 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 # ---- documents and classes -------------------------------------------------------------------------------------------------
 
-DESCRIBED = "doc_id bigint, row bigint, n_shingles bigint, class bigint, sketch binary, shingle bigint, documents bigint"
+DESCRIBED = "doc_id bigint, row bigint, n_shingles bigint, class bigint, sketch array<bigint>"
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document, and in other rows the shingles that are frequent among the documents of a stretch of the task."""
-    names = ["doc_id", "row", "n_shingles", "class", "sketch", "shingle", "documents"]
-    hasher, parts, docs = Hasher(), [], 0
-
-    def frequent() -> Iterator[pa.RecordBatch]:
-        members, counts = np.unique(np.concatenate(parts), return_counts=True)
-        often = counts >= max(2, docs * FREQUENT)
-        n = int(often.sum())
-        none = pa.nulls(n, pa.int64())
-        columns = [none, none, none, none, pa.nulls(n, pa.binary()), pa.array(members[often].view(np.int64)), pa.array(counts[often])]
-        yield pa.RecordBatch.from_arrays(columns, names)
-
+    hasher = Hasher()
     for batch in batches:
         for rows in slices(batch, 2):
             sets = Sets(rows, 2, hasher)
             width = sketch_bits(band(sets.size))
-            sketches = [parity_sketch(sets.member[a:b], int(w)).tobytes() if b > a else None for a, b, w in zip(sets.bounds, sets.bounds[1:], width)]
-            none = pa.nulls(rows.num_rows, pa.int64())
+            sketches = [parity_sketch(sets.member[a:b], int(w)) if b > a else None for a, b, w in zip(sets.bounds, sets.bounds[1:], width)]
             known = pa.array(sets.classes(), mask=sets.size == 0)
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(sets.size), known, pa.array(sketches, pa.binary()), none, none], names)
-            parts.append(sets.member)
-            docs += rows.num_rows
-            if sum(map(len, parts)) >= FLUSH:
-                yield from frequent()
-                parts, docs = [], 0
-    if parts:
-        yield from frequent()
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(sets.size), known, pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "row", "n_shingles", "class", "sketch"])
 
 
 # ---- signatures ------------------------------------------------------------------------------------------------------------
 
-PACKED = "bucket int, signatures binary, classes binary"
+#: Signatures with their classes, and of classes how many shared signatures a link leaves over.
+PACKED = "bucket int, first binary, width int, steps binary, classes binary, owners binary, spare binary"
 
 
-def signatures(sets: Sets, classes: np.ndarray, frequent: np.ndarray, similarity: Fraction = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """Signature and class of every part that a set sends: for its own band as the smaller set of a pair, and for the band below if
-    a smaller set of a pair can be there."""
+def signatures(sets: Sets, classes: np.ndarray, similarity: Fraction = SIMILARITY) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signature and owner of every part, then the owners and how many signatures they share with any linked class at least, less one.
+
+    A set sends the parts of its own band, as the smaller set of a pair, and those of the band below if a smaller set of a pair can
+    be there; its owner numbers are its class and its class plus one."""
     t, size = similarity, sets.size
     own = band(size)
     below = band(-(-size * t.numerator // t.denominator))
-    out_s, out_c = [], []
+    apart = t.denominator - t.numerator
+    # The smaller set of a pair has a partner of at most n / t members; the larger one, sent to the band below, of at most n.
+    most = {0: size * apart // t.numerator, 1: 2 * size * apart // (t.denominator + t.numerator)}
+    out: list[list[np.ndarray]] = [[], [], [], []]
     for number in np.unique(np.concatenate([own, below])) if len(size) else []:
         number = int(number)
         docs = np.flatnonzero(((own == number) | (below == number)) & (size > 0))
         if not len(docs):
             continue
-        take = np.isin(sets.doc, docs)
+        taken = np.zeros(len(size), bool)
+        taken[docs] = True
+        take = taken[sets.doc]
         member, doc = sets.member[take], sets.doc[take]
         dealt = mix(member ^ np.uint64((number + 1) * int(SEED) % 2**64))
         part = ((dealt >> np.uint64(32)) * np.uint64(parts_of(number))) >> np.uint64(32)
@@ -178,52 +173,46 @@ def signatures(sets: Sets, classes: np.ndarray, frequent: np.ndarray, similarity
         doc, part, member = doc[order], part[order], member[order]
         first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (part[1:] != part[:-1])))
         parity = np.bitwise_xor.reduceat(mix(member + SEED), first)
-        rare = np.logical_or.reduceat(~_known(frequent, member), first)
-        count = np.diff(np.append(first, len(doc)))
         doc, part = doc[first], part[first]
-        signature = mix(parity ^ mix(part + np.uint64(number << 32)))
-        # Parts with a rare shingle first, fuller ones before others, then by signature: an order of signatures, the same for all sets.
-        order = np.lexsort((signature, -count, ~rare, doc))
-        doc, signature = doc[order], signature[order]
-        place = np.arange(len(doc)) - np.searchsorted(doc, doc)
-        n = size[doc]
-        # The smaller set of a pair has a partner of at most n / t members; the larger one, sent to the band below, of at most n.
-        apart = t.denominator - t.numerator
-        most = np.where(own[doc] == number, n * apart // t.numerator, 2 * n * apart // (t.denominator + t.numerator))
-        send = place <= most
-        out_s.append(signature[send])
-        out_c.append(classes[doc[send]])
-    if not out_s:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(out_s), np.concatenate(out_c)
-
-
-def _known(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
-    if not len(sorted_values):
-        return np.zeros(len(x), bool)
-    at = np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)
-    return sorted_values[at] == x
-
-
-def send_signatures(frequent: np.ndarray, buckets: int):
+        role = (own != number).astype(np.int64)
+        owner = classes + role
+        out[0].append(mix(parity ^ mix(part + np.uint64(number << 32))))
+        out[1].append(owner[doc])
+        out[2].append(owner[docs])
+        out[3].append(np.bincount(doc, minlength=len(size))[docs] - np.where(role, most[1], most[0])[docs] - 1)
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+
+
+def _dealt_out(keys: np.ndarray, buckets: int) -> dict[int, tuple[int, int]]:
+    """For sorted 64-bit keys: the slice of each of `buckets` equal ranges of their upper half."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    at = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))
+    return {int(bucket[a]): (int(a), int(b)) for a, b in zip(at, [*at[1:], len(keys)])}
+
+
+def send_signatures(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, parts, held = Hasher(), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            s, c = distinct_pairs(*(np.concatenate(x) for x in zip(*parts)))
-            bucket = ((s >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            at = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))
-            ends = [*at[1:], len(s)]
-            columns = [pa.array(bucket[at].astype(np.int32)), pa.array([s[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()), pa.array([c[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "signatures", "classes"])
+            s, c, o, n = (np.concatenate(x) for x in zip(*parts))
+            s, c = distinct_pairs(s.view(np.uint64), c)
+            o, n = distinct_pairs(o.view(np.uint64), n)
+            sent, owned = _dealt_out(s, buckets), _dealt_out(o, buckets)
+            numbers = sorted(sent.keys() | owned.keys())
+            packed = [pack(s[slice(*sent[b])]) if b in sent else (None, None, None) for b in numbers]
+            first, width, steps = zip(*packed)
+            columns = [pa.array(numbers, pa.int32()), pa.array(first, pa.binary()), pa.array(width, pa.int32()), pa.array(steps, pa.binary())]
+            for x, at in ((c, sent), (o, owned), (n.astype(np.int32), owned)):
+                columns.append(pa.array([x[slice(*at.get(b, (0, 0)))].tobytes() for b in numbers], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "first", "width", "steps", "classes", "owners", "spare"])
 
         for batch in batches:
             for rows in slices(batch, 0):
                 sets = Sets(rows, 0, hasher)
-                s, c = signatures(sets, sets.classes(), frequent)
-                parts.append((s, c))
-                held += len(s)
-                if held >= FLUSH // 2:
+                parts.append(signatures(sets, sets.classes()))
+                held += len(parts[-1][0])
+                if held >= FLUSH:
                     yield from flush()
                     parts, held = [], 0
         if held:
@@ -232,17 +221,22 @@ def send_signatures(frequent: np.ndarray, buckets: int):
     return run
 
 
-#: a and b: classes to compare; with null b, class a has the signature that many share.
-MET = "signature bigint, a bigint, b bigint"
+#: a and b: classes to compare. With a signature: owner a has it, and n share it. Without both: what a link leaves over to owner a, n.
+MET = "signature bigint, a bigint, b bigint, n int"
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One task's signatures: all pairs of classes of those that few share, the classes of the others."""
+    """One task's signatures: all pairs of classes of those that few share, the owners of the others."""
     held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
-        for bucket, s, c in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            held.setdefault(bucket, []).append((np.frombuffer(s, np.uint64), np.frombuffer(c, np.int64)))
-    for parts in held.values():
+        for bucket, first, width, steps, c, o, n in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            if c:
+                held.setdefault(bucket, []).append((unpack(first, width, steps), np.frombuffer(c, np.int64)))
+            if o:
+                o = np.frombuffer(o, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(o), pa.int64()), pa.array(o), pa.nulls(len(o), pa.int64()), pa.array(np.frombuffer(n, np.int32))], ["signature", "a", "b", "n"])
+    while held:
+        _, parts = held.popitem()
         s, c = distinct_pairs(*(np.concatenate(x) for x in zip(*parts)))
         first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         count = np.diff(np.append(first, len(s)))
@@ -251,15 +245,19 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = first[count == n]
             left += [c[at + i] for i in range(n) for _ in range(i + 1, n)]
             right += [c[at + j] for i in range(n) for j in range(i + 1, n)]
-        a, b = distinct_pairs(np.concatenate(left), np.concatenate(right))
-        many = np.repeat(count > FEW, count)
+        # Owners are classes, or one more.
+        a, b = np.concatenate(left) & ~1, np.concatenate(right) & ~1
+        a, b = distinct_pairs(np.minimum(a, b), np.maximum(a, b))
+        sharers = np.repeat(count, count)
+        many = sharers > FEW
         n, k = len(a), int(many.sum())
         columns = [
             pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(s[many].view(np.int64))]),
             pa.array(np.concatenate([a, c[many]])),
             pa.concat_arrays([pa.array(b), pa.nulls(k, pa.int64())]),
+            pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(sharers[many].astype(np.int32))]),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["signature", "a", "b"])
+        yield pa.RecordBatch.from_arrays(columns, ["signature", "a", "b", "n"])
 
 
 # ---- verification ----------------------------------------------------------------------------------------------------------
@@ -268,13 +266,13 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sizes and sketches allow the similarity."""
     for batch in batches:
-        a, b, n, m, x, y = (batch.column(i) for i in range(6))
+        n, m, x, y = (batch.column(i) for i in range(4, 8))
         n, m = n.to_numpy(), m.to_numpy()
         least, most = np.minimum(n, m), np.maximum(n, m)
         near = most * SIMILARITY.numerator <= least * SIMILARITY.denominator
         for i in np.flatnonzero(near):
-            near[i] = hamming(np.frombuffer(x[i].as_buffer(), np.uint8), np.frombuffer(y[i].as_buffer(), np.uint8)) <= may_differ(int(n[i]), int(m[i]))
-        yield batch.select(["a", "b"]).filter(pa.array(near))
+            near[i] = hamming(x[i].values.to_numpy(), y[i].values.to_numpy()) <= may_differ(int(n[i]), int(m[i]))
+        yield batch.select(["a", "b", "row_a", "row_b"]).filter(pa.array(near))
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,48 +280,69 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, 1):
             sets = Sets(rows, 1, hasher)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([sets.member[a:b].tobytes() for a, b in zip(sets.bounds, sets.bounds[1:])], pa.binary())], ["class", "members"])
-
-
-def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            shared = len(x) + len(y) - len(np.union1d(x, y))
-            keep.append(SIMILARITY.denominator * shared >= SIMILARITY.numerator * (len(x) + len(y) - shared))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(pa.array(sets.bounds, pa.int32()), pa.array(sets.member.view(np.int64)))], ["class", "members"])
 
 
 def verify(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """Those pairs (a, b) of classes whose sets are similar. classes: class, row, n_shingles, sketch; keyed: row, text."""
-    side = classes.select("class", "n_shingles", "sketch")
-    x = side.select(F.col("class").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x"))
-    y = side.select(F.col("class").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y"))
-    near = stored(pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(_near, "a bigint, b bigint"), "near")
-    wanted = near.select(F.col("a").alias("class")).union(near.select("b")).distinct().join(classes, "class").select("class", "row")
+    side = classes.select("class", "row", "n_shingles", "sketch")
+    both = pairs.join(side.toDF("a", "row_a", "n", "x"), "a").join(side.toDF("b", "row_b", "m", "y"), "b")
+    both = both.select("a", "b", "row_a", "row_b", "n", "m", "x", "y")
+    near = stored(both.mapInArrow(tidy(_near), "a bigint, b bigint, row_a bigint, row_b bigint"), "near")
+    sides = F.array(*[F.struct(F.col(c).alias("class"), F.col(r).alias("row")) for c, r in (("a", "row_a"), ("b", "row_b"))])
+    wanted = near.select(F.inline(sides)).distinct()
     texts = keyed.join(broadcast_if_small(stored(wanted, "wanted"), SMALL), "row").dropDuplicates(["class"])
-    sets = stored(texts.select("class", "text").mapInArrow(_members, "class bigint, members binary"), "sets")
-    both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(_same, "a bigint, b bigint")
+    sets = stored(texts.select("class", "text").mapInArrow(tidy(_members), "class bigint, members array<bigint>"), "sets")
+    both = near.select("a", "b").join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    t, u = SIMILARITY.numerator, SIMILARITY.denominator
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.filter(u * shared >= t * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
+def near_enough(n: str, m: str, x: str, y: str, similarity: Fraction = SIMILARITY) -> Column:
+    """Whether sizes n, m and sketches x, y of one width allow the similarity; as a condition of a join."""
+    t, u = similarity.numerator, similarity.denominator
+    distance = f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d)"
+    return F.expr(f"{u} * least({n}, {m}) >= {t} * greatest({n}, {m}) AND {u + t} * {distance} <= {u - t} * ({n} + {m})")
 
 
-def across(members: DataFrame, labels: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
+def with_sketches(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Adds n and sketch of each class a, in the width of the band for which `folded` rows are one band too wide."""
+    half = "cast(size(sketch) / 2 AS int)"
+    folded = f"zip_with(slice(sketch, 1, {half}), slice(sketch, {half} + 1, {half}), (p, q) -> p ^ q)"
+    sketch = F.expr(f"CASE WHEN folded AND size(sketch) > {WIDTH // 64} THEN {folded} ELSE sketch END")
+    sides = classes.select(F.col("class").alias("a"), F.col("n_shingles").alias("n"), "sketch")
+    return rows.join(sides, "a").withColumn("sketch", sketch)
+
+
+def across(members: DataFrame, labels: DataFrame | None, pivots: int, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs to compare for signatures that many classes share, and the members of signatures that may need another round.
 
-    Of each signature, the classes outside its largest component are what is left; at most about `pivots` of them are compared with
-    all classes of other components. Where no more than that are left, the signature is done with."""
-    labelled = members.join(labels.select(F.col("node").alias("a"), "root"), "a", "left").withColumn("root", F.coalesce("root", "a"))
+    members: signature, a (class), folded (whether in the band below its own), central (how much the class shares with others: among
+    near copies of one text, those nearest to it share most and are linked to most). Of each signature, the classes outside its
+    largest component are what is left; at most about `pivots` of them are compared with all classes of other components. Where no
+    more than that are left, the signature is done with."""
+    if labels is None:
+        labelled = members.withColumn("root", F.col("a"))
+    else:
+        labelled = members.join(labels.select(F.col("node").alias("a"), "root"), "a", "left").withColumn("root", F.coalesce("root", "a"))
     sizes = labelled.groupBy("signature", "root").count()
     largest = sizes.groupBy("signature").agg(F.max(F.struct("count", "root")).alias("top"), F.sum("count").alias("n"))
     open_ = largest.select("signature", F.col("top.root").alias("top"), (F.col("n") - F.col("top.count")).alias("rest")).filter("rest > 0")
     labelled = stored(labelled.join(open_, "signature"), "labelled")
     rest = labelled.filter("root <> top")
-    # Hashes pick the same classes in all their signatures; one for each of `pivots` residues.
-    picked = rest.withColumn("h", F.xxhash64("a", F.lit(pivots))).withColumn("slot", F.when(F.col("rest") > pivots, F.pmod("h", F.lit(pivots)).cast("bigint")).otherwise(F.col("a")))
-    picked = picked.groupBy("signature", "slot").agg(F.min(F.struct("h", "a", "root")).alias("p")).select("signature", F.col("p.a").alias("pivot"), F.col("p.root").alias("pivot_root"))
-    pairs = labelled.join(picked, "signature").filter("root <> pivot_root").select(F.least("a", "pivot").alias("a"), F.greatest("a", "pivot").alias("b")).distinct()
-    return pairs, labelled.filter(F.col("rest") > pivots).select("signature", "a")
+    # Of each of `pivots` residues the most central class, the same one in all its signatures.
+    slot = F.when(F.col("rest") > pivots, F.pmod(F.xxhash64("a", F.lit(pivots)), F.lit(pivots)).cast("bigint")).otherwise(F.col("a"))
+    picked = rest.groupBy("signature", slot.alias("slot")).agg(F.max(F.struct("central", "a", "root", "folded")).alias("p"))
+    picked = with_sketches(picked.select("signature", "p.a", "p.root", "p.folded"), classes)
+    names = ["a", "root", "n", "sketch"]
+    picked = picked.select("signature", *[F.col(c).alias(f"pivot_{c}") for c in names])
+    each = with_sketches(labelled.select("signature", "a", "root", "folded"), classes).select("signature", *names)
+    # Sizes and sketches are compared within the join, so that only pairs near enough come out of it.
+    near = near_enough("n", "pivot_n", "sketch", "pivot_sketch")
+    met = each.join(picked, (each["signature"] == picked["signature"]) & F.expr("root <> pivot_root") & near)
+    pairs = met.select(F.least("a", "pivot_a").alias("a"), F.greatest("a", "pivot_a").alias("b")).distinct()
+    return pairs, labelled.filter(F.col("rest") > pivots).select("signature", "a", "folded", "central")
 
 
 def link_rows(docs: DataFrame) -> DataFrame:
@@ -339,29 +358,30 @@ def link_rows(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = docs.withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text"))
-    described = stored(keyed.select("doc_id", "row", "text").mapInArrow(_describe, DESCRIBED), "described")
-    rows = described.filter(F.col("n_shingles").isNotNull()).select("doc_id", "row", "n_shingles", "class", "sketch")
-    n_docs = rows.count()
-    limit = max(LEAST_FREQUENT, n_docs * FREQUENT / 2)
-    frequent = described.filter(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("documents").alias("n")).filter(F.col("n") >= limit).select("shingle")
-    frequent = np.sort(np.array([r[0] for r in frequent.collect()], np.int64).view(np.uint64))
+    rows = stored(keyed.select("doc_id", "row", "text").mapInArrow(tidy(_describe), DESCRIBED), "described")
     # A class is represented by the text of one of its rows.
     sizes = rows.filter(F.col("class").isNotNull()).groupBy("class")
     classes = stored(sizes.agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
     n = partitions(spark)
-    met = docs.select("text").mapInArrow(send_signatures(frequent, n), PACKED).repartition(n, "bucket").mapInArrow(meet, MET)
+    met = docs.select("text").mapInArrow(tidy(send_signatures(n)), PACKED).repartition(n, "bucket").mapInArrow(tidy(meet), MET)
     met = stored(met, "met")
-    pairs = met.filter(F.col("b").isNotNull()).select("a", "b").distinct()
-    many = met.filter(F.col("b").isNull()).select("signature", "a")
-    links, labels, pivots = None, None, PIVOTS
+    many = met.filter(F.col("signature").isNotNull()).select("signature", F.col("a").alias("owner"), F.col("n").alias("sharers"))
+    spare = met.filter(F.col("signature").isNull() & F.col("b").isNull()).groupBy(F.col("a").alias("owner")).agg(F.max("n").alias("spare"))
+    bound = many.groupBy("owner").agg(F.count(F.lit(1)).alias("shared"), F.sum("sharers").alias("central")).join(spare, "owner").filter("shared > spare")
+    # A linked class shares over `spare` signatures with the owner, so one of the rarest that remain without `spare` is enough.
+    place = F.row_number().over(Window.partitionBy("owner").orderBy("sharers", "signature"))
+    few = many.join(bound, "owner").withColumn("place", place).filter("place <= shared - spare")
+    few = few.select("signature", F.col("owner").bitwiseAND(F.lit(-2)).alias("a"), (F.col("owner") % 2 != 0).alias("folded"), "central")
+    pairs, many = across(stored(few, "many"), None, PIVOTS, classes)
+    pairs = met.filter(F.col("b").isNotNull()).select("a", "b").union(pairs).distinct()
+    links, pivots = None, PIVOTS
     while True:
         found = stored(verify(pairs, classes, keyed), "links")
         links = found if links is None else links.union(found)
         labels = components(links)
-        if is_empty(many):
-            break
-        pairs, many = across(many, labels, pivots)
-        pairs, many, pivots = stored(pairs, "pairs"), stored(many, "many"), 4 * pivots
+        pivots *= GROWTH
+        pairs, many = across(stored(many, "many"), labels, pivots, classes)
+        pairs = stored(pairs, "pairs")
         if is_empty(pairs):
             break
     root = classes.select("class", "least").join(labels.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))

@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.llm.shared import partitions
-from loadshift.llm.words import Hasher, Words, find_words, slices, text_bytes
+from loadshift.llm.words import Hasher, Words, find_words, give_back, slices, text_bytes, tidy
 
 WINDOW = 50
 #: Windows that a task gathers before it sends them.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 LAST_ID = np.iinfo(np.int64).max
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<first:bigint,end:bigint>>"
 PACKED = "bucket int, block int, first binary, width int, steps binary"
@@ -197,8 +197,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, blocks: int | None = N
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = blocks or partitions(docs.sparkSession)
     limits = block_limits(docs, n)
-    sent = docs.mapInArrow(send_windows(window, limits, n), PACKED).repartition(n, "bucket")
-    answers = sent.mapInArrow(find_repeats, PACKED).select("block", "first", "width", "steps")
+    sent = docs.mapInArrow(tidy(send_windows(window, limits, n)), PACKED).repartition(n, "bucket")
+    answers = sent.mapInArrow(tidy(find_repeats), PACKED).select("block", "first", "width", "steps")
     # A row is in the block whose number is that of the limits up to its id.
     edges = F.array(*[F.lit(x) for x in limits]) if limits else F.array().cast("array<bigint>")
     block = F.size(F.filter(edges, lambda x: x <= F.coalesce(F.col("doc_id"), F.lit(int(LAST_ID))))).cast("int")
@@ -209,6 +209,8 @@ def _cogrouped(window: int):
     run = remove_in_block(window)
 
     def block(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        return run(docs.select(["doc_id", "text"]), answers)
+        out = run(docs.select(["doc_id", "text"]), answers)
+        give_back()
+        return out
 
     return block

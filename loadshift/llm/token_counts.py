@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadshift.llm.words import BYTE_BASE, Hasher, find_words, powers, slices, text_bytes
+from loadshift.llm.words import BYTE_BASE, Hasher, find_words, powers, slices, text_bytes, tidy
 
 RESULT = "doc_id bigint, n_words bigint, n_tokens bigint, score double"
 #: Trie nodes whose suffixes are looked up together.
@@ -145,4 +145,4 @@ def count_tokens(docs: DataFrame, pieces: str) -> DataFrame:
     read; an empty table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_counter(read_pieces(pieces)), RESULT)
+    return docs.mapInArrow(tidy(_counter(read_pieces(pieces))), RESULT)

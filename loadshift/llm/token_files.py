@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from loadshift.llm.encode import Encoder, tokenizer_json
 from loadshift.llm.shared import once_per_worker, partitions
-from loadshift.llm.words import slices, text_bytes
+from loadshift.llm.words import slices, text_bytes, tidy
 from loadshift.session import scratch_dir
 
 MAGIC = b"TKB1"
@@ -144,7 +144,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, sh
     files.create_dir(path, recursive=True)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = docs.repartitionByRange(shards or partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = ordered.mapInArrow(_writer(folder, definition, end_id, bits_for(max(vocabulary, end_id + 1))), MANIFEST)
+    manifest = ordered.mapInArrow(tidy(_writer(folder, definition, end_id, bits_for(max(vocabulary, end_id + 1)))), MANIFEST)
     manifest.write.parquet(f"{folder}/manifest.parquet")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest.parquet")
 
@@ -174,7 +174,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     base = manifest.select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
     content = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.ids").load(folder)
     number = F.regexp_extract("path", r"shard-(\d+)\.ids$", 1).cast("int").alias("shard")
-    docs = content.select(number, "content").mapInArrow(_reader, DOCUMENTS)
+    docs = content.select(number, "content").mapInArrow(tidy(_reader), DOCUMENTS)
     return docs.join(F.broadcast(base), "shard").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
 
 

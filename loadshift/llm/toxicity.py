@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadshift.llm.words import Hasher, find_words, slices, text_bytes
+from loadshift.llm.words import Hasher, find_words, slices, text_bytes, tidy
 
 ORDER = 3
 DECAY = 0.7
@@ -332,7 +332,7 @@ def _describer(landmarks: list[str]):
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on the bounded sample; without toxic or without clean training texts the model scores all texts by the share of toxic ones."""
     texts = sample(docs, labels)
-    counted = texts.mapInArrow(_count_strings, "string string, n_toxic bigint, n_clean bigint").groupBy("string").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
+    counted = texts.mapInArrow(tidy(_count_strings), "string string, n_toxic bigint, n_clean bigint").groupBy("string").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
     total = counted.filter("string = ''").collect()
     toxic, clean = (int(total[0][1]), int(total[0][2])) if total else (0, 0)
     if not toxic or not clean:
@@ -343,7 +343,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     landmarks = choose_landmarks([tuple(r) for r in rows], (toxic, clean))
     if not landmarks:
         return Model([], np.zeros(0), 0.0, 1.0, float(np.log(toxic / clean)))
-    described = texts.mapInArrow(_describer(landmarks), "toxic int, described array<double>").collect()
+    described = texts.mapInArrow(tidy(_describer(landmarks)), "toxic int, described array<double>").collect()
     x, y = np.array([r[1] for r in described]), np.array([r[0] for r in described])
     # Nystroem: both halves of the description are mapped by the landmarks' matrix to the power -1/2.
     value, vector = np.linalg.eigh(Landmarks(landmarks).matrix())
@@ -371,7 +371,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Repeated rows are scored each for itself; a column named score is replaced. An empty table gives an empty table."""
     kept = [f for f in docs.schema if f.name not in ("text", "score")]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept) + "score double"
-    return docs.select(F.col("text").cast("string").alias("text"), *[f"`{f.name}`" for f in kept]).mapInArrow(_scorer(model), schema)
+    return docs.select(F.col("text").cast("string").alias("text"), *[f"`{f.name}`" for f in kept]).mapInArrow(tidy(_scorer(model)), schema)
 
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:

@@ -6,7 +6,9 @@ polynomials modulo 2**64 (differences of running sums, so a window costs the sam
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,10 +16,30 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+Batches = Iterator[pa.RecordBatch]
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 
 
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function on Arrow batches that hands freed memory back to the system when a task is over. Workers wait for further tasks,
+    and would keep it beside the memory that Spark itself needs then."""
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads every input bit over the result (one to one)."""
     h = h ^ (h >> np.uint64(30))
