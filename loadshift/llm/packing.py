@@ -18,13 +18,13 @@ from pyspark.sql.window import Window
 from loadshift.llm.column_generation import whole_bins
 from loadshift.llm.encode import Encoder, tokenizer_json
 from loadshift.llm.shared import once_per_worker, stored
-from loadshift.llm.words import slices, text_bytes
+from loadshift.llm.words import slices, text_bytes, tidy
 
 CAPACITY = 2048
 STEP = 8
 END_ID = 1
 #: Pieces that are ranked together; a frequent length is ranked in many such parts.
-RANKED = 20_000
+RANKED = 1_000
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
 
@@ -52,7 +52,7 @@ def _cutter(definition: str, end_id: int, capacity: int):
 def cut(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, start, length, doc_tokens and ids (little-endian unsigned 32-bit) of each piece."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_cutter(tokenizer_json(tokenizer), end_id, capacity), PIECES)
+    return docs.mapInArrow(tidy(_cutter(tokenizer_json(tokenizer), end_id, capacity)), PIECES)
 
 
 def _places(patterns: np.ndarray, bins: np.ndarray):
