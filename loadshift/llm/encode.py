@@ -51,6 +51,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.hasher = Hasher()
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # A token is written with one character for each of its bytes.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -58,6 +59,17 @@ class Encoder:
             self.width[i] = len(token)
         self._clear()
 
+    def _within_added(self, data: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Which places lie within the string of an added token, which the library takes out of a text before all else."""
+        inside = np.zeros(len(places), bool)
+        raw = data.tobytes() if self.added else b""
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                inside |= (places > at) & (places < at + len(token))
+                at = raw.find(token, at + 1)
+        return inside
+
     def _clear(self) -> None:
         self.known = np.zeros(0, np.uint64)
         self.entry = np.zeros(0, np.int64)
@@ -106,6 +118,7 @@ class Encoder:
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start = unit_starts(data, offsets)
+        start = start[~self._within_added(data, start)]
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         end = np.append(start[1:], len(data))

@@ -35,7 +35,7 @@ from loadshift.llm.words import Hasher, find_words, lower_ascii, mix, slices, te
 GRAM = 5
 SIMILARITY = Fraction(4, 5)
 #: Signatures that a task gathers before it sends them.
-FLUSH = 1_000_000
+FLUSH = 500_000
 #: Classes of a signature up to which all its pairs are compared at once.
 FEW = 8
 PIVOTS = 1

@@ -118,7 +118,7 @@ def _counter(known: dict[bytes, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, hasher = Pieces.of(known), Hasher()
         for batch in batches:
-            for rows in slices(batch, 1, 8 << 20):
+            for rows in slices(batch, 1, 4 << 20):
                 words = find_words(*text_bytes(rows.column(1)))
                 hashes = hasher.spans(words.data, words.start, words.end)
                 _, at, which = np.unique(hashes, return_index=True, return_inverse=True)

@@ -38,7 +38,7 @@ LIKE = 0.5
 REACH = 3
 PAIR_BITS = 256
 #: What is worked on at once: bytes of text, characters of words, strings in a kernel.
-SLICE, GROUP_CHARACTERS, KERNEL_ROWS = 4 << 20, 2_000_000, 20_000
+SLICE, GROUP_CHARACTERS, KERNEL_ROWS = 2 << 20, 1_000_000, 20_000
 
 
 def encode(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
