@@ -52,7 +52,7 @@ def _cutter(definition: str, end_id: int, capacity: int):
 def cut(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, start, length, doc_tokens and ids (little-endian unsigned 32-bit) of each piece."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(tidy(_cutter(tokenizer_json(tokenizer), end_id, capacity)), PIECES)
+    return docs.mapInArrow(tidy(_cutter(tokenizer_json(tokenizer), end_id, capacity), ("encoder",)), PIECES)
 
 
 def _places(patterns: np.ndarray, bins: np.ndarray):

@@ -111,10 +111,6 @@ def hamming(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
 
 
-def may_differ(a: int, b: int, similarity: Fraction = SIMILARITY) -> int:
-    return int((1 - similarity) / (1 + similarity) * (a + b))
-
-
 def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted by the first number, then the second."""
     order = np.lexsort((b, a))
@@ -263,16 +259,17 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- verification ----------------------------------------------------------------------------------------------------------
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sizes and sketches allow the similarity."""
-    for batch in batches:
-        n, m, x, y = (batch.column(i) for i in range(4, 8))
-        n, m = n.to_numpy(), m.to_numpy()
-        least, most = np.minimum(n, m), np.maximum(n, m)
-        near = most * SIMILARITY.numerator <= least * SIMILARITY.denominator
-        for i in np.flatnonzero(near):
-            near[i] = hamming(x[i].values.to_numpy(), y[i].values.to_numpy()) <= may_differ(int(n[i]), int(m[i]))
-        yield batch.select(["a", "b", "row_a", "row_b"]).filter(pa.array(near))
+def fold(sketch: str) -> str:
+    half = f"cast(size({sketch}) / 2 AS int)"
+    return f"zip_with(slice({sketch}, 1, {half}), slice({sketch}, {half} + 1, {half}), (p, q) -> p ^ q)"
+
+
+def near_enough(n: str, m: str, x: str, y: str, similarity: Fraction = SIMILARITY) -> Column:
+    """Whether sizes n, m and sketches x, y of one width allow the similarity; a condition for Spark. hamming() says the same of two
+    sketches at hand."""
+    t, u = similarity.numerator, similarity.denominator
+    distance = f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d)"
+    return F.expr(f"{u} * least({n}, {m}) >= {t} * greatest({n}, {m}) AND {u + t} * {distance} <= {u - t} * ({n} + {m})")
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,8 +284,9 @@ def verify(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """Those pairs (a, b) of classes whose sets are similar. classes: class, row, n_shingles, sketch; keyed: row, text."""
     side = classes.select("class", "row", "n_shingles", "sketch")
     both = pairs.join(side.toDF("a", "row_a", "n", "x"), "a").join(side.toDF("b", "row_b", "m", "y"), "b")
-    both = both.select("a", "b", "row_a", "row_b", "n", "m", "x", "y")
-    near = stored(both.mapInArrow(tidy(_near), "a bigint, b bigint, row_a bigint, row_b bigint"), "near")
+    # Classes that share a signature are of one band or of neighbours.
+    even = {"u": F.expr(f"CASE WHEN size(x) > size(y) THEN {fold('x')} ELSE x END"), "v": F.expr(f"CASE WHEN size(y) > size(x) THEN {fold('y')} ELSE y END")}
+    near = stored(both.withColumns(even).filter(near_enough("n", "m", "u", "v")).select("a", "b", "row_a", "row_b"), "near")
     sides = F.array(*[F.struct(F.col(c).alias("class"), F.col(r).alias("row")) for c, r in (("a", "row_a"), ("b", "row_b"))])
     wanted = near.select(F.inline(sides)).distinct()
     texts = keyed.join(broadcast_if_small(stored(wanted, "wanted"), SMALL), "row").dropDuplicates(["class"])
@@ -299,18 +297,9 @@ def verify(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     return both.filter(u * shared >= t * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
-def near_enough(n: str, m: str, x: str, y: str, similarity: Fraction = SIMILARITY) -> Column:
-    """Whether sizes n, m and sketches x, y of one width allow the similarity; as a condition of a join."""
-    t, u = similarity.numerator, similarity.denominator
-    distance = f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (s, d) -> s + d)"
-    return F.expr(f"{u} * least({n}, {m}) >= {t} * greatest({n}, {m}) AND {u + t} * {distance} <= {u - t} * ({n} + {m})")
-
-
 def with_sketches(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Adds n and sketch of each class a, in the width of the band for which `folded` rows are one band too wide."""
-    half = "cast(size(sketch) / 2 AS int)"
-    folded = f"zip_with(slice(sketch, 1, {half}), slice(sketch, {half} + 1, {half}), (p, q) -> p ^ q)"
-    sketch = F.expr(f"CASE WHEN folded AND size(sketch) > {WIDTH // 64} THEN {folded} ELSE sketch END")
+    sketch = F.expr(f"CASE WHEN folded AND size(sketch) > {WIDTH // 64} THEN {fold('sketch')} ELSE sketch END")
     sides = classes.select(F.col("class").alias("a"), F.col("n_shingles").alias("n"), "sketch")
     return rows.join(sides, "a").withColumn("sketch", sketch)
 

@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadshift.llm.words import WORKER
 from loadshift.session import scratch_dir
 
 
@@ -31,9 +32,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def once_per_worker(key: str, make: Callable[[], Any]) -> Any:
-    """A value that lives as long as a Python worker, which Spark reuses for many tasks. Functions travel by value, so a global of
+    """A value that lives as long as a Python worker has tasks of one kind, see tidy(). Functions travel by value, so a global of
     this module would be made anew in each task."""
-    holder = sys.modules.setdefault("loadshift_worker", types.ModuleType("loadshift_worker"))
+    holder = sys.modules.setdefault(WORKER, types.ModuleType(WORKER))
     if not hasattr(holder, key):
         setattr(holder, key, make())
     return getattr(holder, key)

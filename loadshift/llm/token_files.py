@@ -144,7 +144,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, sh
     files.create_dir(path, recursive=True)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = docs.repartitionByRange(shards or partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = ordered.mapInArrow(tidy(_writer(folder, definition, end_id, bits_for(max(vocabulary, end_id + 1)))), MANIFEST)
+    manifest = ordered.mapInArrow(tidy(_writer(folder, definition, end_id, bits_for(max(vocabulary, end_id + 1))), ("encoder",)), MANIFEST)
     manifest.write.parquet(f"{folder}/manifest.parquet")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest.parquet")
 

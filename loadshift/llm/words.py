@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -16,16 +17,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19
+#: Name of the module that once_per_worker() fills.
+WORKER = "loadshift_worker"
 Batches = Iterator[pa.RecordBatch]
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 
 
-def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """A function on Arrow batches that hands freed memory back to the system when a task is over. Workers wait for further tasks,
-    and would keep it beside the memory that Spark itself needs then."""
+def tidy(run: Callable[[Batches], Batches], keeps: tuple[str, ...] = ()) -> Callable[[Batches], Batches]:
+    """A function on Arrow batches that drops what earlier kinds of tasks keep in the worker, but for `keeps`, and hands freed memory
+    back to the system when a task is over. Workers wait for further tasks, and would hold it beside the memory that Spark itself
+    needs then."""
 
     def task(batches: Batches) -> Batches:
+        kept = vars(sys.modules[WORKER]) if WORKER in sys.modules else {}
+        for key in [k for k in kept if not k.startswith("__") and k not in keeps]:
+            del kept[key]
         try:
             yield from run(batches)
         finally:
