@@ -29,6 +29,10 @@ DECAY = 0.7
 LANDMARKS = 96
 #: Labelled texts of either class that are used at most, those with the smallest hash of their id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 5000
+#: Strings that a task counts before it sends them.
+COUNTED = 200_000
+#: Toxic texts that hold a string that is to tell them from clean ones.
+LEAST_TOXIC = 2
 #: Strings that come to the driver to choose landmarks from.
 CANDIDATES = 1500
 HELD_OUT = 5
@@ -235,9 +239,16 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many toxic and clean texts hold each whole word and each front of a word."""
+    """How many toxic and clean texts hold each whole word and each front of a word; what a task has counted so far is sent whenever it
+    holds many strings, so a string may come several times."""
     counts = (Counter(), Counter())
     hasher, texts = Hasher(), [0, 0]
+
+    def sent() -> pa.RecordBatch:
+        strings = list(counts[1] | counts[0])
+        rows = [*strings, ""], [*(counts[1][s] for s in strings), texts[1]], [*(counts[0][s] for s in strings), texts[0]]
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64())], ["string", "n_toxic", "n_clean"])
+
     for batch in batches:
         for rows in slices(batch, 0):
             words, doc, which, _ = plain_words(rows, 0, hasher)
@@ -249,9 +260,10 @@ def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 strings = {f"^{w}$" for w in own if 4 <= len(w) <= 20} | {f"^{w[:n]}" for w in own for n in PREFIXES if len(w) > n}
                 counts[int(toxic[d])].update(strings)
                 texts[int(toxic[d])] += 1
-    often = [s for s, n in counts[1].items() if n >= 2]
-    rows = [*often, ""], [*(counts[1][s] for s in often), texts[1]], [*(counts[0][s] for s in often), texts[0]]
-    yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64())], ["string", "n_toxic", "n_clean"])
+                if len(counts[0]) + len(counts[1]) >= COUNTED:
+                    yield sent()
+                    counts, texts = (Counter(), Counter()), [0, 0]
+    yield sent()
 
 
 def choose_landmarks(rows: list[tuple[str, int, int]], texts: tuple[int, int], most: int = LANDMARKS) -> list[str]:
@@ -339,7 +351,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         share = (toxic + 0.01) / (toxic + clean + 1)
         return Model([], np.zeros(0), 0.0, 1.0, float(np.log(share / (1 - share))))
     telling = F.col("n_toxic") * F.log(((F.col("n_toxic") + 0.5) / (toxic + 1)) / ((F.col("n_clean") + 0.5) / (clean + 1)))
-    rows = counted.filter("string <> ''").orderBy(telling.desc(), "string").limit(CANDIDATES).collect()
+    rows = counted.filter(f"string <> '' AND n_toxic >= {LEAST_TOXIC}").orderBy(telling.desc(), "string").limit(CANDIDATES).collect()
     landmarks = choose_landmarks([tuple(r) for r in rows], (toxic, clean))
     if not landmarks:
         return Model([], np.zeros(0), 0.0, 1.0, float(np.log(toxic / clean)))

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -192,6 +193,37 @@ def test_held_out_accuracy(spark, sf):
     assert caught >= 0.88 and wrong <= 0.01
 
 
+def test_training_does_not_rest_on_partitions(spark):
+    random.seed(5)
+    words = [f"plain{chr(97 + i % 26)}{i}" for i in range(300)]
+    rows = []
+    for i in range(240):
+        text = [random.choice(words) for _ in range(12)]
+        if i % 4 == 0:
+            text[3:5] = [random.choice(["grobian", "halunke", "schurke"]), "lump"]
+        elif i % 6 == 1:
+            text[5] = "lump"
+        rows.append((i, " ".join(text), int(i % 4 == 0)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    models = [toxicity.train(table.repartition(n, "doc_id").select("doc_id", "text"), table.select("doc_id", "toxic")) for n in (1, 200)]
+    assert models[0].landmarks and models[0].landmarks == models[1].landmarks
+    one, many = ({r.doc_id: r.score for r in toxicity.score(table.select("doc_id", "text"), m).collect()} for m in models)
+    assert max(one.values()) - min(one.values()) > 0.5
+    assert one == pytest.approx(many, abs=1e-6)
+
+
+def test_counts_sent_in_between_add_up(monkeypatch):
+    monkeypatch.setattr(toxicity, "COUNTED", 5)
+    batch = pa.RecordBatch.from_pydict({"text": ["lump grobian", "lump", "lump other", "other"], "toxic": [1, 1, 0, 0]})
+    found = defaultdict(lambda: np.zeros(2, int))
+    parts = list(toxicity._count_strings(iter([batch])))
+    for part in parts:
+        for s, p, n in zip(*(c.to_pylist() for c in part.columns)):
+            found[s] += [p, n]
+    assert len(parts) > 1
+    assert {s: tuple(found[s]) for s in ("", "^lump$", "^grob", "^other$")} == {"": (2, 2), "^lump$": (2, 1), "^grob": (1, 0), "^other$": (0, 2)}
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(None, 1), (3, None)], "doc_id bigint, toxic int")
     model = toxicity.train(odd, labels)
