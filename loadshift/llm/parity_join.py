@@ -362,16 +362,19 @@ def link_rows(docs: DataFrame) -> DataFrame:
     few = many.join(bound, "owner").withColumn("place", place).filter("place <= shared - spare")
     few = few.select("signature", F.col("owner").bitwiseAND(F.lit(-2)).alias("a"), (F.col("owner") % 2 != 0).alias("folded"), "central")
     pairs, many = across(stored(few, "many"), None, PIVOTS, classes)
+    many = stored(many, "many")
     pairs = met.filter(F.col("b").isNotNull()).select("a", "b").union(pairs).distinct()
     links, pivots = None, PIVOTS
     while True:
-        found = stored(verify(pairs, classes, keyed), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
+        # A round without pairs only says that its pivots have none; signatures with more classes than pivots go on.
+        if links is None or not is_empty(pairs):
+            found = stored(verify(pairs, classes, keyed), "links")
+            links = found if links is None else links.union(found)
+            labels = components(links)
         pivots *= GROWTH
-        pairs, many = across(stored(many, "many"), labels, pivots, classes)
-        pairs = stored(pairs, "pairs")
-        if is_empty(pairs):
+        pairs, many = across(many, labels, pivots, classes)
+        pairs, many = stored(pairs, "pairs"), stored(many, "many")
+        if is_empty(pairs) and is_empty(many):
             break
     root = classes.select("class", "least").join(labels.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     smallest = root.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -68,6 +68,25 @@ def test_links_of_near_copies(spark, monkeypatch, few):
     assert got == brute.linked(rows)
 
 
+def passage_mixes():
+    """Three passages each: a first and a last one of many, each with all others, and one in the middle. One text has a near copy, and is
+    the least central of all that share its passages, so the first pivots are other texts and have no near ones."""
+    first, last = ([[f"{x}{i}x{w}" for w in range(12)] for i in range(14)] for x in "ac")
+    middle = [f"b{w}" for w in range(12)]
+    rows = [[*first[i], *middle, *last[k]] for i in range(14) for k in range(14) if (i > 0 or k < 10) and (k > 0 or i < 10)]
+    rows.append([*rows[0][:-1], "else"])
+    return list(enumerate(" ".join(r) for r in rows))
+
+
+def test_links_after_a_round_without_any(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "FEW", 2)
+    monkeypatch.setattr(parity_join, "GROWTH", 2)
+    rows = passage_mixes()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in parity_join.link(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[len(rows) - 1] == (32, 0)
+    assert got == brute.linked(rows)
+
+
 def test_links_of_odd_rows(odd, none):
     rows = parity_join.link(odd).collect()
     got = defaultdict(set)
