@@ -30,7 +30,7 @@ LANDMARKS = 96
 #: Labelled texts of either class that are used at most, those with the smallest hash of their id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 5000
 #: Strings that a task counts before it sends them.
-COUNTED = 200_000
+COUNTED = 20_000
 #: Toxic texts that hold a string that is to tell them from clean ones.
 LEAST_TOXIC = 2
 #: Strings that come to the driver to choose landmarks from.
