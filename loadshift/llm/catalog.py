@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadshift.llm import decontaminate, packing, parity_join, quality_rules, secret_scan, substring_dedup, token_counts, token_files, toxicity, url_rules
+from loadshift.llm import decontaminate, filter_audit, hard_negatives, packing, parity_join, quality_rules, secret_scan, simhash_cover, substring_dedup
+from loadshift.llm import token_counts, token_files, toxicity, url_rules
 from loadshift.llm.shared import stored, table
 from loadshift.session import scratch_dir
 
@@ -80,6 +81,24 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.link(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+def op12_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = simhash_cover.link(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return linked.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.whole_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), "embedding")
+    label = F.col("label").cast("bigint")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = rows.select(F.col("vec_id").alias("id"), label.alias("label"), hard_negatives.steps("embedding", 256).alias("vector"))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,5 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_secret_scan,
         op10_ngram_join,
+        op11_filter_audit,
+        op12_simhash_cover,
+        op13_hard_negatives,
     )
 }

@@ -85,10 +85,47 @@ reach(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.x, e.y FROM reac
 c AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"""
 
+AUDIT = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part, regexp_extract_all(coalesce(text, ''), {WORD}) AS w FROM documents),
+f AS (SELECT t, min(doc_id) AS m FROM d GROUP BY t),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+fails AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, (CASE WHEN len(w) < 50 THEN 'A' ELSE '' END)
+  || (CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END)
+  || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END)
+  || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN coalesce(d.doc_id > m, false) THEN 'E' ELSE '' END) AS x
+  FROM d JOIN f USING (t) LEFT JOIN l ON l.doc_id = d.doc_id),
+c AS (SELECT part, x, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM fails GROUP BY ALL),
+o(s) AS (SELECT '' UNION ALL SELECT s || v FROM o, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) q(v) WHERE NOT contains(s, v)),
+p AS (SELECT s AS filter_order, i AS step, s[1:i-1] AS before, s[i] AS f FROM o, range(1, 6) r(i) WHERE length(s) = 5),
+r AS (SELECT part, filter_order, step, f,
+  coalesce(sum(n) FILTER (x = '' OR translate(x, before || f, '') = x), 0) AS kept,
+  coalesce(sum(n) FILTER (contains(x, f) AND translate(x, before, '') = x), 0) AS removed,
+  coalesce(sum(n) FILTER (contains(x, f) AND translate(x, before, '') <> x), 0) AS redundant,
+  coalesce(sum(n) FILTER (x = f), 0) AS unique_fails,
+  coalesce(sum(good) FILTER (contains(x, f) AND translate(x, before, '') = x), 0) AS good_lost,
+  coalesce(sum(toxic) FILTER (contains(x, f) AND translate(x, before, '') = x), 0) AS toxic_lost
+  FROM c, p GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r"""
+
+NEGATIVES = """
+WITH e AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+s AS (SELECT a.id AS anchor_id, r.id AS id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM e a, e r WHERE a.id % 100 = 0 AND a.id <> r.id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id,
+  positive_score, score AS negative_score FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""
+
 SQL: dict[str, str] = {
     "op1_substring_dedup": DEDUP,
     "op3_decontamination": LEAKS,
     "op7_url_rules": URLS,
     "op9_secret_scan": secrets(),
     "op10_ngram_join": LINKS,
+    "op11_filter_audit": AUDIT,
+    "op13_hard_negatives": NEGATIVES,
 }

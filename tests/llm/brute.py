@@ -116,3 +116,83 @@ def judge_url(url, rules):
         if (host == h or host.endswith("." + h)) and path.startswith("/" + p):
             fits.append((len(name), name, verdict))
     return host, path, *(max(fits)[1:] if fits else (None, None))
+
+
+def audited(rows, good, toxic):
+    """Op 11 over (doc_id, text, source) by applying the filters one after the other, for each order."""
+    from itertools import permutations
+
+    def fails(i, text):
+        w = words(text)
+        out = {"A"} if len(w) < 50 else set()
+        out |= {"B"} if 100 * len(set(w)) < 65 * len(w) else set()
+        out |= {"C"} if 100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text) else set()
+        out |= {"D"} if set(text) & set("#$%&*|") else set()
+        return out | ({"E"} if any(e is not None and i is not None and e < i and (u or "") == text for e, u, _ in rows) else set())
+
+    parts = defaultdict(list)
+    for i, t, s in rows:
+        parts[s or ""].append((i, fails(i, t or "")))
+    out = {}
+    for part, docs in parts.items():
+        shapley = Counter()
+        for order in permutations("ABCDE"):
+            left = docs
+            for step, f in enumerate(order, 1):
+                gone = [i for i, x in left if f in x]
+                left = [(i, x) for i, x in left if f not in x]
+                shapley[f] += len(gone)
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), sum(f in x for _, x in docs) - len(gone), sum(x == {f} for _, x in docs),
+                    sum(i in good for i in gone), sum(i in toxic for i in gone),
+                ]
+        for (p, order, step), row in out.items():
+            if p == part:
+                row.append(shapley[order[step - 1]])
+    return out
+
+
+def simhash(text):
+    import xxhash
+
+    w = words((text or "").translate(LOWER))
+    grams = [" ".join(w[i : i + 3]) for i in range(max(len(w) - 2, 1))] if w else []
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_groups(prints):
+    """(id, fingerprint) -> (id, fingerprint, smallest id reachable), by all pairs."""
+    root = list(range(len(prints)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (_, x) in enumerate(prints):
+        for k in range(i):
+            if (x ^ prints[k][1]).bit_count() <= 3:
+                root[find(i)] = find(k)
+    least = defaultdict(list)
+    for i, (d, _) in enumerate(prints):
+        least[find(i)] += [d] if d is not None else []
+    return [(d, x, min(least[find(i)], default=None)) for i, (d, x) in enumerate(prints)]
+
+
+def negatives(rows, anchor, n=5):
+    """Op 13 over (id, label, integer vector), with unequal lengths filled up with zeros."""
+
+    def score(x, y):
+        return sum(a * b for a, b in zip(x, y))
+
+    rows = {(i, la, tuple(v)) for i, la, v in rows if i is not None and la is not None and v is not None and None not in v}
+    out = []
+    for i, la, v in rows:
+        if not anchor(i):
+            continue
+        others = sorted((-score(v, u), k, lb) for k, lb, u in rows)
+        for p, k, _ in [o for o in others if o[2] == la and o[1] != i][:n]:
+            fit = [o for o in others if o[2] != la and 80 * -p <= 100 * -o[0] <= 100 * -p][:n]
+            out += [(i, k, r, o[1], -p, -o[0]) for r, o in enumerate(fit, 1)]
+    return sorted(out)

@@ -13,4 +13,4 @@ def test_query_equals_sql(spark, sf, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(n.split("_")[0][2:]) for n in catalog.QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and set(oracles.SQL) <= set(catalog.QUERIES)
+    assert sorted(numbers) == list(range(1, 14)) and set(oracles.SQL) <= set(catalog.QUERIES)
