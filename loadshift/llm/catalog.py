@@ -34,9 +34,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
-    # The checksum stands for the ids from here on.
-    pieces = stored(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
-    return packing.assign(pieces)
+    return packing.assign(stored(pieces.withColumn("ids_crc32", F.crc32("ids")), "pieces"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,11 @@
 
 Texts become ids and an end id, cut into full sequences and one shorter piece. The histogram of piece lengths, in steps of `STEP`
 tokens and so of bounded size, is the only thing the driver sees: column generation turns it into patterns of lengths and a number
-of sequences for each. Pieces are ranked within their length step and take the places of that step in the patterns by rank.
+of sequences for each. Pieces are ranked within their length step and take the places of that step in the patterns by rank: a task
+numbers its own pieces as it cuts them, and each task's first rank is a sum over tasks.
+
+Patterns alone leave room where lengths fit badly. So of each stretch of NEIGHBOURS sequences the emptiest ones are taken apart, and
+their pieces fill the room of the others, cut where a sequence is full.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,14 +28,17 @@ from loadshift.llm.words import slices, text_bytes, tidy
 CAPACITY = 2048
 STEP = 8
 END_ID = 1
-#: Pieces that are ranked together; a frequent length is ranked in many such parts.
-RANKED = 1_000
-PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
+#: Sequences that are looked at together to fill room, and the least room worth a cut.
+NEIGHBOURS = 512
+LEAST_ROOM = 12
+PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, task bigint, number bigint, own bigint"
 
 
-def _cutter(definition: str, end_id: int, capacity: int):
+def _cutter(definition: str, end_id: int, capacity: int, step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once_per_worker("encoder", lambda: Encoder(definition))
+        task = TaskContext.get().partitionId()
+        seen, done = np.zeros(-(-capacity // step) + 1, np.int64), 0
         for batch in batches:
             for rows in slices(batch, 1):
                 found, bounds = encoder.ids(*text_bytes(rows.column(1)))
@@ -40,19 +48,28 @@ def _cutter(definition: str, end_id: int, capacity: int):
                 doc = np.repeat(np.arange(len(tokens)), pieces)
                 start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
                 length = np.minimum(capacity, tokens[doc] - start)
+                size = -(-length // step)
+                order = np.argsort(size, kind="stable")
+                count = np.bincount(size, minlength=len(seen))
+                own = np.empty(len(size), np.int64)
+                own[order] = np.arange(len(size)) - (np.cumsum(count) - count)[size[order]] + seen[size[order]]
+                seen += count
                 # Pieces follow each other without gaps, so their bounds are running sums.
                 at = np.concatenate([[0], np.cumsum(length)]) * 4
                 ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(found)])
                 columns = [rows.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(tokens[doc]), ids]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "ids"])
+                columns += [pa.array(np.full(len(doc), task)), pa.array(done + np.arange(len(doc))), pa.array(own)]
+                done += len(doc)
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PIECES.split(", ")])
 
     return run
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, start, length, doc_tokens and ids (little-endian unsigned 32-bit) of each piece."""
+def cut(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY, step: int = STEP) -> DataFrame:
+    """doc_id, start, length, doc_tokens and ids (little-endian unsigned 32-bit) of each piece; task and number name it, and `own` is its number
+    among the pieces of its size in its task. To be stored before it is read twice."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(tidy(_cutter(tokenizer_json(tokenizer), end_id, capacity), ("encoder",)), PIECES)
+    return docs.mapInArrow(tidy(_cutter(tokenizer_json(tokenizer), end_id, capacity, step), ("encoder",)), PIECES)
 
 
 def _places(patterns: np.ndarray, bins: np.ndarray):
@@ -66,10 +83,11 @@ def _places(patterns: np.ndarray, bins: np.ndarray):
 
 
 def _assigner(sizes: np.ndarray, places: list):
+    """Sequence and slot of pieces (task, number, length, size, rank)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = {n: batch.column(n) for n in batch.schema.names}
-            size, rank = columns.pop("size").to_numpy(), columns.pop("rank").to_numpy()
+            task, number, length, size, rank = (batch.column(i).to_numpy() for i in range(5))
             sequence, slot = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
             kind = np.searchsorted(sizes, size)
             for k in np.unique(kind):
@@ -79,29 +97,84 @@ def _assigner(sizes: np.ndarray, places: list):
                 within = rank[of] - np.concatenate([[0], ends])[p]
                 sequence[of] = first[p] + within // each[p]
                 slot[of] = k * CAPACITY + within % each[p]
-            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(sequence), pa.array(slot)], [*columns, "sequence_id", "slot"])
+            columns = (task, number, length, sequence // NEIGHBOURS, sequence, slot)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["task", "number", "length", "stretch", "sequence_id", "slot"])
+
+    return run
+
+
+PLACED = pa.schema([(c, pa.int64()) for c in ("task", "number", "part_start", "part_length", "sequence_id", "offset")])
+
+
+def fill(sequence: np.ndarray, slot: np.ndarray, length: np.ndarray, capacity: int, least_room: int) -> tuple[np.ndarray, ...]:
+    """Piece (its place), start and length of the part, sequence and offset of every part, once the emptiest sequences are taken apart and
+    their pieces laid over the room of the others. No more are taken apart than that room holds."""
+    order = np.lexsort((-slot, sequence))
+    sequence, length = sequence[order], length[order]
+    first = np.flatnonzero(np.append(True, sequence[1:] != sequence[:-1]))
+    count = np.diff(np.append(first, len(sequence)))
+    total = np.add.reduceat(length, first)
+    offset = np.cumsum(length) - length
+    offset -= np.repeat(offset[first], count)
+    room = np.where(capacity - total >= least_room, capacity - total, 0)
+    rising = np.argsort(total, kind="stable")
+    spare = room.sum() - np.cumsum(room[rising])
+    apart = int((np.cumsum(total[rising]) <= spare).sum())
+    gone = np.zeros(len(first), bool)
+    gone[rising[:apart]] = True
+    moved = np.flatnonzero(np.repeat(gone, count))
+    stays = np.flatnonzero(~np.repeat(gone, count))
+    parts = [(order[stays], np.zeros(len(stays), np.int64), length[stays], sequence[stays], offset[stays])]
+    if len(moved):
+        roomy = rising[apart:][room[rising[apart:]] > 0]
+        pieces, rooms = np.cumsum(length[moved]), np.cumsum(room[roomy])
+        ends = np.unique(np.concatenate([pieces, rooms[rooms < pieces[-1]]]))
+        begins = np.append(0, ends[:-1])
+        piece, place = np.searchsorted(pieces, begins, "right"), np.searchsorted(rooms, begins, "right")
+        into = roomy[place]
+        part_start = begins - (pieces - length[moved])[piece]
+        parts.append((order[moved[piece]], part_start, ends - begins, sequence[first[into]], total[into] + begins - (rooms - room[roomy])[place]))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _filler(capacity: int, least_room: int):
+    def run(rows: pa.Table) -> pa.Table:
+        task, number, length, sequence, slot = (rows.column(c).to_numpy() for c in ("task", "number", "length", "sequence_id", "slot"))
+        piece, start, size, sequence, offset = fill(sequence, slot, length, capacity, least_room)
+        return pa.table([pa.array(x) for x in (task[piece], number[piece], start, size, sequence, offset)], PLACED)
 
     return run
 
 
-def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP) -> DataFrame:
-    """Adds sequence_id and offset to pieces (doc_id, start, length and any further columns); `pieces` is read three times, so it
-    should be stored. Lengths over the capacity are an error."""
-    sized = pieces.withColumn("size", F.ceil(F.col("length") / step).cast("bigint"))
-    counts = sized.groupBy("size").count().orderBy("size").collect()  # capacity / step rows at most
+def place(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, least_room: int = LEAST_ROOM) -> DataFrame:
+    """task, number, part_start, part_length, sequence_id and offset of all parts of stored pieces (task, number, own, length). Lengths over
+    the capacity are an error; no pieces give no parts. A stretch of sequences that is filled together has NEIGHBOURS times `capacity`
+    pieces at most."""
+    sized = pieces.select("task", "number", "own", "length", F.ceil(F.col("length") / step).cast("bigint").alias("size"))
+    by_task = stored(sized.groupBy("task", "size").agg(F.count(F.lit(1)).alias("n")), "counts")
+    counts = by_task.groupBy("size").agg(F.sum("n").alias("n")).orderBy("size").collect()  # capacity / step rows at most
     sizes, demand = np.array([r[0] for r in counts], np.int64), np.array([r[1] for r in counts], np.int64)
     patterns, bins = whole_bins(sizes, demand, -(-capacity // step))
-    parts = F.element_at(F.create_map(*[F.lit(int(x)) for s, n in zip(sizes, demand) for x in (s, -(-n // RANKED))]) if len(sizes) else F.lit(None).cast("map<int,int>"), F.col("size").cast("int"))
-    salted = sized.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), parts))
-    number = F.row_number().over(Window.partitionBy("size", "part").orderBy("doc_id", "start"))
-    ranked = salted.withColumn("number", number)
-    before = F.sum("count").over(Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    first = salted.groupBy("size", "part").count().select("size", "part", F.coalesce(before, F.lit(0)).alias("before"))
-    ranked = ranked.join(first, ["size", "part"]).withColumn("rank", F.col("number") - 1 + F.col("before")).drop("part", "number", "before")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id bigint, slot bigint"
-    placed = ranked.select(*pieces.columns, "size", "rank").mapInArrow(_assigner(sizes, _places(patterns, bins)), schema)
-    earlier = Window.partitionBy("sequence_id").orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0))).drop("slot")
+    before = F.sum("n").over(Window.partitionBy("size").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    first = by_task.select("task", "size", F.coalesce(before, F.lit(0)).alias("before"))
+    ranked = sized.join(first, ["task", "size"]).select("task", "number", "length", "size", (F.col("own") + F.col("before")).alias("rank"))
+    schema = "task bigint, number bigint, length bigint, stretch bigint, sequence_id bigint, slot bigint"
+    placed = ranked.mapInArrow(_assigner(sizes, _places(patterns, bins)), schema)
+    return placed.groupBy("stretch").applyInArrow(_filler(capacity, least_room), ", ".join(f"{c} bigint" for c in PLACED.names))
+
+
+def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """doc_id, start, length, doc_tokens, ids_crc32, sequence_id and offset of all parts of stored pieces with ids_crc32. Only pieces that are
+    cut send their ids along."""
+    parts = stored(place(pieces, capacity), "parts")
+    key = ["task", "number"]
+    whole = parts.join(pieces.select(*key, "doc_id", "start", "length", "doc_tokens", "ids_crc32"), key).filter("part_length = length")
+    broken = parts.join(pieces.select(*key, "length"), key).filter("part_length < length").drop("length")
+    found = broken.join(pieces.select(*key, "doc_id", "start", "doc_tokens", "ids"), key)
+    crc = F.crc32(F.expr("substring(ids, cast(4 * part_start AS int) + 1, cast(4 * part_length AS int))"))
+    columns = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset"]
+    found = found.withColumns({"ids_crc32": crc, "start": F.col("start") + F.col("part_start"), "length": F.col("part_length")})
+    return whole.select(*columns).union(found.select(*columns))
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
@@ -111,4 +184,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int =
     Null or empty text: the end id alone. Rows with equal or null doc_id are packed each for itself. Extra columns are not read. An
     empty table gives an empty table.
     """
-    return assign(stored(cut(docs, tokenizer, end_id, capacity), "pieces"), capacity)
+    pieces = stored(cut(docs, tokenizer, end_id, capacity), "pieces")
+    both = place(pieces, capacity).join(pieces.select("task", "number", "doc_id", "start", "doc_tokens", "ids"), ["task", "number"])
+    ids = F.expr("substring(ids, cast(4 * part_start AS int) + 1, cast(4 * part_length AS int))").alias("ids")
+    start = (F.col("start") + F.col("part_start")).alias("start")
+    return both.select("doc_id", start, F.col("part_length").alias("length"), "doc_tokens", ids, "sequence_id", "offset")
