@@ -8,7 +8,9 @@ trained on these descriptions of a bounded sample of labelled texts; its margins
 
 Words are lower-cased and stripped of all but letters and digits, so characters inserted from outside fall away; runs of single
 characters count as one word. A word that lacks over two fifths of a landmark's neighbouring letters, with up to two characters between
-them in the word, counts as unlike it; a hashed table of such pairs in each word finds those worth a kernel.
+them in the word, counts as unlike it; a hashed table of such pairs in each word finds those worth a kernel. Words of more than LONGEST
+letters, as in scripts without blanks, are taken in short windows, each a word of its own: all of SHORT letters, and wider ones for
+insults with gaps. So a word's cost grows with its length only.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadshift.llm.words import Hasher, find_words, slices, text_bytes, tidy
+from loadshift.llm.words import distinct_spans, find_words, slices, text_bytes, tidy
 
 ORDER = 3
 DECAY = 0.7
@@ -38,6 +40,8 @@ CANDIDATES = 1500
 HELD_OUT = 5
 PREFIXES = (4, 5, 6, 7, 8)
 LIKE = 0.5
+#: Letters of a word that are compared at once; letters of the windows of longer words, and how far apart the wide ones start.
+LONGEST, SHORT, WIDE, WIDE_STEP = 48, 6, 12, 4
 #: Characters in between that a landmark's neighbours may have in a word, and one more.
 REACH = 3
 PAIR_BITS = 256
@@ -95,6 +99,14 @@ def plain(word: str) -> str:
     return word if word.isalnum() else "".join(c for c in word if c.isalnum())
 
 
+def windows(word: str) -> list[str]:
+    """The word, or its windows if it is longer than LONGEST."""
+    if len(word) <= LONGEST:
+        return [word]
+    starts = [(i, SHORT) for i in range(len(word) - SHORT + 1)] + [(i, WIDE) for i in range(0, len(word) - SHORT, WIDE_STEP)]
+    return [word[i : i + n] for i, n in starts]
+
+
 def pair_bits(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """The place of each pair of code points in a table of PAIR_BITS bits."""
     return ((first.astype(np.uint32) * np.uint32(0x9E3779B1) + second) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - PAIR_BITS.bit_length() + 1)
@@ -180,12 +192,11 @@ def by_length(words: list[str]) -> list[np.ndarray]:
     return out
 
 
-def plain_words(rows: pa.RecordBatch, text: int, hasher: Hasher) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+def plain_words(rows: pa.RecordBatch, text: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Distinct plain words of a slice, and for each word of the texts its document and its number among the distinct ones; the number
-    of words of each document. Runs of single-character words are joined."""
+    of words of each document. Runs of single-character words are joined, and long words come as their windows."""
     found = find_words(*text_bytes(rows.column(text)))
-    hashes = hasher.spans(found.data, found.start, found.end)
-    _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+    at, which = distinct_spans(found.data, found.start, found.end)
     raw = found.data.tobytes()
     words = [plain(raw[a:b].decode("utf-8", "replace")) for a, b in zip(found.start[at].tolist(), found.end[at].tolist())]
     doc = found.doc
@@ -198,12 +209,25 @@ def plain_words(rows: pa.RecordBatch, text: int, hasher: Hasher) -> tuple[list[s
     extra = ["".join(words[i] for i in which[a:b]) for a, b in runs]
     doc = np.concatenate([doc, doc[[a for a, _ in runs]]]) if runs else doc
     which = np.concatenate([which, len(words) + np.arange(len(runs))]) if runs else which
-    return words + extra, doc, which, found.counts
+    words += extra
+    if any(len(w) > LONGEST for w in words):
+        known: dict[str, int] = {}
+        parts = [[known.setdefault(x, len(known)) for x in windows(w)] for w in words]
+        each = np.array([len(p) for p in parts])
+        start, repeat = np.cumsum(each) - each, each[which]
+        place = np.repeat(start[which], repeat) + np.arange(int(repeat.sum())) - np.repeat(np.cumsum(repeat) - repeat, repeat)
+        doc, which, words = np.repeat(doc, repeat), np.array([x for p in parts for x in p])[place], list(known)
+    return words, doc, which, found.counts
+
+
+def strings_of(words: set[str]) -> set[str]:
+    """Strings that may become landmarks: whole words and fronts of words."""
+    return {f"^{w}$" for w in words if 1 <= len(w) <= 20} | {f"^{w[:n]}" for w in words for n in PREFIXES if len(w) > n}
 
 
-def describe(rows: pa.RecordBatch, text: int, landmarks: Landmarks, hasher: Hasher) -> np.ndarray:
+def describe(rows: pa.RecordBatch, text: int, landmarks: Landmarks) -> np.ndarray:
     """For each text the largest value with each landmark, then the logarithm of how often values are high, in parts of all words."""
-    words, doc, which, counts = plain_words(rows, text, hasher)
+    words, doc, which, counts = plain_words(rows, text)
     m = len(landmarks.strings)
     top, often = np.zeros((rows.num_rows, m)), np.zeros((rows.num_rows, m))
     word, mark, value = landmarks.similar(words)
@@ -242,7 +266,7 @@ def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """How many toxic and clean texts hold each whole word and each front of a word; what a task has counted so far is sent whenever it
     holds many strings, so a string may come several times."""
     counts = (Counter(), Counter())
-    hasher, texts = Hasher(), [0, 0]
+    texts = [0, 0]
 
     def sent() -> pa.RecordBatch:
         strings = list(counts[1] | counts[0])
@@ -251,14 +275,13 @@ def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for rows in slices(batch, 0):
-            words, doc, which, _ = plain_words(rows, 0, hasher)
+            words, doc, which, _ = plain_words(rows, 0)
             toxic = rows.column(1).to_numpy(zero_copy_only=False)
             at = np.searchsorted(np.sort(doc), np.arange(rows.num_rows + 1))
             order = np.argsort(doc, kind="stable")
             for d in range(rows.num_rows):
                 own = {words[i] for i in set(which[order[at[d] : at[d + 1]]].tolist())}
-                strings = {f"^{w}$" for w in own if 4 <= len(w) <= 20} | {f"^{w[:n]}" for w in own for n in PREFIXES if len(w) > n}
-                counts[int(toxic[d])].update(strings)
+                counts[int(toxic[d])].update(strings_of(own))
                 texts[int(toxic[d])] += 1
                 if len(counts[0]) + len(counts[1]) >= COUNTED:
                     yield sent()
@@ -267,7 +290,7 @@ def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def choose_landmarks(rows: list[tuple[str, int, int]], texts: tuple[int, int], most: int = LANDMARKS) -> list[str]:
-    """The strings that tell toxic from clean texts best, by the square root of expected surprise, none nearly equal to another."""
+    """The strings that tell toxic from clean texts best, by expected surprise, none nearly equal to another."""
     toxic, clean = texts
     scored = []
     for s, p, n in rows:
@@ -332,10 +355,10 @@ class Model:
 
 def _describer(landmarks: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, hasher = Landmarks(landmarks), Hasher()
+        marks = Landmarks(landmarks)
         for batch in batches:
             for rows in slices(batch, 0, SLICE):
-                described = describe(rows, 0, marks, hasher)
+                described = describe(rows, 0, marks)
                 yield pa.RecordBatch.from_arrays([rows.column(1), pa.array(list(described), pa.list_(pa.float64()))], ["toxic", "described"])
 
     return run
@@ -369,10 +392,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 def _scorer(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, hasher = Landmarks(model.landmarks) if model.landmarks else None, Hasher()
+        marks = Landmarks(model.landmarks) if model.landmarks else None
         for batch in batches:
             for rows in slices(batch, 0, SLICE):
-                described = describe(rows, 0, marks, hasher) if marks else np.zeros((rows.num_rows, 0))
+                described = describe(rows, 0, marks) if marks else np.zeros((rows.num_rows, 0))
                 yield pa.RecordBatch.from_arrays([*rows.columns[1:], pa.array(model.scores(described))], [*rows.schema.names[1:], "score"])
 
     return run
@@ -387,7 +410,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """docs without the rows that score `threshold` or more; the columns stay the same."""
+    """docs without the rows that score `threshold` or more; the columns stay the same. Rows without text score like any text without
+    likeness, repeated rows alike; an empty table stays empty."""
     copy = docs.withColumn("__llm_kept_text", F.col("text"))
     scored = score(copy.withColumnRenamed("score", "__llm_score") if "score" in docs.columns else copy, model)
     scored = scored.filter(F.col("score") < threshold).drop("score").withColumnRenamed("__llm_kept_text", "text").withColumnRenamed("__llm_score", "score")
