@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadshift.llm.native_words import grams, word_hashes
-from loadshift.llm.shared import broadcast_if_small, stored
+from loadshift.llm.shared import broadcast_if_small, row_hash, stored
 
 GRAM = 5
 BITS, BLOCKS = 64, 8
@@ -73,7 +73,7 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     columns are not read. Empty tables give an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = docs.withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text"))
+    keyed = docs.withColumn("row", row_hash(F.col("doc_id"), F.col("text")))
     items = stored(item_table(benchmark), "items")
     laid = items.select("item_words", F.posexplode("item_grams").alias("item_place", "gram")).distinct()
     # Every shingle of every document against those of the benchmark.
@@ -86,7 +86,7 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     first = F.greatest(F.lit(0), F.least(F.col("place") - F.col("item_place"), F.col("n") - length))
     windows = hits.select("row", first.alias("start"), length.alias("length"), "item_words").distinct()
     windows = stored(windows.groupBy("row").agg(F.collect_list(F.struct("start", "length", "item_words")).alias("windows")), "windows")
-    met = keyed.join(broadcast_if_small(windows, SMALL // 10), "row").dropDuplicates(["row"])
+    met = keyed.join(broadcast_if_small(windows, SMALL // 10), "row").dropDuplicates(["row", "doc_id"])
     met = met.withColumn("h", word_hashes(_text())).withColumn("g", grams("h", GRAM))
     each = met.select("doc_id", "row", "g", F.explode_outer("windows").alias("w")).select("doc_id", "row", "w.*", F.expr(f"slice(g, w.start + 1, w.length - {GRAM - 1})").alias("window_grams"))
     each = each.withColumn("window_print", simhash("window_grams"))
@@ -95,7 +95,7 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     probes = each.select("*", F.explode_outer(_blocks("window_print")).alias("b")).select("*", "b.block", "b.value").drop("b")
     distance = F.bit_count(F.col("item_print").bitwiseXOR(F.col("window_print")))
     met_items = probes.join(filed.drop("item_grams"), ["item_words", "block", "value"]).withColumn("distance", distance).filter(F.col("distance") <= RADIUS)
-    pairs = met_items.dropDuplicates(["row", "start", "length", "item_id"]).drop("block", "value", "window_print", "item_print")
+    pairs = met_items.dropDuplicates(["row", "doc_id", "start", "length", "item_id"]).drop("block", "value", "window_print", "item_print")
     both = pairs.join(items.select("item_id", "item_grams"), "item_id")
     both = both.withColumn("a", occurrences("window_grams")).withColumn("b", occurrences("item_grams")).withColumn("shared", F.size(F.array_intersect("a", "b")))
     both = both.withColumn("similarity", F.col("shared") / (F.size("a") + F.size("b") - F.col("shared"))).filter(F.col("similarity") >= similarity)
@@ -104,7 +104,9 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs without the rows in which find() meets an item."""
-    found = find(docs, benchmark, similarity).select(F.col("row").alias("__llm_row")).distinct()
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), F.col("text").cast("string"))
-    return docs.withColumn("__llm_key", key).join(broadcast_if_small(stored(found, "contaminated"), SMALL), F.col("__llm_key") == F.col("__llm_row"), "left_anti").drop("__llm_key")
+    """docs without the rows in which find() meets an item; repeated rows go together, rows without text stay, an empty table stays empty."""
+    found = find(docs, benchmark, similarity).select(F.col("row").alias("__llm_row"), F.col("doc_id").alias("__llm_id")).distinct()
+    doc_id = F.col("doc_id").cast("bigint")
+    keyed = docs.withColumn("__llm_key", row_hash(doc_id, F.col("text").cast("string")))
+    same = (F.col("__llm_key") == F.col("__llm_row")) & doc_id.eqNullSafe(F.col("__llm_id"))
+    return keyed.join(broadcast_if_small(stored(found, "contaminated"), SMALL), same, "left_anti").drop("__llm_key")

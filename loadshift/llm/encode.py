@@ -12,7 +12,7 @@ from pathlib import Path
 
 import numpy as np
 
-from loadshift.llm.words import Hasher
+from loadshift.llm.words import distinct_spans, same_bytes, span_hashes
 
 #: Units kept at once; beyond it the cache starts anew, which costs time only.
 CACHE_UNITS = 600_000
@@ -43,14 +43,14 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """ids(data, offsets) returns all ids and the offsets of the rows among them. Equal units are known by 64-bit hash and length."""
+    """ids(data, offsets) returns all ids and the offsets of the rows among them. Known units are found by a hash of their bytes, which are kept and
+    compared before ids are used again; a unit whose hash another one has is encoded each time it comes."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.hasher = Hasher()
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # A token is written with one character for each of its bytes.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -76,6 +76,10 @@ class Encoder:
         self.first = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        # Bytes of the known units, and where each begins and ends.
+        self.held = np.zeros(0, np.uint8)
+        self.begin = np.zeros(0, np.int64)
+        self.stop = np.zeros(0, np.int64)
 
     def _encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The units' order here, the number of ids of each and all ids. Units that begin with a blank and end solidly are encoded joined, about 64 KB at
@@ -105,16 +109,24 @@ class Encoder:
         flat = np.concatenate([flat, np.fromiter((i for x in alone for i in x), np.uint32, int(size[1].sum()))])
         return order, np.concatenate(size), flat
 
-    def _learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Encodes units and keeps them; the entries of the units. Of several with one hash the first one kept is found again."""
         order, size, flat = self._encode(data, start, end)
         entry = np.empty(len(order), np.int64)
         entry[order] = len(self.first) + np.arange(len(order))
+        length = (end - start)[order]
+        stop = np.cumsum(length)
+        take = np.repeat(start[order] - stop + length, length) + np.arange(int(stop[-1]) if len(stop) else 0)
+        self.begin = np.concatenate([self.begin, len(self.held) + stop - length])
+        self.stop = np.concatenate([self.stop, len(self.held) + stop])
+        self.held = np.concatenate([self.held, data[take]])
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, flat])
         known, entries = np.concatenate([self.known, hashes]), np.concatenate([self.entry, entry])
         order = np.argsort(known, kind="stable")
         self.known, self.entry = known[order], entries[order]
+        return entry
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start = unit_starts(data, offsets)
@@ -122,15 +134,22 @@ class Encoder:
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         end = np.append(start[1:], len(data))
-        hashes, at, which = np.unique(self.hasher.spans(data, start, end), return_index=True, return_inverse=True)
+        at, which = distinct_spans(data, start, end)
+        begin, stop = start[at], end[at]
+        hashes = span_hashes(data, begin, stop)
         if len(self.known) > CACHE_UNITS:
             self._clear()
-        place = np.searchsorted(self.known, hashes)
-        new = (place == len(self.known)) | (self.known[np.minimum(place, len(self.known) - 1)] != hashes) if len(self.known) else np.ones(len(hashes), bool)
-        if new.any():
-            self._learn(hashes[new], data, start[at[new]], end[at[new]])
-            place = np.searchsorted(self.known, hashes)
-        unit = self.entry[place][which]
+        entry = np.full(len(at), -1)
+        if len(self.known):
+            place = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+            hit = np.flatnonzero(self.known[place] == hashes)
+            of = self.entry[place[hit]]
+            same = same_bytes(data, begin[hit], stop[hit], self.held, self.begin[of], self.stop[of])
+            entry[hit[same]] = of[same]
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            entry[new] = self._learn(hashes[new], data, begin[new], stop[new])
+        unit = entry[which]
         size = self.size[unit]
         stop = np.cumsum(size)
         # Ragged copy: each id's place in the cache is its unit's first place plus its number within the unit.

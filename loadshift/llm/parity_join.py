@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loadshift.llm.components import components
-from loadshift.llm.shared import broadcast_if_small, is_empty, partitions, stored
+from loadshift.llm.shared import broadcast_if_small, is_empty, partitions, row_hash, stored
 from loadshift.llm.substring_dedup import pack, unpack
 from loadshift.llm.words import Hasher, find_words, lower_ascii, mix, slices, text_bytes, tidy
 
@@ -88,12 +88,18 @@ class Sets:
     def size(self) -> np.ndarray:
         return np.diff(self.bounds)
 
-    def classes(self) -> np.ndarray:
+    def _sums(self, seed: np.uint64) -> np.ndarray:
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.member ^ seed), dtype=np.uint64)])
+        return sums[self.bounds[1:]] - sums[self.bounds[:-1]]
+
+    def classes(self, bits: int = 63) -> np.ndarray:
         """An even number for each set, equal for equal sets."""
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.member ^ SEED), dtype=np.uint64)])
-        other = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.member + SEED), dtype=np.uint64)])
-        lo, hi = self.bounds[:-1], self.bounds[1:]
-        return mix((sums[hi] - sums[lo]) ^ mix((other[hi] - other[lo]) + self.size.astype(np.uint64))).view(np.int64) & ~1
+        found = mix(self._sums(SEED) ^ mix(self._sums(~SEED) + self.size.astype(np.uint64))).view(np.int64) & ~1
+        return found & ((1 << bits) - 1) if bits < 63 else found
+
+    def checks(self) -> np.ndarray:
+        """Another 64 bits for each set, which tell unlike sets of one class apart."""
+        return mix(self._sums(mix(np.array([SEED]))[0]) + mix(self.size.astype(np.uint64))).view(np.int64)
 
 
 def parity_sketch(members: np.ndarray, bits: int) -> np.ndarray:
@@ -122,18 +128,22 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 # ---- documents and classes -------------------------------------------------------------------------------------------------
 
-DESCRIBED = "doc_id bigint, row bigint, n_shingles bigint, class bigint, sketch array<bigint>"
+DESCRIBED = "doc_id bigint, row bigint, n_shingles bigint, class bigint, check bigint, sketch array<bigint>"
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = Hasher()
-    for batch in batches:
-        for rows in slices(batch, 2):
-            sets = Sets(rows, 2, hasher)
-            width = sketch_bits(band(sets.size))
-            sketches = [parity_sketch(sets.member[a:b], int(w)) if b > a else None for a, b, w in zip(sets.bounds, sets.bounds[1:], width)]
-            known = pa.array(sets.classes(), mask=sets.size == 0)
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(sets.size), known, pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "row", "n_shingles", "class", "sketch"])
+def _describer(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for rows in slices(batch, 2):
+                sets = Sets(rows, 2, hasher)
+                width = sketch_bits(band(sets.size))
+                sketches = [parity_sketch(sets.member[a:b], int(w)) if b > a else None for a, b, w in zip(sets.bounds, sets.bounds[1:], width)]
+                known = [pa.array(x, mask=sets.size == 0) for x in (sets.classes(bits), sets.checks())]
+                columns = [rows.column(0), rows.column(1), pa.array(sets.size), *known, pa.array(sketches, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "class", "check", "sketch"])
+
+    return run
 
 
 # ---- signatures ------------------------------------------------------------------------------------------------------------
@@ -186,7 +196,9 @@ def _dealt_out(keys: np.ndarray, buckets: int) -> dict[int, tuple[int, int]]:
     return {int(bucket[a]): (int(a), int(b)) for a, b in zip(at, [*at[1:], len(keys)])}
 
 
-def send_signatures(buckets: int):
+def send_signatures(buckets: int, bits: int = 63, given: bool = False):
+    """Of texts; a set's class is its number, or that given beside the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, parts, held = Hasher(), [], 0
 
@@ -206,7 +218,7 @@ def send_signatures(buckets: int):
         for batch in batches:
             for rows in slices(batch, 0):
                 sets = Sets(rows, 0, hasher)
-                parts.append(signatures(sets, sets.classes()))
+                parts.append(signatures(sets, rows.column(1).to_numpy() if given else sets.classes(bits)))
                 held += len(parts[-1][0])
                 if held >= FLUSH:
                     yield from flush()
@@ -334,7 +346,19 @@ def across(members: DataFrame, labels: DataFrame | None, pivots: int, classes: D
     return pairs, labelled.filter(F.col("rest") > pivots).select("signature", "a", "folded", "central")
 
 
-def link_rows(docs: DataFrame) -> DataFrame:
+def apart(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows in which each class holds equal sets only: unlike sets of one class, told apart by their check, get classes of their own,
+    but for the smallest check. Then the rows (row, class) that got one, if there are any."""
+    checks = rows.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("check").alias("least"), F.max("check").alias("most"))
+    mixed = stored(checks.filter("least <> most").select(F.col("class").alias("mixed"), "least"), "mixed")
+    if is_empty(mixed):
+        return rows, None
+    own = F.when(F.col("check") != F.col("least"), F.xxhash64("class", "check").bitwiseAND(F.lit(-2)))
+    told = stored(rows.join(mixed, F.col("class") == F.col("mixed"), "left").withColumn("own", own).drop("mixed", "least"), "told")
+    return told.withColumn("class", F.coalesce("own", "class")), told.filter(F.col("own").isNotNull()).select("row", F.col("own").alias("class")).distinct()
+
+
+def link_rows(docs: DataFrame, class_bits: int = 63) -> DataFrame:
     """doc_id, row (a hash of doc_id and text), n_shingles (size of the set), class_id (equal for equal sets), root (equal for what is
     linked) and component_id of each row of docs (doc_id, text).
 
@@ -342,20 +366,22 @@ def link_rows(docs: DataFrame) -> DataFrame:
     or one without words: an empty set, null class_id, linked with nothing. Two rows are linked if their sets' similarity is 0.8 or
     more; component_id is the smallest doc_id that links lead to, the row's own included. A null doc_id is smaller than none and is
     returned as null unless its component has another. Repeated rows are equal sets. Extra columns are not read; an empty table
-    gives an empty table.
+    gives an empty table. Sets are equal if 127 bits of them are; narrower class numbers (`class_bits`) change no result.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = docs.withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text"))
-    rows = stored(keyed.select("doc_id", "row", "text").mapInArrow(tidy(_describe), DESCRIBED), "described")
+    keyed = docs.withColumn("row", row_hash(F.col("doc_id"), F.col("text")))
+    rows, again = apart(stored(keyed.select("doc_id", "row", "text").mapInArrow(tidy(_describer(class_bits)), DESCRIBED), "described"))
     # A class is represented by the text of one of its rows.
     sizes = rows.filter(F.col("class").isNotNull()).groupBy("class")
     classes = stored(sizes.agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
     n = partitions(spark)
-    met = docs.select("text").mapInArrow(tidy(send_signatures(n)), PACKED).repartition(n, "bucket").mapInArrow(tidy(meet), MET)
-    met = stored(met, "met")
+    sent = docs.select("text").mapInArrow(tidy(send_signatures(n, class_bits)), PACKED)
+    if again is not None:
+        sent = sent.union(keyed.join(again, "row").select("text", "class").mapInArrow(tidy(send_signatures(n, class_bits, True)), PACKED))
+    met = stored(sent.repartition(n, "bucket").mapInArrow(tidy(meet), MET), "met")
     many = met.filter(F.col("signature").isNotNull()).select("signature", F.col("a").alias("owner"), F.col("n").alias("sharers"))
-    spare = met.filter(F.col("signature").isNull() & F.col("b").isNull()).groupBy(F.col("a").alias("owner")).agg(F.max("n").alias("spare"))
+    spare = met.filter(F.col("signature").isNull() & F.col("b").isNull()).groupBy(F.col("a").alias("owner")).agg(F.min("n").alias("spare"))
     bound = many.groupBy("owner").agg(F.count(F.lit(1)).alias("shared"), F.sum("sharers").alias("central")).join(spare, "owner").filter("shared > spare")
     # A linked class shares over `spare` signatures with the owner, so one of the rarest that remain without `spare` is enough.
     place = F.row_number().over(Window.partitionBy("owner").orderBy("sharers", "signature"))
@@ -379,7 +405,7 @@ def link_rows(docs: DataFrame) -> DataFrame:
     root = classes.select("class", "least").join(labels.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     smallest = root.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = stored(root.join(smallest, "root").select("class", "root", "component_id"), "by_class")
-    out = rows.drop("sketch").join(by_class, "class", "left")
+    out = rows.drop("sketch", "check").join(by_class, "class", "left")
     return out.select("doc_id", "row", "n_shingles", F.col("class").alias("class_id"), "root", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -394,13 +420,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows = stored(link_rows(docs).filter(F.col("root").isNotNull()).select("doc_id", "row", "root"), "linked")
     last = F.lit(int(np.iinfo(np.int64).max))
     first = rows.groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", last), "row")).alias("first"))
-    gone = rows.join(first.select("root", F.col("first.row").alias("stays")), "root").filter("row <> stays").select(F.col("row").alias("__llm_gone")).distinct()
-    keyed = docs.withColumn("__llm_row", F.xxhash64(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), F.col("text").cast("string")))
-    left = keyed.join(broadcast_if_small(stored(gone, "gone"), SMALL), F.col("__llm_row") == F.col("__llm_gone"), "left_anti")
-    repeated = rows.groupBy("row").count().filter("count > 1")
+    stays = first.select("root", F.col("first.row").alias("stays"))
+    gone = rows.join(stays, "root").filter("row <> stays").select(F.col("row").alias("__llm_gone"), F.col("doc_id").alias("__llm_id")).distinct()
+    doc_id = F.col("doc_id").cast("bigint")
+    keyed = docs.withColumn("__llm_row", row_hash(doc_id, F.col("text").cast("string")))
+    same = (F.col("__llm_row") == F.col("__llm_gone")) & doc_id.eqNullSafe(F.col("__llm_id"))
+    left = keyed.join(broadcast_if_small(stored(gone, "gone"), SMALL), same, "left_anti")
+    repeated = rows.groupBy("row", "doc_id").count().filter("count > 1")
     if not is_empty(repeated):
         # Rows equal in doc_id and text have one hash; those without words are not in `rows` and get a number of their own.
-        again = stored(repeated.select(F.col("row").alias("__llm_again")), "repeated")
+        again = stored(repeated.select(F.col("row").alias("__llm_again")).distinct(), "repeated")
         twice = left.join(broadcast_if_small(again, SMALL), F.col("__llm_row") == F.col("__llm_again"), "left")
-        left = twice.filter(F.col("__llm_again").isNull()).unionByName(twice.filter(F.col("__llm_again").isNotNull()).dropDuplicates(["__llm_row"]))
+        left = twice.filter(F.col("__llm_again").isNull()).unionByName(twice.filter(F.col("__llm_again").isNotNull()).dropDuplicates(["__llm_row", "doc_id"]))
     return left.select(*docs.columns)

@@ -45,8 +45,8 @@ SKETCH_K = 400
 def _repeated_words() -> Column:
     """Words that lie in a window of GRAM words found twice or more in the text.
 
-    Window hashes are sorted together with their places: the places take the low bits of a number, as many as the text needs, the
-    hash the rest. Equal neighbours are repeats; their places, sorted again, cover up to GRAM words each.
+    Window hashes are sorted together with their places. Equal neighbours are repeats; their places, sorted again, cover up to GRAM
+    words each.
     """
     # Each step is a column of its own, so that no array is computed twice.
     return F.expr(
@@ -62,16 +62,15 @@ def measure(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("_quality_text", "\n"), lambda x: x.rlike(r"[^\x09-\x0D\x20]"))
     out = docs.withColumn("_quality_text", text).withColumn("_quality_lines", lines).withColumn("_quality_hashes", word_hashes(F.col("_quality_text")))
     out = out.withColumn("n_words", F.size("_quality_hashes").cast("bigint"))
-    out = out.withColumn("_quality_grams", grams("_quality_hashes", GRAM)).withColumn("_quality_bits", F.length(F.bin("n_words")))
+    out = out.withColumn("_quality_grams", grams("_quality_hashes", GRAM))
     keys = F.expr(
         """CASE WHEN size(array_distinct(_quality_grams)) < size(_quality_grams) THEN
-             sort_array(transform(_quality_grams, (g, i) -> shiftleft(shiftright(g, _quality_bits), _quality_bits) | cast(i AS bigint))) END"""
+             sort_array(transform(_quality_grams, (g, i) -> named_struct('gram', g, 'place', i))) END"""
     )
     places = F.expr(
         """sort_array(transform(
-             filter(_quality_keys, (k, i) -> coalesce(shiftright(k, _quality_bits) = shiftright(get(_quality_keys, i - 1), _quality_bits), false)
-                                 OR coalesce(shiftright(k, _quality_bits) = shiftright(get(_quality_keys, i + 1), _quality_bits), false)),
-             k -> k & (shiftleft(1L, _quality_bits) - 1)))"""
+             filter(_quality_keys, (k, i) -> coalesce(k.gram = get(_quality_keys, i - 1).gram, false) OR coalesce(k.gram = get(_quality_keys, i + 1).gram, false)),
+             k -> k.place))"""
     )
     out = out.withColumn("_quality_keys", keys).withColumn("_quality_places", places)
     counts = {

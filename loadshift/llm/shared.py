@@ -7,7 +7,7 @@ import types
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadshift.llm.words import WORKER
@@ -31,6 +31,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_hash(doc_id: Column, text: Column) -> Column:
+    """Of a row's id and text; a null id is unlike any number."""
+    return F.xxhash64(doc_id.isNull(), F.coalesce(doc_id, F.lit(-1)), text)
+
+
 def once_per_worker(key: str, make: Callable[[], Any]) -> Any:
     """A value that lives as long as a Python worker has tasks of one kind, see tidy(). Functions travel by value, so a global of
     this module would be made anew in each task."""

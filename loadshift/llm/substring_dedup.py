@@ -5,7 +5,8 @@ hashes of its windows, sorted and packed, to the task of their hash range; that
 earlier block holds too. Documents meet their block's answer, mark all covered words and keep the rest. Windows shared by any
 number of copies cross the network once per block, text once, and no group is larger than a block or a hash range.
 
-Two different windows are taken for one with a probability of 2**-64 per pair.
+A window is known by 93 bits: its hash modulo 2**61 - 1 and 32 bits of another one, so among the 10^13 windows of 100 TB unlike ones
+are not expected to meet (0.005 pairs).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ WINDOW = 50
 FLUSH = 1_000_000
 LAST_ID = np.iinfo(np.int64).max
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<first:bigint,end:bigint>>"
-PACKED = "bucket int, block int, first binary, width int, steps binary"
+PACKED = "bucket int, block int, first binary, width int, steps binary, rest binary"
 
 
 def pack(hashes: np.ndarray) -> tuple[bytes, int, bytes]:
@@ -53,20 +54,60 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[] for _ in schema], schema)], schema=schema)
 
 
-PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("first", pa.binary()), ("width", pa.int32()), ("steps", pa.binary())])
+PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("first", pa.binary()), ("width", pa.int32()), ("steps", pa.binary()), ("rest", pa.binary())])
+
+
+def window_hashes(hasher: Hasher, words: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words, 64-bit hashes and 32 further bits of all windows."""
+    hashes = hasher.spans(words.data, words.start, words.end)
+    at, found = hasher.rolling(words, hashes, length)
+    return at, found, (hasher.rolling(words, hashes, length, 1)[1] >> np.uint64(32)).astype(np.uint32)
+
+
+def in_order(hashes: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """A stable order by hash and further bits."""
+    order = np.argsort(hashes, kind="stable")
+    h, r = hashes[order], rest[order]
+    # Equal hashes nearly always have equal further bits.
+    return order if not ((h[1:] == h[:-1]) & (r[1:] != r[:-1])).any() else np.lexsort((rest, hashes))
+
+
+def new_in(hashes: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Where sorted pairs differ from the one before."""
+    return np.append(np.ones(min(len(hashes), 1), bool), (hashes[1:] != hashes[:-1]) | (rest[1:] != rest[:-1]))
+
+
+def distinct(hashes: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = in_order(hashes, rest)
+    hashes, rest = hashes[order], rest[order]
+    new = new_in(hashes, rest)
+    return hashes[new], rest[new]
+
+
+def among(known: np.ndarray, known_rest: np.ndarray, hashes: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Which pairs are among the known ones, which are sorted."""
+    found = np.zeros(len(hashes), bool)
+    place = np.searchsorted(known, hashes)
+    while True:
+        live = np.flatnonzero((place < len(known)) & ~found)
+        live = live[known[place[live]] == hashes[live]]
+        if not len(live):
+            return found
+        found[live] = known_rest[place[live]] == rest[live]
+        place[live] += 1
 
 
 def send_windows(length: int, limits: list[int], buckets: int):
     limits_ = np.array(limits, np.int64)
 
-    def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        hashes, blocks = (np.concatenate(x) for x in zip(*parts))
+    def flush(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        hashes, rest, blocks = (np.concatenate(x) for x in zip(*parts))
         for block in np.unique(blocks):
-            own = np.unique(hashes[blocks == block])
+            own, more = distinct(hashes[blocks == block], rest[blocks == block])
             # Buckets are equal ranges of the upper half of the hash, so each is one slice of the sorted hashes.
             bucket = ((own >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             at = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))
-            rows = [(int(bucket[a]), int(block), *pack(own[a:b])) for a, b in zip(at, [*at[1:], len(own)])]
+            rows = [(int(bucket[a]), int(block), *pack(own[a:b]), more[a:b].tobytes()) for a, b in zip(at, [*at[1:], len(own)])]
             yield _table(rows, PACKED_ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,9 +115,9 @@ def send_windows(length: int, limits: list[int], buckets: int):
         for batch in batches:
             for rows in slices(batch, 1):
                 words = find_words(*text_bytes(rows.column(1)))
-                at, found = hasher.windows(words, hasher.spans(words.data, words.start, words.end), length)
+                at, found, rest = window_hashes(hasher, words, length)
                 block = np.searchsorted(limits_, _ids(rows.column(0)), "right").astype(np.int32)
-                parts.append((found, block[words.doc[at]]))
+                parts.append((found, rest, block[words.doc[at]]))
                 held += len(at)
                 if held >= FLUSH:
                     yield from flush(parts)
@@ -91,20 +132,23 @@ def find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One task's hash ranges: for each block the hashes that an earlier block holds."""
     held: dict[int, list[tuple]] = {}
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+        for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
             held.setdefault(row[0], []).append(row[1:])
     for bucket, rows in held.items():
         rows.sort(key=lambda r: r[0])
-        hashes = [unpack(*r[1:]) for r in rows]
+        hashes = [unpack(*r[1:4]) for r in rows]
         blocks = np.repeat(np.array([r[0] for r in rows], np.int32), [len(h) for h in hashes])
-        hashes = np.concatenate(hashes)
-        order = np.argsort(hashes, kind="stable")
-        hashes, blocks = hashes[order], blocks[order]
-        first = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-        earliest = blocks[np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
+        hashes, rest = np.concatenate(hashes), np.frombuffer(b"".join(r[4] for r in rows), np.uint32)
+        order = in_order(hashes, rest)
+        hashes, rest, blocks = hashes[order], rest[order], blocks[order]
+        earliest = blocks[np.maximum.accumulate(np.where(new_in(hashes, rest), np.arange(len(hashes)), 0))]
         later = blocks > earliest
-        hashes, blocks = hashes[later], blocks[later]
-        yield _table([(bucket, int(b), *pack(np.unique(hashes[blocks == b]))) for b in np.unique(blocks)], PACKED_ARROW)
+        hashes, rest, blocks = hashes[later], rest[later], blocks[later]
+        out = []
+        for b in np.unique(blocks):
+            own, more = distinct(hashes[blocks == b], rest[blocks == b])
+            out.append((bucket, int(b), *pack(own), more.tobytes()))
+        yield _table(out, PACKED_ARROW)
 
 
 def covered(words: Words, at: np.ndarray, repeated: np.ndarray, length: int) -> np.ndarray:
@@ -144,25 +188,27 @@ def remove_in_block(length: int):
         hasher, out = Hasher(), []
         docs = docs.sort_by("doc_id").combine_chunks()
         known = [unpack(f.as_py(), w.as_py(), s.as_py()) for f, w, s in zip(answers["first"], answers["width"], answers["steps"])]
-        known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
+        known = np.concatenate(known) if known else np.zeros(0, np.uint64)
+        known, known_rest = distinct(known, np.frombuffer(b"".join(answers["rest"].to_pylist()), np.uint32))
         # First the earliest document of each window in this block, then the words.
         parts = []
         for batch in docs.to_batches():
             for rows in slices(batch, 1):
                 words = find_words(*text_bytes(rows.column(1)))
-                at, found = hasher.windows(words, hasher.spans(words.data, words.start, words.end), length)
-                parts.append((rows, words, at, found, _ids(rows.column(0))[words.doc[at]]))
+                at, found, rest = window_hashes(hasher, words, length)
+                parts.append((rows, words, at, found, rest, _ids(rows.column(0))[words.doc[at]]))
         if not parts:
             return pa.table({n: [] for n in ARROW_RESULT.names}, schema=ARROW_RESULT)
-        every = np.concatenate([p[3] for p in parts])
-        ids = np.concatenate([p[4] for p in parts])
-        # Documents are in the order of their ids, so a hash's first place has its smallest id.
-        distinct, place, which = np.unique(every, return_index=True, return_inverse=True)
-        at_known = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
-        before = known[at_known] == distinct if len(known) else np.zeros(len(distinct), bool)
-        repeated = before[which] | (ids[place][which] < ids)
+        every, rest, ids = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5))
+        # Documents are in the order of their ids, so a window's first place has its smallest id.
+        order = in_order(every, rest)
+        new = new_in(every[order], rest[order])
+        first = order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        repeated = np.zeros(len(every), bool)
+        repeated[order] = ids[first] < ids[order]
+        repeated |= among(known, known_rest, every, rest)
         done = 0
-        for rows, words, at, found, _ in parts:
+        for rows, words, at, found, *_ in parts:
             gone = covered(words, at, repeated[done : done + len(found)], length)
             done += len(found)
             n_words = words.counts
@@ -198,7 +244,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, blocks: int | None = N
     n = blocks or partitions(docs.sparkSession)
     limits = block_limits(docs, n)
     sent = docs.mapInArrow(tidy(send_windows(window, limits, n)), PACKED).repartition(n, "bucket")
-    answers = sent.mapInArrow(tidy(find_repeats), PACKED).select("block", "first", "width", "steps")
+    answers = sent.mapInArrow(tidy(find_repeats), PACKED).select("block", "first", "width", "steps", "rest")
     # A row is in the block whose number is that of the limits up to its id.
     edges = F.array(*[F.lit(x) for x in limits]) if limits else F.array().cast("array<bigint>")
     block = F.size(F.filter(edges, lambda x: x <= F.coalesce(F.col("doc_id"), F.lit(int(LAST_ID))))).cast("int")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadshift.llm.words import BYTE_BASE, Hasher, find_words, powers, slices, text_bytes, tidy
+from loadshift.llm.words import BYTE_BASE, distinct_spans, find_words, powers, slices, text_bytes, tidy
 
 RESULT = "doc_id bigint, n_words bigint, n_tokens bigint, score double"
 #: Trie nodes whose suffixes are looked up together.
@@ -116,12 +116,11 @@ def trie_counts(words: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndar
 
 def _counter(known: dict[bytes, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, hasher = Pieces.of(known), Hasher()
+        pieces = Pieces.of(known)
         for batch in batches:
             for rows in slices(batch, 1, 4 << 20):
                 words = find_words(*text_bytes(rows.column(1)))
-                hashes = hasher.spans(words.data, words.start, words.end)
-                _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+                at, which = distinct_spans(words.data, words.start, words.end)
                 raw = words.data.tobytes()
                 distinct = [b" " + raw[a:b] for a, b in zip(words.start[at].tolist(), words.end[at].tolist())]
                 tokens, score = np.zeros(len(distinct), np.int64), np.zeros(len(distinct))

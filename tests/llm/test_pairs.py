@@ -1,6 +1,8 @@
 """N-gram join, decontamination, URL rules, toxicity, packing and the pipeline."""
 
 import random
+import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -104,6 +106,22 @@ def test_links_of_odd_rows(odd, none):
     ]
 
 
+def test_links_when_classes_collide(spark):
+    """Class numbers of three bits: unlike sets of one number are told apart and linked as ever."""
+    rows = near_copies()
+    got = parity_join.link_rows(spark.createDataFrame(rows, "doc_id bigint, text string"), class_bits=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.linked(rows)
+
+
+def test_null_ids_are_no_numbers(spark):
+    text = "one two three four five six seven"
+    rows = spark.createDataFrame([(None, text), (-1, text), (-1, text), (None, "")], "doc_id bigint, text string")
+    assert [r.doc_id for r in parity_join.one_of_each(rows).orderBy(F.desc("text")).collect()] == [-1, None]
+    items = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find(rows, items).collect()} == {(None, 1), (-1, 1)}
+    assert decontaminate.drop_contaminated(rows, items).count() == 1
+
+
 def test_sketch_distance_bounds_the_difference():
     random.seed(2)
     for _ in range(50):
@@ -201,6 +219,53 @@ def test_gapped_words_stay_like_the_landmark():
     assert got[0] == pytest.approx(1) and got[2] == pytest.approx(1) and 0.5 <= got[1] < 1 and 3 not in got
 
 
+def test_whole_score_equals_plain_version(monkeypatch):
+    """Kernel values word by word and landmark by landmark, pooled and put through the machine."""
+    monkeypatch.setattr(toxicity, "LONGEST", 10)
+    rng = np.random.default_rng(2)
+    strings = ["^lump$", "^grob", "alunk"]
+    model = toxicity.Model(strings, rng.normal(size=6), 0.3, 1.7, -0.2)
+    texts = ["der lump", "Ein GROBIAN, l-u-m-p; l u m p", None, "", "xxxxxgrobianyyyyyyyyyyyyyy ende", "a b"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+
+    def value(s, m):
+        same = naive_kernel(s, m) / np.sqrt(naive_kernel(s, s) * naive_kernel(m, m)) if len(s) > 2 else 0
+        held = {(int(toxicity.pair_bits(np.array([ord(a)]), np.array([ord(b)]))[0])) for g in (1, 2, 3) for a, b in zip(s, s[g:])}
+        wanted = [int(toxicity.pair_bits(np.array([ord(a)]), np.array([ord(b)]))[0]) for a, b in zip(m, m[1:])]
+        return same if 5 * sum(w in held for w in wanted) >= 3 * len(wanted) and same >= toxicity.LIKE else 0
+
+    want = []
+    for t in texts:
+        raw = brute.words(t)
+        plain = [toxicity.plain(w) for w in raw]
+        runs = "".join("1" if len(w) == 1 else "0" for w in plain)
+        plain += ["".join(plain[m.start() : m.end()]) for m in re.finditer("1{3,}", runs)]
+        marked = ["^" + p + "$" for w in plain for p in toxicity.windows(w)]
+        values = np.array([[value(s, m) for m in strings] for s in marked]).reshape(-1, 3)
+        want.append([*values.max(axis=0, initial=0), *np.log1p(200 * (values**4).sum(axis=0) / max(len(raw), 1))])
+    got = toxicity.describe(batch, 0, toxicity.Landmarks(strings))
+    assert got == pytest.approx(np.array(want), abs=1e-5) and got[0, 0] > 0.9 and got[4, 1] > 0
+    assert model.scores(got) == pytest.approx(1 / (1 + np.exp(-(1.7 * (np.array(want) @ model.weights + 0.3) - 0.2))), abs=1e-5)
+
+
+def test_words_of_any_length_are_learned(spark):
+    """Words of 100,000 letters cost no more than their length, in training and in scoring; short words and unspaced text can tell."""
+    random.seed(9)
+    letters = "\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03\u516b\u4e5d\u5341"
+    rows = []
+    for i in range(60):
+        body = "".join(random.choice(letters) for _ in range(80))
+        rows.append((i, body[:40] + "\u574f\u4eba\u574f\u86cb" + body[40:] if i % 3 == 0 else body, int(i % 3 == 0)))
+    rows += [(100 + i, "so fy ja" if i % 2 else "so du ja", i % 2) for i in range(40)]
+    rows += [(200, "ab1" * 33_334, 0), (201, "".join(random.choice("abcdefgh") for _ in range(100_000)), 1)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").coalesce(1)
+    begun = time.time()
+    model = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    got = {r.doc_id: r.score for r in toxicity.score(table.select("doc_id", "text"), model).collect()}
+    assert time.time() - begun < 60
+    assert min(got[i] for i, _, y in rows[:100] if y) > max(got[i] for i, _, y in rows[:100] if not y)
+
+
 def test_held_out_accuracy(spark, sf):
     sf = sf.replace("0.001", "0.1")
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -297,6 +362,31 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.pack(none, catalog.BYTE_BPE).count() == 0
 
 
+def _lengths(kind):
+    rng = np.random.default_rng(7)
+    return {"1100": np.full(1500, 1100), "1030-1400": rng.integers(1030, 1401, 1500), "700-1000": rng.integers(700, 1001, 2000), "25": np.full(30_000, 25), "20-30": rng.integers(20, 31, 30_000), "any": rng.integers(1, 2049, 3000), "full": np.full(40, 2048)}[kind]
+
+
+@pytest.mark.parametrize("kind", ["1100", "1030-1400", "700-1000", "25", "20-30", "any", "full"])
+def test_little_padding_whatever_the_lengths(spark, kind):
+    lengths = _lengths(kind)
+    size, seen, rows = -(-lengths // packing.STEP), defaultdict(int), []
+    for i, (n, s) in enumerate(zip(lengths.tolist(), size.tolist())):
+        rows.append((i % 3, i, seen[i % 3, s], n))
+        seen[i % 3, s] += 1
+    table = corpus_pipeline.stored(spark.createDataFrame(rows, "task bigint, number bigint, own bigint, length bigint"), "lengths")
+    parts, sequences = defaultdict(list), defaultdict(list)
+    for r in packing.place(table).collect():
+        parts[r.task, r.number].append((r.part_start, r.part_length))
+        sequences[r.sequence_id].append((r.offset, r.part_length))
+    for (_, i), found in parts.items():
+        assert [a for a, _ in sorted(found)] == np.cumsum([0, *(n for _, n in sorted(found))])[:-1].tolist() and sum(n for _, n in found) == lengths[i]
+    assert len(parts) == len(rows)
+    for found in sequences.values():
+        assert [a for a, _ in sorted(found)] == np.cumsum([0, *(n for _, n in sorted(found))])[:-1].tolist() and sum(n for _, n in found) <= 2048
+    assert 1 - lengths.sum() / (len(sequences) * 2048) < 0.01
+
+
 def test_column_generation_is_near_the_bound():
     sizes, demand = np.array([3, 4, 6, 7, 10]), np.array([500, 900, 300, 700, 200])
     patterns, bins = column_generation.whole_bins(sizes, demand, 12)

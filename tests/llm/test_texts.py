@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import defaultdict
 
 import brute
 import numpy as np
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from loadshift.llm import catalog, quality_rules, secret_scan, substring_dedup, token_counts, token_files
+from loadshift.llm import catalog, encode, packing, parity_join, quality_rules, secret_scan, substring_dedup, token_counts, token_files, words
 from loadshift.llm.encode import Encoder, tokenizer_json
 from loadshift.llm.shared import stored
 from loadshift.session import scratch_dir
@@ -52,6 +53,57 @@ def test_dedup_of_odd_rows(odd, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def mirrored(size):
+    """Two words of equal length whose letters are swapped: sums over letters times powers of an odd number agree modulo 2**64."""
+    bits = [i.bit_count() % 2 for i in range(size)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_mirrored_words_stay_apart(spark, tokenizer, size):
+    one, two = mirrored(size)
+    docs = [(1, one), (2, two), (3, f"{'x ' * 25}{one}{' x' * 24}"), (4, f"{'x ' * 25}{two}{' x' * 24}")]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    assert {r.n_removed for r in substring_dedup.remove_repeats(table).collect()} == {0}
+    ids = {d: tokenizer.encode(t, add_special_tokens=False).ids for d, t in docs}
+    packed = defaultdict(list)
+    for r in packing.pack(table, catalog.BYTE_BPE).collect():
+        packed[r.doc_id] += zip(range(r.start, r.start + r.length), np.frombuffer(r.ids, "<u4").tolist())
+    assert {d: [x for _, x in sorted(p)] for d, p in packed.items()} == {d: [*x, 1] for d, x in ids.items()}
+    filed = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.token_files(table, catalog.BYTE_BPE).collect()}
+    assert filed == {d: [*x, 0] for d, x in ids.items()}
+    assert {r.doc_id: r.component_id for r in parity_join.link(table).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_equal_hashes_are_told_apart_by_bytes(monkeypatch, tokenizer):
+    """With a hash that knows the length only, units and words keep their own ids."""
+    monkeypatch.setattr(words, "span_hashes", lambda data, start, end: (end - start).astype(np.uint64))
+    monkeypatch.setattr(encode, "span_hashes", words.span_hashes)
+    encoder = Encoder(tokenizer_json(catalog.BYTE_BPE))
+    for text in ("somewhere elsewhere otherwise somewhere", "elsewhere everybody somewhere", "everybody"):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = encoder.ids(raw, np.array([0, len(raw)]))
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_windows_with_one_hash_differ_in_further_bits():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        h, r = rng.integers(0, 5, 40).astype(np.uint64), rng.integers(0, 3, 40).astype(np.uint32)
+        known = substring_dedup.distinct(h, r)
+        assert sorted(zip(*(x.tolist() for x in known))) == sorted(set(zip(h.tolist(), r.tolist())))
+        q, s = rng.integers(0, 6, 30).astype(np.uint64), rng.integers(0, 4, 30).astype(np.uint32)
+        assert substring_dedup.among(*known, q, s).tolist() == [x in set(zip(h.tolist(), r.tolist())) for x in zip(q.tolist(), s.tolist())]
+
+
+@given(st.lists(st.integers(0, 2**61 - 2), min_size=1, max_size=30))
+@settings(max_examples=60, deadline=None)
+def test_sums_and_products_modulo_the_prime(values):
+    p, x = int(words.PRIME), np.array(values, np.uint64)
+    assert words.times(x, x[::-1]).tolist() == [a * b % p for a, b in zip(values, values[::-1])]
+    assert words.running(x).tolist() == [sum(values[:i]) % p for i in range(len(values) + 1)]
+
+
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=50, unique=True))
 @settings(max_examples=60, deadline=None)
 def test_packed_hashes_come_back(values):
