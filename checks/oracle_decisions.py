@@ -32,15 +32,15 @@ SQL = {
     ),
     "r1_price_horizon": with_(
         f"""SELECT 'Z1' AS zone, {day("d", "date")}, offs AS "offset", {r6("price")}
-        FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-20', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS d) CROSS JOIN {OFFS48}
+        FROM (SELECT CAST(unnest(generate_series((SELECT d1 - 10 FROM span), (SELECT d1 FROM span), INTERVAL 1 DAY)) AS DATE) AS d) CROSS JOIN {OFFS48}
         LEFT JOIN pf p ON p.hour = CAST(d + 1 AS TIMESTAMP) + offs * INTERVAL 1 HOUR"""
     ),
     "r1_price_horizon_as_of": with_(
         f"""SELECT 'Z1' AS zone, {day("d", "date")}, offs AS "offset",
         {r6("CASE WHEN d + 1 > (SELECT max(CAST(hour AS DATE)) FROM pr) THEN t.price ELSE p.price END", "price")}
-        FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-26', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS d) CROSS JOIN {OFFS48}
+        FROM (SELECT CAST(unnest(generate_series((SELECT d1 - 4 FROM span), (SELECT d1 FROM span), INTERVAL 1 DAY)) AS DATE) AS d) CROSS JOIN {OFFS48}
         LEFT JOIN pf p ON p.hour = CAST(d + 1 AS TIMESTAMP) + offs * INTERVAL 1 HOUR
-        LEFT JOIN pr t ON t.hour = TIMESTAMP '2024-01-25 00:00:00' + (offs % 24) * INTERVAL 1 HOUR"""
+        LEFT JOIN pr t ON t.hour = CAST((SELECT d1 - 5 FROM span) AS TIMESTAMP) + (offs % 24) * INTERVAL 1 HOUR"""
     ),
     "w8_r2_shifted_prices": with_(
         f"SELECT 'Z1' AS zone, {day('date')}, h AS hour, "
@@ -65,7 +65,7 @@ SQL = {
     "r8_recommendations_on_dates": with_(
         f"""SELECT q.household_id, q.device, {day("q.date")}, r.best_launch_hour, r.recommendation,
         CASE WHEN r.date IS NULL THEN 'no load profile' ELSE r.error END AS error
-        FROM (SELECT household_id, device, CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-29', INTERVAL 1 DAY)) AS DATE) AS date
+        FROM (SELECT household_id, device, CAST(unnest(generate_series((SELECT d0 FROM span), (SELECT d1 - 1 FROM span), INTERVAL 1 DAY)) AS DATE) AS date
           FROM (SELECT DISTINCT household_id FROM st) CROSS JOIN device) q LEFT JOIN rec1 r USING ({HD}, date)"""
     ),
     "r9_sentences": with_(

@@ -28,12 +28,12 @@ def profile(thresholds: list[str]) -> str:
     )
 
 
-def split_rows(end: str) -> str:
+def split_rows(end: int) -> str:
     return with_(
-        f"""SELECT household_id, CASE WHEN hour_ts < TIMESTAMP '2024-01-21 00:00:00' THEN 'train' ELSE 'test' END AS part,
+        f"""SELECT household_id, CASE WHEN hour_ts < CAST((SELECT d1 - 9 FROM span) AS TIMESTAMP) THEN 'train' ELSE 'test' END AS part,
         {ts("hour_ts")}, activity, hour, coalesce(activity_lag_24, 0) AS activity_lag_24, coalesce(activity_lag_48, 0) AS activity_lag_48,
         coalesce(activity_lag_72, 0) AS activity_lag_72 FROM actf
-        WHERE hour_ts >= TIMESTAMP '2023-12-21 00:00:00' AND hour_ts < TIMESTAMP '{end} 00:00:00'"""
+        WHERE hour_ts >= CAST((SELECT d1 - 40 FROM span) AS TIMESTAMP) AND hour_ts < CAST((SELECT d1 + {end} FROM span) AS TIMESTAMP)"""
     )
 
 
@@ -73,7 +73,7 @@ SQL = {
           GROUP BY household_id, device, y.day""",
         wm="SELECT household_id, device, hour_ts, sum(v) / any_value(n) AS m FROM aw JOIN aw_n USING (household_id, hour_ts) GROUP BY ALL",
         wg="""SELECT household_id, unnest(generate_series(min(hour_ts), date_trunc('day', max(hour_ts))
-          + abs(date_diff('day', CAST(max(hour_ts) AS DATE), DATE '2024-01-30')) * INTERVAL 1 DAY + INTERVAL 47 HOUR, INTERVAL 1 HOUR)) AS hour_ts
+          + abs(date_diff('day', CAST(max(hour_ts) AS DATE), (SELECT d1 FROM span))) * INTERVAL 1 DAY + INTERVAL 47 HOUR, INTERVAL 1 HOUR)) AS hour_ts
           FROM aw GROUP BY household_id""",
     ),
     "a9_threshold_profile": profile(["30.0"]),
@@ -124,15 +124,15 @@ SQL = {
     "w11_training_counts": with_(
         SPLIT.format(start="(SELECT min(date) + 3 FROM dd m WHERE m.household_id = a.household_id)"), dd=DD
     ),
-    "m2_sliding_training_counts": with_(SPLIT.format(start="greatest(a.date - 10, DATE '2024-01-03')"), dd=DD),
+    "m2_sliding_training_counts": with_(SPLIT.format(start="greatest(a.date - 10, (SELECT d0 + 2 FROM span))"), dd=DD),
     "m1_usage_split": with_(
-        f"""SELECT {HD}, CASE WHEN day <= DATE '2024-01-20' THEN 'train' ELSE 'test' END AS part, {day("day")}, usage,
+        f"""SELECT {HD}, CASE WHEN day <= (SELECT d1 - 10 FROM span) THEN 'train' ELSE 'test' END AS part, {day("day")}, usage,
         usage_lag_1, usage_lag_2, active_last_2_days
         FROM (SELECT *, min(us.day) OVER (PARTITION BY {HD}) + 3 AS s FROM us) q
-        WHERE (q.day BETWEEN s AND DATE '2024-01-20') OR q.day = DATE '2024-01-21'"""
+        WHERE (q.day BETWEEN s AND (SELECT d1 - 10 FROM span)) OR q.day = (SELECT d1 - 9 FROM span)"""
     ),
-    "m2_activity_split": split_rows("2024-01-22"),
-    "m2_activity_split_open": split_rows("9999-01-01"),
+    "m2_activity_split": split_rows(-8),
+    "m2_activity_split_open": split_rows(40_000),
     "p1_activity_table": with_(
         f"""SELECT household_id, {ts("hour_ts")}, activity, hour, {DUMMIES.format("actf.hour_ts")},
         activity_lag_24, activity_lag_48, activity_lag_72 FROM actf"""

@@ -136,7 +136,7 @@ SQL = {
         {sentence("a = 0 AND b = 0 AND c = 0", "coalesce(greatest(d1, d2, d3, d4, d6, d7) >= 0, false)")} AS sentence,
         {sentence("a <> 0 AND b <> 0 AND c = 0", "coalesce(d7 >= 0, false)")} AS literal_sentence
         FROM (SELECT household_id, hour_ts, coalesce(activity_lag_24, 0) AS a, coalesce(activity_lag_48, 0) AS b, coalesce(activity_lag_72, 0) AS c
-          FROM actf WHERE CAST(hour_ts AS DATE) = DATE '2024-01-29') h JOIN imp USING (household_id)""",
+          FROM actf) h JOIN imp USING (household_id)""",
         imp="SELECT household_id, "
         + ", ".join(f"{e} AS {'hour_i' if n == 'hour' else n}" for n, e in MEAN_DIFF.items())
         + " FROM actf GROUP BY 1",

@@ -30,7 +30,7 @@ def resample(seconds: int) -> str:
 SQL = {
     "s1_export_states": with_(
         f"""SELECT {EV}, {ts("last_updated_ts")}, attributes_id, {ATTR_TEXT} AS shared_attrs
-        FROM st WHERE last_updated_ts > TIMESTAMP '2024-01-11 00:00:00'"""
+        FROM st WHERE last_updated_ts > CAST((SELECT d1 - 19 FROM span) AS TIMESTAMP)"""
     ),
     "s1_epoch_time": f"SELECT {day('ts', 'day')}, {N} FROM events GROUP BY 1",
     "s2_reading_columns": with_(f"SELECT entity_id, {ts('last_updated_ts')}, state FROM st"),
@@ -93,7 +93,7 @@ SQL = {
         f"SELECT household_id, entity_id, 1 AS state, {ts('last_updated_ts')} FROM st WHERE state = 'on'"
     ),
     "f6_last_days": with_(
-        f"SELECT household_id, entity_id, {N} FROM st WHERE last_updated_ts > TIMESTAMP '2024-01-24 00:00:00' GROUP BY 1, 2"
+        f"SELECT household_id, entity_id, {N} FROM st WHERE last_updated_ts > CAST((SELECT d1 - 6 FROM span) AS TIMESTAMP) GROUP BY 1, 2"
     ),
     "f7_timespan": with_(
         f"""SELECT household_id, device, {ts("hour_ts")}, {r6("load")} FROM ld
@@ -102,8 +102,8 @@ SQL = {
     "f8_complete_days": with_(
         f"""SELECT household_id, device, {ts("min(hour_ts)", "first_hour")}, {ts("max(hour_ts)", "last_hour")}, {N}
         FROM ld JOIN dn USING (household_id, device) JOIN d0 USING (household_id, device)
-        WHERE CAST(hour_ts AS DATE) = d AND hour_ts < TIMESTAMP '2024-01-31 00:00:00'
-          AND (c >= 24 OR d > f) AND (c >= 24 OR d < DATE '2024-01-30') GROUP BY 1, 2""",
+        WHERE CAST(hour_ts AS DATE) = d AND hour_ts < CAST((SELECT d1 + 1 FROM span) AS TIMESTAMP)
+          AND (c >= 24 OR d > f) AND (c >= 24 OR d < (SELECT d1 FROM span)) GROUP BY 1, 2""",
         dn="SELECT household_id, device, CAST(hour_ts AS DATE) AS d, count(*) AS c FROM ld GROUP BY ALL",
         d0="SELECT household_id, device, min(CAST(hour_ts AS DATE)) AS f FROM ld GROUP BY ALL",
     ),
@@ -113,7 +113,7 @@ SQL = {
     ),
     "f17_numeric_columns": f"SELECT {r6('avg(event_id)', 'event_id')}, {r6('avg(user_id)', 'user_id')}, {r6('avg(value)', 'value')} FROM events",
     "j1_attribute_join": with_(
-        f"SELECT household_id, entity_id, {N}, count(*) FILTER (k % 2 = 0) AS n_named FROM st GROUP BY 1, 2"
+        f"SELECT household_id, entity_id, {N}, count(a.friendly_name) AS n_named FROM st LEFT JOIN (SELECT attributes_id, friendly_name FROM attr) a USING (attributes_id) GROUP BY 1, 2"
     ),
     "j2_outer_pivot": with_(
         f"""SELECT coalesce(w.household_id, s.household_id) AS household_id, {ts("coalesce(w.t, s.t)", "last_updated_ts")},
@@ -175,11 +175,11 @@ SQL = {
     ),
     "a8_friendly_names": with_(
         f"""SELECT DISTINCT household_id, entity_id, {NAME} AS friendly_name FROM st
-        WHERE entity_id IN {SHIFT} AND last_updated_ts > TIMESTAMP '2024-01-01 00:00:00'"""
+        WHERE entity_id IN {SHIFT} AND last_updated_ts > CAST((SELECT d1 - 29 FROM span) AS TIMESTAMP)"""
     ),
     "p4_friendly_name_table": with_(
         f"""SELECT household_id, entity_id, arg_max({NAME}, last_updated_ts) AS friendly_name FROM st
-        WHERE entity_id IN {SHIFT} AND last_updated_ts > TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1, 2"""
+        WHERE entity_id IN {SHIFT} AND last_updated_ts > CAST((SELECT d1 - 29 FROM span) AS TIMESTAMP) GROUP BY 1, 2"""
     ),
     "a15_days_in_range": with_(
         f"""SELECT household_id, {day("d", "day")} FROM (SELECT household_id, unnest(generate_series(

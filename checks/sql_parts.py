@@ -6,7 +6,16 @@ import re
 
 SHIFT = "('purchase','signup')"
 WATT = "('purchase','signup','view')"
-TODAY = "DATE '2024-01-30'"
+# The run's dates follow the events: today is the day of the last one.
+TODAY = "(SELECT d1 FROM span)"
+
+
+def on(days: int) -> str:
+    """So many days after the first event's day; before today for negative numbers."""
+    return f"(SELECT {'d0' if days >= 0 else 'd1'} + ({days}) FROM span)"
+
+
+FIRST, LAST = on(4), on(-1)
 
 
 def ts(x: str, name: str | None = None) -> str:
@@ -44,6 +53,7 @@ def auc_sql(source: str, keys: str) -> str:
 
 
 PARTS: dict[str, str] = {
+    "span": "SELECT CAST(min(ts) AS DATE) AS d0, CAST(max(ts) AS DATE) AS d1 FROM events",
     "st": """SELECT CAST(user_id // 5 AS INTEGER) AS household_id, event_type AS entity_id,
       CASE WHEN event_type IN ('purchase','signup','view') THEN CAST(value AS VARCHAR)
            WHEN value >= 35 THEN 'on' ELSE 'off' END AS state,
@@ -125,7 +135,7 @@ PARTS: dict[str, str] = {
       (SELECT date_trunc('day', max(hour)) + INTERVAL 71 HOUR FROM pr), INTERVAL 1 HOUR)) AS hour""",
     "pf": """SELECT g.zone, g.hour, coalesce(a.price, b.price, c.price) AS price FROM pg g LEFT JOIN pr a ON a.hour = g.hour
       LEFT JOIN pr b ON b.hour = g.hour - INTERVAL 24 HOUR LEFT JOIN pr c ON c.hour = g.hour - INTERVAL 48 HOUR""",
-    "dates": "SELECT CAST(unnest(generate_series(DATE '2024-01-05', DATE '2024-01-29', INTERVAL 1 DAY)) AS DATE) AS date",
+    "dates": f"SELECT CAST(unnest(generate_series({FIRST}, {LAST}, INTERVAL 1 DAY)) AS DATE) AS date",
     "hz": """SELECT d.date, o.offs, p.price FROM dates d CROSS JOIN (SELECT CAST(unnest(range(48)) AS INTEGER) AS offs) o
       LEFT JOIN pf p ON p.hour = CAST(d.date + 1 AS TIMESTAMP) + o.offs * INTERVAL 1 HOUR""",
     "cost": """SELECT p.household_id, p.device, p.date, CAST(z.offs - p.offs AS INTEGER) AS hour,
@@ -158,7 +168,7 @@ PARTS: dict[str, str] = {
       FROM cost c CROSS JOIN (SELECT a FROM athr UNION SELECT 0.15) t
       LEFT JOIN ar r ON r.household_id = c.household_id AND r.date = c.date AND r.hour = c.hour AND r.target_date IS NOT NULL GROUP BY c.household_id, c.device, c.date, t.a""",
     "name": """SELECT household_id, entity_id AS device, arg_max(upper(entity_id[1]) || entity_id[2:] || ' plug ' || (k % 2), last_updated_ts) AS friendly_name
-      FROM st WHERE entity_id IN ('purchase','signup') AND last_updated_ts > TIMESTAMP '2024-01-01 00:00:00' GROUP BY ALL""",
+      FROM st WHERE entity_id IN ('purchase','signup') AND last_updated_ts > CAST((SELECT d1 - 29 FROM span) AS TIMESTAMP) GROUP BY ALL""",
     "rec1": """SELECT b.household_id, b.device, b.date, n.friendly_name, b.best_launch_hour, b.flag_a,
       CASE WHEN u.p IS NOT NULL THEN CASE WHEN u.p < 0.5 THEN 1 ELSE 0 END END AS flag_u,
       CASE WHEN b.flag_a = 0 AND u.p >= 0.5 THEN b.best_launch_hour END AS recommendation,
@@ -210,14 +220,14 @@ PARTS: dict[str, str] = {
     "mse": "SELECT household_id, device, run_start, avg((y - yh) * (y - yh)) AS error FROM gap GROUP BY ALL",
     # cold start
     "csa": """SELECT household_id, date, p, sum(w.n_pos) AS n_pos, sum(w.n_neg) AS n_neg FROM ar
-      JOIN (SELECT household_id, hour, sum(truth) AS n_pos, sum(1 - truth) AS n_neg FROM ar WHERE date >= start AND date <= DATE '2024-01-30' GROUP BY ALL) w
-      USING (household_id, hour) WHERE date >= start AND date < DATE '2024-01-30' GROUP BY ALL""",
+      JOIN (SELECT household_id, hour, sum(truth) AS n_pos, sum(1 - truth) AS n_neg FROM ar WHERE date >= start AND date <= (SELECT d1 FROM span) GROUP BY ALL) w
+      USING (household_id, hour) WHERE date >= start AND date < (SELECT d1 FROM span) GROUP BY ALL""",
     "csu": """SELECT r.household_id, r.device, r.date, r.p, sum(w.pos) AS n_pos, sum(w.n - w.pos) AS n_neg FROM urate r
-      JOIN (SELECT household_id, device, cell, n, pos FROM ucell WHERE date = DATE '2024-01-30') w USING (household_id, device, cell)
-      WHERE r.date < DATE '2024-01-30' GROUP BY ALL""",
+      JOIN (SELECT household_id, device, cell, n, pos FROM ucell WHERE date = (SELECT d1 FROM span)) w USING (household_id, device, cell)
+      WHERE r.date < (SELECT d1 FROM span) GROUP BY ALL""",
     "csl": """SELECT p.household_id, p.device, p.date, avg((p.load - l.load) * (p.load - l.load)) AS score FROM prof p
-      JOIN (SELECT household_id, device, offs, arg_max(load, date) AS load FROM prof WHERE date <= DATE '2024-01-30' GROUP BY ALL) l USING (household_id, device, offs)
-      WHERE p.date <= DATE '2024-01-30' GROUP BY ALL""",
+      JOIN (SELECT household_id, device, offs, arg_max(load, date) AS load FROM prof WHERE date <= (SELECT d1 FROM span) GROUP BY ALL) l USING (household_id, device, offs)
+      WHERE p.date <= (SELECT d1 FROM span) GROUP BY ALL""",
     "cs": """SELECT household_id, 'activity' AS agent, date, auc AS score FROM csa_auc
       UNION ALL SELECT household_id, 'usage_' || device, date, auc FROM csu_auc
       UNION ALL SELECT household_id, 'load_' || device, date, score FROM csl""",
@@ -234,17 +244,17 @@ PARTS: dict[str, str] = {
     "csf": "SELECT * FROM csd UNION ALL SELECT household_id, tolerance, 'framework', max(days) FROM csd GROUP BY ALL",
     # walk-forward scores
     "wa_test": """SELECT household_id, p, sum(y) AS n_pos, sum(1 - y) AS n_neg FROM ar WHERE p IS NOT NULL AND y IS NOT NULL
-      AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-28' GROUP BY ALL""",
+      AND date BETWEEN (SELECT d0 + 7 FROM span) AND (SELECT d1 - 2 FROM span) GROUP BY ALL""",
     "wa_train": """SELECT household_id, date, p, sum(n_pos) AS n_pos, sum(n_neg) AS n_neg FROM ar WHERE p IS NOT NULL
-      AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-28' GROUP BY ALL""",
+      AND date BETWEEN (SELECT d0 + 7 FROM span) AND (SELECT d1 - 2 FROM span) GROUP BY ALL""",
     "wa_test_auc": auc_sql("wa_test", "household_id"),
     "wa_train_auc": auc_sql("wa_train", "household_id, date"),
     "wa": """SELECT household_id, a.auc_train, t.auc AS auc_test, a.n_dates, t.n AS n_test FROM wa_test_auc t
       JOIN (SELECT household_id, avg(auc) AS auc_train, count(auc) AS n_dates FROM wa_train_auc GROUP BY ALL) a USING (household_id)""",
     "wu_test": """SELECT household_id, device, p, sum(y) AS n_pos, sum(1 - y) AS n_neg FROM ur
-      WHERE date > DATE '2024-01-08' AND date < DATE '2024-01-28' GROUP BY ALL""",
+      WHERE date > (SELECT d0 + 7 FROM span) AND date < (SELECT d1 - 2 FROM span) GROUP BY ALL""",
     "wu_train": """SELECT household_id, device, date, p, sum(pos) AS n_pos, sum(n - pos) AS n_neg FROM urate
-      WHERE n > 0 AND date > DATE '2024-01-08' AND date < DATE '2024-01-28' GROUP BY ALL""",
+      WHERE n > 0 AND date > (SELECT d0 + 7 FROM span) AND date < (SELECT d1 - 2 FROM span) GROUP BY ALL""",
     "wu_test_auc": auc_sql("wu_test", "household_id, device"),
     "wu_train_auc": auc_sql("wu_train", "household_id, device, date"),
     "wu": """SELECT household_id, device, a.auc_train, t.auc AS auc_test, a.n_dates, t.n AS n_test FROM wu_test_auc t
@@ -259,7 +269,7 @@ PARTS: dict[str, str] = {
       row_number() OVER (PARTITION BY t.household_id, t.device, t.day ORDER BY pow(t.a - r.a, 2) + pow(t.b - r.b, 2) + pow(t.c - r.c, 2), r.day DESC) AS k,
       count(r.usage) OVER g AS n, min(r.usage) OVER g AS lo, max(r.usage) OVER g AS hi
       FROM ku t LEFT JOIN ku r ON r.household_id = t.household_id AND r.device = t.device AND r.ok AND r.day < t.day
-      WHERE t.day - 1 BETWEEN DATE '2024-01-05' AND DATE '2024-01-29' WINDOW g AS (PARTITION BY t.household_id, t.device, t.day)""",
+      WHERE t.day - 1 BETWEEN (SELECT d0 + 4 FROM span) AND (SELECT d1 - 1 FROM span) WINDOW g AS (PARTITION BY t.household_id, t.device, t.day)""",
     "ku_p": """SELECT household_id, device, day, any_value(y) AS y, CASE WHEN any_value(error) IS NULL THEN avg(usage) END AS p, any_value(error) AS error
       FROM (SELECT *, CASE WHEN n = 0 THEN 'no training rows' WHEN lo = hi THEN 'one class in the training rows' WHEN n < 10 THEN 'fewer training rows than neighbours' END AS error FROM ku_nn) WHERE k <= 10 GROUP BY household_id, device, day""",
     "ka": """SELECT household_id, hour_ts, CAST(hour_ts AS DATE) AS day, activity, hour, isodow(hour_ts) AS wd,
@@ -271,7 +281,7 @@ PARTS: dict[str, str] = {
         + abs(t.a - r.a) + abs(t.b - r.b) + abs(t.c - r.c), r.hour_ts DESC) AS k,
       count(r.activity) OVER g AS n, min(r.activity) OVER g AS lo, max(r.activity) OVER g AS hi
       FROM ka t LEFT JOIN ka r ON r.household_id = t.household_id AND r.ok AND r.day < t.day
-      WHERE t.day - 1 BETWEEN DATE '2024-01-05' AND DATE '2024-01-29' WINDOW g AS (PARTITION BY t.household_id, t.hour_ts)""",
+      WHERE t.day - 1 BETWEEN (SELECT d0 + 4 FROM span) AND (SELECT d1 - 1 FROM span) WINDOW g AS (PARTITION BY t.household_id, t.hour_ts)""",
     "ka_p": """SELECT household_id, hour_ts, day, any_value(y) AS y, CASE WHEN any_value(error) IS NULL THEN avg(activity) END AS p, any_value(error) AS error
       FROM (SELECT *, CASE WHEN n = 0 THEN 'no training rows' WHEN lo = hi THEN 'one class in the training rows' WHEN n < 10 THEN 'fewer training rows than neighbours' END AS error FROM ka_nn) WHERE k <= 10 GROUP BY household_id, hour_ts, day""",
     # weather imputation: all pairs of an hour with a gap and the hours that have the value

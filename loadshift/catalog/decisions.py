@@ -6,49 +6,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadshift import fixtures as fx
-from loadshift.catalog.features import CONFIG, activity_table, load_table, usage_table
+from loadshift.catalog.features import CONFIG, activity_table, load_table, prepared, usage_table
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
 from loadshift.config import eighths
 from loadshift.operators import backtest, clean, rates, recommend
 from loadshift.operators.joins import join_reference
 from loadshift.operators.prices import dense_prices, fill_from_previous_days, horizons, price_grid, shifted_prices
 from loadshift.plans import stages
-from loadshift.session import scratch_dir
+from loadshift.session import scratch_dir, write_once
 
-FIRST, LAST = "2024-01-05", "2024-01-29"
 ACTIVITY_THRESHOLD, USAGE_THRESHOLD = 0.15, 0.5
 KEYS = ["household_id", "device"]
 
 
+def window(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The first and the last date on which recommendations are made."""
+    span = fx.span(spark, sf)
+    return span.first, span.last
+
+
 def horizon(spark: SparkSession, sf: str) -> DataFrame:
-    return horizons(fx.prices(spark, sf), FIRST, LAST)
+    return horizons(fx.prices(spark, sf), *window(spark, sf))
 
 
-def costs(spark: SparkSession, sf: str) -> DataFrame:
-    profiles = stages.typical_loads(load_table(spark, sf), FIRST, LAST)
+def costs(spark: SparkSession, sf: str, load: DataFrame | None = None) -> DataFrame:
+    profiles = stages.typical_loads(load_table(spark, sf) if load is None else load, *window(spark, sf))
     return recommend.with_costs(profiles, fx.households(spark, sf), horizon(spark, sf))
 
 
-def inputs(spark: SparkSession, sf: str) -> DataFrame:
+def predictions(tables: stages.Prepared) -> tuple[DataFrame, DataFrame]:
+    """Activity and usage probabilities with the truth of the predicted day beside them."""
+    return rates.activity_rate_arrays(rates.activity_rates(tables.activity)), rates.usage_rates(tables.usage)
+
+
+def inputs(spark: SparkSession, sf: str, tables: stages.Prepared | None = None) -> DataFrame:
     """Costs, activity probabilities and usage probabilities per (household, device, date)."""
-    activity = rates.activity_rate_arrays(rates.activity_rates(activity_table(spark, sf)))
-    usage = rates.usage_rates(usage_table(spark, sf))
-    return recommend.join_predictions(costs(spark, sf), activity, usage)
+    tables = tables or prepared(spark, sf)
+    return recommend.join_predictions(costs(spark, sf, tables.load), *predictions(tables))
 
 
 def names(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.latest_friendly_name(fx.readings(spark, sf), fx.SHIFTABLE, fx.NOW)
+    return clean.latest_friendly_name(fx.readings(spark, sf), fx.SHIFTABLE, fx.span(spark, sf).now)
 
 
-def recs(spark: SparkSession, sf: str) -> DataFrame:
-    found = recommend.recommend(inputs(spark, sf), ACTIVITY_THRESHOLD, USAGE_THRESHOLD)
-    return recommend.recommendation_table(found, names(spark, sf))
+def recs(spark: SparkSession, sf: str, tables: stages.Prepared | None = None) -> DataFrame:
+    """The recommendation table with zone and prices. The names, one row for each household and device, are written first."""
+    found = recommend.recommend(inputs(spark, sf, tables), ACTIVITY_THRESHOLD, USAGE_THRESHOLD)
+    return recommend.recommendation_table(found, write_once(names(spark, sf), "names"), ("zone", "prices"))
 
 
 def evaluation_inputs(spark: SparkSession, sf: str) -> DataFrame:
-    return backtest.evaluation_inputs(
-        inputs(spark, sf), usage_table(spark, sf), activity_table(spark, sf), load_table(spark, sf)
-    )
+    tables = prepared(spark, sf)
+    with_truth = recommend.join_predictions(costs(spark, sf, tables.load), *predictions(tables), truth=True)
+    return backtest.with_starts(with_truth, tables.load)
 
 
 def results(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,14 +107,15 @@ def j14_price_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def r1_price_horizon(spark: SparkSession, sf: str) -> DataFrame:
-    out = price_grid(horizons(fx.prices(spark, sf), "2024-01-20", fx.TODAY))
+    out = price_grid(horizons(fx.prices(spark, sf), fx.span(spark, sf).on(-10), fx.span(spark, sf).today))
     return out.select("zone", day("date"), integer("offset"), r6("price"))
 
 
 @query
 def r1_price_horizon_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    """Days beyond the last priced one copy the prices of 25 January."""
-    out = price_grid(horizons(fx.prices(spark, sf), "2024-01-26", fx.TODAY, as_of="2024-01-25"))
+    """Days beyond the last priced one copy the prices of five days before."""
+    span = fx.span(spark, sf)
+    out = price_grid(horizons(fx.prices(spark, sf), span.on(-4), span.today, as_of=span.on(-5)))
     return out.select("zone", day("date"), integer("offset"), r6("price"))
 
 
@@ -168,7 +179,7 @@ def r7_j6_recommendation_table(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def r8_recommendations_on_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Every requested household, device and date; those that cannot be served say why."""
-    request = stages.requested(fx.states(spark, sf), fx.SHIFTABLE, "2024-01-01", LAST)
+    request = stages.requested(fx.states(spark, sf), fx.SHIFTABLE, fx.span(spark, sf).start, fx.span(spark, sf).last)
     out = stages.with_errors(request, recs(spark, sf))
     return out.select(*KEYS, day("date"), "best_launch_hour", "recommendation", "error")
 
@@ -176,12 +187,9 @@ def r8_recommendations_on_dates(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def r9_sentences(spark: SparkSession, sf: str) -> DataFrame:
     """The three texts of a recommendation: plain, with the price, with the percentage saved."""
-    table = recs(spark, sf)
-    prices = horizon(spark, sf).select("zone", F.col("date").alias("recommendation_calculation_date"), "prices")
-    priced = join_reference(table, prices, ["zone", "recommendation_calculation_date"])
     price = F.get("prices", F.col("best_launch_hour"))
     saved = recommend.savings_percent("prices", "best_launch_hour")
-    return priced.select(
+    return recs(spark, sf).select(
         "household_id",
         "index",
         recommend.device_sentence().alias("plain"),
@@ -211,9 +219,8 @@ def j13_stored_predictions(spark: SparkSession, sf: str) -> DataFrame:
         fx.prices(spark, sf),
         names(spark, sf),
         CONFIG.with_thresholds(ACTIVITY_THRESHOLD, USAGE_THRESHOLD),
-        fx.TODAY,
-        FIRST,
-        LAST,
+        fx.span(spark, sf).today,
+        *window(spark, sf),
         scratch_dir(spark),
         timezone="UTC",
     )
@@ -228,16 +235,18 @@ def j13_stored_predictions(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def j7_usage_truth(spark: SparkSession, sf: str) -> DataFrame:
     """Was the device used on the recommended day?"""
-    keys = costs(spark, sf).select(*KEYS, "date")
-    out = keys.join(backtest.usage_truth(usage_table(spark, sf)), [*KEYS, "date"], "left")
+    tables = prepared(spark, sf)
+    keys = costs(spark, sf, tables.load).select(*KEYS, "date")
+    out = keys.join(backtest.usage_truth(tables.usage), [*KEYS, "date"], "left")
     return out.select(*KEYS, day("date"), "usage_true")
 
 
 @query
 def j8_activity_truth(spark: SparkSession, sf: str) -> DataFrame:
     """Was someone active at the best hour of the recommended day?"""
-    keys = costs(spark, sf).select(*KEYS, "date", recommend.cheapest_hour().alias("hour"))
-    truth = backtest.activity_truth(activity_table(spark, sf))
+    tables = prepared(spark, sf)
+    keys = costs(spark, sf, tables.load).select(*KEYS, "date", recommend.cheapest_hour().alias("hour"))
+    truth = backtest.activity_truth(tables.activity)
     out = keys.join(truth, ["household_id", "date"], "left")
     return out.select(*KEYS, day("date"), "hour", F.get("activity_true", F.col("hour")).alias("activity_true"))
 
@@ -245,8 +254,9 @@ def j8_activity_truth(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def j9_run_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Every run of each device and day with its 24 hourly loads; a day without a run has 24 zeros and no hour."""
-    keys = costs(spark, sf).select(*KEYS, "date")
-    out = keys.join(backtest.actual_starts(load_table(spark, sf)), [*KEYS, "date"], "left")
+    load = prepared(spark, sf).load
+    keys = costs(spark, sf, load).select(*KEYS, "date")
+    out = keys.join(backtest.actual_starts(load), [*KEYS, "date"], "left")
     each = out.select(*KEYS, "date", F.inline_outer("starts"))
     run = F.coalesce("load", F.array_repeat(F.lit(0.0), 24))
     return each.select(*KEYS, day("date"), "hour", *[r6(run[j], f"h{j + 1}") for j in range(24)])
@@ -255,8 +265,9 @@ def j9_run_lookup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def j11_nearest_start(spark: SparkSession, sf: str) -> DataFrame:
     """The actual start closest to the cheapest hour."""
-    keys = costs(spark, sf).select(*KEYS, "date", recommend.cheapest_hour().alias("hour"))
-    out = keys.join(backtest.actual_starts(load_table(spark, sf)), [*KEYS, "date"], "left")
+    load = prepared(spark, sf).load
+    keys = costs(spark, sf, load).select(*KEYS, "date", recommend.cheapest_hour().alias("hour"))
+    out = keys.join(backtest.actual_starts(load), [*KEYS, "date"], "left")
     return out.select(*KEYS, day("date"), "hour", backtest.nearest_start("starts", "hour").alias("relevant_start"))
 
 

@@ -12,20 +12,31 @@ from loadshift.operators import clean, features, rates, runs
 from loadshift.operators.hourly import dense_hours, hourly_means, value_columns
 from loadshift.operators.models import USAGE_FEATURES, activity_split, usage_split
 from loadshift.plans import stages
+from loadshift.session import write_once
 
 CONFIG = Config(tuple(fx.SHIFTABLE), tuple(fx.ACTIVE), fx.THRESHOLD)
 
 
-def load_table(spark: SparkSession, sf: str, today: str | None = fx.TODAY) -> DataFrame:
-    return features.load_input(fx.readings(spark, sf), fx.SHIFTABLE, fx.THRESHOLD, today)
+def today(spark: SparkSession, sf: str) -> str:
+    return fx.span(spark, sf).today
+
+
+def load_table(spark: SparkSession, sf: str) -> DataFrame:
+    return features.load_input(fx.readings(spark, sf), fx.SHIFTABLE, fx.THRESHOLD, today(spark, sf))
 
 
 def activity_table(spark: SparkSession, sf: str) -> DataFrame:
-    return features.activity_features(fx.readings(spark, sf), fx.ACTIVE, fx.THRESHOLD, fx.TODAY)
+    return features.activity_features(fx.readings(spark, sf), fx.ACTIVE, fx.THRESHOLD, today(spark, sf))
 
 
 def usage_table(spark: SparkSession, sf: str) -> DataFrame:
-    return features.usage_features(fx.readings(spark, sf), fx.SHIFTABLE, fx.THRESHOLD, fx.TODAY)
+    return features.usage_features(fx.readings(spark, sf), fx.SHIFTABLE, fx.THRESHOLD, today(spark, sf))
+
+
+def prepared(spark: SparkSession, sf: str) -> stages.Prepared:
+    """All three tables from one written hourly base, for queries that need more than one of them or one of them twice."""
+    base = write_once(stages.hourly_base(fx.readings(spark, sf), CONFIG), "hourly_base")
+    return stages.prepare(None, CONFIG, today(spark, sf), base)
 
 
 # flags --------------------------------------------------------------------------------------------
@@ -86,19 +97,19 @@ def f16_usage_model_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a4_daily_usage(spark: SparkSession, sf: str) -> DataFrame:
-    out = features.daily_usage(fx.readings(spark, sf), fx.SHIFTABLE, fx.THRESHOLD, fx.TODAY)
+    out = features.daily_usage(fx.readings(spark, sf), fx.SHIFTABLE, fx.THRESHOLD, today(spark, sf))
     return out.select("household_id", "device", day("day"), "usage", "activity")
 
 
 @query
 def p2_usage_all_devices(spark: SparkSession, sf: str) -> DataFrame:
     """Daily flags whose activity looks at every power device instead of the shiftable ones."""
-    out = features.daily_usage(fx.readings(spark, sf), fx.SHIFTABLE, fx.THRESHOLD, fx.TODAY, fx.WATT)
+    out = features.daily_usage(fx.readings(spark, sf), fx.SHIFTABLE, fx.THRESHOLD, today(spark, sf), fx.WATT)
     return out.select("household_id", "device", day("day"), "usage", "activity")
 
 
 def _profile(spark: SparkSession, sf: str, thresholds: list[float]) -> DataFrame:
-    out = features.threshold_profile(fx.readings(spark, sf), fx.ACTIVE, thresholds, fx.TODAY)
+    out = features.threshold_profile(fx.readings(spark, sf), fx.ACTIVE, thresholds, today(spark, sf))
     return out.select(
         "household_id", r6("threshold"), "dimension", "bucket", r6("activity"), *[r6(f"{d}_usage") for d in fx.ACTIVE]
     )
@@ -200,7 +211,7 @@ def w9_padding_to_tomorrow(spark: SparkSession, sf: str) -> DataFrame:
     """The grid goes on with zeros until 23:00 of the day after today."""
     cols = value_columns(fx.SHIFTABLE)
     hourly = hourly_means(fx.readings(spark, sf), fx.SHIFTABLE)
-    out = dense_hours(hourly, cols, ["household_id"], fx.TODAY)
+    out = dense_hours(hourly, cols, ["household_id"], today(spark, sf))
     return out.groupBy("household_id").agg(
         ts(F.min("hour_ts"), "first_hour"), ts(F.max("hour_ts"), "last_hour"), big(F.count(F.lit(1)), "n")
     )
@@ -215,8 +226,8 @@ def w11_training_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def m2_sliding_training_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """The same for a start 10 days before the date, never before 3 January."""
-    return _split(rates.activity_split(activity_table(spark, sf), 10, "2024-01-03"))
+    """The same for a start 10 days before the date, never before the third day."""
+    return _split(rates.activity_split(activity_table(spark, sf), 10, fx.span(spark, sf).on(2)))
 
 
 def _split(out: DataFrame) -> DataFrame:
@@ -226,7 +237,7 @@ def _split(out: DataFrame) -> DataFrame:
 
 @query
 def m1_usage_split(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = usage_split(usage_table(spark, sf), "2024-01-20")
+    train, test = usage_split(usage_table(spark, sf), fx.span(spark, sf).on(-10))
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return both.select("household_id", "device", "part", day("day"), "usage", *USAGE_FEATURES)
 
@@ -244,7 +255,7 @@ def m2_activity_split_open(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _activity_split(spark: SparkSession, sf: str, test_days: int | None) -> DataFrame:
-    train, test = activity_split(activity_table(spark, sf), "2024-01-20", -30, test_days)
+    train, test = activity_split(activity_table(spark, sf), fx.span(spark, sf).on(-10), -30, test_days)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     cols = ["activity", "hour", *[f"activity_lag_{k}" for k in (24, 48, 72)]]
     return both.select("household_id", "part", ts("hour_ts"), *cols)

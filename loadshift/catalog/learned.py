@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadshift import fixtures as fx
-from loadshift.catalog.decisions import FIRST, KEYS, LAST, horizon, recs
-from loadshift.catalog.features import CONFIG, activity_table, load_table, usage_table
+from loadshift.catalog.decisions import KEYS, recs, window
+from loadshift.catalog.features import CONFIG, activity_table, load_table, prepared, usage_table
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
 from loadshift.operators import cells, explain, impute, models, rates, recommend, score
-from loadshift.operators.joins import join_reference
 from loadshift.operators.learners import LEARNERS
 from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
 from loadshift.plans import stages
@@ -30,8 +29,8 @@ def _activity_rates(spark: SparkSession, sf: str) -> DataFrame:
     return rates.activity_rates(activity_table(spark, sf))
 
 
-def _usage_rated(spark: SparkSession, sf: str) -> DataFrame:
-    return rates.cell_rates(rates.usage_counts(usage_table(spark, sf)))
+def _usage_rated(spark: SparkSession, sf: str, table: DataFrame | None = None) -> DataFrame:
+    return rates.cell_rates(rates.usage_counts(usage_table(spark, sf) if table is None else table))
 
 
 # models -------------------------------------------------------------------------------------------
@@ -40,20 +39,21 @@ def _usage_rated(spark: SparkSession, sf: str) -> DataFrame:
 CELL_MODELS = {"logit": cells.logit_usage, "logit_sm": cells.logit_sm_usage, "knn": cells.knn_usage}
 
 
-def _usage_model(spark: SparkSession, sf: str, model_type: str, first: str = FIRST, **args) -> DataFrame:
+def _usage_model(spark: SparkSession, sf: str, model_type: str, first: str | None = None, **args) -> DataFrame:
     """Models of running counts where there are any, one fit per household, device and date otherwise."""
     table = usage_table(spark, sf)
+    dates = (first or window(spark, sf)[0], window(spark, sf)[1])
     if model_type in CELL_MODELS:
-        out = CELL_MODELS[model_type](table, first, LAST)
+        out = CELL_MODELS[model_type](table, *dates)
     else:
-        out = models.usage_walk_forward(table, model_type, first, LAST, **args)
+        out = models.usage_walk_forward(table, model_type, *dates, **args)
     return out.select(*KEYS, day("date"), day("day"), "y", r6("p"), "error")
 
 
 @query
 def m3_logit_activity(spark: SparkSession, sf: str) -> DataFrame:
     """Logistic regression per household and date: probability of activity for every hour of the next day."""
-    out = models.activity_walk_forward(activity_table(spark, sf), "logit", FIRST, LAST)
+    out = models.activity_walk_forward(activity_table(spark, sf), "logit", *window(spark, sf))
     return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
@@ -65,7 +65,7 @@ def m3_logit_usage(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def m4_knn_activity(spark: SparkSession, sf: str) -> DataFrame:
     """Share of active hours among the 10 nearest training hours."""
-    out = models.activity_walk_forward(activity_table(spark, sf), "knn", FIRST, LAST)
+    out = models.activity_walk_forward(activity_table(spark, sf), "knn", *window(spark, sf))
     return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
@@ -102,14 +102,14 @@ def m9_logit_sm_usage(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def m10_every_model_type(spark: SparkSession, sf: str) -> DataFrame:
     """All seven model types for the last date."""
-    parts = [_usage_model(spark, sf, m, LAST).withColumn("model_type", F.lit(m)) for m in LEARNERS]
+    parts = [_usage_model(spark, sf, m, window(spark, sf)[1]).withColumn("model_type", F.lit(m)) for m in LEARNERS]
     return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def m10_m11_distributed_logit(spark: SparkSession, sf: str) -> DataFrame:
     """One distributed model over the training rows of all households, and its predictions for the next day."""
-    train, test = models.usage_split(usage_table(spark, sf), "2024-01-25")
+    train, test = models.usage_split(usage_table(spark, sf), fx.span(spark, sf).on(-5))
     model = models.fit_table(train, USAGE_FEATURES, "usage", "logit")
     out = models.predict_table(model, test)
     return out.select(*KEYS, day("day"), "usage", r6("p"))
@@ -118,7 +118,7 @@ def m10_m11_distributed_logit(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def m12_next_day_activity(spark: SparkSession, sf: str) -> DataFrame:
     """One date: the random forest of every household for the hours of the next day."""
-    out = models.activity_walk_forward(activity_table(spark, sf), "random forest", LAST, LAST)
+    out = models.activity_walk_forward(activity_table(spark, sf), "random forest", *[window(spark, sf)[1]] * 2)
     return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
@@ -128,7 +128,7 @@ def m12_next_day_with_weather(spark: SparkSession, sf: str) -> DataFrame:
     weather = impute.enrich(fx.weather(spark, sf), WEATHER)
     table = impute.join_weather(activity_table(spark, sf), weather, fx.households(spark, sf), "hour_ts").filter(F.col("household_id").isNotNull())
     out = models.activity_walk_forward(
-        table, "xgboost", "2024-01-25", "2024-01-25", features=[*ACTIVITY_FEATURES, *WEATHER]
+        table, "xgboost", *[fx.span(spark, sf).on(-5)] * 2, features=[*ACTIVITY_FEATURES, *WEATHER]
     )
     return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
@@ -136,9 +136,8 @@ def m12_next_day_with_weather(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def m12_usage_with_daily_weather(spark: SparkSession, sf: str) -> DataFrame:
     """The usage model of one date with the daily weather of the household's station among the features, through the stages."""
-    prepared = stages.prepare(fx.readings(spark, sf), CONFIG, fx.TODAY)
-    prepared = stages.with_weather(prepared, fx.weather(spark, sf).drop("tsun"), fx.households(spark, sf), WEATHER)
-    out = stages.predict(prepared, "logit", "2024-01-25", "2024-01-25", CONFIG, tuple(WEATHER)).usage
+    tables = stages.with_weather(prepared(spark, sf), fx.weather(spark, sf).drop("tsun"), fx.households(spark, sf), WEATHER)
+    out = stages.predict(tables, "logit", *[fx.span(spark, sf).on(-5)] * 2, CONFIG, tuple(WEATHER)).usage
     return out.select(*KEYS, day("date"), day("day"), "y", r6("p"), "error")
 
 
@@ -176,17 +175,22 @@ def e1_auc_by_date(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("household_id", day("date"), r6("auc"), big("n"))
 
 
-def _activity_scores(spark: SparkSession, sf: str) -> DataFrame:
-    out = _activity_rates(spark, sf)
+def _scored_dates(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """From the eighth day to two days before today."""
+    return fx.span(spark, sf).on(7), fx.span(spark, sf).on(-2)
+
+
+def _activity_scores(spark: SparkSession, sf: str, table: DataFrame | None = None) -> DataFrame:
+    out = rates.activity_rates(activity_table(spark, sf) if table is None else table)
     cells = out.select("household_id", "date", "p", "n_pos", "n_neg")
-    return score.walk_forward_auc(out, cells, ["household_id"], "2024-01-08", "2024-01-28")
+    return score.walk_forward_auc(out, cells, ["household_id"], *_scored_dates(spark, sf))
 
 
-def _usage_scores(spark: SparkSession, sf: str) -> DataFrame:
-    rated = _usage_rated(spark, sf)
-    test = rates.usage_rates(usage_table(spark, sf))
+def _usage_scores(spark: SparkSession, sf: str, table: DataFrame | None = None) -> DataFrame:
+    table = prepared(spark, sf).usage if table is None else table
+    rated = _usage_rated(spark, sf, table)
     return score.walk_forward_auc(
-        test, rates.usage_train_cells(rated), KEYS, "2024-01-08", "2024-01-28", inclusive=False
+        rates.usage_rates(table), rates.usage_train_cells(rated), KEYS, *_scored_dates(spark, sf), inclusive=False
     )
 
 
@@ -207,12 +211,12 @@ def e2_usage_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def e2_knn_activity_auc(spark: SparkSession, sf: str) -> DataFrame:
     """Pooled test AUC of the nearest-neighbour model."""
-    out = score.auc(models.activity_walk_forward(activity_table(spark, sf), "knn", FIRST, LAST), ["household_id"])
+    out = score.auc(models.activity_walk_forward(activity_table(spark, sf), "knn", *window(spark, sf)), ["household_id"])
     return out.select("household_id", r6("auc"), big("n"))
 
 
-def _load_errors(spark: SparkSession, sf: str, metric) -> DataFrame:
-    load = load_table(spark, sf)
+def _load_errors(spark: SparkSession, sf: str, metric, load: DataFrame | None = None) -> DataFrame:
+    load = prepared(spark, sf).load if load is None else load
     return score.load_errors(load, stages.complete_days(load), metric)
 
 
@@ -243,9 +247,10 @@ def e7_normalised_distance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _agent_scores(spark: SparkSession, sf: str) -> DataFrame:
-    activity = _activity_scores(spark, sf).withColumnRenamed("auc_test", "auc")
-    usage = _usage_scores(spark, sf).withColumnRenamed("auc_test", "auc")
-    return score.agent_scores(activity, usage, score.load_score(_load_errors(spark, sf, "mse")))
+    tables = prepared(spark, sf)
+    activity = _activity_scores(spark, sf, tables.activity).withColumnRenamed("auc_test", "auc")
+    usage = _usage_scores(spark, sf, tables.usage).withColumnRenamed("auc_test", "auc")
+    return score.agent_scores(activity, usage, score.load_score(_load_errors(spark, sf, "mse", tables.load)))
 
 
 @query
@@ -278,8 +283,7 @@ def e5_predict_all_usage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cold_start(spark: SparkSession, sf: str) -> DataFrame:
-    prepared = stages.prepare(fx.readings(spark, sf), CONFIG, fx.TODAY)
-    return stages.cold_start_scores(prepared, fx.TODAY)
+    return stages.cold_start_scores(prepared(spark, sf), fx.span(spark, sf).today)
 
 
 @query
@@ -346,28 +350,28 @@ def x7_t6_usage_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("importance", rounded).select(*KEYS, day("date"), text.alias("sentence"))
 
 
-def _last_recommendations(spark: SparkSession, sf: str) -> DataFrame:
+def _last_recommendations(spark: SparkSession, sf: str, tables: stages.Prepared) -> DataFrame:
     """Each household's recommendations of its last date with a best launch hour, with the time of that hour."""
     date = F.col("recommendation_calculation_date")
     last = F.max(F.when(F.col("best_launch_hour").isNotNull(), date)).over(Window.partitionBy("household_id"))
-    found = recs(spark, sf).withColumn("_last", last).filter(date == F.col("_last")).drop("_last")
+    found = recs(spark, sf, tables).withColumn("_last", last).filter(date == F.col("_last")).drop("_last")
     at = F.expr("cast(recommendation_date AS timestamp) + make_dt_interval(0, best_launch_hour)")
     return found.withColumn("hour_ts", at)
 
 
-def _activity_explained(spark: SparkSession, sf: str) -> DataFrame:
+def _activity_explained(spark: SparkSession, sf: str, tables: stages.Prepared) -> DataFrame:
     """The logit model's attributions at the best launch hours of each household's last recommended day."""
-    table = activity_table(spark, sf)
-    best = _last_recommendations(spark, sf).filter(F.col("hour_ts").isNotNull()).select("household_id", "hour_ts")
+    table = tables.activity
+    best = _last_recommendations(spark, sf, tables).filter(F.col("hour_ts").isNotNull()).select("household_id", "hour_ts")
     return explain.explain(
-        table, ["household_id"], ACTIVITY_FEATURES, "activity", "hour_ts", "logit", FIRST, LAST, targets=best
+        table, ["household_id"], ACTIVITY_FEATURES, "activity", "hour_ts", "logit", *window(spark, sf), targets=best
     )
 
 
 @query
 def x1_x2_activity_importance(spark: SparkSession, sf: str) -> DataFrame:
     """Shapley values over 1,024 coalitions against all training hours."""
-    out = explain.reconstruct(_activity_explained(spark, sf))
+    out = explain.reconstruct(_activity_explained(spark, sf, prepared(spark, sf)))
     long = out.select("household_id", "date", "hour_ts", "p", "shap", F.inline_outer(explain.sorted_importance("importance")))
     return long.select("household_id", day("date"), ts("hour_ts"), r6("p"), r6("shap"), "feature", r6("importance"))
 
@@ -375,9 +379,10 @@ def x1_x2_activity_importance(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def x6_activity_sentences(spark: SparkSession, sf: str) -> DataFrame:
     """Why a resident is expected to be active, from the attributions of the activity model."""
-    table = activity_table(spark, sf)
+    tables = prepared(spark, sf)
+    table = tables.activity
     lags = [F.coalesce(f"activity_lag_{k}", F.lit(0)) for k in (24, 48, 72)]
-    out = _activity_explained(spark, sf).join(table.drop("activity"), ["household_id", "hour_ts"])
+    out = _activity_explained(spark, sf, tables).join(table.drop("activity"), ["household_id", "hour_ts"])
     text = explain.activity_sentence("importance", lags)
     return out.select("household_id", ts("hour_ts"), text.alias("sentence"))
 
@@ -385,15 +390,14 @@ def x6_activity_sentences(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def x_explained_recommendations(spark: SparkSession, sf: str) -> DataFrame:
     """Every recommendation of a household's last date with the reasons of both agents and the saving; without one, the text that says so."""
-    found = _last_recommendations(spark, sf)
-    prices = horizon(spark, sf).select("zone", F.col("date").alias("recommendation_calculation_date"), "prices")
-    found = join_reference(found, prices, ["zone", "recommendation_calculation_date"])
-    table = activity_table(spark, sf)
+    tables = prepared(spark, sf)
+    found = _last_recommendations(spark, sf, tables)
+    table = tables.activity
     lags = [F.coalesce(f"activity_lag_{k}", F.lit(0)) for k in (24, 48, 72)]
-    active = _activity_explained(spark, sf).join(table.drop("activity"), ["household_id", "hour_ts"])
+    active = _activity_explained(spark, sf, tables).join(table.drop("activity"), ["household_id", "hour_ts"])
     active = active.select("household_id", "hour_ts", explain.activity_sentence("importance", lags).alias("activity_reason"))
     rounded = F.expr("transform(importance, s -> named_struct('feature', s.feature, 'importance', round(s.importance, 6)))")
-    used = explain.usage_shapley(_usage_rated(spark, sf)).withColumn("importance", rounded)
+    used = explain.usage_shapley(_usage_rated(spark, sf, tables.usage)).withColumn("importance", rounded)
     reason = explain.usage_sentence("importance", F.expr("next_cell & 1")).alias("usage_reason")
     used = used.select(*KEYS, F.col("date").alias("recommendation_calculation_date"), reason)
     out = found.join(active, ["household_id", "hour_ts"], "left").join(used, [*KEYS, "recommendation_calculation_date"], "left")
@@ -410,14 +414,14 @@ def x_explained_recommendations(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def x6_sentence_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """The sentence for every hour of 29 January, with the spread of activity as importance of a feature."""
-    table = activity_table(spark, sf)
+    """The sentence for every hour, with the spread of activity as importance of a feature."""
+    table = prepared(spark, sf).activity
     spread = [F.expr(f"round(avg(CASE WHEN {f} = 1 THEN activity END) - avg(activity), 6) AS `{f}`") for f in ACTIVITY_FEATURES[1:]]
     hour = F.expr("round(avg(CASE WHEN hour >= 12 THEN activity END) - avg(activity), 6) AS hour")
     per_house = table.groupBy("household_id").agg(hour, *spread)
     items = ", ".join(f"named_struct('feature', '{f}', 'importance', `{f}`)" for f in ACTIVITY_FEATURES)
     importance = per_house.select("household_id", F.expr(f"array({items}) AS importance"))
-    hours = table.filter(F.to_date("hour_ts") == F.lit("2024-01-29").cast("date")).join(importance, "household_id")
+    hours = table.join(importance, "household_id")
     lags = [F.coalesce(f"activity_lag_{k}", F.lit(0)) for k in (24, 48, 72)]
     return hours.select(
         "household_id",
@@ -428,7 +432,7 @@ def x6_sentence_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _usage_explained(spark: SparkSession, sf: str) -> DataFrame:
-    return explain.explain(usage_table(spark, sf), KEYS, USAGE_FEATURES, "usage", "day", "logit", "2024-01-20", LAST)
+    return explain.explain(usage_table(spark, sf), KEYS, USAGE_FEATURES, "usage", "day", "logit", fx.span(spark, sf).on(-10), window(spark, sf)[1])
 
 
 @query

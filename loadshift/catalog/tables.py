@@ -26,7 +26,7 @@ def _load(spark: SparkSession, sf: str, today: str | None = None) -> DataFrame:
 @query
 def s1_export_states(spark: SparkSession, sf: str) -> DataFrame:
     """States of the last 20 days with their attribute text."""
-    out = states.export_states(fx.states(spark, sf), fx.state_attributes(spark, sf), fx.NOW, 20)
+    out = states.export_states(fx.states(spark, sf), fx.state_attributes(spark, sf), fx.span(spark, sf).now, 20)
     return out.select(*EVENT, ts("last_updated_ts"), "attributes_id", "shared_attrs")
 
 
@@ -219,7 +219,7 @@ def f5_switched_on(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def f6_last_days(spark: SparkSession, sf: str) -> DataFrame:
-    out = clean.recent(fx.states(spark, sf), fx.NOW, 7)
+    out = clean.recent(fx.states(spark, sf), fx.span(spark, sf).now, 7)
     return out.groupBy("household_id", "entity_id").agg(big(F.count(F.lit(1)), "n"))
 
 
@@ -233,7 +233,7 @@ def f7_timespan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def f8_complete_days(spark: SparkSession, sf: str) -> DataFrame:
     """Incomplete first days and an incomplete end date are cut."""
-    out = clean.prove_start_end(_load(spark, sf), ["household_id", "device"], "hour_ts", fx.TODAY)
+    out = clean.prove_start_end(_load(spark, sf), ["household_id", "device"], "hour_ts", fx.span(spark, sf).today)
     return out.groupBy("household_id", "device").agg(
         ts(F.min("hour_ts"), "first_hour"), ts(F.max("hour_ts"), "last_hour"), big(F.count(F.lit(1)), "n")
     )
@@ -259,8 +259,8 @@ def f17_numeric_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def j1_attribute_join(spark: SparkSession, sf: str) -> DataFrame:
-    """States without an attribute set keep NULLs (sets with an odd k are removed here)."""
-    known = clean.unpack_attributes(fx.state_attributes(spark, sf)).filter(F.floor(F.col("attributes_id") / 8) % 2 == 0)
+    """All states with their attribute sets; a state without one keeps NULLs."""
+    known = clean.unpack_attributes(fx.state_attributes(spark, sf))
     out = states.join_attributes(fx.states(spark, sf), known)
     return out.groupBy("household_id", "entity_id").agg(
         big(F.count(F.lit(1)), "n"), big(F.count("friendly_name"), "n_named")
@@ -370,13 +370,13 @@ def a7_min_max_scale(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a8_friendly_names(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.friendly_names(fx.readings(spark, sf), fx.SHIFTABLE, fx.NOW)
+    return clean.friendly_names(fx.readings(spark, sf), fx.SHIFTABLE, fx.span(spark, sf).now)
 
 
 @query
 def p4_friendly_name_table(spark: SparkSession, sf: str) -> DataFrame:
     """Unpacked attributes to one name per device: the latest."""
-    return clean.latest_friendly_name(fx.readings(spark, sf), fx.SHIFTABLE, fx.NOW)
+    return clean.latest_friendly_name(fx.readings(spark, sf), fx.SHIFTABLE, fx.span(spark, sf).now)
 
 
 @query

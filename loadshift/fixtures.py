@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +16,44 @@ SHIFTABLE = ["purchase", "signup"]
 ACTIVE = ["purchase", "signup", "view", "click", "error"]
 WATT = ["purchase", "signup", "view"]
 THRESHOLD = 30.0
-NOW = "2024-01-31 00:00:00"
-TODAY = "2024-01-30"
 ZONE = "Z1"
 STATION = "W1"
 # Which event type carries which weather reading.
 WEATHER_SOURCE = {"temp": "click", "dwpt": "error", "rhum": "purchase", "wdir": "signup", "wspd": "view"}
 
 
+@dataclass(frozen=True)
+class Span:
+    """The dates of a run over all events, as texts: the first recommendations are made on the fifth day, the last ones on the day before
+    today, the day of the last event; now is the midnight after it."""
+
+    start: str
+    today: str
+
+    def on(self, days: int) -> str:
+        """So many days after the first event's day; before today for negative numbers."""
+        return (date.fromisoformat(self.start if days >= 0 else self.today) + timedelta(days)).isoformat()
+
+    @property
+    def first(self) -> str:
+        return self.on(4)
+
+    @property
+    def last(self) -> str:
+        return self.on(-1)
+
+    @property
+    def now(self) -> str:
+        return f"{date.fromisoformat(self.today) + timedelta(1)} 00:00:00"
+
+
+def span(spark: SparkSession, sf_dir: str) -> Span:
+    """From the smallest and the largest timestamp, the one row that queries fetch while they are built. Without events the dates are
+    those of 1970."""
+    row = events(spark, sf_dir).agg(F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("b")).first()
+    return Span((row.a or date(1970, 1, 1)).isoformat(), (row.b or date(1970, 1, 1)).isoformat())
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 

@@ -57,6 +57,11 @@ def evaluation_inputs(
     )
 
 
+def with_starts(predictions: DataFrame, load: DataFrame) -> DataFrame:
+    """The same for predictions that carry their truth, see ``recommend.join_predictions``."""
+    return predictions.join(actual_starts(load), KEYS, "left")
+
+
 def nearest_start(starts: str, hour: str) -> Column:
     """Start closest to ``hour``, the earlier one on ties; the first start of the day without an hour."""
     distance = f"transform({starts}, s -> named_struct('d', coalesce(abs(s.hour - {hour}), 0), 'hour', s.hour))"

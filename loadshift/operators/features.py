@@ -44,11 +44,17 @@ def with_periods_since_last(df: DataFrame, features: list[str], w: WindowSpec) -
 
 
 def activity_features(
-    states: DataFrame, devices: list[str], threshold: float, today: str, steps: tuple[int, ...] = (24, 48, 72)
+    states: DataFrame | None,
+    devices: list[str],
+    threshold: float,
+    today: str,
+    steps: tuple[int, ...] = (24, 48, 72),
+    means: DataFrame | None = None,
 ) -> DataFrame:
-    """Per household and hour: activity, hour, weekday dummies and activity lags."""
+    """Per household and hour: activity, hour, weekday dummies and activity lags. ``means`` are the devices' hourly means, if at hand."""
     cols = value_columns(devices)
-    grid = dense_hours(hourly_means(states, devices, with_switches=True), cols, ["household_id"], today)
+    means = hourly_means(states, devices, with_switches=True) if means is None else means
+    grid = dense_hours(means, cols, ["household_id"], today)
     w = Window.partitionBy("household_id").orderBy("hour_ts")
     flagged = grid.select("household_id", "hour_ts", activity_flag(cols, threshold).alias("activity"))
     return flagged.select(
@@ -56,14 +62,24 @@ def activity_features(
     )
 
 
+def usage_group(devices: list[str], activity_devices: list[str] | None = None) -> list[str]:
+    """The devices whose hourly means ``daily_usage`` needs."""
+    return list(devices) + [d for d in (activity_devices or []) if d not in devices]
+
+
 def daily_usage(
-    states: DataFrame, devices: list[str], threshold: float, today: str | None, activity_devices: list[str] | None = None
+    states: DataFrame | None,
+    devices: list[str],
+    threshold: float,
+    today: str | None,
+    activity_devices: list[str] | None = None,
+    means: DataFrame | None = None,
 ) -> DataFrame:
-    """household_id, device, day, usage, activity: was anything used that day?"""
-    group = list(devices) + [d for d in (activity_devices or []) if d not in devices]
+    """household_id, device, day, usage, activity: was anything used that day? ``means`` are those of ``usage_group``, if at hand."""
+    group = usage_group(devices, activity_devices)
     cols = value_columns(group)
     active = cols if activity_devices else cols[: len(devices)]
-    grid = dense_hours(hourly_means(states, group), cols, ["household_id"], today)
+    grid = dense_hours(hourly_means(states, group) if means is None else means, cols, ["household_id"], today)
     day = F.to_date("hour_ts").alias("day")
     flags = [F.max(usage_flag(c, threshold)).alias(c) for c in cols[: len(devices)]]
     per_day = grid.groupBy("household_id", day).agg(F.max(activity_flag(active, threshold)).alias("activity"), *flags)
@@ -71,15 +87,16 @@ def daily_usage(
 
 
 def usage_features(
-    states: DataFrame,
+    states: DataFrame | None,
     devices: list[str],
     threshold: float,
     today: str | None,
     steps: tuple[int, ...] = (1, 2, 3),
     activity_devices: list[str] | None = None,
+    means: DataFrame | None = None,
 ) -> DataFrame:
     """Per household, device and day: flags, periods since last use, lags, time features."""
-    daily = daily_usage(states, devices, threshold, today, activity_devices)
+    daily = daily_usage(states, devices, threshold, today, activity_devices, means)
     w = Window.partitionBy("household_id", "device").orderBy("day")
     out = with_periods_since_last(daily, ["activity", "usage"], w)
     out = out.select("*", *lags("activity", steps, w), *lags("usage", steps, w))
@@ -96,52 +113,54 @@ def active_last_2_days() -> Column:
     return F.expr("cast(coalesce(activity_lag_1 = 1, false) OR coalesce(activity_lag_2 = 1, false) AS int)")
 
 
-def load_input(states: DataFrame, devices: list[str], threshold: float, today: str | None = None) -> DataFrame:
+def load_input(
+    states: DataFrame | None, devices: list[str], threshold: float, today: str | None = None, means: DataFrame | None = None
+) -> DataFrame:
     """household_id, device, hour_ts, value (hourly mean), usage flag and load (0 below the threshold)."""
     cols = value_columns(devices)
-    grid = dense_hours(hourly_means(states, devices), cols, ["household_id"], today)
+    grid = dense_hours(hourly_means(states, devices) if means is None else means, cols, ["household_id"], today)
     long = to_long(grid, devices)
     return long.select("*", usage_flag("value", threshold).alias("usage"), masked("value", threshold).alias("load"))
 
 
+def candidates_reached(value: str, rising: list[float]) -> Column:
+    """How many of the rising candidates a value reaches, by halving steps over a literal array."""
+    limits = f"array({', '.join(f'{t!r}D' for t in rising)})"
+    halves = ", ".join(str(1 << k) for k in reversed(range(len(rising).bit_length())))
+    step = f"(lo, step) -> if(coalesce(get({limits}, lo + step - 1) <= {value}, false), lo + step, lo)"
+    return F.expr(f"aggregate(array({halves}), 0, {step})")
+
+
 def threshold_profile(
     states: DataFrame, devices: list[str], thresholds: list[float], today: str | None = None
 ) -> DataFrame:
     """Share of active / used hours by hour, weekday and month, per household and for every candidate threshold.
 
-    A household's hours shrink to sums per (hour, weekday, month), one set of columns for each threshold, so no row is
-    repeated before it is summed; the thresholds become rows afterwards.
+    An hour counts once for each series, the devices and the largest of them, in the interval between neighbouring candidates where
+    its value lies; a candidate's count is the sum of all intervals above it, a running sum from the largest one down. Neither rows
+    nor columns multiply by the candidates before the hours are summed, so there may be thousands of them. The household is part of
+    every key, so the layout of the hourly grid serves all steps.
     """
     cols = value_columns(devices)
+    rising = sorted({float(t) for t in thresholds})
     grid = dense_hours(hourly_means(states, devices, with_switches=True), cols, ["household_id"], today)
-    sums = []
-    for i, t in enumerate(thresholds):
-        limit = F.lit(float(t))
-        sums.append(F.sum(activity_flag(cols, repr(float(t)) + "D")).alias(f"activity_{i}"))
-        sums += [F.sum((F.col(c) >= limit).cast("int")).alias(f"{c}_{i}") for c in cols]
-    per_cell = grid.groupBy(
-        "household_id",
-        F.hour("hour_ts").alias("hour"),
-        F.weekday("hour_ts").alias("weekday"),
-        F.month("hour_ts").alias("month"),
-    ).agg(F.count(F.lit(1)).alias("n"), *sums)
-    by_threshold = [
-        F.struct(F.lit(float(t)).alias("threshold"), *[F.col(f"{c}_{i}").alias(c) for c in ("activity", *cols)])
-        for i, t in enumerate(thresholds)
-    ]
-    cells = per_cell.select("household_id", "hour", "weekday", "month", "n", F.inline(F.array(*by_threshold)))
-    dims = F.array(
-        F.struct(F.lit("hour").alias("dimension"), F.col("hour").cast("int").alias("bucket")),
-        F.struct(F.lit("day_of_week").alias("dimension"), F.col("weekday").cast("int").alias("bucket")),
-        F.struct(F.lit("month").alias("dimension"), F.col("month").cast("int").alias("bucket")),
-    )
-    profile = (
-        cells.select("household_id", "threshold", "n", "activity", *cols, F.inline(dims))
-        .groupBy("household_id", "threshold", "dimension", "bucket")
-        .agg(
-            (F.sum("activity") / F.sum("n")).alias("activity"),
-            *[F.expr(f"sum({c}) / sum(n) AS {c}") for c in cols],
-        )
-    )
-    names = {c: f"{d}_usage" for c, d in zip(cols, devices)}
-    return profile.withColumnsRenamed(names)
+    values = [cols[0] if len(cols) == 1 else f"greatest({', '.join(cols)})", *cols]
+    items = ", ".join(f"named_struct('series', {i}, 'value', {v})" for i, v in enumerate(values))
+    hour = "cast(hour(hour_ts) AS int) AS hour", "cast(weekday(hour_ts) AS int) AS weekday", "cast(month(hour_ts) AS int) AS month"
+    placed = grid.selectExpr("household_id", *hour, f"inline(array({items}))")
+    keys = ["household_id", "hour", "weekday", "month", "series"]
+    counted = placed.groupBy(*keys, candidates_reached("value", rising).alias("reached")).agg(F.count(F.lit(1)).alias("n"))
+    dims = "named_struct('dimension', 'hour', 'bucket', hour), named_struct('dimension', 'day_of_week', 'bucket', weekday), named_struct('dimension', 'month', 'bucket', month)"
+    cell = ["household_id", "dimension", "bucket"]
+    by_cell = counted.selectExpr("household_id", "series", "reached", "n", f"inline(array({dims}))").groupBy(*cell, "series", "reached").agg(F.sum("n").alias("n"))
+    down = Window.partitionBy(*cell, "series").orderBy(F.desc("reached"))
+    above = by_cell.withColumn("above", F.sum("n").over(down.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_next", F.coalesce(F.lead("reached").over(down), F.lit(0)))
+    # A count holds for all candidates down to the next value that occurs; candidates above all values have no row yet.
+    served = above.filter("reached > _next").select(*cell, "series", "above", F.explode(F.sequence(F.col("_next") + 1, F.col("reached"))).alias("place"))
+    every = by_cell.filter("series = 0").groupBy(*cell).agg(F.sum("n").alias("n")).select(*cell, F.lit(None).cast("int").alias("series"), F.col("n").alias("above"), F.explode(F.sequence(F.lit(1), F.lit(len(rising)))).alias("place"))
+    names = ["activity", *[f"{d}_usage" for d in devices]]
+    total = "max(CASE WHEN series IS NULL THEN above END)"
+    shares = [F.expr(f"coalesce(max(CASE WHEN series = {i} THEN above END), 0) / {total} AS `{name}`") for i, name in enumerate(names)]
+    rows = served.unionByName(every).groupBy(*cell, "place").agg(*shares)
+    limits = f"array({', '.join(f'{t!r}D' for t in rising)})"
+    return rows.select("household_id", F.expr(f"get({limits}, place - 1) AS threshold"), "dimension", "bucket", *[F.col(f"`{n}`") for n in names])

@@ -55,6 +55,52 @@ def hourly_means(states: DataFrame, devices: list[str], with_switches: bool = Fa
     return per_hour.select("household_id", "hour_ts", *[F.expr(f"{mean.format(c)} AS {c}") for c in cols])
 
 
+def hourly_base(states: DataFrame, groups: list[list[str]]) -> DataFrame:
+    """One row per household and hour with all that the hourly means of several device groups need, from one pass over the readings.
+
+    w: for each device (of ``base_devices``) the sum of its power readings, s: how often its switch was on; n_watt and n_on: for each
+    group the distinct timestamps at which it had a power reading or a switch on. Hours without either have no row. To be written
+    once; ``means_of_base`` then gives any group's means without the raw rows.
+    """
+    devices = base_devices(groups)
+    watt = "coalesce(unit_of_measurement = 'W', false)"
+    rows = states.filter(F.col("entity_id").isin(devices)).filter(f"{watt} OR state = 'on'")
+    rows = rows.select(
+        "household_id",
+        "entity_id",
+        F.col("last_updated_ts").alias("ts"),
+        F.expr(f"{watt} AS watt"),
+        F.coalesce(number("state"), F.lit(0.0)).alias("value"),
+    )
+    quoted = [d.replace("'", "''") for d in devices]
+    sums = [F.expr(f"sum(CASE WHEN watt AND entity_id = '{d}' THEN value END) AS w{i}") for i, d in enumerate(quoted)]
+    sums += [F.expr(f"sum(CASE WHEN NOT watt AND entity_id = '{d}' THEN 1D END) AS s{i}") for i, d in enumerate(quoted)]
+    for g, group in enumerate(groups):
+        of = F.col("entity_id").isin(list(group))
+        sums += [F.max((F.col("watt") & of).cast("int")).alias(f"n_watt{g}"), F.max((~F.col("watt") & of).cast("int")).alias(f"n_on{g}")]
+    per_ts = rows.groupBy("household_id", "ts").agg(*sums)
+    names = [c for c in per_ts.columns if c not in ("household_id", "ts")]
+    per_hour = per_ts.groupBy("household_id", F.date_trunc("hour", "ts").alias("hour_ts")).agg(*[F.sum(c).alias(c) for c in names])
+    packed = {"w": [f"w{i}" for i in range(len(devices))], "s": [f"s{i}" for i in range(len(devices))]}
+    packed |= {n: [f"{n}{g}" for g in range(len(groups))] for n in ("n_watt", "n_on")}
+    return per_hour.select("household_id", "hour_ts", *[F.array(*cols).alias(n) for n, cols in packed.items()])
+
+
+def base_devices(groups: list[list[str]]) -> list[str]:
+    """All devices of the groups, each once, in order."""
+    return list(dict.fromkeys(d for group in groups for d in group))
+
+
+def means_of_base(base: DataFrame, groups: list[list[str]], group: int, with_switches: bool = False) -> DataFrame:
+    """What ``hourly_means`` gives for the devices of one group, from the table of ``hourly_base`` with the same groups."""
+    places = base_devices(groups)
+    seen = f"n_watt[{group}] > 0" + (f" OR n_on[{group}] > 0" if with_switches else "")
+    mean = "coalesce(w[{0}] / n_watt[{1}], 0D)" + (" + coalesce(s[{0}] / n_on[{1}], 0D)" if with_switches else "")
+    devices = groups[group]
+    means = [F.expr(f"{mean.format(places.index(d), group)} AS {c}") for c, d in zip(value_columns(devices), devices)]
+    return base.filter(seen).select("household_id", "hour_ts", *means)
+
+
 def dense_hours(hourly: DataFrame, columns: list[str], keys: list[str], today: str | None = None) -> DataFrame:
     """Fill the gaps between a key's first and last hour with zeros.
 

@@ -74,10 +74,10 @@ def activity_rates(features: DataFrame) -> DataFrame:
 
 
 def activity_rate_arrays(rates: DataFrame) -> DataFrame:
-    """household_id, date, probs[24], only for dates with a trained day before a predictable one."""
+    """household_id, date, probs[24] and activity_true[24], only for dates with a trained day before a predictable one."""
     usable = rates.filter(F.col("p").isNotNull() & F.col("target_date").isNotNull())
-    ordered = F.expr("transform(sort_array(collect_list(struct(hour, p))), s -> s.p) AS probs")
-    return usable.groupBy("household_id", "date").agg(ordered)
+    each = usable.groupBy("household_id", "date").agg(F.expr("sort_array(collect_list(struct(hour, p, y))) AS _hours"))
+    return each.select("household_id", "date", F.expr("transform(_hours, s -> s.p) AS probs"), F.expr("transform(_hours, s -> s.y) AS activity_true"))
 
 
 def usage_cell():

@@ -66,15 +66,17 @@ def gate(best: DataFrame, usage_threshold: str | float) -> DataFrame:
     return best.select("*", low).withColumn("recommendation", F.expr(f"CASE WHEN {both} THEN best_launch_hour END"))
 
 
-def join_predictions(costs: DataFrame, activity: DataFrame, usage: DataFrame) -> DataFrame:
-    """costs + probs[24] by (household, date) + usage_p by (household, device, date)."""
-    probs = activity.select("household_id", "date", "probs")
-    gate = usage.select(*KEYS, F.col("p").alias("usage_p"))
+def join_predictions(costs: DataFrame, activity: DataFrame, usage: DataFrame, truth: bool = False) -> DataFrame:
+    """costs + probs[24] by (household, date) + usage_p by (household, device, date). With ``truth`` what the predicted day brought comes
+    along from the same rows: activity_true[24] and usage_true, for the dates that have a prediction."""
+    probs = activity.select("household_id", "date", "probs", *(["activity_true"] if truth else []))
+    gate = usage.select(*KEYS, F.col("p").alias("usage_p"), *([F.col("y").alias("usage_true")] if truth else []))
     return costs.join(probs, ["household_id", "date"], "left").join(gate, KEYS, "left")
 
 
-def recommendation_table(recs: DataFrame, names: DataFrame) -> DataFrame:
-    """The published columns, with friendly names by LEFT join on device = entity_id and the key date_device."""
+def recommendation_table(recs: DataFrame, names: DataFrame, keep: tuple[str, ...] = ("zone",)) -> DataFrame:
+    """The published columns, with friendly names by LEFT join on device = entity_id and the key date_device; ``keep`` names further
+    columns that stay, such as the day's prices."""
     named = recs.join(
         names.select("household_id", F.col("entity_id").alias("device"), "friendly_name"),
         ["household_id", "device"],
@@ -84,7 +86,7 @@ def recommendation_table(recs: DataFrame, names: DataFrame) -> DataFrame:
     return named.select(
         F.concat_ws("_", F.date_format(tomorrow, "yyyy-MM-dd"), F.col("device")).alias("index"),
         "household_id",
-        *[c for c in recs.columns if c == "zone"],
+        *[c for c in recs.columns if c in keep],
         F.col("date").alias("recommendation_calculation_date"),
         tomorrow.alias("recommendation_date"),
         "device",

@@ -7,14 +7,16 @@ and a lost executor costs one stage at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadshift.config import Config
-from loadshift.operators import backtest, impute, models, rates, recommend, runs, score
-from loadshift.operators.features import activity_features, load_input, usage_features
+from loadshift.operators import backtest, hourly, impute, models, rates, recommend, runs, score
+from loadshift.operators.features import activity_features, load_input, usage_features, usage_group
 from loadshift.operators.prices import horizons
 from loadshift.sources import store
 from loadshift.sources import weather as weather_source
@@ -34,13 +36,30 @@ class Predicted:
     load: DataFrame  # household_id, device, date, load[24]
 
 
-def prepare(states: DataFrame, config: Config, today: str) -> Prepared:
+def device_groups(config: Config) -> list[list[str]]:
+    """The device groups whose hourly means the three feature tables need: activity, load and usage."""
+    devices = list(config.shiftable_devices)
+    active = list(config.activity_devices) if config.usage_activity_from == "all" else None
+    return [list(config.activity_devices), devices, usage_group(devices, active)]
+
+
+def hourly_base(states: DataFrame, config: Config) -> DataFrame:
+    """The one table that ``prepare`` needs instead of the readings; to be written once."""
+    return hourly.hourly_base(states, device_groups(config))
+
+
+def prepare(states: DataFrame | None, config: Config, today: str, base: DataFrame | None = None) -> Prepared:
+    """The three feature tables from the readings, or from their written ``hourly_base``: then no raw row is read again."""
     devices, threshold = list(config.shiftable_devices), config.threshold
     active = list(config.activity_devices) if config.usage_activity_from == "all" else None
+    means: list[DataFrame | None] = [None] * 3
+    if base is not None:
+        groups = device_groups(config)
+        means = [hourly.means_of_base(base, groups, g, with_switches=g == 0) for g in range(3)]
     return Prepared(
-        activity_features(states, list(config.activity_devices), threshold, today, config.activity_lags),
-        usage_features(states, devices, threshold, today, config.usage_lags, active),
-        load_input(states, devices, threshold, today),
+        activity_features(states, list(config.activity_devices), threshold, today, config.activity_lags, means[0]),
+        usage_features(states, devices, threshold, today, config.usage_lags, active, means[2]),
+        load_input(states, devices, threshold, today, means[1]),
     )
 
 
@@ -162,27 +181,37 @@ def run(
     timezone: str | None = None,
     weather: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """prepare -> predict -> recommend with every stage written below ``path``, one folder per stage.
+    """prepare -> predict -> recommend with every stage written below ``path``, one store per stage.
 
     ``timezone`` is the configuration's unless given. With ``config.weather`` the weather of the households' stations joins the
-    features of fitted models.
+    features of fitted models. A stage whose inputs, configuration and dates are those of an earlier run is read from that run, so a
+    second call reads no raw event. Inputs are known by their files; tables that come from no files are never taken for known.
     """
     columns = [c for c in weather.columns if c not in ("station", "time")] if config.weather and weather is not None else []
-
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        store.dump(f"{path}/{name}", {"output": df}, model_type, model_type, config.weather)
-        return store.load(spark, f"{path}/{name}", ["output"])["output"].drop("activity_model", "usage_model", "weather")
-
-    prepared = prepare(states, config, today)
-    if columns:
-        prepared = with_weather(prepared, weather, households, columns)
+    zone = timezone or config.timezone
+    sources = store.sources_fingerprint(states, households, prices, names, *([weather] if columns else []))
+
+    def stage(name: str, make: Callable[[], DataFrame], *parts: object) -> DataFrame:
+        text = repr((name, sources, config, today, *parts))
+        fingerprint = sha256(text.encode()).hexdigest() if sources else None
+        known = store.find(spark, f"{path}/{name}", fingerprint)
+        known = known or store.dump(f"{path}/{name}", {"output": make()}, model_type, model_type, config.weather, fingerprint)
+        return store.read(spark, f"{path}/{name}", "output", known).drop(*store.PARTITIONS)
+
+    base = stage("hourly_base", lambda: hourly_base(states, config))
+    plain = prepare(None, config, today, base)
+    made = with_weather(plain, weather, households, columns) if columns else plain
     prepared = Prepared(
-        stage("activity_features", prepared.activity),
-        stage("usage_features", prepared.usage),
-        stage("load_input", prepared.load),
+        stage("activity_features", lambda: made.activity, columns),
+        stage("usage_features", lambda: made.usage, columns),
+        stage("load_input", lambda: made.load),
     )
+    dates = (model_type, first_date, last_date, columns, zone)
     predicted = predict(prepared, model_type, first_date, last_date, config, tuple(columns))
-    inputs = stage("inputs", recommendation_inputs(predicted, households, prices, first_date, last_date, timezone or config.timezone))
-    recs = recommendations(inputs, names, config.activity_threshold, config.usage_threshold)
-    final = with_errors(requested(states, list(config.shiftable_devices), first_date, last_date), recs)
-    return {"inputs": inputs, "recommendations": stage("recommendations", final)}
+    inputs = stage("inputs", lambda: recommendation_inputs(predicted, households, prices, first_date, last_date, zone), *dates)
+
+    def final() -> DataFrame:
+        recs = recommendations(inputs, names, config.activity_threshold, config.usage_threshold)
+        return with_errors(requested(states, list(config.shiftable_devices), first_date, last_date), recs)
+
+    return {"inputs": inputs, "recommendations": stage("recommendations", final, *dates)}

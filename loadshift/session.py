@@ -6,12 +6,14 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Tables laid out by household meet on (household, date) and the like without another shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -33,6 +35,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table that several parts of a plan read, and reads it again: one pass over its inputs, and a lost executor costs no more
+    than its own tasks."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the cluster's shared checkpoint folder. Where none is set, a session inside one process gets a local one;
     a cluster, whose machines would not see each other's files, gets an error."""

@@ -216,20 +216,6 @@ def test_cell_models_equal_one_fit_per_date(spark):
         assert {e for _, e in got.values()} >= {None, "no training rows"}
 
 
-def test_store_keeps_other_models_and_households(spark):
-    from loadshift.session import scratch_dir
-    from loadshift.sources import store
-
-    path = scratch_dir(spark)
-    one = spark.createDataFrame([(1, 1.0), (2, 2.0)], "household_id int, x double")
-    store.dump(path, {"output": one}, "knn", "rate", False)
-    store.dump(path, {"output": one}, "logit", "rate", False)
-    store.dump(path, {"output": spark.createDataFrame([(3, 3.0)], "household_id int, x double")}, "knn", "rate", False)
-    back = store.load(spark, path, ["output"])["output"]
-    got = sorted((r.activity_model, r.household_id) for r in back.collect())
-    assert {("logit", 1), ("logit", 2), ("knn", 3)} <= set(got)
-
-
 def test_weather_follows_the_station_of_the_household(spark):
     features = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00")], "household_id int, t string").selectExpr("household_id", "cast(t AS timestamp) AS hour_ts")
     weather = spark.createDataFrame([("A", 1.0), ("B", 2.0), ("C", 3.0)], "station string, temp double").withColumn("time", F.lit("2024-01-01 00:00:00").cast("timestamp"))
