@@ -34,7 +34,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
-    return packing.assign(stored(pieces.withColumn("ids_crc32", F.crc32("ids")), "pieces"))
+    return packing.assign(stored(pieces, "pieces"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ their pieces fill the room of the others, cut where a sequence is full.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +32,23 @@ END_ID = 1
 #: Sequences that are looked at together to fill room, and the least room worth a cut.
 NEIGHBOURS = 512
 LEAST_ROOM = 12
-PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, task bigint, number bigint, own bigint"
+PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, ids_crc32 bigint, task bigint, number bigint, own bigint"
 
 
-def _cutter(definition: str, end_id: int, capacity: int, step: int):
+def id_bytes(definition: str, end_id: int) -> int:
+    """Bytes in which a tokenizer's ids are kept on the way: two if all fit."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(end_id, *Tokenizer.from_str(definition).get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+
+
+def checksums(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """CRC-32 of each slice of ids as little-endian unsigned 32-bit numbers."""
+    raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+    return np.array([zlib.crc32(raw[a:b]) for a, b in zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist())], np.int64)
+
+
+def _cutter(definition: str, end_id: int, capacity: int, step: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once_per_worker("encoder", lambda: Encoder(definition))
         task = TaskContext.get().partitionId()
@@ -55,9 +69,9 @@ def _cutter(definition: str, end_id: int, capacity: int, step: int):
                 own[order] = np.arange(len(size)) - (np.cumsum(count) - count)[size[order]] + seen[size[order]]
                 seen += count
                 # Pieces follow each other without gaps, so their bounds are running sums.
-                at = np.concatenate([[0], np.cumsum(length)]) * 4
-                ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(found)])
-                columns = [rows.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(tokens[doc]), ids]
+                at = np.concatenate([[0], np.cumsum(length)])
+                ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(found.astype(f"<u{width}"))])
+                columns = [rows.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(tokens[doc]), ids, pa.array(checksums(found, at))]
                 columns += [pa.array(np.full(len(doc), task)), pa.array(done + np.arange(len(doc))), pa.array(own)]
                 done += len(doc)
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PIECES.split(", ")])
@@ -66,10 +80,11 @@ def _cutter(definition: str, end_id: int, capacity: int, step: int):
 
 
 def cut(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY, step: int = STEP) -> DataFrame:
-    """doc_id, start, length, doc_tokens and ids (little-endian unsigned 32-bit) of each piece; task and number name it, and `own` is its number
-    among the pieces of its size in its task. To be stored before it is read twice."""
+    """doc_id, start, length, doc_tokens, ids (little-endian, of `id_bytes` bytes) and their ids_crc32 of each piece; task and number name it, and
+    `own` is its number among the pieces of its size in its task. To be stored before it is read twice."""
+    definition = tokenizer_json(tokenizer)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(tidy(_cutter(tokenizer_json(tokenizer), end_id, capacity, step), ("encoder",)), PIECES)
+    return docs.mapInArrow(tidy(_cutter(definition, end_id, capacity, step, id_bytes(definition, end_id)), ("encoder",)), PIECES)
 
 
 def _places(patterns: np.ndarray, bins: np.ndarray):
@@ -163,29 +178,46 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP, least_r
     return placed.groupBy("stretch").applyInArrow(_filler(capacity, least_room), ", ".join(f"{c} bigint" for c in PLACED.names))
 
 
+PARTS = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, {}, sequence_id bigint, `offset` bigint"
+
+
+def _parts_of(checked: bool):
+    """Parts with their own ids in 32 bits, or with the checksum of these, from parts (piece start, part_start, part_length) with the ids of
+    the whole piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {n: batch.column(n) for n in batch.schema.names}
+            first, length, pieces = column["part_start"].to_numpy(), column["part_length"].to_numpy(), column["ids"].to_pylist()
+            width = [len(p) // n for p, n in zip(pieces, column["length"].to_pylist())]
+            parts = [np.frombuffer(p, f"<u{w}")[a : a + n].astype("<u4") for p, w, a, n in zip(pieces, width, first.tolist(), length.tolist())]
+            bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+            ids = pa.array(checksums(np.concatenate(parts), bounds)) if checked and parts else pa.array([p.tobytes() for p in parts], pa.binary())
+            ids = ids.cast(pa.int64()) if checked and not parts else ids
+            columns = [column["doc_id"], pa.array(column["start"].to_numpy() + first), column["part_length"], column["doc_tokens"], ids, column["sequence_id"], column["offset"]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "ids_crc32" if checked else "ids", "sequence_id", "offset"])
+
+    return run
+
+
 def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, start, length, doc_tokens, ids_crc32, sequence_id and offset of all parts of stored pieces with ids_crc32. Only pieces that are
-    cut send their ids along."""
+    """doc_id, start, length, doc_tokens, ids_crc32, sequence_id and offset of all parts of stored pieces. Ids are looked at only where a
+    piece is cut."""
     parts = stored(place(pieces, capacity), "parts")
     key = ["task", "number"]
-    whole = parts.join(pieces.select(*key, "doc_id", "start", "length", "doc_tokens", "ids_crc32"), key).filter("part_length = length")
-    broken = parts.join(pieces.select(*key, "length"), key).filter("part_length < length").drop("length")
-    found = broken.join(pieces.select(*key, "doc_id", "start", "doc_tokens", "ids"), key)
-    crc = F.crc32(F.expr("substring(ids, cast(4 * part_start AS int) + 1, cast(4 * part_length AS int))"))
-    columns = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset"]
-    found = found.withColumns({"ids_crc32": crc, "start": F.col("start") + F.col("part_start"), "length": F.col("part_length")})
-    return whole.select(*columns).union(found.select(*columns))
+    known = parts.join(pieces.select(*key, "doc_id", "start", "length", "doc_tokens", "ids_crc32"), key)
+    whole = known.filter("part_length = length").select("doc_id", "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset")
+    broken = known.filter("part_length < length").drop("ids_crc32").join(pieces.select(*key, "ids"), key)
+    return whole.union(broken.mapInArrow(tidy(_parts_of(True)), PARTS.format("ids_crc32 bigint")))
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, start, length, doc_tokens, ids, sequence_id and offset of each piece.
+    """doc_id, start, length, doc_tokens, ids (little-endian unsigned 32-bit), sequence_id and offset of each piece.
 
     Each id of each document lies in exactly one piece; a sequence holds at most `capacity` ids, its pieces without gaps from offset 0.
     Null or empty text: the end id alone. Rows with equal or null doc_id are packed each for itself. Extra columns are not read. An
     empty table gives an empty table.
     """
     pieces = stored(cut(docs, tokenizer, end_id, capacity), "pieces")
-    both = place(pieces, capacity).join(pieces.select("task", "number", "doc_id", "start", "doc_tokens", "ids"), ["task", "number"])
-    ids = F.expr("substring(ids, cast(4 * part_start AS int) + 1, cast(4 * part_length AS int))").alias("ids")
-    start = (F.col("start") + F.col("part_start")).alias("start")
-    return both.select("doc_id", start, F.col("part_length").alias("length"), "doc_tokens", ids, "sequence_id", "offset")
+    both = place(pieces, capacity).join(pieces.select("task", "number", "doc_id", "start", "length", "doc_tokens", "ids"), ["task", "number"])
+    return both.mapInArrow(tidy(_parts_of(False)), PARTS.format("ids binary"))
