@@ -1,6 +1,6 @@
 """SQL for models that have an exact form, scores, cold start, explanations and weather."""
 
-from checks.sql_parts import auc_sql, day, r6, ts, with_
+from checks.sql_parts import auc_sql, brier_sql, day, r6, ts, with_
 
 HD = "household_id, device"
 WEATHER = ["temp", "dwpt", "rhum", "wdir", "wspd"]
@@ -97,6 +97,25 @@ SQL = {
         f"SELECT {HD}, {day('date')}, CAST(cell AS INTEGER) AS cell, {r6('p')} FROM urate"
     ),
     "e6_cold_start_scores": with_(f"SELECT household_id, agent, {day('date')}, {r6('score')} FROM cs"),
+    "e6_cold_start_user_metrics": with_(
+        f"""SELECT household_id, 'activity' AS agent, {day("date")}, {r6("score")} FROM ba
+        UNION ALL SELECT household_id, 'usage_' || device, {day("date")}, {r6("score")} FROM bu
+        UNION ALL SELECT household_id, 'load_' || device, {day("date")}, {r6("score")} FROM csl_max""",
+        ba=brier_sql("csa", "household_id, date").replace("FROM csa", "FROM csa WHERE p IS NOT NULL"),
+        bu=brier_sql("csu", "household_id, device, date").replace("FROM csu", "FROM csu WHERE p IS NOT NULL AND n_pos + n_neg > 0"),
+    ),
+    "e6_user_metric_activity": with_(
+        f"""SELECT household_id, {r6("a.s", "brier_train")}, {r6("t.score", "brier_test")}, a.n_dates, CAST(t.n AS BIGINT) AS n_test FROM bt_ t
+        JOIN (SELECT household_id, avg(score) AS s, count(score) AS n_dates FROM bd GROUP BY ALL) a USING (household_id)""",
+        bt_=brier_sql("wa_test", "household_id"),
+        bd=brier_sql("wa_train", "household_id, date"),
+    ),
+    "e6_user_metric_usage": with_(
+        f"""SELECT {HD}, {r6("a.s", "brier_train")}, {r6("t.score", "brier_test")}, a.n_dates, CAST(t.n AS BIGINT) AS n_test FROM bt_ t
+        JOIN (SELECT {HD}, avg(score) AS s, count(score) AS n_dates FROM bd GROUP BY ALL) a USING ({HD})""",
+        bt_=brier_sql("wu_test", HD),
+        bd=brier_sql("wu_train", f"{HD}, date"),
+    ),
     "a22_cold_start_table": with_(
         f"SELECT household_id, {day('date')}, "
         + ", ".join(r6(f"max(score) FILTER (agent = '{a}')", a) for a in AGENTS)

@@ -52,6 +52,10 @@ def auc_sql(source: str, keys: str) -> str:
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM {source}) GROUP BY {keys}"""
 
 
+def brier_sql(source: str, keys: str) -> str:
+    return f"SELECT {keys}, sum(n_pos * (1 - p) * (1 - p) + n_neg * p * p) / sum(n_pos + n_neg) AS score, sum(n_pos + n_neg) AS n FROM {source} GROUP BY {keys}"
+
+
 PARTS: dict[str, str] = {
     "span": "SELECT CAST(min(ts) AS DATE) AS d0, CAST(max(ts) AS DATE) AS d1 FROM events",
     "st": """SELECT CAST(user_id // 5 AS INTEGER) AS household_id, event_type AS entity_id,
@@ -242,6 +246,9 @@ PARTS: dict[str, str] = {
         CASE WHEN agent LIKE 'load%' THEN score < t ELSE score > best * (1 - t) END, false)), 0) + 1 AS INTEGER) AS days
       FROM csb CROSS JOIN (SELECT CAST(unnest([0.05, 0.10, 0.15, 0.20, 0.25]) AS DOUBLE) AS t) GROUP BY ALL""",
     "csf": "SELECT * FROM csd UNION ALL SELECT household_id, tolerance, 'framework', max(days) FROM csd GROUP BY ALL",
+    "csl_max": """SELECT p.household_id, p.device, p.date, max(abs(p.load - l.load)) AS score FROM prof p
+      JOIN (SELECT household_id, device, offs, arg_max(load, date) AS load FROM prof WHERE date <= (SELECT d1 FROM span) GROUP BY ALL) l USING (household_id, device, offs)
+      WHERE p.date <= (SELECT d1 FROM span) GROUP BY ALL""",
     # walk-forward scores
     "wa_test": """SELECT household_id, p, sum(y) AS n_pos, sum(1 - y) AS n_neg FROM ar WHERE p IS NOT NULL AND y IS NOT NULL
       AND date BETWEEN (SELECT d0 + 7 FROM span) AND (SELECT d1 - 2 FROM span) GROUP BY ALL""",

@@ -12,6 +12,7 @@ from loadshift import fixtures as fx
 from loadshift.catalog.decisions import KEYS, recs, window
 from loadshift.catalog.features import CONFIG, activity_table, load_table, prepared, usage_table
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
+from loadshift.functions.metrics import largest_error
 from loadshift.operators import cells, explain, impute, models, rates, recommend, score
 from loadshift.operators.learners import LEARNERS
 from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
@@ -180,17 +181,17 @@ def _scored_dates(spark: SparkSession, sf: str) -> tuple[str, str]:
     return fx.span(spark, sf).on(7), fx.span(spark, sf).on(-2)
 
 
-def _activity_scores(spark: SparkSession, sf: str, table: DataFrame | None = None) -> DataFrame:
+def _activity_scores(spark: SparkSession, sf: str, table: DataFrame | None = None, metric: score.CellMetric | None = None) -> DataFrame:
     out = rates.activity_rates(activity_table(spark, sf) if table is None else table)
     cells = out.select("household_id", "date", "p", "n_pos", "n_neg")
-    return score.walk_forward_auc(out, cells, ["household_id"], *_scored_dates(spark, sf))
+    return score.walk_forward_auc(out, cells, ["household_id"], *_scored_dates(spark, sf), metric=metric)
 
 
-def _usage_scores(spark: SparkSession, sf: str, table: DataFrame | None = None) -> DataFrame:
+def _usage_scores(spark: SparkSession, sf: str, table: DataFrame | None = None, metric: score.CellMetric | None = None) -> DataFrame:
     table = prepared(spark, sf).usage if table is None else table
     rated = _usage_rated(spark, sf, table)
     return score.walk_forward_auc(
-        rates.usage_rates(table), rates.usage_train_cells(rated), KEYS, *_scored_dates(spark, sf), inclusive=False
+        rates.usage_rates(table), rates.usage_train_cells(rated), KEYS, *_scored_dates(spark, sf), inclusive=False, metric=metric
     )
 
 
@@ -292,6 +293,26 @@ def e6_cold_start_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _cold_start(spark, sf).select("household_id", "agent", day("date"), r6("score"))
 
 
+@query
+def e6_cold_start_user_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with scores that are not built in: the Brier score of activity and usage, the largest error of the load profiles."""
+    out = stages.cold_start_scores(prepared(spark, sf), fx.span(spark, sf).today, score.brier(), largest_error)
+    return out.select("household_id", "agent", day("date"), r6("score"))
+
+
+@query
+def e6_user_metric_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Brier score of the activity predictions, of the training rows and of the days after."""
+    out = _activity_scores(spark, sf, metric=score.brier())
+    return out.select("household_id", r6("auc_train", "brier_train"), r6("auc_test", "brier_test"), big("n_dates"), big("n_test"))
+
+
+@query
+def e6_user_metric_usage(spark: SparkSession, sf: str) -> DataFrame:
+    out = _usage_scores(spark, sf, metric=score.brier())
+    return out.select(*KEYS, r6("auc_train", "brier_train"), r6("auc_test", "brier_test"), big("n_dates"), big("n_test"))
+
+
 @query
 def a22_cold_start_table(spark: SparkSession, sf: str) -> DataFrame:
     out = score.cold_start_table(_cold_start(spark, sf), AGENTS)

@@ -30,6 +30,17 @@ def normalised_distance(y_true: Column, y_hat: Column) -> Column:
     return F.when(norm > 0, F.sqrt(squared_error_sum(y_true, y_hat)) / F.sqrt(norm))
 
 
+def on_columns(metric: Callable[[Column, Column], Column]) -> Callable[[Column, Column], Column]:
+    """Marks a user's metric as one that builds a Column from two array Columns, so it runs without Python workers."""
+    metric.on_columns = True
+    return metric
+
+
+@on_columns
+def largest_error(y_true: Column, y_hat: Column) -> Column:
+    return F.array_max(F.zip_with(y_true, y_hat, lambda x, y: F.abs(x - y)))
+
+
 ARRAY_METRICS: dict[str, Callable[[Column, Column], Column]] = {
     "mse": mse,
     "mae": mae,
@@ -38,9 +49,12 @@ ARRAY_METRICS: dict[str, Callable[[Column, Column], Column]] = {
 
 
 def array_metric(metric: str | Callable) -> Callable[[Column, Column], Column]:
-    """A registered name, or a Python function (y_true, y_hat) -> float run in Arrow batches."""
+    """A registered name, a function of two Columns marked by ``on_columns``, or a Python function (y_true, y_hat) -> float run in
+    Arrow batches."""
     if isinstance(metric, str):
         return ARRAY_METRICS[metric]
+    if getattr(metric, "on_columns", False):
+        return metric
 
     @F.pandas_udf("double")
     def custom(y_true: pd.Series, y_hat: pd.Series) -> pd.Series:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,18 +107,58 @@ def prove_start_end(df: DataFrame, keys: list[str], ts: str, date: str) -> DataF
     return cut.filter((F.to_date(ts) < end) | (F.col("_n") >= 24)).drop("_n")
 
 
-def value_quartiles(df: DataFrame, keys: list[str], column: str, non_zero: bool = False) -> DataFrame:
-    """Exact Q1 and Q3 by linear interpolation per key.
+#: Keys with at most so many values keep all of them between their splitters; the ranks that splitters may be off, in parts of a key's values.
+WHOLE, OFF = 20_000, 1e-4
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], column: str, shares: list[float], whole: int = WHOLE) -> DataFrame:
+    """keys and q0, q1, ...: exact quantiles by linear interpolation, without a buffer of a key's values.
 
-    Equal values are counted first, so a hot key reaches its reducer as distinct sensor readings with
-    frequencies and not as rows; their number is bounded by the sensor's range and resolution.
+    A sketch gives two splitters around each quantile, off by a known part of the ranks at most. Values outside the splitters are only
+    counted, by range; those between two splitters, a few in ten thousand, are counted one by one, and a running sum over them and the
+    range counts finds the two ranks that a quantile lies between. NULLs have no rank, a key without values has no row, and NaN counts
+    as larger than all numbers. ``df`` is read twice; ``shares`` ascend.
     """
-    rows = df.filter(F.col(column) != 0) if non_zero else df.filter(F.col(column).isNotNull())
-    counts = rows.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_freq"))
-    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.75)), F.col("_freq"))
-    return counts.groupBy(*keys).agg(q.alias("_q")).select(
-        *keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")
-    )
+    value = F.col(column).cast("double")
+    rows = df.filter(F.col(column).isNotNull()).select(*keys, value.alias("_v"))
+    ends = [e for s in shares for e in (max(s - 2 * OFF, 0.0), min(s + 2 * OFF, 1.0))]
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(e) for e in ends]), F.lit(int(1 / OFF)))
+    known = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), sketch.alias("_ends"))
+    # In short keys a rank is a large part of all: there the first range holds everything.
+    short = F.col("_n") <= whole
+    limits = [F.when(short, F.col("_least") if i == 0 else F.col("_most")).otherwise(F.col("_ends")[i]) for i in range(len(ends))]
+    splitters = known.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_n", F.array(*limits).alias("_ends"))
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    placed = rows.join(splitters, reduce(lambda a, b: a & b, same))
+    # Ranges 1, 3, ... lie between splitters; of the values of the others only the number counts.
+    ranges = F.lit(2 * len(shares))
+    for i in reversed(range(len(shares))):
+        low, high = F.col("_ends")[2 * i], F.col("_ends")[2 * i + 1]
+        ranges = F.when(F.col("_v") < low, 2 * i).when(F.col("_v") <= high, 2 * i + 1).otherwise(ranges)
+    ranged = placed.select(*keys, "_n", ranges.alias("_range"), "_v")
+    counted = ranged.groupBy(*keys, "_n", "_range", F.when(F.col("_range") % 2 == 1, F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_count"))
+    order = Window.partitionBy(*keys).orderBy("_range", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    summed = counted.withColumn("_upto", F.sum("_count").over(order))
+    found = []
+    for i, s in enumerate(shares):
+        place = (F.col("_n") - 1) * F.lit(float(s))
+        for side, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
+            holds = (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_count"))
+            found.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{side}{i}"))
+    picked = summed.groupBy(*keys, "_n").agg(*found)
+    out = []
+    for i, s in enumerate(shares):
+        place = (F.col("_n") - 1) * F.lit(float(s))
+        part = place - F.floor(place)
+        out.append((F.col(f"_low{i}") + F.when(part > 0, part * (F.col(f"_high{i}") - F.col(f"_low{i}"))).otherwise(0.0)).alias(f"q{i}"))
+    return picked.select(*keys, *out)
+
+
+def value_quartiles(df: DataFrame, keys: list[str], column: str, non_zero: bool = False) -> DataFrame:
+    """Exact Q1 and Q3 by linear interpolation per key, of all values or of those other than 0."""
+    rows = df.filter(F.col(column) != 0) if non_zero else df
+    found = exact_quantiles(rows, keys, column, [0.25, 0.75])
+    return found.select(*keys, F.col("q0").alias("q1"), F.col("q1").alias("q3"))
 
 
 def outlier_truncation(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +34,33 @@ def auc_from_counts(cells: DataFrame, keys: list[str], score: str = "p") -> Data
     )
 
 
+@dataclass(frozen=True)
+class CellMetric:
+    """A score function of a user, as a mergeable aggregate over weighted cells (p, n_pos, n_neg): each of ``sums`` starts at zero, adds
+    up over cells and merges by addition, wherever the cells lie; ``finish`` turns the sums into the score."""
+
+    sums: dict[str, Callable[[Column, Column, Column], Column]]
+    finish: Callable[[dict[str, Column]], Column]
+
+    def over(self, cells: DataFrame, keys: list[str], score: str = "p") -> DataFrame:
+        """keys, auc (the score, by the name that built-in scores have) and n per key; cells without a prediction are left out."""
+        seen = cells.filter(F.col(score).isNotNull())
+        parts = [F.coalesce(F.sum(f(F.col(score), F.col("n_pos"), F.col("n_neg"))), F.lit(0.0)).alias(f"_{name}") for name, f in self.sums.items()]
+        summed = seen.groupBy(*keys).agg(*parts, F.sum(F.col("n_pos") + F.col("n_neg")).cast("bigint").alias("n"))
+        return summed.select(*keys, self.finish({name: F.col(f"_{name}") for name in self.sums}).alias("auc"), "n")
+
+
+def brier() -> CellMetric:
+    """Mean squared distance of predictions and outcomes."""
+    gap = {"gap": lambda p, pos, neg: pos * (1 - p) * (1 - p) + neg * p * p, "n": lambda p, pos, neg: pos + neg}
+    return CellMetric(gap, lambda s: F.when(s["n"] > 0, s["gap"] / s["n"]))
+
+
+def cell_score(cells: DataFrame, keys: list[str], metric: CellMetric | None = None) -> DataFrame:
+    """keys, auc, n: ROC AUC, or a user's metric, of weighted cells."""
+    return auc_from_counts(cells, keys) if metric is None else metric.over(cells, keys)
+
+
 def auc(rows: DataFrame, keys: list[str], y: str = "y", score: str = "p") -> DataFrame:
     counted = rows.filter(F.col(y).isNotNull()).select(
         *keys, score, F.col(y).cast("bigint").alias("n_pos"), (1 - F.col(y)).cast("bigint").alias("n_neg")
@@ -41,17 +69,18 @@ def auc(rows: DataFrame, keys: list[str], y: str = "y", score: str = "p") -> Dat
 
 
 def walk_forward_auc(
-    test: DataFrame, train_cells: DataFrame, keys: list[str], start: str, end: str, inclusive: bool = True
+    test: DataFrame, train_cells: DataFrame, keys: list[str], start: str, end: str, inclusive: bool = True, metric: CellMetric | None = None
 ) -> DataFrame:
-    """Mean train AUC over the dates and one pooled test AUC per key; dates in [start, end] or (start, end)."""
+    """Mean train AUC, or ``metric``, over the dates and one pooled test AUC per key; dates in [start, end] or (start, end)."""
 
     def within(df: DataFrame) -> DataFrame:
         d, lo, hi = F.col("date"), F.lit(start).cast("date"), F.lit(end).cast("date")
         return df.filter(d.between(lo, hi) if inclusive else (d > lo) & (d < hi))
 
-    per_date = auc_from_counts(within(train_cells), [*keys, "date"])
+    per_date = cell_score(within(train_cells), [*keys, "date"], metric)
     train = per_date.groupBy(*keys).agg(F.avg("auc").alias("auc_train"), F.count("auc").alias("n_dates"))
-    pooled = auc(within(test), keys).select(*keys, F.col("auc").alias("auc_test"), F.col("n").alias("n_test"))
+    tested = within(test).filter("y IS NOT NULL").select(*keys, "p", F.col("y").cast("bigint").alias("n_pos"), (1 - F.col("y")).cast("bigint").alias("n_neg"))
+    pooled = cell_score(tested, keys, metric).select(*keys, F.col("auc").alias("auc_test"), F.col("n").alias("n_test"))
     return train.join(pooled, keys, "full_outer")
 
 
@@ -96,8 +125,8 @@ def scores_by_position(scores: DataFrame, devices: list[str]) -> DataFrame:
 # cold start ---------------------------------------------------------------------------------------
 
 
-def activity_cold_start(rates: DataFrame, last: str) -> DataFrame:
-    """AUC per household and date of that date's model on all rows from the training start to ``last``.
+def activity_cold_start(rates: DataFrame, last: str, metric: CellMetric | None = None) -> DataFrame:
+    """AUC, or ``metric``, per household and date of that date's model on all rows from the training start to ``last``.
 
     Every date's model is scored on 24 cells weighted by how often they were active and inactive.
     """
@@ -108,20 +137,20 @@ def activity_cold_start(rates: DataFrame, last: str) -> DataFrame:
         "n_neg", F.sum(F.when(in_range, 1 - F.col("truth"))).over(w)
     )
     scored = weighted.filter((F.col("date") >= F.col("start_date")) & (F.col("date") < end))
-    return auc_from_counts(scored, ["household_id", "date"]).select(
+    return cell_score(scored, ["household_id", "date"], metric).select(
         "household_id", F.lit("activity").alias("agent"), "date", F.col("auc").alias("score")
     )
 
 
-def usage_cold_start(rated: DataFrame, last: str) -> DataFrame:
-    """AUC per household, device and date over the 8 feature cells, weighted by all trained rows up to ``last``."""
+def usage_cold_start(rated: DataFrame, last: str, metric: CellMetric | None = None) -> DataFrame:
+    """AUC, or ``metric``, per household, device and date over the 8 feature cells, weighted by all trained rows up to ``last``."""
     end = F.lit(last).cast("date")
     whole = Window.partitionBy("household_id", "device")
     final = F.max_by(F.struct("n", "pos"), F.when(F.col("date") <= end, F.col("date"))).over(whole)
     trained = rated.withColumn("_all", final).filter(F.col("date") < end).filter("exists(n, x -> x > 0)")
     cells = "inline(arrays_zip(rate, _all.pos, zip_with(_all.n, _all.pos, (a, b) -> a - b))) AS (p, n_pos, n_neg)"
     seen = trained.selectExpr("household_id", "device", "date", cells).filter("n_pos + n_neg > 0")
-    return auc_from_counts(seen, ["household_id", "device", "date"]).select(
+    return cell_score(seen, ["household_id", "device", "date"], metric).select(
         "household_id",
         F.concat(F.lit("usage_"), safe_name("device")).alias("agent"),
         "date",

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadshift.config import Config
+from loadshift.functions.metrics import array_metric
 from loadshift.operators import backtest, hourly, impute, models, rates, recommend, runs, score
 from loadshift.operators.features import activity_features, load_input, usage_features, usage_group
 from loadshift.operators.prices import horizons
@@ -158,11 +159,14 @@ def back_test(
     return backtest.evaluate_grid(rows, activity_thresholds, usage_thresholds)
 
 
-def cold_start_scores(prepared: Prepared, last_day: str) -> DataFrame:
-    """household_id, agent, date, score for activity, usage and load; ``last_day`` is the last day with data."""
-    activity = score.activity_cold_start(rates.activity_rates(prepared.activity), last_day)
-    usage = score.usage_cold_start(rates.cell_rates(rates.usage_counts(prepared.usage)), last_day)
-    load = score.load_cold_start(runs.profiles_by_date(complete_days(prepared.load)), last_day)
+def cold_start_scores(
+    prepared: Prepared, last_day: str, metric: score.CellMetric | None = None, load_metric: str | Callable = "mse"
+) -> DataFrame:
+    """household_id, agent, date, score for activity, usage and load; ``last_day`` is the last day with data. ``metric`` scores the
+    predictions of activity and usage instead of the AUC, ``load_metric`` the profiles."""
+    activity = score.activity_cold_start(rates.activity_rates(prepared.activity), last_day, metric)
+    usage = score.usage_cold_start(rates.cell_rates(rates.usage_counts(prepared.usage)), last_day, metric)
+    load = score.load_cold_start(runs.profiles_by_date(complete_days(prepared.load)), last_day, array_metric(load_metric))
     return activity.unionByName(usage).unionByName(load)
 
 

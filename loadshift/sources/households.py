@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadshift.operators.joins import join_reference
@@ -12,15 +12,29 @@ from loadshift.schemas import HOUSEHOLD_CSV
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """household_id, appliance (Appliance0..9), label from the label text.
 
-    A house section begins with a line 'House N'; its entries read '0.Aggregate, 1.Fridge, ...'.
+    A house section begins with a line 'House N'; its entries read '0.Aggregate, 1.Fridge, ...'. A file is read in blocks by several
+    tasks: the house of a line is that of the last such line before it in its block, or else in the blocks before, of which one row
+    each is looked at. Lines before any house name no appliance.
     """
-    text = spark.read.text(path, wholetext=True)
-    house = F.explode(F.regexp_extract_all("value", F.lit(r"(?s)\nHouse \d+.*?(?=\nHouse \d|\z)"), F.lit(0)))
-    sections = text.select(house.alias("section"))
-    household = F.regexp_extract("section", r"House (\d+)", 1).cast("int")
-    entry = F.explode(F.regexp_extract_all("section", F.lit(r"\d\.[^,\n]+"), F.lit(0)))
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),  # grows along the lines of a block
+    )
+    number = F.regexp_extract("value", r"^House (\d+)", 1)
+    numbered = lines.withColumn("house", F.when(number != "", number).cast("int"))
+    in_block = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    own = numbered.withColumn("house", F.last("house", ignorenulls=True).over(in_block))
+    ends = numbered.groupBy("file", "block").agg(F.max_by("house", F.when(F.col("house").isNotNull(), F.col("at"))).alias("house"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("file", "block", F.last("house", ignorenulls=True).over(before).alias("carried"))
+    household = F.coalesce("house", "carried").alias("household_id")
+    entry = F.explode(F.regexp_extract_all("value", F.lit(r"\d\.[^,]+"), F.lit(0))).alias("entry")
     return (
-        sections.select(household.alias("household_id"), entry.alias("entry"))
+        own.join(carried, ["file", "block"])
+        .select(household, entry)
+        .filter("household_id IS NOT NULL")
         .select(
             "household_id",
             F.concat(F.lit("Appliance"), F.substring_index("entry", ".", 1)).alias("appliance"),

@@ -176,3 +176,44 @@ def test_prepared_tables_equal_those_from_readings(spark, sf):
         assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     rows = [df.select("household_id", "device", "hour_ts", F.round("load", 9)).collect() for df in (direct.load, stored.load)]
     assert sorted(map(tuple, rows[0])) == sorted(map(tuple, rows[1]))
+
+
+def test_exact_quantiles_without_a_buffer(spark):
+    """Ties, few values, NULLs and keys that are split by ranges, against numpy's linear interpolation."""
+    import numpy as np
+
+    from loadshift.operators import clean
+
+    rng = np.random.default_rng(3)
+    groups = {"many": rng.normal(size=30_000), "ties": rng.integers(0, 3, 25_000).astype(float), "skew": rng.exponential(size=21_000) ** 5, "two": np.array([1.0, 4.0]), "one": np.array([7.0]), "flat": np.zeros(500)}
+    rows = [(k, float(v)) for k, values in groups.items() for v in values] + [("one", None), ("none", None), (None, 3.0), (None, 5.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    groups[None] = np.array([3.0, 5.0])
+    for whole in (0, 1000, clean.WHOLE):
+        small = [k for k in groups if len(groups[k]) <= max(whole, 1)] if whole else []
+        got = {r.k: (r.q0, r.q1) for r in clean.exact_quantiles(df, ["k"], "x", [0.25, 0.75], max(whole, 600)).collect()}
+        assert set(got) == set(groups) and len(small) <= len(groups)
+        for k, values in groups.items():
+            assert got[k] == pytest.approx(tuple(np.quantile(values, [0.25, 0.75])), rel=1e-12), k
+    assert clean.exact_quantiles(df.limit(0), ["k"], "x", [0.5]).count() == 0
+
+
+def test_labels_are_read_in_blocks(spark, tmp_path):
+    """Lines of a long section, many splits: every entry has the house above it."""
+    from loadshift.sources import households
+
+    lines, want = ["entries before any house: 1.Nothing"], set()
+    for h in range(1, 40):
+        lines.append(f"House {h}")
+        for i in range(10):
+            lines.append(f"\t{i}.Label {h} {i}, ")
+            want.add((h, f"Appliance{i}", f"Label {h} {i}"))
+        lines += ["filler"] * 50
+    (tmp_path / "labels.txt").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert spark.read.text(str(tmp_path / "labels.txt")).rdd.getNumPartitions() > 4
+        assert {tuple(r) for r in households.read_labels(spark, str(tmp_path / "labels.txt")).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
