@@ -15,7 +15,7 @@ import numpy as np
 from loadshift.llm.words import distinct_spans, same_bytes, span_hashes
 
 #: Units kept at once; beyond it the cache starts anew, which costs time only.
-CACHE_UNITS = 600_000
+CACHE_UNITS = 150_000
 JOINED_BYTES = 1 << 16
 
 

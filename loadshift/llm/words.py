@@ -188,8 +188,8 @@ def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.n
     and hash tell."""
     size = end - start
     equal = size == to - at
-    for first in range(0, len(start), 1 << 16):
-        here = np.flatnonzero(equal[first : first + (1 << 16)] & (size[first : first + (1 << 16)] > 8)) + first
+    for first in range(0, len(start), 1 << 14):
+        here = np.flatnonzero(equal[first : first + (1 << 14)] & (size[first : first + (1 << 14)] > 8)) + first
         if not len(here):
             continue
         n = size[here]

@@ -81,11 +81,11 @@ def clusters(seed=4):
             x = rng.choice([x, y])
             out.append(y)
     low = rng.getrandbits(31)
-    out += [low | rng.getrandbits(33) << 31 for _ in range(150)] + [low | rng.getrandbits(9) << 40 for _ in range(150)]
+    out += [low | rng.getrandbits(33) << 31 for _ in range(60)] + [low | rng.getrandbits(9) << 40 for _ in range(60)]
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("crowd, few", [(1024, 8), (9, 3)])
+@pytest.mark.parametrize("crowd, few", [(1024, 8), (40, 3)])
 def test_groups_equal_brute_force(spark, monkeypatch, crowd, few):
     monkeypatch.setattr(simhash_cover, "CROWD", crowd)
     monkeypatch.setattr(simhash_cover, "FEW", few)
