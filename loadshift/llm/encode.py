@@ -15,7 +15,8 @@ import numpy as np
 from loadshift.llm.words import distinct_spans, same_bytes, span_hashes
 
 #: Units kept at once; beyond it the cache starts anew, which costs time only.
-CACHE_UNITS = 150_000
+CACHE_UNITS = 400_000
+CACHE_BYTES = 1 << 28
 JOINED_BYTES = 1 << 16
 
 
@@ -72,14 +73,15 @@ class Encoder:
 
     def _clear(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.entry = np.zeros(0, np.int64)
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        # Places and sizes stay far below 2^31.
+        self.entry = np.zeros(0, np.int32)
+        self.first = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.uint32)
         # Bytes of the known units, and where each begins and ends.
         self.held = np.zeros(0, np.uint8)
-        self.begin = np.zeros(0, np.int64)
-        self.stop = np.zeros(0, np.int64)
+        self.begin = np.zeros(0, np.int32)
+        self.stop = np.zeros(0, np.int32)
 
     def _encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The units' order here, the number of ids of each and all ids. Units that begin with a blank and end solidly are encoded joined, about 64 KB at
@@ -117,13 +119,13 @@ class Encoder:
         length = (end - start)[order]
         stop = np.cumsum(length)
         take = np.repeat(start[order] - stop + length, length) + np.arange(int(stop[-1]) if len(stop) else 0)
-        self.begin = np.concatenate([self.begin, len(self.held) + stop - length])
-        self.stop = np.concatenate([self.stop, len(self.held) + stop])
+        self.begin = np.concatenate([self.begin, (len(self.held) + stop - length).astype(np.int32)])
+        self.stop = np.concatenate([self.stop, (len(self.held) + stop).astype(np.int32)])
         self.held = np.concatenate([self.held, data[take]])
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
+        self.first = np.concatenate([self.first, (len(self.flat) + np.cumsum(size) - size).astype(np.int32)])
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
         self.flat = np.concatenate([self.flat, flat])
-        known, entries = np.concatenate([self.known, hashes]), np.concatenate([self.entry, entry])
+        known, entries = np.concatenate([self.known, hashes]), np.concatenate([self.entry, entry.astype(np.int32)])
         order = np.argsort(known, kind="stable")
         self.known, self.entry = known[order], entries[order]
         return entry
@@ -137,20 +139,20 @@ class Encoder:
         at, which = distinct_spans(data, start, end)
         begin, stop = start[at], end[at]
         hashes = span_hashes(data, begin, stop)
-        if len(self.known) > CACHE_UNITS:
+        if len(self.known) > CACHE_UNITS or len(self.held) > CACHE_BYTES:
             self._clear()
         entry = np.full(len(at), -1)
         if len(self.known):
             place = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
             hit = np.flatnonzero(self.known[place] == hashes)
             of = self.entry[place[hit]]
-            same = same_bytes(data, begin[hit], stop[hit], self.held, self.begin[of], self.stop[of])
+            same = same_bytes(data, begin[hit], stop[hit], self.held, self.begin[of].astype(np.int64), self.stop[of].astype(np.int64))
             entry[hit[same]] = of[same]
         new = np.flatnonzero(entry < 0)
         if len(new):
             entry[new] = self._learn(hashes[new], data, begin[new], stop[new])
         unit = entry[which]
-        size = self.size[unit]
+        size = self.size[unit].astype(np.int64)
         stop = np.cumsum(size)
         # Ragged copy: each id's place in the cache is its unit's first place plus its number within the unit.
         take = np.repeat(self.first[unit] - stop + size, size) + np.arange(int(stop[-1]) if len(stop) else 0)
