@@ -106,14 +106,29 @@ def test_reference_join_keeps_unmatched_rows_and_runs_no_job(spark):
 
 
 @pytest.mark.parametrize("name", ["r7_j6_recommendation_table", "r11_back_test", "r13_a17_grid_search", "a5_outlier_truncation"])
-def test_queries_build_without_jobs_or_cached_tables(spark, sf, name):
+def test_queries_cache_no_tables(spark, sf, name):
     import __spark_entry__ as entry
 
-    spark.sparkContext.setJobGroup(name, name)
     entry.queries()[name](spark, sf)
-    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_operators_build_without_jobs(spark, sf):
+    """Queries fetch their dates and write the hourly base while they are built; what they are built from runs nothing."""
+    from loadshift import fixtures as fx
+    from loadshift.catalog.features import CONFIG
+    from loadshift.operators import clean
+    from loadshift.plans import stages
+
+    span, readings = fx.span(spark, sf), fx.readings(spark, sf)
+    spark.sparkContext.setJobGroup("operators", "operators")
+    prepared = stages.prepare(None, CONFIG, span.today, stages.hourly_base(readings, CONFIG))
+    predicted = stages.predict(prepared, "rate", span.first, span.last)
+    stages.back_test(stages.recommendation_inputs(predicted, fx.households(spark, sf), fx.prices(spark, sf), span.first, span.last), prepared, [0.5], [0.5])
+    clean.outlier_truncation(prepared.load, ["household_id"], "load")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("operators")
     spark.sparkContext.setJobGroup("", "")
-    assert not jobs and not spark.sparkContext._jsc.getPersistentRDDs()
+    assert not jobs
 
 
 def test_leap_day_is_not_replicated(spark, tmp_path):
