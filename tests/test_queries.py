@@ -37,7 +37,7 @@ def test_hourly_window_follows_two_aggregations(spark, sf):
     from loadshift import fixtures as fx
     from loadshift.operators.features import load_input
 
-    plan = load_input(fx.readings(spark, sf), fx.SHIFTABLE, 30.0, fx.TODAY)._jdf.queryExecution().executedPlan().toString()
+    plan = load_input(fx.readings(spark, sf), fx.SHIFTABLE, 30.0, fx.span(spark, sf).today)._jdf.queryExecution().executedPlan().toString()
     window, aggregate = plan.index("Window "), plan.index("partial_sum")
     assert window < aggregate
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
