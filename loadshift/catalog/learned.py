@@ -13,11 +13,11 @@ from loadshift.catalog.decisions import KEYS, recs, window
 from loadshift.catalog.features import CONFIG, activity_table, load_table, prepared, usage_table
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
 from loadshift.functions.metrics import largest_error
-from loadshift.operators import cells, explain, impute, models, rates, recommend, score
+from loadshift.operators import cells, explain, hour_cells, impute, models, rates, recommend, score
 from loadshift.operators.learners import LEARNERS
 from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
 from loadshift.plans import stages
-from loadshift.session import scratch_dir
+from loadshift.session import scratch_dir, write_once
 from loadshift.sources.weather import daily as weather_daily
 from loadshift.streaming.hourly import closing_sums, completed, hourly_sums
 
@@ -54,10 +54,19 @@ def _usage_model(spark: SparkSession, sf: str, model_type: str, first: str | Non
 @query
 def m3_logit_activity(spark: SparkSession, sf: str) -> DataFrame:
     """Logistic regression per household and date: probability of activity for every hour of the next day."""
-    out = models.activity_walk_forward(activity_table(spark, sf), "logit", *window(spark, sf))
+    return _activity_hours(hour_cells.logit_activity(activity_table(spark, sf), *window(spark, sf)))
+
+
+def _activity_hours(out: DataFrame) -> DataFrame:
     return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
 
 
+@query
+def m3_logit_activity_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on the week up to each date."""
+    return _activity_hours(hour_cells.logit_activity(activity_table(spark, sf), *window(spark, sf), train_days=7))
+
+
 @query
 def m3_logit_usage(spark: SparkSession, sf: str) -> DataFrame:
     return _usage_model(spark, sf, "logit")
@@ -66,8 +75,7 @@ def m3_logit_usage(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def m4_knn_activity(spark: SparkSession, sf: str) -> DataFrame:
     """Share of active hours among the 10 nearest training hours."""
-    out = models.activity_walk_forward(activity_table(spark, sf), "knn", *window(spark, sf))
-    return out.select("household_id", day("date"), ts("hour_ts"), "y", r6("p"), "error")
+    return _activity_hours(hour_cells.knn_activity(activity_table(spark, sf), *window(spark, sf)))
 
 
 @query
@@ -100,6 +108,11 @@ def m9_logit_sm_usage(spark: SparkSession, sf: str) -> DataFrame:
     return _usage_model(spark, sf, "logit_sm")
 
 
+@query
+def m9_logit_sm_activity(spark: SparkSession, sf: str) -> DataFrame:
+    return _activity_hours(hour_cells.logit_sm_activity(activity_table(spark, sf), *window(spark, sf)))
+
+
 @query
 def m10_every_model_type(spark: SparkSession, sf: str) -> DataFrame:
     """All seven model types for the last date."""
@@ -212,10 +225,38 @@ def e2_usage_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def e2_knn_activity_auc(spark: SparkSession, sf: str) -> DataFrame:
     """Pooled test AUC of the nearest-neighbour model."""
-    out = score.auc(models.activity_walk_forward(activity_table(spark, sf), "knn", *window(spark, sf)), ["household_id"])
+    out = score.auc(hour_cells.knn_activity(activity_table(spark, sf), *window(spark, sf)), ["household_id"])
     return out.select("household_id", r6("auc"), big("n"))
 
 
+@query
+def e2_logit_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Walk-forward AUC of the fitted regression: mean over the dates' training rows, and pooled over the days after."""
+    fitted = write_once(hour_cells.fits(activity_table(spark, sf), *window(spark, sf)), "activity_fits")
+    out = score.walk_forward_auc(hour_cells.test_rows(fitted), hour_cells.train_cells(fitted), ["household_id"], *_scored_dates(spark, sf))
+    return out.select("household_id", r6("auc_train"), r6("auc_test"), big("n_dates"), big("n_test"))
+
+
+@query
+def e2_logit_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """The same per device; both end dates are excluded."""
+    fitted = write_once(cells.logit_cells(usage_table(spark, sf), *window(spark, sf)), "usage_fits")
+    tested = fitted.select(*KEYS, "date", F.get("rate", F.col("next_cell")).alias("p"), "y").filter("p IS NOT NULL")
+    out = score.walk_forward_auc(tested, rates.usage_train_cells(fitted), KEYS, *_scored_dates(spark, sf), inclusive=False)
+    return out.select(*KEYS, r6("auc_train"), r6("auc_test"), big("n_dates"), big("n_test"))
+
+
+@query
+def e5_logit_activity_all_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every date's regression on all rows of the household: AUC and mean squared distance of each date."""
+    table = activity_table(spark, sf)
+    scored = write_once(hour_cells.all_cells(hour_cells.fits(table, *window(spark, sf)), table), "activity_all_rows")
+    keys = ["household_id", "date"]
+    gap = score.brier().over(scored, keys).select(*keys, F.col("auc").alias("brier"))
+    out = score.auc_from_counts(scored, keys).join(gap, keys)
+    return out.select("household_id", day("date"), r6("auc"), r6("brier"), big("n"))
+
+
 def _load_errors(spark: SparkSession, sf: str, metric, load: DataFrame | None = None) -> DataFrame:
     load = prepared(spark, sf).load if load is None else load
     return score.load_errors(load, stages.complete_days(load), metric)
@@ -371,22 +412,17 @@ def x7_t6_usage_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("importance", rounded).select(*KEYS, day("date"), text.alias("sentence"))
 
 
-def _last_recommendations(spark: SparkSession, sf: str, tables: stages.Prepared) -> DataFrame:
-    """Each household's recommendations of its last date with a best launch hour, with the time of that hour."""
-    date = F.col("recommendation_calculation_date")
-    last = F.max(F.when(F.col("best_launch_hour").isNotNull(), date)).over(Window.partitionBy("household_id"))
-    found = recs(spark, sf, tables).withColumn("_last", last).filter(date == F.col("_last")).drop("_last")
+def _timed_recommendations(spark: SparkSession, sf: str, tables: stages.Prepared) -> DataFrame:
+    """All recommendations, with the time of the best launch hour where there is one."""
     at = F.expr("cast(recommendation_date AS timestamp) + make_dt_interval(0, best_launch_hour)")
-    return found.withColumn("hour_ts", at)
+    return recs(spark, sf, tables).withColumn("hour_ts", at)
 
 
-def _activity_explained(spark: SparkSession, sf: str, tables: stages.Prepared) -> DataFrame:
-    """The logit model's attributions at the best launch hours of each household's last recommended day."""
-    table = tables.activity
-    best = _last_recommendations(spark, sf, tables).filter(F.col("hour_ts").isNotNull()).select("household_id", "hour_ts")
-    return explain.explain(
-        table, ["household_id"], ACTIVITY_FEATURES, "activity", "hour_ts", "logit", *window(spark, sf), targets=best
-    )
+def _activity_explained(spark: SparkSession, sf: str, tables: stages.Prepared, found: DataFrame | None = None) -> DataFrame:
+    """The regression's attributions at all best launch hours."""
+    found = _timed_recommendations(spark, sf, tables) if found is None else found
+    best = found.filter(F.col("hour_ts").isNotNull()).select("household_id", "hour_ts")
+    return hour_cells.explain_activity(tables.activity, *window(spark, sf), best)
 
 
 @query
@@ -397,6 +433,14 @@ def x1_x2_activity_importance(spark: SparkSession, sf: str) -> DataFrame:
     return long.select("household_id", day("date"), ts("hour_ts"), r6("p"), r6("shap"), "feature", r6("importance"))
 
 
+@query
+def x5_explanation_seconds(spark: SparkSession, sf: str) -> DataFrame:
+    """What the attributions of each date cost: hours explained and the seconds that their fits and coalitions took in the tasks."""
+    out = _activity_explained(spark, sf, prepared(spark, sf)).filter(F.col("p").isNotNull())
+    timed = out.groupBy("date").agg(F.count(F.lit(1)).alias("n_hours"), F.sum("seconds").alias("seconds"))
+    return timed.select(day("date"), big("n_hours"), "seconds")
+
+
 @query
 def x6_activity_sentences(spark: SparkSession, sf: str) -> DataFrame:
     """Why a resident is expected to be active, from the attributions of the activity model."""
@@ -410,12 +454,12 @@ def x6_activity_sentences(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def x_explained_recommendations(spark: SparkSession, sf: str) -> DataFrame:
-    """Every recommendation of a household's last date with the reasons of both agents and the saving; without one, the text that says so."""
+    """Every recommendation with the reasons of both agents and the saving; without one, the text that says so."""
     tables = prepared(spark, sf)
-    found = _last_recommendations(spark, sf, tables)
+    found = write_once(_timed_recommendations(spark, sf, tables), "timed_recommendations")
     table = tables.activity
     lags = [F.coalesce(f"activity_lag_{k}", F.lit(0)) for k in (24, 48, 72)]
-    active = _activity_explained(spark, sf, tables).join(table.drop("activity"), ["household_id", "hour_ts"])
+    active = _activity_explained(spark, sf, tables, found).join(table.drop("activity"), ["household_id", "hour_ts"])
     active = active.select("household_id", "hour_ts", explain.activity_sentence("importance", lags).alias("activity_reason"))
     rounded = F.expr("transform(importance, s -> named_struct('feature', s.feature, 'importance', round(s.importance, 6)))")
     used = explain.usage_shapley(_usage_rated(spark, sf, tables.usage)).withColumn("importance", rounded)

@@ -61,6 +61,18 @@ def logit_usage(features: DataFrame, first_date: str, last_date: str, penalty: f
     return rows.select(*KEYS, "date", F.col("target_date").alias("day"), "y", "p", "error")
 
 
+def logit_cells(features: DataFrame, first_date: str, last_date: str, penalty: float = 1.0, intercept: bool = True, rounds: int = 100) -> DataFrame:
+    """household_id, device, date, n[8], pos[8], rate[8], next_cell, y: the probabilities that each date's regression gives all cells.
+    Dates without a fit have no row."""
+
+    @F.pandas_udf("array<double>")
+    def rate(n: pd.Series, pos: pd.Series) -> pd.Series:
+        return pd.Series(list(newton(*[np.array(x.tolist(), float).reshape(-1, USAGE_CELLS) for x in (n, pos)], penalty, intercept, rounds)))
+
+    rows = _dated(usage_counts(features), first_date, last_date).filter(_error().isNull())
+    return rows.select(*KEYS, "date", "n", "pos", rate("n", "pos").alias("rate"), "next_cell", "y")
+
+
 def logit_sm_usage(features: DataFrame, first_date: str, last_date: str) -> DataFrame:
     """The same without penalty and intercept, at most 35 steps."""
     return logit_usage(features, first_date, last_date, 0.0, False, 35)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from loadshift.config import Config
 from loadshift.functions.metrics import array_metric
-from loadshift.operators import backtest, hourly, impute, models, rates, recommend, runs, score
+from loadshift.operators import backtest, hour_cells, hourly, impute, models, rates, recommend, runs, score
 from loadshift.operators.features import activity_features, load_input, usage_features, usage_group
 from loadshift.operators.prices import horizons
 from loadshift.sources import store
@@ -118,7 +118,11 @@ def predict(
         return Predicted(activity.filter(dates), usage.filter(dates), load)
     span = {"train_days": config.activity_train_days, "floor": config.train_floor} if config else {}
     active, used = [*models.ACTIVITY_FEATURES, *weather], [*models.USAGE_FEATURES, *weather]
-    activity = models.activity_walk_forward(prepared.activity, model_type, first_date, last_date, features=active, **span, **args)
+    if model_type in ("logit", "logit_sm") and not weather and not args:
+        fit = hour_cells.logit_activity if model_type == "logit" else hour_cells.logit_sm_activity
+        activity = fit(prepared.activity, first_date, last_date, **span)
+    else:
+        activity = models.activity_walk_forward(prepared.activity, model_type, first_date, last_date, features=active, **span, **args)
     usage = models.usage_walk_forward(prepared.usage, model_type, first_date, last_date, features=used, **args)
     return Predicted(probability_arrays(activity), usage, load)
 
