@@ -9,15 +9,8 @@ HOUR_CAST = "CAST(best_launch_hour AS INTEGER) AS best_launch_hour"
 INDEX = "strftime(date + 1, '%Y-%m-%d') || '_' || device AS index"
 OFFS48 = "(SELECT CAST(unnest(range(48)) AS INTEGER) AS offs) o"
 BEST = "SELECT household_id, device, date, arg_min(hour, (round(cost, 9), hour)) FILTER (cost IS NOT NULL) AS hour FROM cost GROUP BY ALL"
-SUMMARY = ", ".join(
-    [
-        "n_recommendations",
-        r6("acceptable"),
-        r6("total_savings"),
-        r6("relative_savings_mean"),
-        r6("relative_savings_median"),
-    ]
-)
+ADDED = ", ".join(["n_recommendations", r6("acceptable"), r6("total_savings"), r6("relative_savings_mean")])
+SUMMARY = ", ".join([ADDED, r6("relative_savings_median")])
 WHEN = "strftime(date + 1, '%d.%m.%Y')"
 AT = "printf('%02d:00', best_launch_hour)"
 
@@ -136,6 +129,12 @@ SQL = {
         """SELECT household_id, b.a AS activity_threshold, b.u AS usage_threshold FROM (
         SELECT household_id, arg_max({'a': a, 'u': u}, (round(total_savings, 6), a, u)) AS b FROM summ GROUP BY 1)"""
     ),
+    "t2_fine_thresholds": with_(
+        f"""SELECT household_id, a AS activity_threshold, u AS usage_threshold, {ADDED} FROM (
+        SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY round(total_savings, 6) DESC, a DESC, u DESC) AS r FROM summ) WHERE r = 1""",
+        athr="SELECT unnest(range(1, 64)) / 64 AS a",
+        uthr="SELECT unnest(range(1, 64)) / 64 AS u",
+    ),
     "t3_optimal_result": with_(
         f"""SELECT household_id, a AS activity_threshold, u AS usage_threshold, {SUMMARY} FROM (
         SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY round(total_savings, 6) DESC, a DESC, u DESC) AS r FROM summ) WHERE r = 1"""

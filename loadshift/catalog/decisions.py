@@ -9,7 +9,7 @@ from loadshift import fixtures as fx
 from loadshift.catalog.features import CONFIG, activity_table, load_table, prepared, usage_table
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
 from loadshift.config import eighths
-from loadshift.operators import backtest, clean, rates, recommend
+from loadshift.operators import backtest, clean, rates, recommend, sweep
 from loadshift.operators.joins import join_reference
 from loadshift.operators.prices import dense_prices, fill_from_previous_days, horizons, price_grid, shifted_prices
 from loadshift.plans import stages
@@ -65,10 +65,6 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
     return backtest.evaluate_grid(evaluation_inputs(spark, sf), eighths(), eighths())
 
 
-def summary(spark: SparkSession, sf: str) -> DataFrame:
-    return backtest.summarise(results(spark, sf))
-
-
 def _show(table: DataFrame) -> DataFrame:
     return table.select(
         "index",
@@ -323,17 +319,29 @@ def r13_a17_grid_search(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def a23_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
     """Total savings as a matrix: activity thresholds down, usage thresholds across."""
-    out = backtest.sensitivity(summary(spark, sf), "total_savings", eighths())
+    swept = sweep.sweep(evaluation_inputs(spark, sf), eighths(), eighths())
+    out = backtest.sensitivity(swept, "total_savings", eighths())
     cols = [r6(F.col(f"`{u}`"), f"u{i + 1}") for i, u in enumerate(eighths())]
     return out.select("household_id", "activity_threshold", *cols)
 
 
 @query
 def t2_optimal_thresholds(spark: SparkSession, sf: str) -> DataFrame:
-    return backtest.optimal_thresholds(summary(spark, sf))
+    return backtest.optimal_thresholds(sweep.sweep(evaluation_inputs(spark, sf), eighths(), eighths()))
+
+
+@query
+def t2_fine_thresholds(spark: SparkSession, sf: str) -> DataFrame:
+    """The best of 3,969 threshold pairs, and what it saves."""
+    fine = [i / 64 for i in range(1, 64)]
+    out = backtest.optimal_result(sweep.sweep(evaluation_inputs(spark, sf), fine, fine))
+    return out.select("household_id", *backtest.PAIR, big("n_recommendations"), *[r6(c) for c in SUMMARY[:3]])
 
 
 @query
 def t3_optimal_result(spark: SparkSession, sf: str) -> DataFrame:
-    out = backtest.optimal_result(summary(spark, sf))
+    """The whole summary of the best pair, evaluated once more for that pair alone."""
+    rows = write_once(evaluation_inputs(spark, sf), "evaluation")
+    best = backtest.optimal_thresholds(sweep.sweep(rows, eighths(), eighths()))
+    out = sweep.summary_at(rows, best)
     return out.select("household_id", *backtest.PAIR, big("n_recommendations"), *[r6(c) for c in SUMMARY])

@@ -86,8 +86,8 @@ def _run_load(start: str) -> str:
     return f"coalesce(get(filter(starts, s -> s.hour = {start}), 0).load, array_repeat(0D, 24))"
 
 
-def evaluate(recs: DataFrame) -> DataFrame:
-    """recs: inputs of ``evaluation_inputs`` plus recommendation -> acceptability, costs and savings."""
+def evaluate(recs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """recs: inputs of ``evaluation_inputs`` plus recommendation -> acceptability, costs and savings; ``keep`` names columns that stay."""
     priced = (
         recs.select(
             "*",
@@ -105,7 +105,7 @@ def evaluate(recs: DataFrame) -> DataFrame:
     relative = F.when(F.col("cost_no_recommendation") != 0, savings / F.col("cost_no_recommendation"))
     return priced.select(
         *KEYS,
-        *[c for c in [*PAIR, "usage_p", "without"] if c in priced.columns],
+        *[c for c in [*PAIR, "usage_p", "without", *keep] if c in priced.columns],
         *RESULT[:5],
         savings.alias("savings"),
         relative.alias("relative_savings"),

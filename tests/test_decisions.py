@@ -1,11 +1,12 @@
 """Prices, recommendations, back-test and reference joins."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from loadshift.operators import backtest, joins, recommend
+from loadshift.operators import backtest, joins, recommend, sweep
 from loadshift.operators.prices import horizons
 from loadshift.sources import prices as price_source
 
@@ -149,3 +150,64 @@ def test_sentence_of_missing_recommendation(spark, saved):
     df = spark.sql("SELECT 'Washer' AS friendly_name, CAST(NULL AS INT) AS recommendation, 3 AS best_launch_hour, DATE'2024-03-01' AS recommendation_date")
     row = df.select(recommend.savings_sentence(F.lit(saved)).alias("t"), recommend.device_sentence().alias("d")).first()
     assert row.t == "There is no recommendation for the device Washer ." and row.d is None
+
+
+GRID_ROW = """household_id int, device string, date date, costs array<double>, probs array<double>, usage_p double, prices array<double>,
+    usage_true int, activity_true array<int>, starts array<struct<hour:int,load:array<double>>>"""
+
+
+def random_rows(seed, n=60):
+    rng = random.Random(seed)
+
+    def some(make, share=0.1):
+        return None if rng.random() < share else make()
+
+    def one(i):
+        level = rng.choice([4, 24])  # four levels give many equal probabilities and thresholds that hit them
+        starts = sorted(rng.sample(range(24), rng.randint(1, 3)))
+        return (
+            rng.choice([1, 2, 2, 2]), f"d{i % 3}", date(2024, 3, 1) + timedelta(days=i),
+            some(lambda: [some(lambda: float(rng.randint(0, 9)), 0.05) for _ in range(24)]),
+            some(lambda: [some(lambda: rng.randint(0, level) / level, 0.05) for _ in range(24)]),
+            some(lambda: rng.randint(0, 4) / 4),
+            [float(rng.randint(-3, 9)) for _ in range(48)], some(lambda: rng.randint(0, 1)),
+            some(lambda: [some(lambda: rng.randint(0, 1)) for _ in range(24)]),
+            some(lambda: [(h, [rng.random() for _ in range(24)]) for h in starts]),
+        )
+
+    return [one(i) for i in range(n)]
+
+
+def test_sweep_equals_grid(spark):
+    """Nulls in every input, equal probabilities, thresholds on them, unsorted and repeated ones; a household that recommends nothing."""
+    silent = (3, "a", date(2024, 3, 1), None, None, None, [1.0] * 48, None, None, None)
+    df = spark.createDataFrame([*random_rows(5), silent], GRID_ROW)
+    activity, usage = [0.75, 0.0, 0.25, 0.3, 1.0, 0.25, 2.0], [1.0, 0.1, 0.5, 1.5]
+    got = {(r.household_id, r.activity_threshold, r.usage_threshold): r for r in sweep.sweep(df, activity, usage).collect()}
+    want = backtest.grid_search(df, sorted(set(activity)), usage).collect()
+    assert len(got) == len(want) == 3 * 6 * 4
+    assert any(r.n_recommendations for r in want) and any(r.total_savings for r in want)
+    for r in want:
+        g = got[(r.household_id, r.activity_threshold, r.usage_threshold)]
+        assert g.n_recommendations == r.n_recommendations
+        for c in ("acceptable", "total_savings", "relative_savings_mean"):
+            assert g[c] == (None if r[c] is None else pytest.approx(r[c], abs=1e-9)), c
+    assert sweep.sweep(df.limit(0), activity, usage).count() == 0
+    with pytest.raises(ValueError):
+        sweep.sweep(df, [], usage)
+
+
+def test_sweep_rows_do_not_follow_the_pairs(spark):
+    """10,000 pairs send no more rows than the 24 probabilities allow, and repeated thresholds change nothing."""
+    df = spark.createDataFrame(random_rows(6), GRID_ROW)
+    fine = [i / 100 for i in range(1, 101)]
+    assert sweep.stretches(df, fine, fine).count() <= 25 * df.count()
+    assert sweep.corners(df, fine, fine).count() <= 48 * df.count() + 2
+    swept = sweep.sweep(df, fine, fine)
+    assert swept.count() == 2 * 10_000
+    best = backtest.optimal_thresholds(swept)
+    whole = {r.household_id: r for r in sweep.summary_at(df, best).collect()}
+    for r in backtest.optimal_result(swept).collect():
+        w = whole[r.household_id]
+        assert (w.n_recommendations, w.activity_threshold, w.usage_threshold) == (r.n_recommendations, r.activity_threshold, r.usage_threshold)
+        assert w.total_savings == pytest.approx(r.total_savings, abs=1e-9)
