@@ -191,6 +191,60 @@ def test_rules_are_filed_under_their_rarest_token(spark):
     assert filed == {"net/x/": "x" if "x" in rules[0].literals else "net", "any": ""}
 
 
+def test_required_tokens():
+    cases = {
+        r"^(?:[^/]*\.)?ads\.example\.com/": ["com", "example"], r"^ads\.Example\.com/x": ["ads", "com", "example"], r"(^|\.)bad\.net/": ["net"],
+        r"[.-]pills[.-]": ["pills"], r"pills": [], r"/a+/b": [], r"/a/b$": ["a", "b"], r"/a|/b/c/": [], r"/(track)er/x/": ["tracker", "x"], r"/(?=x)y/": [],
+        r"/\Qads\E/": [], r"\p{L}/ads/": [], "": [], "(": [], r"\bads\b": [], r"/ads_1/": ["1", "ads"], r".[.[^-]]ads/": [], r"/x{2}/y/": ["y"],
+    }
+    for pattern, want in cases.items():
+        assert url_rules.required_tokens(pattern) == want, pattern
+
+
+def test_required_tokens_are_held_by_every_match():
+    import random
+    import re
+
+    rng = random.Random(4)
+    words, between = ["ads", "x1", "a", "a+", "(b)", "(?:a|b)", "(x)?", "[a-c]", "."], ["", "", "/", "/", "\\.", "[./]", "^", "$", "(/)", "."]
+    texts = ["".join(rng.choice(["ads", "x1", "a", "b", "/", "/", "."]) for _ in range(rng.randint(0, 7))) for _ in range(2000)]
+    hits = 0
+    for _ in range(1500):
+        pattern = "".join(rng.choice(between) + rng.choice(words) for _ in range(rng.randint(1, 3))) + rng.choice(between)
+        needed = set(url_rules.required_tokens(pattern))
+        for t in texts if needed else ():
+            if re.search(pattern, t):
+                hits += 1
+                assert needed <= set(re.split(url_rules.TOKEN, t)), (pattern, t)
+    assert hits > 1000
+
+
+def test_many_rules_from_tables(spark):
+    """100,000 path rules and 1,000 patterns: verdicts as by hand, and few rules fetched for each URL."""
+    from pyspark.sql import functions as F
+
+    paths = spark.range(100_000, numPartitions=8).selectExpr("concat('site', id, '.example', id % 7, IF(id % 2 = 0, '.com/', '.org/'), IF(id % 3 = 0, 'en/', '')) AS name", "IF(id % 5 = 0, 'allow', 'block') AS verdict")
+    odd = spark.createDataFrame([("noslash", "block"), (None, "block"), ("example3.com/", "block"), ("site12.example5.com/en/", "allow")], "name string, verdict string")
+    patterns = spark.range(1000).selectExpr("concat('t', id) AS name", "concat('/track', id, '/') AS pattern").unionByName(spark.createDataFrame([("digits", "/[0-9]{6}$"), (None, "."), ("none", None)], "name string, pattern string"))
+    rules = url_rules.path_rule_table(paths.unionByName(odd)).unionByName(url_rules.pattern_table(patterns))
+    urls = {
+        "https://site12.example5.com/en/a": ("site12.example5.com/en/", "block", []), "https://www.site10.example3.com/x": ("site10.example3.com/", "allow", []),
+        "https://site7.example0.org/": ("site7.example0.org/", "block", []), "https://new.example3.com/": ("example3.com/", "block", []), "https://else.net/track77/a": (None, "block", ["t77"]),
+        "https://else.net/a/123456": (None, "block", ["digits"]), "https://else.net/track77": (None, "allow", []), "https://site12.example5.com/de/": (None, "allow", []), None: (None, "allow", []),
+    }
+    # The rule for site12 is given both ways, so its verdict is the larger word.
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    for r in url_rules.judge(pages, rules).collect():
+        assert (r.rule, r.verdict, r.blocked_by) == urls[r.url], r.url
+    places = pages.select(url_rules.host_of(F.col("url")).alias("host"), url_rules.path_of(F.col("url")).alias("path"))
+    places = places.withColumn("tokens", url_rules.tokens(F.col("host"), F.col("path")))
+    filed = url_rules.file_rules(rules, places)
+    assert filed.count() == 100_000 + 1 + 1 + 1001
+    fetched = url_rules.fetch(places, filed).groupBy("host", "path").count()
+    assert fetched.agg(F.max("count")).first()[0] <= 8
+    assert url_rules.judge(pages, rules.limit(0)).filter("verdict <> 'allow' OR rule IS NOT NULL").count() == 0
+
+
 # ---- op 8
 
 
