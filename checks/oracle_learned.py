@@ -189,6 +189,7 @@ SQL = {
         f"""SELECT household_id, device AS entity_id, {ts("hour_ts")}, {r6("sum(v)", "value_sum")}, count(*) AS n FROM load_rows
         GROUP BY household_id, device, load_rows.hour_ts"""
     ),
+    "stream_hourly_load": with_(f"SELECT household_id, device, {ts('hour_ts')}, {r6('value')} FROM ld"),
     "stream_hourly_sums": with_(
         f"""SELECT household_id, device AS entity_id, {ts("hour_ts")}, {r6("sum(v)", "value_sum")}, count(*) AS n FROM load_rows
         WHERE hour_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM load_rows) - INTERVAL 2 HOUR GROUP BY household_id, device, load_rows.hour_ts"""

@@ -14,11 +14,13 @@ from loadshift.catalog.features import CONFIG, activity_table, load_table, prepa
 from loadshift.catalog.registry import big, day, integer, query, r6, ts
 from loadshift.functions.metrics import largest_error
 from loadshift.operators import cells, explain, hour_cells, impute, models, rates, recommend, score
+from loadshift.operators.features import load_input
 from loadshift.operators.learners import LEARNERS
 from loadshift.operators.models import ACTIVITY_FEATURES, USAGE_FEATURES
 from loadshift.plans import stages
 from loadshift.session import scratch_dir, write_once
 from loadshift.sources.weather import daily as weather_daily
+from loadshift.streaming import load as load_stream
 from loadshift.streaming.hourly import closing_sums, completed, hourly_sums
 
 WEATHER = list(fx.WEATHER_SOURCE)
@@ -538,11 +540,13 @@ def t7_weather_clause(spark: SparkSession, sf: str) -> DataFrame:
 # streaming ----------------------------------------------------------------------------------------
 
 
-def _streamed(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed hours of the event stream, appended to files as the watermark passes them."""
+def _state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.states_of(spark.readStream.schema(fx.EVENTS).parquet(f"{sf}/events*.parquet"))
+
+
+def _streamed(spark: SparkSession, out: DataFrame) -> DataFrame:
+    """What a stream gives until it has read its input, appended to files as the watermark passes."""
     path = scratch_dir(spark)
-    events = spark.readStream.schema(fx.EVENTS).parquet(f"{sf}/events*.parquet")
-    out = hourly_sums(fx.states_of(events), fx.SHIFTABLE)
     job = (
         out.writeStream.format("parquet")
         .outputMode("append")
@@ -558,12 +562,22 @@ def _streamed(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_hourly_sums(spark: SparkSession, sf: str) -> DataFrame:
     """The hours that the stream closes."""
-    return _streamed(spark, sf).select("household_id", "entity_id", ts("hour_ts"), r6("value_sum"), big("n"))
+    hours = _streamed(spark, hourly_sums(_state_stream(spark, sf), fx.SHIFTABLE))
+    return hours.select("household_id", "entity_id", ts("hour_ts"), r6("value_sum"), big("n"))
 
 
 @query
 def stream_completed_hours(spark: SparkSession, sf: str) -> DataFrame:
     """The same with the batch step that adds open hours and late events."""
-    closed = _streamed(spark, sf)
+    closed = _streamed(spark, hourly_sums(_state_stream(spark, sf), fx.SHIFTABLE))
     out = completed(closed, closing_sums(fx.states(spark, sf), fx.SHIFTABLE, closed))
     return out.select("household_id", "entity_id", ts("hour_ts"), r6("value_sum"), big("n"))
+
+
+@query
+def stream_hourly_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The gap-free hourly means from the hours that the stream closes and the batch step after it."""
+    closed = _streamed(spark, load_stream.closed_hours(fx.readings_of(_state_stream(spark, sf), spark, sf), fx.SHIFTABLE))
+    closing = load_stream.closing_hours(fx.readings(spark, sf), fx.SHIFTABLE, closed)
+    out = load_input(None, fx.SHIFTABLE, fx.THRESHOLD, means=load_stream.means(closed, closing, fx.SHIFTABLE))
+    return out.select("household_id", "device", ts("hour_ts"), r6("value"))

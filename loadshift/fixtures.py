@@ -90,7 +90,12 @@ def state_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States joined with their unpacked attributes: the input of every feature table."""
-    return join_attributes(states(spark, sf_dir), unpack_attributes(state_attributes(spark, sf_dir)))
+    return readings_of(states(spark, sf_dir), spark, sf_dir)
+
+
+def readings_of(some_states: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for given states, which may be a stream."""
+    return join_attributes(some_states, unpack_attributes(state_attributes(spark, sf_dir)))
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:

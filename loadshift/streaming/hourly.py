@@ -39,6 +39,5 @@ def closing_sums(states: DataFrame, devices: list[str], closed: DataFrame) -> Da
     return full.join(seen, keys, "left").filter(~F.col("n").eqNullSafe(F.col("_seen"))).drop("_seen")
 
 
-def completed(closed: DataFrame, closing: DataFrame) -> DataFrame:
-    keys = ["household_id", "entity_id", "hour_ts"]
-    return closed.join(closing.select(*keys), keys, "left_anti").unionByName(closing)
+def completed(closed: DataFrame, closing: DataFrame, keys: tuple[str, ...] = ("household_id", "entity_id", "hour_ts")) -> DataFrame:
+    return closed.join(closing.select(*keys), list(keys), "left_anti").unionByName(closing)
