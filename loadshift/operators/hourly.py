@@ -7,6 +7,8 @@ map-side sums. Only the hourly table, bounded by the clock, is ever laid out by
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,14 +142,16 @@ def inline_devices(columns: list[str], devices: list[str], name: str) -> Column:
 
 
 def resample_mean(df: DataFrame, keys: list[str], ts: str, columns: list[str], period: str) -> DataFrame:
-    """Mean per period; empty periods are NULL rows.
+    """Mean per period, a whole number of seconds; empty periods are NULL rows.
 
     Bins are numbered by whole periods since midnight of the key's first day, so any period works,
     not only divisors of a day.
     """
-    seconds = F.lit(_seconds(period))
-    # Whole minutes first: a hot key shrinks to clock size before its rows meet in one window.
-    per_minute = df.groupBy(*keys, F.date_trunc("minute", ts).alias("minute")).agg(
+    length = period_seconds(period)
+    seconds = F.lit(length)
+    # Whole minutes (or seconds) first: a hot key shrinks to clock size before its rows meet in one window.
+    unit = "second" if length % 60 else "minute"
+    per_minute = df.groupBy(*keys, F.date_trunc(unit, ts).alias("minute")).agg(
         *[F.sum(c).alias(f"sum_{c}") for c in columns], *[F.count(c).alias(f"n_{c}") for c in columns]
     )
     origin = F.date_trunc("day", F.min("minute").over(Window.partitionBy(*keys)))
@@ -169,10 +173,17 @@ def resample_mean(df: DataFrame, keys: list[str], ts: str, columns: list[str], p
     )
 
 
-def _seconds(period: str) -> int:
-    """'60T', '24H', '1D', '7T' to seconds."""
-    unit = {"T": 60, "H": 3600, "D": 86400}[period[-1].upper()]
-    return int(period[:-1]) * unit
+#: Seconds of the units of a period, fixed.
+UNIT_SECONDS = {"S": 1, "SEC": 1, "T": 60, "MIN": 60, "H": 3600, "D": 86400, "W": 604800}
+
+
+def period_seconds(period: str) -> int:
+    """'30S', '7T', '7min', '24H', '1D', 'H' to seconds."""
+    parts = re.fullmatch(r"\s*(\d*)\s*([A-Za-z]+)\s*", period)
+    unit = UNIT_SECONDS.get(parts[2].upper()) if parts else None
+    if unit is None or parts[1] and int(parts[1]) == 0:
+        raise ValueError(f"not a period of whole seconds: {period!r}")
+    return int(parts[1] or 1) * unit
 
 
 def pivot_devices(rows: DataFrame, devices: list[str], value: Column, fill: float | None = 0.0) -> DataFrame:

@@ -73,6 +73,18 @@ def test_resample_counts_bins_from_midnight(spark):
     assert [(r.last_updated_ts.minute, r.v) for r in out.collect()] == [(0, 4.0), (7, 4.0), (14, None), (21, 4.0)]
 
 
+def test_resample_below_a_minute_and_across_days(spark):
+    df = states(spark, [(1, "a", v, T0 + timedelta(seconds=s), "W") for s, v in ((20, "1"), (29, "3"), (46, "5"), (90, "7"))])
+    df = df.withColumn("v", F.col("state").cast("double"))
+    out = hourly.resample_mean(df, ["household_id"], "last_updated_ts", ["v"], "15S").orderBy("last_updated_ts")
+    assert [((r.last_updated_ts - T0).total_seconds(), r.v) for r in out.collect()] == [(15, 2.0), (30, None), (45, 5.0), (60, None), (75, None), (90, 7.0)]
+    lengths = {"30S": 30, "90s": 90, "7T": 420, "7min": 420, "24H": 86400, "h": 3600, "1D": 86400, "2W": 1209600}
+    assert {p: hourly.period_seconds(p) for p in lengths} == lengths
+    for bad in ("", "7", "0T", "1M", "x"):
+        with pytest.raises(ValueError):
+            hourly.period_seconds(bad)
+
+
 def test_run_in_first_row_keeps_one_hour(spark):
     assert run_list(load(spark, [5, 6, 0, 7, 8, 0])) == [(0, 0, 5.0), (3, 0, 7.0), (3, 1, 8.0)]
 
