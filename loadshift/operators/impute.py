@@ -11,37 +11,41 @@ from loadshift.operators.clean import all_null_columns
 from loadshift.operators.joins import join_reference
 
 
-def knn_impute(df: DataFrame, key: str, ts: str, columns: list[str], n_neighbors: int = 7) -> DataFrame:
+def knn_impute(df: DataFrame, key: str, ts: str, columns: list[str], n_neighbors: int = 7, chunks: int = 1) -> DataFrame:
     """Fill gaps with the inverse-distance mean of the nearest rows that have the value; ties: the earlier row.
 
     Distances use the columns present in both rows, scaled up to all columns; neighbours at distance 0 alone decide; a row that shares no
     column with any donor takes the column mean, one of a column without any value stays empty. A station's hours, bounded by the clock,
-    are one group, sent once. Rows without gaps pass by it unchanged.
+    are one group, sent once; with ``chunks`` its rows with gaps are spread over so many tasks, each of which gets the whole station.
+    Rows without gaps pass by unchanged.
     """
     names = ", ".join(f"`{c}` double" for c in columns)
     schema = f"`{key}` {_type(df, key)}, `{ts}` {_type(df, ts)}, {names}"
     rows = df.select(key, ts, *columns)
     gap = " OR ".join(f"`{c}` IS NULL" for c in columns)
 
+    copies = "0 AS _chunk" if chunks == 1 else f"explode(sequence(0, {chunks - 1})) AS _chunk"
+    spread = rows.selectExpr("*", copies).selectExpr("*", f"({gap}) AND _chunk = pmod(xxhash64(`{ts}`), {chunks}) AS _fill")
+
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ts, kind="stable")
-        D = pdf[columns].to_numpy(dtype=float)
-        wanted = np.isnan(D).any(axis=1)
-        filled = pd.DataFrame(fill_gaps(D, n_neighbors)[wanted], columns=columns)
+        D, wanted = pdf[columns].to_numpy(dtype=float), pdf["_fill"].to_numpy(dtype=bool)
+        filled = pd.DataFrame(fill_gaps(D, n_neighbors, wanted)[wanted], columns=columns)
         return filled.assign(**{c: pdf.loc[wanted, c].to_numpy() for c in (key, ts)})[[key, ts, *columns]]
 
-    filled = rows.groupBy(key).applyInPandas(fill, schema)
+    filled = spread.groupBy(key, "_chunk").applyInPandas(fill, schema)
     return rows.filter(f"NOT ({gap})").unionByName(filled)
 
 
-def fill_gaps(D: np.ndarray, k: int) -> np.ndarray:
-    """The table with its gaps (NaN) filled. Rows are grouped by which columns they have; each pair of such groups shares the same
+def fill_gaps(D: np.ndarray, k: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """The table with its gaps (NaN) filled, or those of the wanted rows. Rows are grouped by which columns they have; each pair of such groups shares the same
     columns, so its distances obey the triangle inequality and ``nearest`` need not look at all of them."""
     present, out, width = ~np.isnan(D), D.copy(), D.shape[1]
     patterns, of = np.unique(present, axis=0, return_inverse=True)
     members = [np.flatnonzero(of.ravel() == p) for p in range(len(patterns))]
     for have, ask in zip(patterns, members):
-        if have.all():
+        ask = ask if wanted is None else ask[wanted[ask]]
+        if have.all() or not len(ask):
             continue
         found = {}
         for p, (donor, give) in enumerate(zip(patterns, members)):
