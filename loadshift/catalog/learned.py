@@ -40,16 +40,17 @@ def _usage_rated(spark: SparkSession, sf: str, table: DataFrame | None = None) -
 
 
 CELL_MODELS = {"logit": cells.logit_usage, "logit_sm": cells.logit_sm_usage, "knn": cells.knn_usage}
+COUNT_FITS = {"ada": cells.ada, "xgboost": cells.xgboost, "ebm": cells.ebm, "random forest": cells.random_forest}
 
 
-def _usage_model(spark: SparkSession, sf: str, model_type: str, first: str | None = None, **args) -> DataFrame:
-    """Models of running counts where there are any, one fit per household, device and date otherwise."""
+def _usage_model(spark: SparkSession, sf: str, model_type: str, first: str | None = None) -> DataFrame:
+    """Models of running counts, one fit per household, device and date."""
     table = usage_table(spark, sf)
     dates = (first or window(spark, sf)[0], window(spark, sf)[1])
     if model_type in CELL_MODELS:
         out = CELL_MODELS[model_type](table, *dates)
     else:
-        out = models.usage_walk_forward(table, model_type, *dates, **args)
+        out = cells.usage_of_counts(table, *dates, COUNT_FITS[model_type])
     return out.select(*KEYS, day("date"), day("day"), "y", r6("p"), "error")
 
 
@@ -87,7 +88,7 @@ def m4_knn_usage(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def m5_random_forest_usage(spark: SparkSession, sf: str) -> DataFrame:
-    return _usage_model(spark, sf, "random forest", chunks=2)
+    return _usage_model(spark, sf, "random forest")
 
 
 @query

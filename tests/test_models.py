@@ -241,3 +241,19 @@ def test_prices_follow_the_zone(spark):
     horizon = spark.createDataFrame([("Z1", "2024-01-01", [1.0] * 48), ("Z2", "2024-01-01", [2.0] * 48)], "zone string, date string, prices array<double>")
     got = {r.household_id: r.costs and r.costs[0] for r in recommend.with_costs(profiles, homes, horizon).collect()}
     assert set(got) == {1, 2, 3} and got[2] == pytest.approx(2 * got[1]) and got[3] is None
+
+
+def test_fits_solved_together_equal_one_fit_per_date(spark):
+    """Of rows with gaps and a household that starts late, whose first day has no training rows."""
+    from loadshift.operators import cells
+
+    days = usage_rows(spark, 24).filter("day <> date'2024-01-09' AND (household_id = 1 OR day > date'2024-01-06')")
+    for name, fit in (("ada", cells.ada), ("xgboost", cells.xgboost), ("ebm", cells.ebm), ("random forest", cells.random_forest)):
+        got = cells.usage_of_counts(days, "2024-01-02", "2024-01-20", fit).collect()
+        want = models.usage_walk_forward(days, name, "2024-01-02", "2024-01-20").collect()
+        values = {(r.household_id, r.device, r.day): (r.date, r.y, r.error, r.p) for r in got}
+        assert len(got) == len(want) == len(values)
+        for r in want:
+            found = values[r.household_id, r.device, r.day]
+            assert found[:3] == (r.date, r.y, r.error)
+            assert found[3] == pytest.approx(r.p, abs=1e-9) if r.p is not None else found[3] is None
