@@ -10,6 +10,7 @@ from loadshift.catalog.registry import big, day, integer, query, r6, ts
 from loadshift.functions.expressions import MONTH_NAMES, dummies, number, safe_name, safe_name_spaced, time_features
 from loadshift.operators import clean, hourly
 from loadshift.operators.features import load_input
+from loadshift.operators.models import spread
 from loadshift.session import scratch_dir
 from loadshift.sources import configs, households, prices, states, store, weather
 
@@ -43,6 +44,7 @@ def s2_reading_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _write_household_csv(spark: SparkSession, sf: str) -> str:
+    """House files: the rows of a house go to one task and file, unless they are many, so that files grow with the houses only."""
     path = scratch_dir(spark)
     value = [
         F.sum(F.when(F.col("event_type") == d, F.col("value"))).alias(f"Appliance{i}")
@@ -57,25 +59,28 @@ def _write_household_csv(spark: SparkSession, sf: str) -> str:
         .withColumn("Issues", F.lit(0))
     )
     file = F.format_string("CLEAN_House%d.csv", "h").alias("file")
-    wide.select(file, "*").drop("h").write.partitionBy("file").csv(path, header=True)
+    wide.select(file, "*").drop("h").hint("rebalance", F.col("file")).write.partitionBy("file").csv(path, header=True)
+    return path
+
+
+def _write_labels(spark: SparkSession, sf: str) -> str:
+    path = scratch_dir(spark)
     entries = ", ".join(f"{i}.{d} meter" for i, d in enumerate(fx.ACTIVE))
     section = F.format_string("notes\n\nHouse %d\n\t" + entries + "\n\t5.spare, 6.spare\n", "household_id")
-    fx.states(spark, sf).select("household_id").distinct().select(section).write.text(f"{path}/labels")
+    fx.states(spark, sf).select("household_id").distinct().select(section).write.text(path)
     return path
 
 
 @query
 def s3_household_csv(spark: SparkSession, sf: str) -> DataFrame:
     """House files and their label text, read back in long form with the house's labels."""
-    path = _write_household_csv(spark, sf)
-    long = households.load_household(spark, path, f"{path}/labels").filter(F.col("value").isNotNull())
+    long = households.load_household(spark, _write_household_csv(spark, sf), _write_labels(spark, sf)).filter(F.col("value").isNotNull())
     return long.select("household_id", ts("Time", "time"), "device", r6("value"))
 
 
 @query
 def s3_label_map(spark: SparkSession, sf: str) -> DataFrame:
-    path = _write_household_csv(spark, sf)
-    return households.read_labels(spark, f"{path}/labels").select("household_id", "appliance", "label")
+    return households.read_labels(spark, _write_labels(spark, sf)).select("household_id", "appliance", "label")
 
 
 @query
@@ -128,11 +133,13 @@ def _write_configs(spark: SparkSession, sf: str) -> str:
         F.lit(fx.THRESHOLD).alias("threshold"),
     )
     rows = fx.states(spark, sf).select("household_id").distinct()
-    rows.select(
+    files = rows.select(
         F.format_string("%d_knn_config.json", h).alias("file"),
         F.struct(h.alias("household")).alias("data"),
         user.alias("user_input"),
-    ).write.partitionBy("file").json(path)
+    )
+    # Files cost time, not bytes: few bytes must not become few tasks.
+    spread(files, ["file"]).write.partitionBy("file").json(path)
     return path
 
 
