@@ -128,6 +128,83 @@ def _grow(B, of_feature, g, h, depth, ridge=0.0, min_child=0.0, n_features=None,
     return split.reshape(n_trees, size), value.reshape(n_trees, size)
 
 
+def _grow_counts(V, n_cuts, p, n, depth, n_features, rng):
+    """``_grow`` for whole-numbered weights (positives p, rows n) with ``n_features`` random features a node, without ridge.
+
+    V holds for each row and feature how many of the feature's ``n_cuts`` thresholds lie below the value. Only the drawn features of a node
+    are added up, by node or, where a feature has many thresholds, by node and value; sums of whole numbers do not depend on the order.
+    Nodes of one class are leaves.
+    """
+    n_trees, size = len(n), 2 ** (depth + 1) - 1
+    split, value = np.full(n_trees * size, -1), np.zeros(n_trees * size)
+    offset, n_ranked = np.concatenate([[0], np.cumsum(n_cuts)]), np.flatnonzero(n_cuts)[-1] + 1 if n_cuts.any() else 0
+    node, row = np.nonzero(n)
+    g, h = p[node, row], n[node, row]
+    ids = np.arange(n_trees) * size
+    G, H = p.sum(axis=1), n.sum(axis=1)
+    for level in range(depth + 1):
+        if len(ids) == 0:
+            break
+        value[ids] = G / H
+        if level == depth or not n_ranked:
+            break
+        drawn = rng.random((len(ids), n_ranked))
+        if n_ranked > n_features:
+            drawn = np.sort(np.argpartition(drawn, n_features - 1, axis=1)[:, :n_features], axis=1)
+        else:
+            drawn = np.broadcast_to(np.arange(n_ranked), drawn.shape)
+        mixed = (G > 0) & (G < H)
+        live = mixed[node]
+        node, row, g, h = node[live], row[live], g[live], h[live]
+        best, chosen, GR, HR = np.full(len(ids), 1e-9), np.full(len(ids), -1), np.zeros(len(ids)), np.zeros(len(ids))
+
+        def try_cuts(at, columns, gr, hr):
+            """Nodes ``at`` with a row of right-hand sums for each, one per threshold from ``columns`` on."""
+            gl, hl = G[at, None] - gr, H[at, None] - hr
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = gl**2 / hl + gr**2 / hr - (G[at] ** 2 / H[at])[:, None]
+            gain = np.where((hl > 0) & (hr > 0), gain, -1.0)
+            first = gain.argmax(axis=1)
+            top = gain[np.arange(len(at)), first]
+            better = top > best[at]
+            at, first, row_of = at[better], first[better], np.flatnonzero(better)
+            best[at], chosen[at] = top[better], columns[better] + first
+            GR[at], HR[at] = gr[row_of, first], hr[row_of, first]
+
+        for slot in range(drawn.shape[1]):
+            feature = drawn[:, slot]
+            cuts = n_cuts[feature]
+            v = V[row, feature[node]]
+            at = np.flatnonzero(mixed & (cuts == 1))
+            if len(at):
+                gr, hr = (np.bincount(node, x * v, len(ids)) for x in (g, h))
+                try_cuts(at, offset[feature[at]], gr[at, None], hr[at, None])
+            for wide in np.flatnonzero(n_cuts > 1):
+                at = np.flatnonzero(mixed & (feature == wide))
+                if len(at):
+                    place = np.full(len(ids), -1)
+                    place[at] = np.arange(len(at))
+                    mine = place[node] >= 0
+                    key = place[node[mine]] * (n_cuts[wide] + 1) + v[mine]
+                    sums = (np.bincount(key, x[mine], len(at) * (n_cuts[wide] + 1)).reshape(len(at), -1) for x in (g, h))
+                    gr, hr = (x[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:] for x in sums)
+                    try_cuts(at, np.full(len(at), offset[wide]), gr, hr)
+        split[ids] = chosen
+        open_ = np.flatnonzero(chosen >= 0)
+        child = np.full(len(ids), -1)
+        child[open_] = 2 * np.arange(len(open_))
+        live = child[node] >= 0
+        node, row, g, h = node[live], row[live], g[live], h[live]
+        feature = np.searchsorted(offset, chosen, side="right") - 1
+        right = V[row, feature[node]] > (chosen - offset[feature])[node]
+        node = child[node] + right
+        tree = ids[open_] // size * size
+        ids = np.column_stack([tree + 2 * (ids[open_] - tree) + 1, tree + 2 * (ids[open_] - tree) + 2]).ravel()
+        G = np.column_stack([G[open_] - GR[open_], GR[open_]]).ravel()
+        H = np.column_stack([H[open_] - HR[open_], HR[open_]]).ravel()
+    return split.reshape(n_trees, size), value.reshape(n_trees, size)
+
+
 def _leaf_values(B, split, value):
     """One row of leaf values per tree."""
     n_trees, size = split.shape
@@ -150,14 +227,15 @@ def _design(X, bins=None):
 def random_forest(X, pos, neg, max_depth=10, n_estimators=500, max_features="sqrt", seed=0):
     rng = np.random.default_rng(seed)
     f, design = _design(X)
-    B = design(X)
+    n_cuts = np.bincount(f, minlength=X.shape[1])
+    V = np.column_stack([np.searchsorted(np.unique(x), x) for x in X.T])
     m = max(1, int(np.sqrt(X.shape[1]))) if max_features == "sqrt" else max_features
     weights = np.concatenate([pos, neg])
     draw = rng.multinomial(int(round(weights.sum())), weights / weights.sum(), n_estimators).astype(float)
     p, n = draw[:, : len(X)], draw[:, : len(X)] + draw[:, len(X) :]
     block = max(1, 20_000 // len(X))
     blocks = range(0, n_estimators, block)
-    trees = [_grow(B, f, p[i : i + block], n[i : i + block], max_depth, n_features=m, rng=rng) for i in blocks]
+    trees = [_grow_counts(V, n_cuts, p[i : i + block], n[i : i + block], max_depth, m, rng) for i in blocks]
 
     def score(Z):
         BZ = design(Z)

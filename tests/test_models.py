@@ -257,3 +257,19 @@ def test_fits_solved_together_equal_one_fit_per_date(spark):
             found = values[r.household_id, r.device, r.day]
             assert found[:3] == (r.date, r.y, r.error)
             assert found[3] == pytest.approx(r.p, abs=1e-9) if r.p is not None else found[3] is None
+
+
+def test_forest_by_node_sums_equals_the_dense_one(monkeypatch):
+    """The trees of ``_grow`` over all thresholds, from the same draws."""
+    rng = np.random.default_rng(7)
+    X = np.column_stack([np.tile(np.arange(24), 9), rng.normal(size=216).round(1), *(rng.random((3, 216)) < 0.3)]).astype(float)
+    y = (rng.random(216) < 0.3 + 0.3 * X[:, 2]).astype(float)
+    got = learners.fit(X, y, 1 - y, "random forest", n_estimators=60)(X)
+    f, design = learners._design(np.unique(X, axis=0))
+    B = design(np.unique(X, axis=0))
+
+    def dense(V, n_cuts, p, n, depth, n_features, rng):
+        return learners._grow(B, f, p, n, depth, n_features=n_features, rng=rng)
+
+    monkeypatch.setattr(learners, "_grow_counts", dense)
+    assert np.array_equal(got, learners.fit(X, y, 1 - y, "random forest", n_estimators=60)(X))
