@@ -513,7 +513,8 @@ def x4_lime_usage(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def e8_xai_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """How well the two explainers reproduce truth and predictions, per household and device."""
-    out = score.xai_metrics(explain.reconstruct(_usage_explained(spark, sf)), KEYS)
+    explained = explain.reconstruct(_usage_explained(spark, sf)).select(*KEYS, "y", "p", "lime", "shap")
+    out = score.xai_metrics(write_once(explained, "usage_explained"), KEYS)
     return out.select(*KEYS, *[r6(c) for c in out.columns[2:]])
 
 

@@ -122,11 +122,18 @@ def explain(
         return value[0], phi
 
     def lime(score, x, X, rng):
-        sample = np.column_stack([rng.choice(X[:, j], lime_samples) for j in range(n)])
-        sample[0] = x
+        known = [np.unique(X[:, j], return_inverse=True) for j in range(n)]
+        drawn = [rng.choice(place, lime_samples)[1:] for _, place in known]
+        count, shape = np.ones(lime_samples), [len(v) for v, _ in known]
+        if np.prod(shape, dtype=float) <= lime_samples:
+            # Few values: equal samples are one row with their number.
+            number = np.bincount(np.ravel_multi_index(drawn, shape))
+            drawn = np.unravel_index(np.flatnonzero(number), shape)
+            count = np.append(1.0, number[number > 0])
+        sample = np.vstack([x, np.column_stack([v[at] for (v, _), at in zip(known, drawn)])])
         same = (sample == x).astype(float)
-        kernel = np.exp(-(n - same.sum(axis=1)) / (0.75**2 * n)) ** 0.5
-        A = np.hstack([same, np.ones((lime_samples, 1))])
+        kernel = count * np.exp(-(n - same.sum(axis=1)) / (0.75**2 * n)) ** 0.5
+        A = np.hstack([same, np.ones((len(sample), 1))])
         ridge = np.diag([1.0] * n + [0.0])
         return np.linalg.solve((A * kernel[:, None]).T @ A + ridge, (A * kernel[:, None]).T @ score(sample)).sum()
 

@@ -273,3 +273,29 @@ def test_forest_by_node_sums_equals_the_dense_one(monkeypatch):
 
     monkeypatch.setattr(learners, "_grow_counts", dense)
     assert np.array_equal(got, learners.fit(X, y, 1 - y, "random forest", n_estimators=60)(X))
+
+
+def test_xai_metrics_read_stored_explanations(spark, sf):
+    """Their six aggregates fit and explain nothing again."""
+    from loadshift.catalog import learned
+
+    plan = learned.e8_xai_metrics(spark, sf)._jdf.queryExecution().logical().toString()
+    assert "FlatMapGroupsInPandas" not in plan
+
+
+def test_lime_with_merged_samples_equals_all_samples(spark):
+    """A LIME value from 5,000 sampled rows one by one."""
+    n, samples = 3, 5000
+    out = explain.explain(usage_rows(spark), ["household_id", "device"], models.USAGE_FEATURES, "usage", "day", "logit", "2024-01-15", "2024-01-15")
+    got = out.filter("household_id = 1").first()
+    pdf = usage_rows(spark).filter("household_id = 1").toPandas().sort_values("day")
+    X, y = pdf[models.USAGE_FEATURES].to_numpy(float), pdf["usage"].to_numpy(float)
+    train = slice(models.LEAD_DAYS, 15)
+    score, rng, x = learners.fit(X[train], y[train], 1 - y[train], "logit"), np.random.default_rng(0), X[15]
+    sample = np.column_stack([rng.choice(X[train][:, j], samples) for j in range(n)])
+    sample[0] = x
+    same = (sample == x).astype(float)
+    kernel = np.exp(-(n - same.sum(axis=1)) / (0.75**2 * n)) ** 0.5
+    A = np.hstack([same, np.ones((samples, 1))])
+    want = np.linalg.solve((A * kernel[:, None]).T @ A + np.diag([1.0] * n + [0.0]), (A * kernel[:, None]).T @ score(sample)).sum()
+    assert got.lime == pytest.approx(want, abs=1e-9)
