@@ -117,7 +117,8 @@ def newton(n: np.ndarray, pos: np.ndarray, penalty: float = 1.0, intercept: bool
     A = feature_rows()
     A = np.hstack([A, np.ones((N_CELLS, 1))]) if intercept else A
     k = A.shape[1]
-    squares = (A[:, :, None] * A[:, None, :]).reshape(N_CELLS, k * k)
+    # Of the products of two features many are the same or zero, since weekdays exclude each other.
+    squares, place = np.unique((A[:, :, None] * A[:, None, :]).reshape(N_CELLS, k * k), axis=1, return_inverse=True)
     ridge = np.full(k, penalty)
     if intercept:
         ridge[-1] = 0.0
@@ -128,7 +129,7 @@ def newton(n: np.ndarray, pos: np.ndarray, penalty: float = 1.0, intercept: bool
             break
         p = 1 / (1 + np.exp(-np.clip(w[live] @ A.T, -35, 35)))
         gradient = (n[live] * p - pos[live]) @ A + ridge * w[live]
-        curvature = ((n[live] * p * (1 - p)) @ squares).reshape(-1, k, k) + np.diag(ridge + 1e-9)
+        curvature = ((n[live] * p * (1 - p)) @ squares)[:, place.ravel()].reshape(-1, k, k) + np.diag(ridge + 1e-9)
         step = np.linalg.solve(curvature, gradient[:, :, None])[:, :, 0]
         w[live] -= step
         live = live[np.abs(step).max(axis=1) >= 1e-10]
@@ -243,14 +244,25 @@ def explain_activity(table: DataFrame, first_date: str, last_date: str, targets:
         gain = np.array([*shapley_weights(N_FEATURES), 0.0])
         without = [np.flatnonzero(masks[:, i] == 0) for i in range(N_FEATURES)]
         out = []
+        low, high, half = np.exp(-35), np.exp(35), N_FEATURES // 2
         for w, cell, n, hours in zip(weights, cells, rows, asked):
-            # What the features outside a coalition add, for every training cell.
-            outside = (1 - masks) @ (X[cell] * w[:-1]).T + w[-1]
-            found = []
+            # What the features outside a coalition add, for every training cell: odds against, which those inside multiply.
+            begun = time.perf_counter()
+            # The odds of a coalition are those of its first features times those of the others.
+            terms = X[cell] * w[:-1]
+            first = np.exp(-np.clip((1 - masks[: 2**half, :half]) @ terms[:, :half].T, -170, 170))
+            others = np.exp(-np.clip((1 - masks[:: 2**half, half:]) @ terms[:, half:].T + w[-1], -170, 170))
+            outside = (others[:, None, :] * first).reshape(len(masks), -1)
+            most, least, odds = outside.max(), outside.min(), np.empty_like(outside)
+            found, share = [], (time.perf_counter() - begun) / max(len(hours), 1)
             for h in hours:
-                start = time.perf_counter()
-                inside = masks @ (X[h] * w[:-1])
-                value = (1 / (1 + np.exp(-np.clip(outside + inside[:, None], -35, 35)))) @ (n / n.sum())
+                start = time.perf_counter() - share
+                inside = np.exp(-np.clip(masks @ (X[h] * w[:-1]), -340, 340))
+                np.multiply(outside, inside[:, None], out=odds)
+                if most * inside.max() > high or least * inside.min() < low:
+                    np.clip(odds, low, high, out=odds)
+                odds += 1
+                value = np.divide(1, odds, out=odds) @ (n / n.sum())
                 phi = [float((gain[size[s]] * (value[s | (1 << i)] - value[s])).sum()) for i, s in enumerate(without)]
                 items = [{"feature": f, "importance": v} for f, v in zip(ACTIVITY_FEATURES, phi)]
                 found.append({"p": float(value[-1]), "base_value": float(value[0]), "importance": items, "seconds": time.perf_counter() - start})
