@@ -11,6 +11,8 @@ import numpy as np
 
 # Numbers held at once while distances are formed, so memory does not grow with a long history.
 MAX_CELLS = 4_000_000
+# Gains and weights nearer than this are compared by the sums over rows, far above what rounding may change.
+CLOSE = 1e-8
 
 
 def logit(X, pos, neg, max_iter=100, penalty=1.0, intercept=True):
@@ -205,6 +207,92 @@ def _grow_counts(V, n_cuts, p, n, depth, n_features, rng):
     return split.reshape(n_trees, size), value.reshape(n_trees, size)
 
 
+def _grow_bins(V, n_cuts, B, g, h, depth, ridge, min_child):
+    """``_grow`` for one tree with one row of weights, each node added up by the values that occur in it instead of over all thresholds.
+
+    V holds for each row and feature how many of the feature's ``n_cuts`` thresholds lie below the value, B the same as ``_grow`` takes it.
+    Sums by value are rounded in another order than sums over rows, so of splits that come within ``CLOSE`` of a node's best one (or
+    of a limit) the sums over rows decide, as in ``_grow``: the trees are the same.
+    """
+    size = 2 ** (depth + 1) - 1
+    split, value = np.full(size, -1), np.zeros(size)
+    used = np.flatnonzero(n_cuts)
+    width = n_cuts[used] + 1
+    at, cut = np.cumsum(width) - width, np.cumsum(n_cuts[used]) - n_cuts[used]
+    place, total = V[:, used] + at, width.sum()
+    group = np.repeat(np.arange(len(used)), width)
+    row = np.flatnonzero(h > 0)
+    node, g, h = np.zeros(len(row), dtype=int), g[row], h[row]
+    least = max(min_child, 1e-9)
+    for level in range(depth + 1):
+        if len(node) == 0:
+            break
+        order = np.argsort(node, kind="stable")
+        node, row, g, h = node[order], row[order], g[order], h[order]
+        ids, first = np.unique(node, return_index=True)
+        G, H = np.add.reduceat(g, first), np.add.reduceat(h, first)
+        value[ids] = G / (H + ridge)
+        if level == depth or not len(used):
+            break
+        end = np.append(first[1:], len(node))
+        # Nodes too light for two children are leaves; the others are numbered anew.
+        open_ = np.flatnonzero(H >= 2 * least - CLOSE)
+        if not len(open_):
+            break
+        number = np.full(len(ids), -1)
+        number[open_] = np.arange(len(open_))
+        number = np.repeat(number, end - first)
+        mine = number >= 0
+        key = (number[mine, None] * total + place[row[mine]]).ravel()
+        sums_h = np.bincount(key, np.repeat(h[mine], len(used)), len(open_) * total)
+        sums_g = np.bincount(key, np.repeat(g[mine], len(used)), len(open_) * total)
+        there = np.flatnonzero(sums_h)
+        of, bin_ = there // total, there % total
+        section = of * len(used) + group[bin_]
+        left_g, left_h = np.cumsum(sums_g[there]), np.cumsum(sums_h[there])
+        starts = np.flatnonzero(np.diff(section, prepend=-1))
+        counts = np.diff(np.append(starts, len(section)))
+        left_g, left_h = (x - np.repeat(np.append(0.0, x)[starts], counts) for x in (left_g, left_h))
+        last = np.zeros(len(there), dtype=bool)
+        last[np.append(starts[1:], len(there)) - 1] = True
+        Go, Ho = G[open_][of], H[open_][of]
+        right_g, right_h = Go - left_g, Ho - left_h
+        lighter = np.minimum(left_h, right_h)
+        possible = np.flatnonzero(~last & (lighter >= least - CLOSE))
+        of, bin_, lighter = of[possible], bin_[possible], lighter[possible]
+        gain = left_g[possible] ** 2 / (left_h[possible] + ridge) + right_g[possible] ** 2 / (right_h[possible] + ridge) - Go[possible] ** 2 / (Ho[possible] + ridge)
+        sure = lighter >= least + CLOSE
+        best = np.full(len(open_), 1e-9)
+        np.maximum.at(best, of[sure], gain[sure])
+        near = np.flatnonzero(gain >= best[of] - CLOSE * (1 + np.abs(best[of])))
+        of, gain, sure = of[near], gain[near], sure[near]
+        column = cut[group[bin_[near]]] + bin_[near] - at[group[bin_[near]]]
+        chosen = np.full(len(ids), -1)
+        rivals = np.bincount(of, minlength=len(open_))
+        clear = (rivals[of] == 1) & sure & (gain > 2 * CLOSE)
+        chosen[open_[of[clear]]] = column[clear]
+        of, column = of[~clear], column[~clear]
+        for k in np.unique(of):
+            i = open_[k]
+            columns, mine = column[of == k], slice(first[i], end[i])
+            # At least two columns: one alone is added up in another order.
+            right = B[row[mine, None], np.append(columns, columns[:1])]
+            GR, HR = (np.add.reduceat(x[mine, None] * right, [0], axis=0)[0, :-1] for x in (g, h))
+            GL, HL = G[i] - GR, H[i] - HR
+            with np.errstate(divide="ignore", invalid="ignore"):
+                exact = GL**2 / (HL + ridge) + GR**2 / (HR + ridge) - G[i] ** 2 / (H[i] + ridge)
+            exact = np.where((HL >= least) & (HR >= least), exact, -1.0)
+            top = exact.argmax()
+            if exact[top] > 1e-9:
+                chosen[i] = columns[top]
+        split[ids] = chosen
+        chosen = np.repeat(chosen, end - first)
+        live = chosen >= 0
+        node, row, g, h, chosen = node[live], row[live], g[live], h[live], chosen[live]
+        node = 2 * node + 1 + B[row, chosen].astype(int)
+    return split[None], value[None]
+
+
 def _leaf_values(B, split, value):
     """One row of leaf values per tree."""
     n_trees, size = split.shape
@@ -281,14 +369,14 @@ def xgboost(X, pos, neg, learning_rate=0.1, max_depth=6, reg_lambda=1.0, reg_alp
         raise ValueError("reg_alpha other than 0 is not available")
     f, design = _design(X, max_bin)
     B = design(X)
+    n_cuts = np.bincount(f, minlength=X.shape[1])
+    V = np.column_stack([B[:, f == j].sum(axis=1).astype(int) for j in range(X.shape[1])])
     n = pos + neg
     margin = np.zeros(len(X))
     trees = []
     for _ in range(n_estimators):
         p = 1 / (1 + np.exp(-margin))
-        split, value = _grow(
-            B, f, (pos - n * p)[None], (n * p * (1 - p))[None], max_depth, ridge=reg_lambda, min_child=1.0
-        )
+        split, value = _grow_bins(V, n_cuts, B, pos - n * p, n * p * (1 - p), max_depth, reg_lambda, 1.0)
         trees.append((split, learning_rate * value))
         margin = margin + _leaf_values(B, *trees[-1])[0]
     split, value = (np.concatenate(x) for x in zip(*trees))

@@ -299,3 +299,24 @@ def test_lime_with_merged_samples_equals_all_samples(spark):
     A = np.hstack([same, np.ones((samples, 1))])
     want = np.linalg.solve((A * kernel[:, None]).T @ A + np.diag([1.0] * n + [0.0]), (A * kernel[:, None]).T @ score(sample)).sum()
     assert got.lime == pytest.approx(want, abs=1e-9)
+
+
+def test_boosting_by_values_grows_the_trees_of_the_dense_one(monkeypatch):
+    """Continuous columns, one of them twice and once mirrored, so that many splits are equally good: the same trees to the last bit, and
+    no node is added up over all thresholds."""
+    rng = np.random.default_rng(3)
+    smooth = rng.normal(size=(400, 3))
+    X = np.column_stack([np.arange(400) % 24, rng.integers(0, 2, (400, 2)), smooth, smooth[:, 0], -smooth[:, 1], np.ones(400)])
+    y = (rng.random(400) < 1 / (1 + np.exp(-2 * smooth[:, 0]))).astype(float)
+
+    def dense(V, n_cuts, B, g, h, depth, ridge, min_child):
+        return grow(B, np.repeat(np.arange(len(n_cuts)), n_cuts), g[None], h[None], depth, ridge=ridge, min_child=min_child)
+
+    def refused(*args, **kw):
+        raise AssertionError("added up over all thresholds")
+
+    grow = learners._grow
+    monkeypatch.setattr(learners, "_grow", refused)
+    by_values = learners.xgboost(X, y, 1 - y, max_bin=64)(X)
+    monkeypatch.setattr(learners, "_grow_bins", dense)
+    assert np.array_equal(by_values, learners.xgboost(X, y, 1 - y, max_bin=64)(X))
