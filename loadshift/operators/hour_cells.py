@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadshift.operators.explain import IMPORTANCE, shapley_weights
-from loadshift.operators.models import ACTIVITY_FEATURES, DAY_DUMMIES, FEW_ROWS, LEAD_DAYS, NO_ROWS, ONE_CLASS, spread
+from loadshift.operators.models import ACTIVITY_FEATURES, DAY_DUMMIES, FEW_ROWS, LEAD_DAYS, NO_ROWS, ONE_CLASS
+from loadshift.session import spread
 
 HOURS, WEEKDAYS, LAGS = 24, len(DAY_DUMMIES) + 1, 3
 N_CELLS = HOURS * WEEKDAYS * 2**LAGS
@@ -73,8 +74,9 @@ def training_cells(table: DataFrame, first_date: str, last_date: str, train_days
     daily = _rows(table).groupBy("household_id", "date", "cell").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     changes = _usable(daily, train_days, floor)
     if train_days is not None:
-        gone = changes.select("household_id", F.date_add("date", train_days + 1).alias("date"), "cell", (-F.col("n")).alias("n"), (-F.col("pos")).alias("pos"))
-        changes = changes.unionByName(gone).groupBy("household_id", "date", "cell").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+        # A day's rows come with their date and go with a later one: both from the same row, so the days are summed up once.
+        both = f"inline(array(struct(date, n, pos), struct(date_add(date, {int(train_days) + 1}) AS date, -n AS n, -pos AS pos)))"
+        changes = changes.selectExpr("household_id", "cell", both).groupBy("household_id", "date", "cell").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     upto = Window.partitionBy("household_id", "cell").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     running = changes.select("household_id", "cell", "date", F.sum("n").over(upto).alias("n"), F.sum("pos").over(upto).alias("pos"))
     held = _carried(running, first_date, last_date).filter("n > 0")

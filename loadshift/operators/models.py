@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadshift.operators import learners
+from loadshift.session import spread
 
 DAY_DUMMIES = [f"day_name_{d}" for d in ("Monday", "Tuesday", "Wednesday", "Thursday", "Saturday", "Sunday")]
 ACTIVITY_FEATURES = ["hour", *DAY_DUMMIES, "activity_lag_24", "activity_lag_48", "activity_lag_72"]
@@ -57,12 +58,6 @@ def untrainable(y, model_type, args) -> str | None:
     return FEW_ROWS if model_type == "knn" and len(y) < args.get("n_neighbors", 10) else None
 
 
-def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash by key into the session's full number of partitions. Fitting is costly per byte, so partitions
-    must not be merged because they are small."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
 def walk_forward(
     df: DataFrame,
     keys: list[str],
