@@ -198,16 +198,16 @@ def _scored_dates(spark: SparkSession, sf: str) -> tuple[str, str]:
 
 
 def _activity_scores(spark: SparkSession, sf: str, table: DataFrame | None = None, metric: score.CellMetric | None = None) -> DataFrame:
-    out = rates.activity_rates(activity_table(spark, sf) if table is None else table)
+    out = write_once(rates.activity_rates(activity_table(spark, sf) if table is None else table), "activity_rates")
     cells = out.select("household_id", "date", "p", "n_pos", "n_neg")
     return score.walk_forward_auc(out, cells, ["household_id"], *_scored_dates(spark, sf), metric=metric)
 
 
 def _usage_scores(spark: SparkSession, sf: str, table: DataFrame | None = None, metric: score.CellMetric | None = None) -> DataFrame:
     table = prepared(spark, sf).usage if table is None else table
-    rated = _usage_rated(spark, sf, table)
+    rated = write_once(_usage_rated(spark, sf, table), "usage_rates")
     return score.walk_forward_auc(
-        rates.usage_rates(table), rates.usage_train_cells(rated), KEYS, *_scored_dates(spark, sf), inclusive=False, metric=metric
+        rates.next_rates(rated), rates.usage_train_cells(rated), KEYS, *_scored_dates(spark, sf), inclusive=False, metric=metric
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loadshift.functions.expressions import safe_name
 from loadshift.functions.metrics import array_metric, mse
 from loadshift.operators.runs import profiles_by_date, run_vectors
+from loadshift.session import spread
 
 
 def auc_from_counts(cells: DataFrame, keys: list[str], score: str = "p") -> DataFrame:
@@ -89,12 +90,13 @@ def load_errors(load: DataFrame, profile_input: DataFrame, metric: str | Callabl
 
     ``load`` holds all hours (the truth); ``profile_input`` the same hours without an incomplete first day.
     """
-    truth = run_vectors(load).withColumn("date", F.to_date("run_start"))
+    keys = ["household_id", "device", "date"]
+    truth = spread(run_vectors(load).withColumn("date", F.to_date("run_start")), keys)
     profiles = profiles_by_date(profile_input).select(
         "household_id", "device", "date", F.col("load").alias("profile")
     )
     zeros = F.array_repeat(F.lit(0.0), 24)
-    joined = truth.join(profiles, ["household_id", "device", "date"], "left")
+    joined = truth.join(spread(profiles, keys), keys, "left")
     error = array_metric(metric)(F.col("load"), F.coalesce("profile", zeros))
     return joined.select("household_id", "device", "run_start", error.alias("error"))
 
@@ -136,8 +138,8 @@ def activity_cold_start(rates: DataFrame, last: str, metric: CellMetric | None =
     weighted = rates.withColumn("n_pos", F.sum(F.when(in_range, F.col("truth"))).over(w)).withColumn(
         "n_neg", F.sum(F.when(in_range, 1 - F.col("truth"))).over(w)
     )
-    scored = weighted.filter((F.col("date") >= F.col("start_date")) & (F.col("date") < end))
-    return cell_score(scored, ["household_id", "date"], metric).select(
+    scored = weighted.filter((F.col("date") >= F.col("start_date")) & (F.col("date") < end)).select("household_id", "date", "p", "n_pos", "n_neg")
+    return cell_score(spread(scored, ["household_id", "date"]), ["household_id", "date"], metric).select(
         "household_id", F.lit("activity").alias("agent"), "date", F.col("auc").alias("score")
     )
 
@@ -150,7 +152,7 @@ def usage_cold_start(rated: DataFrame, last: str, metric: CellMetric | None = No
     trained = rated.withColumn("_all", final).filter(F.col("date") < end).filter("exists(n, x -> x > 0)")
     cells = "inline(arrays_zip(rate, _all.pos, zip_with(_all.n, _all.pos, (a, b) -> a - b))) AS (p, n_pos, n_neg)"
     seen = trained.selectExpr("household_id", "device", "date", cells).filter("n_pos + n_neg > 0")
-    return cell_score(seen, ["household_id", "device", "date"], metric).select(
+    return cell_score(spread(seen, ["household_id", "device", "date"]), ["household_id", "device", "date"], metric).select(
         "household_id",
         F.concat(F.lit("usage_"), safe_name("device")).alias("agent"),
         "date",
@@ -201,8 +203,9 @@ def cold_start_days(table: DataFrame, agents: list[str], tolerances: list[float]
     days = tried.groupBy("household_id", "tolerance", "agent").agg(
         (F.coalesce(F.max(bad_day), F.lit(0)) + 1).cast("int").alias("days")
     )
-    framework = days.groupBy("household_id", "tolerance").agg(F.max("days").alias("days"))
-    return days.unionByName(framework.withColumn("agent", F.lit("framework")))
+    # The slowest agent joins the others in their row, at most one entry an agent: a second branch would score everything twice.
+    each = days.groupBy("household_id", "tolerance").agg(F.collect_list(F.struct("agent", "days")).alias("_each"), F.max("days").alias("_slowest"))
+    return each.selectExpr("household_id", "tolerance", "inline(concat(_each, array(struct('framework' AS agent, _slowest AS days))))").select(*days.columns[:2], "agent", "days")
 
 
 def cold_start_summary(days: DataFrame, devices: list[str]) -> DataFrame:
