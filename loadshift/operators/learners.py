@@ -11,6 +11,8 @@ import numpy as np
 
 # Numbers held at once while distances are formed, so memory does not grow with a long history.
 MAX_CELLS = 4_000_000
+# Bits of drawn features that are looked up, one byte each.
+MAX_CODES = 2**21
 # Gains and weights nearer than this are compared by the sums over rows, far above what rounding may change.
 CLOSE = 1e-8
 
@@ -130,80 +132,124 @@ def _grow(B, of_feature, g, h, depth, ridge=0.0, min_child=0.0, n_features=None,
     return split.reshape(n_trees, size), value.reshape(n_trees, size)
 
 
-def _grow_counts(V, n_cuts, p, n, depth, n_features, rng):
+def _ranked(n_cuts):
+    """The features among which nodes draw: up to the last one that has a threshold."""
+    return np.flatnonzero(n_cuts)[-1] + 1 if n_cuts.any() else 0
+
+
+def _draw_codes(V, n_cuts, n_features):
+    """What ``_grow_counts`` takes: V, how many drawn features are looked up at once, and for each choice of that many and each row the
+    bits of those with one threshold."""
+    n_ranked = _ranked(n_cuts)
+    bit = np.where(n_cuts[:n_ranked] == 1, V[:, :n_ranked], 0).T.astype(np.uint8)
+    table, together = bit, 1
+    while together < min(n_features, n_ranked, 8) and table.size * n_ranked <= MAX_CODES:
+        table = table[..., None, :] | (bit << together)
+        together += 1
+    return V, together, table.reshape(-1)
+
+
+def _grow_counts(codes, n_cuts, p, n, depth, n_features, rng):
     """``_grow`` for whole-numbered weights (positives p, rows n) with ``n_features`` random features a node, without ridge.
 
-    V holds for each row and feature how many of the feature's ``n_cuts`` thresholds lie below the value. Only the drawn features of a node
-    are added up, by node or, where a feature has many thresholds, by node and value; sums of whole numbers do not depend on the order.
-    Nodes of one class are leaves.
+    ``codes`` is what ``_draw_codes`` gives for V, which holds for each row and feature how many of the feature's ``n_cuts`` thresholds lie
+    below the value. Only the drawn features of a node are added up, by node and the bits of those with one threshold or, where a feature has many,
+    by node and value. Rows and positives are one number (below 2^26 each) that is taken apart afterwards; sums of whole numbers do not
+    depend on the order. The same keys find the child of each row. Nodes of one class are leaves.
     """
     n_trees, size = len(n), 2 ** (depth + 1) - 1
     split, value = np.full(n_trees * size, -1), np.zeros(n_trees * size)
-    offset, n_ranked = np.concatenate([[0], np.cumsum(n_cuts)]), np.flatnonzero(n_cuts)[-1] + 1 if n_cuts.any() else 0
-    node, row = np.nonzero(n)
-    g, h = p[node, row], n[node, row]
-    ids = np.arange(n_trees) * size
-    G, H = p.sum(axis=1), n.sum(axis=1)
-    for level in range(depth + 1):
-        if len(ids) == 0:
-            break
-        value[ids] = G / H
-        if level == depth or not n_ranked:
+    offset, n_ranked = np.concatenate([[0], np.cumsum(n_cuts)]), _ranked(n_cuts)
+    ids, G, H = np.arange(n_trees) * size, p.sum(axis=1), n.sum(axis=1)
+    value[ids] = G / H
+    if not n_ranked:
+        return split.reshape(n_trees, size), value.reshape(n_trees, size)
+    unit, m = 2.0**26, min(n_features, n_ranked)
+    V, together, codes = codes
+    bits = (np.arange(2**together)[:, None] >> np.arange(together)) & 1
+    columns, wide_features = np.ascontiguousarray(V.T), np.flatnonzero(n_cuts > 1)
+
+    def gains(G, H, gr, hr):
+        gl, hl = G[:, None] - gr, H[:, None] - hr
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = gl**2 / hl + gr**2 / hr - (G**2 / H)[:, None]
+        return np.where((hl > 0) & (hr > 0), gain, -1.0)
+
+    def parts(sums):
+        rows = np.floor(sums / unit)
+        return sums - rows * unit, rows
+
+    # Only nodes of both classes have a number, and rows.
+    mixed = (G > 0) & (G < H)
+    node, row = np.nonzero(n * mixed[:, None])
+    weight = (n * unit + p)[node, row]
+    node = (np.cumsum(mixed) - 1)[node]
+    for level in range(depth):
+        drawn = rng.random((len(ids), n_ranked))[mixed]
+        if not len(drawn):
             break
-        drawn = rng.random((len(ids), n_ranked))
-        if n_ranked > n_features:
-            drawn = np.sort(np.argpartition(drawn, n_features - 1, axis=1)[:, :n_features], axis=1)
+        if n_ranked > m:
+            chosen = np.flatnonzero(drawn <= np.sort(drawn, axis=1)[:, m - 1 : m])
+            # Equal draws would choose too many.
+            alike = len(chosen) > len(drawn) * m
+            drawn = np.sort(np.argpartition(drawn, m - 1, axis=1)[:, :m], axis=1) if alike else (chosen % n_ranked).reshape(-1, m)
         else:
             drawn = np.broadcast_to(np.arange(n_ranked), drawn.shape)
-        mixed = (G > 0) & (G < H)
-        live = mixed[node]
-        node, row, g, h = node[live], row[live], g[live], h[live]
-        best, chosen, GR, HR = np.full(len(ids), 1e-9), np.full(len(ids), -1), np.zeros(len(ids)), np.zeros(len(ids))
-
-        def try_cuts(at, columns, gr, hr):
-            """Nodes ``at`` with a row of right-hand sums for each, one per threshold from ``columns`` on."""
-            gl, hl = G[at, None] - gr, H[at, None] - hr
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = gl**2 / hl + gr**2 / hr - (G[at] ** 2 / H[at])[:, None]
-            gain = np.where((hl > 0) & (hr > 0), gain, -1.0)
-            first = gain.argmax(axis=1)
-            top = gain[np.arange(len(at)), first]
-            better = top > best[at]
-            at, first, row_of = at[better], first[better], np.flatnonzero(better)
-            best[at], chosen[at] = top[better], columns[better] + first
-            GR[at], HR[at] = gr[row_of, first], hr[row_of, first]
-
-        for slot in range(drawn.shape[1]):
-            feature = drawn[:, slot]
-            cuts = n_cuts[feature]
-            v = V[row, feature[node]]
-            at = np.flatnonzero(mixed & (cuts == 1))
+        k, own, G, H = len(drawn), ids[mixed], G[mixed], H[mixed]
+        keys, sums = [], []
+        for first in range(0, m, together):
+            chunk = drawn[:, np.minimum(np.arange(first, first + together), m - 1)]
+            at = chunk[:, 0]
+            for j in range(1, together):
+                at = at * n_ranked + chunk[:, j]
+            key = (at * len(V)).take(node)
+            key += row
+            key = codes.take(key) + (node << together)
+            keys.append(key)
+            sums.append(np.bincount(key, weight, k << together).reshape(k, -1) @ bits)
+        GR, HR = parts(np.hstack(sums)[:, :m])
+        gain, cut, wide = gains(G, H, GR, HR), np.zeros((k, m), dtype=int), []
+        for feature in wide_features:
+            at, slot = np.nonzero(drawn == feature)
             if len(at):
-                gr, hr = (np.bincount(node, x * v, len(ids)) for x in (g, h))
-                try_cuts(at, offset[feature[at]], gr[at, None], hr[at, None])
-            for wide in np.flatnonzero(n_cuts > 1):
-                at = np.flatnonzero(mixed & (feature == wide))
-                if len(at):
-                    place = np.full(len(ids), -1)
-                    place[at] = np.arange(len(at))
-                    mine = place[node] >= 0
-                    key = place[node[mine]] * (n_cuts[wide] + 1) + v[mine]
-                    sums = (np.bincount(key, x[mine], len(at) * (n_cuts[wide] + 1)).reshape(len(at), -1) for x in (g, h))
-                    gr, hr = (x[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:] for x in sums)
-                    try_cuts(at, np.full(len(at), offset[wide]), gr, hr)
-        split[ids] = chosen
-        open_ = np.flatnonzero(chosen >= 0)
-        child = np.full(len(ids), -1)
-        child[open_] = 2 * np.arange(len(open_))
-        live = child[node] >= 0
-        node, row, g, h = node[live], row[live], g[live], h[live]
-        feature = np.searchsorted(offset, chosen, side="right") - 1
-        right = V[row, feature[node]] > (chosen - offset[feature])[node]
-        node = child[node] + right
-        tree = ids[open_] // size * size
-        ids = np.column_stack([tree + 2 * (ids[open_] - tree) + 1, tree + 2 * (ids[open_] - tree) + 2]).ravel()
-        G = np.column_stack([G[open_] - GR[open_], GR[open_]]).ravel()
-        H = np.column_stack([H[open_] - HR[open_], HR[open_]]).ravel()
+                place, n_bins = np.full(k, -1), n_cuts[feature] + 1
+                place[at] = np.arange(len(at))
+                key = place.take(node)
+                mine = np.flatnonzero(key >= 0)
+                key = key.take(mine) * n_bins + columns[feature].take(row.take(mine))
+                total = np.bincount(key, weight.take(mine), len(at) * n_bins).reshape(len(at), -1)
+                gr, hr = parts(total[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:])
+                by_cut = gains(G[at], H[at], gr, hr)
+                best, i = by_cut.argmax(axis=1), np.arange(len(at))
+                gain[at, slot], cut[at, slot], GR[at, slot], HR[at, slot] = by_cut[i, best], best, gr[i, best], hr[i, best]
+                wide.append((at, slot, mine, key, n_bins))
+        slot = gain.argmax(axis=1)
+        at = np.arange(k)
+        open_ = np.flatnonzero(gain[at, slot] > 1e-9)
+        feature, cut, GR, HR = (x[at, slot][open_] for x in (drawn, cut, GR, HR))
+        split[own[open_]] = offset[feature] + cut
+        tree = own[open_] // size * size
+        ids = np.column_stack([tree + 2 * (own[open_] - tree) + 1, tree + 2 * (own[open_] - tree) + 2]).ravel()
+        G = np.column_stack([G[open_] - GR, GR]).ravel()
+        H = np.column_stack([H[open_] - HR, HR]).ravel()
+        value[ids] = G / H
+        if level + 1 == depth:
+            break
+        mixed = (G > 0) & (G < H)
+        child, cut_of = np.full((k, 2), -1), np.zeros(k, dtype=int)
+        child[open_] = np.where(mixed, np.cumsum(mixed) - 1, -1).reshape(-1, 2)
+        cut_of[open_] = cut
+        binary = n_cuts[drawn[at, slot]] == 1
+        for i, key in enumerate(keys):
+            here = binary & (slot // together == i)
+            found = np.where(here[:, None], np.where(bits.T[slot % together], child[:, 1:], child[:, :1]), -1).take(key)
+            target = found if not i else np.maximum(target, found)
+        for at, its_slot, mine, key, n_bins in wide:
+            found = np.where(np.arange(n_bins) > cut_of[at][:, None], child[at, 1:], child[at, :1])
+            found = np.where((slot[at] == its_slot)[:, None], found, -1).take(key)
+            target[mine] = np.maximum(target[mine], found)
+        kept = np.flatnonzero(target >= 0)
+        node, row, weight = target.take(kept), row.take(kept), weight.take(kept)
     return split.reshape(n_trees, size), value.reshape(n_trees, size)
 
 
@@ -323,11 +369,14 @@ def random_forest(X, pos, neg, max_depth=10, n_estimators=500, max_features="sqr
     p, n = draw[:, : len(X)], draw[:, : len(X)] + draw[:, len(X) :]
     block = max(1, 20_000 // len(X))
     blocks = range(0, n_estimators, block)
-    trees = [_grow_counts(V, n_cuts, p[i : i + block], n[i : i + block], max_depth, m, rng) for i in blocks]
+    codes = _draw_codes(V, n_cuts, m)
+    trees = [_grow_counts(codes, n_cuts, p[i : i + block], n[i : i + block], max_depth, m, rng) for i in blocks]
+
+    split, value = (np.concatenate(x) for x in zip(*trees))
 
     def score(Z):
-        BZ = design(Z)
-        return sum(_leaf_values(BZ, *t).sum(axis=0) for t in trees) / n_estimators
+        leaf = _leaf_values(design(Z), split, value)
+        return sum(leaf[i : i + block].sum(axis=0) for i in blocks) / n_estimators
 
     return score
 

@@ -320,3 +320,35 @@ def test_boosting_by_values_grows_the_trees_of_the_dense_one(monkeypatch):
     by_values = learners.xgboost(X, y, 1 - y, max_bin=64)(X)
     monkeypatch.setattr(learners, "_grow_bins", dense)
     assert np.array_equal(by_values, learners.xgboost(X, y, 1 - y, max_bin=64)(X))
+
+
+def test_forest_adds_up_each_row_once_for_all_drawn_features(monkeypatch):
+    """The rows of a level are added up by the bits of the features that their node has drawn, and once more where one of those has many
+    thresholds; not for each of the three and for both weights."""
+    rng = np.random.default_rng(9)
+    X = np.column_stack([rng.integers(0, 24, 400), rng.integers(0, 2, (400, 9))]).astype(float)
+    y = (rng.random(400) < 0.2 + 0.4 * X[:, 3]).astype(float)
+    lengths, bincount = [], np.bincount
+
+    def counted(x, *args, **kw):
+        lengths.append(len(x))
+        return bincount(x, *args, **kw)
+
+    monkeypatch.setattr(np, "bincount", counted)
+    learners.random_forest(X, y, 1 - y, max_depth=1, n_estimators=40)
+    assert max(lengths) > 2_000 and sum(lengths) < 2 * max(lengths)
+
+
+def test_forest_with_features_looked_up_in_parts_equals_the_dense_one(monkeypatch):
+    """More drawn features than are looked up at once, and several with many thresholds."""
+    rng = np.random.default_rng(11)
+    X = np.column_stack([np.ones(200), rng.integers(0, 2, (200, 5)), rng.normal(size=(200, 2)).round(1), rng.integers(0, 2, 200), np.ones(200)]).astype(float)
+    y = (rng.random(200) < 0.3 + 0.3 * X[:, 2]).astype(float)
+    kw = {"n_estimators": 30, "max_features": 5}
+    got = learners.fit(X, y, 1 - y, "random forest", **kw)(X)
+    monkeypatch.setattr(learners, "MAX_CODES", 1)
+    assert np.array_equal(got, learners.fit(X, y, 1 - y, "random forest", **kw)(X))
+    f, design = learners._design(np.unique(X, axis=0))
+    B = design(np.unique(X, axis=0))
+    monkeypatch.setattr(learners, "_grow_counts", lambda codes, n_cuts, p, n, depth, m, rng: learners._grow(B, f, p, n, depth, n_features=m, rng=rng))
+    assert np.array_equal(got, learners.fit(X, y, 1 - y, "random forest", **kw)(X))
