@@ -1,12 +1,14 @@
 """Small weighted learners for one household's model.
 
-Spark shuffles the feature rows by household and calls one of these per training date inside a grouped
-pandas function. A group holds at most the hours of one household's history. Each learner takes the rows
+Spark shuffles the feature rows by household and calls one of these per training date, or one of ``TOGETHER`` for several,
+inside a pandas function. A group holds at most the hours of one household's history. Each learner takes the rows
 X with the weights ``pos`` and ``neg`` of the two classes and returns a function from rows to P(class 1).
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
 # Numbers held at once while distances are formed, so memory does not grow with a long history.
@@ -253,90 +255,163 @@ def _grow_counts(codes, n_cuts, p, n, depth, n_features, rng):
     return split.reshape(n_trees, size), value.reshape(n_trees, size)
 
 
-def _grow_bins(V, n_cuts, B, g, h, depth, ridge, min_child):
-    """``_grow`` for one tree with one row of weights, each node added up by the values that occur in it instead of over all thresholds.
+class _Lot(NamedTuple):
+    """Fits that ``_grow_lot`` grows a tree each for: the rows of all of them, one fit after the other."""
+
+    of: np.ndarray  # the fit of each row
+    n_cuts: np.ndarray  # thresholds, fits x features
+    below: np.ndarray  # how many of its fit's thresholds lie below a value, features x rows
+    wide: np.ndarray  # the features that have several thresholds in some fit
+    order: np.ndarray  # for each of these features the rows by value, fit after fit
+    binary: np.ndarray  # the other features that have a threshold
+    sides: np.ndarray  # for each distinct pattern of those, which thresholds it lies above, and below
+    pattern: np.ndarray  # of each row
+
+
+def _lot(below, n_cuts):
+    """From the numbers of thresholds below each value and of all thresholds, for each fit."""
+    of = np.repeat(np.arange(len(below)), [len(b) for b in below])
+    n_cuts, below = np.array(n_cuts), np.ascontiguousarray(np.concatenate(below).T.astype(np.int32))
+    most = n_cuts.max(axis=0)
+    wide, binary = np.flatnonzero(most > 1), np.flatnonzero(most == 1)
+    order = np.array([np.lexsort((below[f], of)) for f in wide], dtype=int).reshape(len(wide), len(of))
+    bits, pattern = np.unique(below[binary].T, axis=0, return_inverse=True)
+    return _Lot(of, n_cuts, below, wide, order, binary, np.hstack([bits, 1 - bits]).astype(float), pattern.reshape(-1))
+
+
+def _grow_lot(lot, g, h, depth, ridge, min_child):
+    """``_grow`` for one tree of each fit, each node added up in the order of the values that occur in it instead of over all thresholds;
+    also the value of each row's leaf.
 
-    V holds for each row and feature how many of the feature's ``n_cuts`` thresholds lie below the value, B the same as ``_grow`` takes it.
-    Sums by value are rounded in another order than sums over rows, so of splits that come within ``CLOSE`` of a node's best one (or
-    of a limit) the sums over rows decide, as in ``_grow``: the trees are the same.
+    A node is the same stretch of the rows in every order, and its children are again; the fits' roots are the first nodes. Sums by value
+    are rounded in another order than sums over rows, so of splits that come within ``CLOSE`` of a node's best one (or of a limit) the sums
+    over rows decide, as in ``_grow``: the trees are the same.
     """
-    size = 2 ** (depth + 1) - 1
-    split, value = np.full(size, -1), np.zeros(size)
-    used = np.flatnonzero(n_cuts)
-    width = n_cuts[used] + 1
-    at, cut = np.cumsum(width) - width, np.cumsum(n_cuts[used]) - n_cuts[used]
-    place, total = V[:, used] + at, width.sum()
-    group = np.repeat(np.arange(len(used)), width)
-    row = np.flatnonzero(h > 0)
-    node, g, h = np.zeros(len(row), dtype=int), g[row], h[row]
+    n_fits, size = len(lot.n_cuts), 2 ** (depth + 1) - 1
+    split, value, leaf = np.full(n_fits * size, -1), np.zeros(n_fits * size), np.zeros(len(g))
+    wide, binary, order = lot.wide, lot.binary, lot.order
+    offset, shift = np.cumsum(lot.n_cuts, axis=1) - lot.n_cuts, wide[:, None] * len(g)
     least = max(min_child, 1e-9)
+    rows = np.flatnonzero(h > 0)
+    count = np.bincount(lot.of[rows], minlength=n_fits)
+    ids, count = np.flatnonzero(count) * size, count[count > 0]
+    n_left = len(rows)
+
+    def gains(left_g, left_h, right_g, right_h, possible):
+        gain, other = left_g**2, right_g**2
+        gain /= left_h + ridge
+        other /= right_h + ridge
+        gain += other
+        return np.where(possible, gain, -np.inf)
+
     for level in range(depth + 1):
-        if len(node) == 0:
+        if not len(rows):
             break
-        order = np.argsort(node, kind="stable")
-        node, row, g, h = node[order], row[order], g[order], h[order]
-        ids, first = np.unique(node, return_index=True)
-        G, H = np.add.reduceat(g, first), np.add.reduceat(h, first)
+        first = np.cumsum(count) - count
+        G, H = np.add.reduceat(g[rows], first), np.add.reduceat(h[rows], first)
         value[ids] = G / (H + ridge)
-        if level == depth or not len(used):
-            break
-        end = np.append(first[1:], len(node))
-        # Nodes too light for two children are leaves; the others are numbered anew.
-        open_ = np.flatnonzero(H >= 2 * least - CLOSE)
-        if not len(open_):
+        leaf[rows] = np.repeat(value[ids], count)
+        # Nodes too light for two children are leaves.
+        open_ = H >= 2 * least - CLOSE
+        if level == depth or not open_.any() or not len(wide) + len(binary):
             break
-        number = np.full(len(ids), -1)
-        number[open_] = np.arange(len(open_))
-        number = np.repeat(number, end - first)
-        mine = number >= 0
-        key = (number[mine, None] * total + place[row[mine]]).ravel()
-        sums_h = np.bincount(key, np.repeat(h[mine], len(used)), len(open_) * total)
-        sums_g = np.bincount(key, np.repeat(g[mine], len(used)), len(open_) * total)
-        there = np.flatnonzero(sums_h)
-        of, bin_ = there // total, there % total
-        section = of * len(used) + group[bin_]
-        left_g, left_h = np.cumsum(sums_g[there]), np.cumsum(sums_h[there])
-        starts = np.flatnonzero(np.diff(section, prepend=-1))
-        counts = np.diff(np.append(starts, len(section)))
-        left_g, left_h = (x - np.repeat(np.append(0.0, x)[starts], counts) for x in (left_g, left_h))
-        last = np.zeros(len(there), dtype=bool)
-        last[np.append(starts[1:], len(there)) - 1] = True
-        Go, Ho = G[open_][of], H[open_][of]
-        right_g, right_h = Go - left_g, Ho - left_h
-        lighter = np.minimum(left_h, right_h)
-        possible = np.flatnonzero(~last & (lighter >= least - CLOSE))
-        of, bin_, lighter = of[possible], bin_[possible], lighter[possible]
-        gain = left_g[possible] ** 2 / (left_h[possible] + ridge) + right_g[possible] ** 2 / (right_h[possible] + ridge) - Go[possible] ** 2 / (Ho[possible] + ridge)
-        sure = lighter >= least + CLOSE
-        best = np.full(len(open_), 1e-9)
-        np.maximum.at(best, of[sure], gain[sure])
-        near = np.flatnonzero(gain >= best[of] - CLOSE * (1 + np.abs(best[of])))
-        of, gain, sure = of[near], gain[near], sure[near]
-        column = cut[group[bin_[near]]] + bin_[near] - at[group[bin_[near]]]
-        chosen = np.full(len(ids), -1)
-        rivals = np.bincount(of, minlength=len(open_))
-        clear = (rivals[of] == 1) & sure & (gain > 2 * CLOSE)
-        chosen[open_[of[clear]]] = column[clear]
-        of, column = of[~clear], column[~clear]
-        for k in np.unique(of):
-            i = open_[k]
-            columns, mine = column[of == k], slice(first[i], end[i])
-            # At least two columns: one alone is added up in another order.
-            right = B[row[mine, None], np.append(columns, columns[:1])]
-            GR, HR = (np.add.reduceat(x[mine, None] * right, [0], axis=0)[0, :-1] for x in (g, h))
-            GL, HL = G[i] - GR, H[i] - HR
+        if len(wide) and (level or len(rows) < len(g) or not open_.all()):
+            # The stretches of left children, then of right ones, as in the rows.
+            side = np.zeros(len(g), dtype=np.int8)
+            side[rows] = np.where(np.repeat(open_, count), np.where(np.arange(len(rows)) < n_left, 1, 2), 0)
+            side = side.take(order)
+            order = np.hstack([order.take(np.flatnonzero(side == s)).reshape(len(wide), -1) for s in (1, 2)])
+        if not open_.all():
+            rows = rows[np.repeat(open_, count)]
+            ids, count, G, H = ids[open_], count[open_], G[open_], H[open_]
+            first = np.cumsum(count) - count
+        node = np.repeat(np.arange(len(ids)), count)
+        before, best, near = G**2 / (H + ridge), np.full(len(ids), 1e-9), []
+        if len(wide):
+            left = np.empty((2, *order.shape))
+            for w, x in zip((g, h), left):
+                np.cumsum(w.take(order), axis=1, out=x)
+            start = left[:, :, first - 1]
+            start[:, :, 0] = 0.0
+            left -= np.repeat(start, count, axis=2)
+            right = np.repeat(np.stack([G, H]), count, axis=1)[:, None] - left
+            lighter = np.minimum(left[1], right[1])
+            bins = lot.below.take(order + shift)
+            possible = lighter >= least - CLOSE
+            possible[:, :-1] &= bins[:, 1:] != bins[:, :-1]
+            possible[:, first + count - 1] = False
+            gain = gains(left[0], left[1], right[0], right[1], possible)
+            sure = lighter >= least + CLOSE
+            of_sure = gain if not (possible > sure).any() else np.where(sure, gain, -np.inf)
+            np.maximum(best, np.maximum.reduceat(of_sure, first, axis=1).max(axis=0) - before, out=best)
+        if len(binary):
+            key, n_keys = node * len(lot.sides) + lot.pattern[rows], len(ids) * len(lot.sides)
+            sums = [np.bincount(key, w[rows], n_keys).reshape(len(ids), -1) @ lot.sides for w in (g, h)]
+            (right_g, left_g), (right_h, left_h) = ((x[:, : len(binary)], x[:, len(binary) :]) for x in sums)
+            lighter = np.minimum(left_h, right_h)
+            gain_b = gains(left_g, left_h, right_g, right_h, (lighter > 0) & (lighter >= least - CLOSE))
+            sure_b = lighter >= least + CLOSE
+            np.maximum(best, np.where(sure_b, gain_b, -np.inf).max(axis=1) - before, out=best)
+        limit = best - CLOSE * (1 + np.abs(best)) + before
+        if len(wide):
+            at = np.flatnonzero(gain >= np.repeat(limit, count))
+            feature, place = np.divmod(at, len(rows))
+            near.append((node[place], wide[feature], bins.take(at), gain.take(at), sure.take(at)))
+        if len(binary):
+            at, feature = np.nonzero(gain_b >= limit[:, None])
+            near.append((at, binary[feature], np.zeros_like(at), gain_b[at, feature], sure_b[at, feature]))
+        of, feature, cut, gain, sure = (np.concatenate(x) for x in zip(*near))
+        chosen, chosen_cut = np.full(len(ids), -1), np.zeros(len(ids), dtype=int)
+        clear = (np.bincount(of, minlength=len(ids))[of] == 1) & sure & (gain - before[of] > 2 * CLOSE)
+        chosen[of[clear]], chosen_cut[of[clear]] = feature[clear], cut[clear]
+        if not clear.all():
+            turn = np.flatnonzero(~clear)
+            turn = turn[np.lexsort((cut[turn], feature[turn], of[turn]))]
+            of, feature, cut = of[turn], feature[turn], cut[turn]
+            GR, HR = _right_sums(lot.below, g, h, rows, first[of], count[of], feature, cut)
+            Go, Ho = G[of], H[of]
+            GL, HL = Go - GR, Ho - HR
             with np.errstate(divide="ignore", invalid="ignore"):
-                exact = GL**2 / (HL + ridge) + GR**2 / (HR + ridge) - G[i] ** 2 / (H[i] + ridge)
+                exact = GL**2 / (HL + ridge) + GR**2 / (HR + ridge) - Go**2 / (Ho + ridge)
             exact = np.where((HL >= least) & (HR >= least), exact, -1.0)
-            top = exact.argmax()
-            if exact[top] > 1e-9:
-                chosen[i] = columns[top]
-        split[ids] = chosen
-        chosen = np.repeat(chosen, end - first)
-        live = chosen >= 0
-        node, row, g, h, chosen = node[live], row[live], g[live], h[live], chosen[live]
-        node = 2 * node + 1 + B[row, chosen].astype(int)
-    return split[None], value[None]
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            top = np.repeat(np.maximum.reduceat(exact, starts), np.diff(np.append(starts, len(of))))
+            # The first of equal ones is written last.
+            won = np.flatnonzero((exact == top) & (exact > 1e-9))[::-1]
+            chosen[of[won]], chosen_cut[of[won]] = feature[won], cut[won]
+        going = chosen >= 0
+        if not going.any():
+            break
+        if not going.all():
+            rows = rows[going[node]]
+            ids, count, chosen, chosen_cut = ids[going], count[going], chosen[going], chosen_cut[going]
+            node = np.repeat(np.arange(len(ids)), count)
+        tree = ids // size
+        split[ids] = offset[tree, chosen] + chosen_cut
+        beyond = lot.below.take(np.repeat(chosen * len(g), count) + rows) > np.repeat(chosen_cut, count)
+        n_right = np.bincount(node[beyond], minlength=len(ids))
+        rows, n_left = np.concatenate([rows[~beyond], rows[beyond]]), len(rows) - n_right.sum()
+        count = np.concatenate([count - n_right, n_right])
+        ids = 2 * ids - tree * size
+        ids = np.concatenate([ids + 1, ids + 2])
+    return split.reshape(n_fits, size), value.reshape(n_fits, size), leaf
+
+
+def _right_sums(below, g, h, rows, first, count, feature, cut):
+    """Sums of g and h over the stretches ``rows[first:first + count]`` beyond a threshold, in the order in which ``_grow`` adds up a node."""
+    GR, HR = np.zeros(len(first)), np.zeros(len(first))
+    batch = np.cumsum(count) // MAX_CELLS
+    for part in (np.flatnonzero(batch == b) for b in np.unique(batch)):
+        start = np.cumsum(count[part]) - count[part]
+        row = rows[np.arange(count[part].sum()) + np.repeat(first[part] - start, count[part])]
+        right = below.take(np.repeat(feature[part] * len(g), count[part]) + row) > np.repeat(cut[part], count[part])
+        GR[part], HR[part] = np.add.reduceat(g[row] * right, start), np.add.reduceat(h[row] * right, start)
+    return GR, HR
+
+
+def _grow_bins(lot, n_cuts, B, g, h, depth, ridge, min_child):
+    """``_grow_lot`` for one fit; the numbers of its thresholds and its B stand for those that ``_grow`` takes."""
+    return _grow_lot(lot, g, h, depth, ridge, min_child)[:2]
 
 
 def _leaf_values(B, split, value):
@@ -346,15 +421,16 @@ def _leaf_values(B, split, value):
     node = np.repeat(base, len(B), axis=1)
     at = np.arange(len(B))[None, :]
     while True:
-        s = split.ravel()[node]
+        s = split.take(node)
         live = s >= 0
         if not live.any():
-            return value.ravel()[node]
-        node = np.where(live, base + 2 * (node - base) + 1 + B[at, np.maximum(s, 0)].astype(int), node)
+            return value.take(node)
+        right = B[at, np.maximum(s, 0)].astype(int)
+        node = np.where(live, 2 * node - base + 1 + right, node)
 
 
-def _design(X, bins=None):
-    f, t = _thresholds(X, bins)
+def _design(X):
+    f, t = _thresholds(X)
     return f, lambda Z: (Z[:, f] > t).astype(float)
 
 
@@ -412,28 +488,56 @@ def ada(X, pos, neg, learning_rate=0.1, n_estimators=100):
     return score
 
 
+def _bins(X, max_bin):
+    """The features and thresholds of at most ``max_bin`` bins, their number for each feature, and how many lie below each value."""
+    f, cuts = _thresholds(X, max_bin)
+    below = np.column_stack([np.searchsorted(cuts[f == j], X[:, j]) for j in range(X.shape[1])])
+    return f, cuts, np.bincount(f, minlength=X.shape[1]), below
+
+
+def _boosted(f, cuts, trees):
+    split, value = (np.concatenate(x) for x in zip(*trees))
+
+    def score(Z):
+        return 1 / (1 + np.exp(-_leaf_values((Z[:, f] > cuts).astype(float), split, value).sum(axis=0)))
+
+    return score
+
+
 def xgboost(X, pos, neg, learning_rate=0.1, max_depth=6, reg_lambda=1.0, reg_alpha=0.0, n_estimators=100, max_bin=256):
     """Newton-boosted trees from a start of 0.5, at least one unit of curvature per leaf. ``max_bin`` is a parameter of the model."""
     if reg_alpha:
         raise ValueError("reg_alpha other than 0 is not available")
-    f, design = _design(X, max_bin)
-    B = design(X)
-    n_cuts = np.bincount(f, minlength=X.shape[1])
-    V = np.column_stack([B[:, f == j].sum(axis=1).astype(int) for j in range(X.shape[1])])
+    f, cuts, n_cuts, below = _bins(X, max_bin)
+    B = (X[:, f] > cuts).astype(float)
+    lot = _lot([below], [n_cuts])
     n = pos + neg
     margin = np.zeros(len(X))
     trees = []
     for _ in range(n_estimators):
         p = 1 / (1 + np.exp(-margin))
-        split, value = _grow_bins(V, n_cuts, B, pos - n * p, n * p * (1 - p), max_depth, reg_lambda, 1.0)
+        split, value = _grow_bins(lot, n_cuts, B, pos - n * p, n * p * (1 - p), max_depth, reg_lambda, 1.0)
         trees.append((split, learning_rate * value))
         margin = margin + _leaf_values(B, *trees[-1])[0]
-    split, value = (np.concatenate(x) for x in zip(*trees))
+    return _boosted(f, cuts, trees)
 
-    def score(Z):
-        return 1 / (1 + np.exp(-_leaf_values(design(Z), split, value).sum(axis=0)))
 
-    return score
+def xgboost_together(fits, learning_rate=0.1, max_depth=6, reg_lambda=1.0, reg_alpha=0.0, n_estimators=100, max_bin=256):
+    """``xgboost`` for several (X, pos, neg) of the same features: the trees of all of them are grown at once."""
+    if reg_alpha:
+        raise ValueError("reg_alpha other than 0 is not available")
+    bins = [_bins(X, max_bin) for X, _, _ in fits]
+    lot = _lot([below for _, _, _, below in bins], [n_cuts for _, _, n_cuts, _ in bins])
+    pos = np.concatenate([p for _, p, _ in fits])
+    n = pos + np.concatenate([q for _, _, q in fits])
+    margin = np.zeros(len(n))
+    trees = []
+    for _ in range(n_estimators):
+        p = 1 / (1 + np.exp(-margin))
+        split, value, leaf = _grow_lot(lot, pos - n * p, n * p * (1 - p), max_depth, reg_lambda, 1.0)
+        trees.append((split, learning_rate * value))
+        margin = margin + learning_rate * leaf
+    return [_boosted(f, cuts, [(split[[i]], value[[i]]) for split, value in trees]) for i, (f, cuts, _, _) in enumerate(bins)]
 
 
 LEARNERS = {
@@ -447,6 +551,19 @@ LEARNERS = {
 }
 
 
+# Fits that several (X, pos, neg) share steps of; they give what one fit after the other gives.
+TOGETHER = {"xgboost": xgboost_together}
+
+
+def fit_many(fits, model_type, **args):
+    """A score function for each of the (X, pos, neg), whose rows are merged and whose features are the same."""
+    if not fits:
+        return []
+    if model_type in TOGETHER:
+        return TOGETHER[model_type](fits, **args)
+    return [LEARNERS[model_type](*one, **args) for one in fits]
+
+
 def merge_rows(X, model_type):
     """Distinct rows and each row's number among them; knn keeps all rows, since its ties go by time."""
     if model_type == "knn":

@@ -1,13 +1,16 @@
 """Walk-forward models: one fit per household (and device) and date.
 
 The unit of work is one household's feature rows, which are bounded by the clock (24 a day), so they are
-shuffled once by key and all dates of the key are fitted in place: nothing is copied per date. Heavy
+shuffled once by key and all dates of the key are fitted in place: nothing is copied per date. Fits of one
+task, of several households too, are solved together as far as ``FITTED_ROWS`` allows. Heavy
 models can spread a key's dates over ``chunks`` tasks. A training set too large for one task goes
 through ``fit_table``, which trains a distributed Spark ML model instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -24,6 +27,8 @@ DAY_DUMMIES = [f"day_name_{d}" for d in ("Monday", "Tuesday", "Wednesday", "Thur
 ACTIVITY_FEATURES = ["hour", *DAY_DUMMIES, "activity_lag_24", "activity_lag_48", "activity_lag_72"]
 USAGE_FEATURES = ["usage_lag_1", "usage_lag_2", "active_last_2_days"]
 LEAD_DAYS = 3
+# Distinct training rows and rows to predict whose fits are solved together, so memory does not grow with the households of a task.
+FITTED_ROWS = 16_384
 NO_ROWS, ONE_CLASS, FEW_ROWS = "no training rows", "one class in the training rows", "fewer training rows than neighbours"
 
 
@@ -49,6 +54,21 @@ def _counts(cell, y, rows, n_cells):
     return np.bincount(cell[rows], y[rows], n_cells), np.bincount(cell[rows], minlength=n_cells).astype(float)
 
 
+def _runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of each key, from batches of rows that lie together by key."""
+    kept = None
+    for batch in batches:
+        rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+        # NULL is a key, and not equal to itself in pandas.
+        before = rows[keys].shift()
+        ends = np.flatnonzero(((rows[keys] != before) & ~(rows[keys].isna() & before.isna())).any(axis=1).to_numpy()[1:]) + 1
+        for start, end in zip([0, *ends], ends):
+            yield rows.iloc[start:end]
+        kept = rows.iloc[ends[-1] if len(ends) else 0 :]
+    if kept is not None and len(kept):
+        yield kept
+
+
 def untrainable(y, model_type, args) -> str | None:
     """Why no model can be fitted to these labels, or None."""
     if not len(y):
@@ -88,39 +108,55 @@ def walk_forward(
     tail = f"`{ts}` {fields[ts]}, y int, p double, error string" if scope == "test" else "p double, n_pos bigint, n_neg bigint"
     columns = [*keys, "date", ts, "y", "p", "error"] if scope == "test" else [*keys, "date", "p", "n_pos", "n_neg"]
 
-    def one_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one_group(pdf: pd.DataFrame) -> Iterator[tuple[dict, tuple | None, np.ndarray | None]]:
+        """For each date its rows, what to fit and the rows to predict; where no fit is possible, only its rows."""
         chunk = int(pdf["_chunk"].iloc[0])
-        key = [pdf[k].iloc[0] for k in keys]
+        key = {k: pdf[k].iloc[0] for k in keys}
         pdf, day, X, y = _prepare(pdf, features, label, ts)
         cells, at = learners.merge_rows(X, model_type)
-        parts = []
         for date in dates[chunk::chunks]:
             train, test = train_mask(day, date, train_days, floor), day == date + 1
             if not test.any():
                 continue
+            part = key | {"date": date.item()}
+            if scope == "test":
+                part |= {ts: pdf.loc[test, ts].to_numpy(), "y": y[test].astype("int32")}
             error = untrainable(y[train], model_type, args)
             if error:
                 if scope == "test":
-                    part = {ts: pdf.loc[test, ts].to_numpy(), "y": y[test].astype("int32"), "p": np.nan, "error": error}
-                    parts.append(pd.DataFrame(part).assign(date=date.item(), **dict(zip(keys, key))))
+                    yield part | {"p": np.nan, "error": error}, None, None
                 continue
             pos, n = _counts(at, y, train, len(cells))
             seen = n > 0
-            score = learners.LEARNERS[model_type](cells[seen], pos[seen], (n - pos)[seen], **args)
+            fit = cells[seen], pos[seen], (n - pos)[seen]
             if scope == "test":
-                part = {ts: pdf.loc[test, ts].to_numpy(), "y": y[test].astype("int32"), "p": score(X[test]), "error": None}
+                yield part | {"error": None}, fit, X[test]
             else:
                 if scope == "all":
                     pos, n = _counts(at, y, np.ones(len(y), dtype=bool), len(cells))
                 used = n > 0
-                n_pos, n_neg = pos[used].astype("int64"), (n - pos)[used].astype("int64")
-                part = {"p": score(cells[used]), "n_pos": n_pos, "n_neg": n_neg}
-            parts.append(pd.DataFrame(part).assign(date=date.item(), **dict(zip(keys, key))))
-        return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
+                yield part | {"n_pos": pos[used].astype("int64"), "n_neg": (n - pos)[used].astype("int64")}, fit, cells[used]
+
+    def predicted(waiting: list) -> pd.DataFrame:
+        scores = iter(learners.fit_many([fit for _, fit, _ in waiting if fit], model_type, **args))
+        parts = [pd.DataFrame(part | {"p": next(scores)(asked)} if fit else part) for part, fit, asked in waiting]
+        return pd.concat(parts)[columns]
+
+    def all_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting, size = [], 0
+        for pdf in _runs(batches, [*keys, "_chunk"]):
+            for one in one_group(pdf):
+                waiting.append(one)
+                size += len(one[1][0]) + len(one[2]) if one[1] else len(one[0][ts])
+                if size >= FITTED_ROWS:
+                    yield predicted(waiting)
+                    waiting, size = [], 0
+        if waiting:
+            yield predicted(waiting)
 
     chunk = F.explode(F.array(*[F.lit(i) for i in range(chunks)])).alias("_chunk")
     needed = spread(df.select(*keys, ts, *features, label, chunk), [*keys, "_chunk"])
-    out = needed.groupBy(*keys, "_chunk").applyInPandas(one_group, f"{head}, date date, {tail}")
+    out = needed.sortWithinPartitions(*keys, "_chunk").mapInPandas(all_groups, f"{head}, date date, {tail}")
     # pandas has no NULL among numbers.
     return out.withColumn("p", F.when(~F.isnan("p"), F.col("p"))) if scope == "test" else out
 

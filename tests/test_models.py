@@ -352,3 +352,57 @@ def test_forest_with_features_looked_up_in_parts_equals_the_dense_one(monkeypatc
     B = design(np.unique(X, axis=0))
     monkeypatch.setattr(learners, "_grow_counts", lambda codes, n_cuts, p, n, depth, m, rng: learners._grow(B, f, p, n, depth, n_features=m, rng=rng))
     assert np.array_equal(got, learners.fit(X, y, 1 - y, "random forest", **kw)(X))
+
+
+def lots(n_fits=5):
+    """Fits of unlike length, one with a column that does not vary and one with a column of two values where others have many."""
+    rng, out = np.random.default_rng(13), []
+    for i in range(n_fits):
+        n = int(rng.integers(60, 300))
+        smooth = rng.normal(size=(n, 2)).round(2)
+        X = np.column_stack([rng.integers(0, 24, n) if i else rng.integers(0, 2, n), rng.integers(0, 2, (n, 2)), smooth, -smooth[:, 0]])
+        X[:, 1] *= i != 1
+        X = np.unique(X, axis=0)
+        pos = rng.integers(0, 3, len(X)).astype(float)
+        out.append((X, pos, rng.integers(1, 4, len(X)).astype(float)))
+    return out
+
+
+def test_boosting_several_fits_together_gives_the_trees_of_each(monkeypatch):
+    """To the last bit, and each round grows one tree of all fits at once."""
+    fits = lots()
+    want = [learners.xgboost(*one, n_estimators=20, max_bin=32)(one[0]) for one in fits]
+    calls, grow = [], learners._grow_lot
+    monkeypatch.setattr(learners, "_grow_lot", lambda *a: calls.append(1) or grow(*a))
+    got = learners.fit_many(fits, "xgboost", n_estimators=20, max_bin=32)
+    assert len(calls) == 20
+    assert all(np.array_equal(score(X), p) for score, (X, _, _), p in zip(got, fits, want, strict=True))
+
+
+def test_households_fitted_together_equal_one_by_one(spark):
+    """Households that meet in one task, one without a number and one whose rows have one class, in batches that cut through them."""
+    rng = np.random.default_rng(17)
+    rows = []
+    for h in (*range(12), None):
+        for i in range(20):
+            a, b, c, y = (int(v) for v in rng.integers(0, 2, 4))
+            rows.append((h, D0 + timedelta(days=i), a, b, c, 0 if h == 4 else y))
+    df = spark.createDataFrame(rows, "household_id int, day date, usage_lag_1 int, usage_lag_2 int, active_last_2_days int, usage int")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        out = models.walk_forward(df.coalesce(1), ["household_id"], models.USAGE_FEATURES, "usage", "day", "xgboost", "2024-01-10", "2024-01-12").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    got = {(r.household_id, r.date): (r.day, r.y, r.p, r.error) for r in out}
+    assert len(out) == len(got) == 13 * 3
+    for (h, day), (target, y, p, error) in got.items():
+        own = [r for r in rows if r[0] == h]
+        at = (day - D0).days
+        X, truth = np.array([r[2:5] for r in own], float), np.array([r[5] for r in own], float)
+        assert target == day + timedelta(days=1) and y == truth[at + 1]
+        if h == 4:
+            assert p is None and error == "one class in the training rows"
+        else:
+            want = learners.fit(X[3 : at + 1], truth[3 : at + 1], 1 - truth[3 : at + 1], "xgboost")(X[at + 1 : at + 2])[0]
+            assert error is None and p == pytest.approx(want, abs=1e-12)
