@@ -499,14 +499,16 @@ def x6_sentence_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _usage_explained(spark: SparkSession, sf: str) -> DataFrame:
-    return explain.explain(usage_table(spark, sf), KEYS, USAGE_FEATURES, "usage", "day", "logit", fx.span(spark, sf).on(-10), window(spark, sf)[1])
+def _usage_explained(spark: SparkSession, sf: str, first: str | None = None) -> DataFrame:
+    """The usage rows of the days after all dates, or after those from ``first`` on."""
+    dates = (first or window(spark, sf)[0], window(spark, sf)[1])
+    return explain.explain(usage_table(spark, sf), KEYS, USAGE_FEATURES, "usage", "day", "logit", *dates)
 
 
 @query
 def x4_lime_usage(spark: SparkSession, sf: str) -> DataFrame:
-    """Local linear prediction next to the model's and the Shapley reconstruction."""
-    out = explain.reconstruct(_usage_explained(spark, sf))
+    """Local linear prediction next to the model's and the Shapley reconstruction, for the last ten dates."""
+    out = explain.reconstruct(_usage_explained(spark, sf, fx.span(spark, sf).on(-10)))
     return out.select(*KEYS, day("date"), "y", r6("p"), r6("shap"), r6("lime"))
 
 

@@ -1,7 +1,7 @@
 """Learners, walk-forward, scores, imputation and explanations against brute force."""
 
 import itertools
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
@@ -406,3 +406,27 @@ def test_households_fitted_together_equal_one_by_one(spark):
         else:
             want = learners.fit(X[3 : at + 1], truth[3 : at + 1], 1 - truth[3 : at + 1], "xgboost")(X[at + 1 : at + 2])[0]
             assert error is None and p == pytest.approx(want, abs=1e-12)
+
+
+def test_xai_metrics_cover_all_dates(spark, tmp_path):
+    """From the first date with two training days to the day before the last one, of 24 days of made-up events."""
+    from loadshift.catalog import learned
+
+    rng = np.random.default_rng(19)
+    rows = []
+    for user in (0, 7):
+        for at in rng.choice(24 * 24, 300, replace=False):
+            kind = ("view", "click", "purchase", "signup", "error")[int(rng.integers(0, 5))]
+            rows.append((len(rows), datetime(2024, 1, 1) + timedelta(hours=int(at), minutes=5), user, kind, float(rng.integers(1, 90)), '{"k": %d}' % rng.integers(0, 9)))
+        rows += [(len(rows) + i, datetime(2024, 1, 1) + timedelta(days=d), user, "view", 50.0, '{"k": 1}') for i, d in enumerate((0, 23))]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    explained = explain.reconstruct(learned._usage_explained(spark, str(tmp_path))).collect()
+    keys = {(r.household_id, r.device) for r in explained}
+    for k in keys:
+        assert sorted(r.date for r in explained if (r.household_id, r.device) == k) == [D0 + timedelta(days=i) for i in range(4, 23)]
+    got = {(r.household_id, r.device): r for r in learned.e8_xai_metrics(spark, str(tmp_path)).collect()}
+    assert len(keys) > 1 and got.keys() == keys
+    for k, r in got.items():
+        mine = [x for x in explained if (x.household_id, x.device) == k and x.p is not None]
+        assert r.lime_mae == (pytest.approx(np.mean([abs(x.p - x.lime) for x in mine]), abs=2e-6) if mine else None)
+    assert sum(x.p is not None for x in explained) > 10 * len(keys)
