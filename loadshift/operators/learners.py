@@ -13,8 +13,10 @@ import numpy as np
 
 # Numbers held at once while distances are formed, so memory does not grow with a long history.
 MAX_CELLS = 4_000_000
-# Bits of drawn features that are looked up, one byte each.
+# Bits of drawn features that are looked up for one fit, one byte each.
 MAX_CODES = 2**21
+# Forests that are grown together.
+FORESTS = 6
 # Gains and weights nearer than this are compared by the sums over rows, far above what rounding may change.
 CLOSE = 1e-8
 
@@ -139,37 +141,62 @@ def _ranked(n_cuts):
     return np.flatnonzero(n_cuts)[-1] + 1 if n_cuts.any() else 0
 
 
-def _draw_codes(V, n_cuts, n_features):
-    """What ``_grow_counts`` takes: V, how many drawn features are looked up at once, and for each choice of that many and each row the
-    bits of those with one threshold."""
-    n_ranked = _ranked(n_cuts)
-    bit = np.where(n_cuts[:n_ranked] == 1, V[:, :n_ranked], 0).T.astype(np.uint8)
-    table, together = bit, 1
-    while together < min(n_features, n_ranked, 8) and table.size * n_ranked <= MAX_CODES:
-        table = table[..., None, :] | (bit << together)
+class _Draws(NamedTuple):
+    """Fits whose forests ``_grow_forests`` grows, with the same number of features to draw from: their rows, one fit after the other."""
+
+    n_cuts: np.ndarray  # thresholds, fits x features
+    first: np.ndarray  # each fit's first row
+    below: np.ndarray  # how many of its fit's thresholds lie below a value, features x rows
+    wide: np.ndarray  # the features that have several thresholds in some fit
+    together: int  # how many drawn features are looked up at once
+    codes: np.ndarray  # for each choice of that many and each row the bits of those that are not wide
+
+
+def _draws(below, n_cuts, n_features):
+    """From the numbers of thresholds below each value and of all thresholds, for each fit."""
+    n_cuts, n_ranked = np.array(n_cuts), _ranked(n_cuts[0])
+    length = np.array([len(b) for b in below])
+    below = np.ascontiguousarray(np.concatenate(below).T)
+    wide = np.flatnonzero(n_cuts.max(axis=0) > 1)
+    bit = below[:n_ranked].astype(np.uint8)
+    bit[wide] = 0
+    codes, together = bit, 1
+    while together < min(n_features, n_ranked, 8) and codes.size // len(below[0]) * n_ranked * length.max() <= MAX_CODES:
+        codes = codes[..., None, :] | (bit << together)
         together += 1
-    return V, together, table.reshape(-1)
+    return _Draws(n_cuts, np.cumsum(length) - length, below, wide, together, codes.reshape(-1))
+
 
+def _grow_counts(draws, n_cuts, p, n, depth, n_features, rng):
+    """``_grow_forests`` for one fit; the numbers of its thresholds stand for those that ``_grow`` takes."""
+    return _grow_forests(draws, [(0, p, n, rng)], depth, n_features)[0]
 
-def _grow_counts(codes, n_cuts, p, n, depth, n_features, rng):
-    """``_grow`` for whole-numbered weights (positives p, rows n) with ``n_features`` random features a node, without ridge.
 
-    ``codes`` is what ``_draw_codes`` gives for V, which holds for each row and feature how many of the feature's ``n_cuts`` thresholds lie
-    below the value. Only the drawn features of a node are added up, by node and the bits of those with one threshold or, where a feature has many,
-    by node and value. Rows and positives are one number (below 2^26 each) that is taken apart afterwards; sums of whole numbers do not
-    depend on the order. The same keys find the child of each row. Nodes of one class are leaves.
+def _grow_forests(draws, drawn_rows, depth, n_features):
+    """``_grow`` for whole-numbered weights with ``n_features`` random features a node, without ridge: for each (fit, positives, rows,
+    random numbers) its trees.
+
+    Only the drawn features of a node are added up, by node and the bits of those with one threshold or, where a feature has many, by node
+    and value. Rows and positives are one number (below 2^26 each) that is taken apart afterwards; sums of whole numbers do not depend on
+    the order. The same keys find the child of each row. Nodes of one class are leaves.
     """
-    n_trees, size = len(n), 2 ** (depth + 1) - 1
-    split, value = np.full(n_trees * size, -1), np.zeros(n_trees * size)
-    offset, n_ranked = np.concatenate([[0], np.cumsum(n_cuts)]), _ranked(n_cuts)
-    ids, G, H = np.arange(n_trees) * size, p.sum(axis=1), n.sum(axis=1)
+    size, n_ranked = 2 ** (depth + 1) - 1, _ranked(draws.n_cuts[0])
+    n_trees = [len(n) for _, _, n, _ in drawn_rows]
+    end = np.cumsum(n_trees)
+    split, value = np.full(end[-1] * size, -1), np.zeros(end[-1] * size)
+    offset = (np.cumsum(draws.n_cuts, axis=1) - draws.n_cuts)[np.repeat([f for f, _, _, _ in drawn_rows], n_trees)]
+    V, n_rows, together, codes = draws.below, draws.below.shape[1], draws.together, draws.codes
+    ids = np.arange(end[-1]) * size
+    G, H = (np.concatenate([x[i].sum(axis=1) for x in drawn_rows]) for i in (1, 2))
     value[ids] = G / H
+
+    def forests():
+        return [(s.reshape(-1, size), v.reshape(-1, size)) for s, v in zip(np.split(split, end[:-1] * size), np.split(value, end[:-1] * size))]
+
     if not n_ranked:
-        return split.reshape(n_trees, size), value.reshape(n_trees, size)
+        return forests()
     unit, m = 2.0**26, min(n_features, n_ranked)
-    V, together, codes = codes
     bits = (np.arange(2**together)[:, None] >> np.arange(together)) & 1
-    columns, wide_features = np.ascontiguousarray(V.T), np.flatnonzero(n_cuts > 1)
 
     def gains(G, H, gr, hr):
         gl, hl = G[:, None] - gr, H[:, None] - hr
@@ -183,11 +210,15 @@ def _grow_counts(codes, n_cuts, p, n, depth, n_features, rng):
 
     # Only nodes of both classes have a number, and rows.
     mixed = (G > 0) & (G < H)
-    node, row = np.nonzero(n * mixed[:, None])
-    weight = (n * unit + p)[node, row]
-    node = (np.cumsum(mixed) - 1)[node]
+    found = [np.nonzero(n) for _, _, n, _ in drawn_rows]
+    weight = np.concatenate([n[at] * unit + p[at] for (_, p, n, _), at in zip(drawn_rows, found)])
+    node = np.concatenate([at[0] + last - k for at, last, k in zip(found, end, n_trees)])
+    row = np.concatenate([at[1] + draws.first[f] for (f, _, _, _), at in zip(drawn_rows, found)])
+    kept = np.flatnonzero(mixed[node])
+    node, row, weight = (np.cumsum(mixed) - 1)[node[kept]], row[kept], weight[kept]
     for level in range(depth):
-        drawn = rng.random((len(ids), n_ranked))[mixed]
+        n_nodes = np.diff(np.searchsorted(ids, end * size), prepend=0)
+        drawn = np.concatenate([rng.random((k, n_ranked)) for k, (_, _, _, rng) in zip(n_nodes, drawn_rows)])[mixed]
         if not len(drawn):
             break
         if n_ranked > m:
@@ -204,21 +235,21 @@ def _grow_counts(codes, n_cuts, p, n, depth, n_features, rng):
             at = chunk[:, 0]
             for j in range(1, together):
                 at = at * n_ranked + chunk[:, j]
-            key = (at * len(V)).take(node)
+            key = (at * n_rows).take(node)
             key += row
             key = codes.take(key) + (node << together)
             keys.append(key)
             sums.append(np.bincount(key, weight, k << together).reshape(k, -1) @ bits)
         GR, HR = parts(np.hstack(sums)[:, :m])
         gain, cut, wide = gains(G, H, GR, HR), np.zeros((k, m), dtype=int), []
-        for feature in wide_features:
+        for feature in draws.wide:
             at, slot = np.nonzero(drawn == feature)
             if len(at):
-                place, n_bins = np.full(k, -1), n_cuts[feature] + 1
+                place, n_bins = np.full(k, -1), draws.n_cuts[:, feature].max() + 1
                 place[at] = np.arange(len(at))
                 key = place.take(node)
                 mine = np.flatnonzero(key >= 0)
-                key = key.take(mine) * n_bins + columns[feature].take(row.take(mine))
+                key = key.take(mine) * n_bins + V[feature].take(row.take(mine))
                 total = np.bincount(key, weight.take(mine), len(at) * n_bins).reshape(len(at), -1)
                 gr, hr = parts(total[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:])
                 by_cut = gains(G[at], H[at], gr, hr)
@@ -229,8 +260,9 @@ def _grow_counts(codes, n_cuts, p, n, depth, n_features, rng):
         at = np.arange(k)
         open_ = np.flatnonzero(gain[at, slot] > 1e-9)
         feature, cut, GR, HR = (x[at, slot][open_] for x in (drawn, cut, GR, HR))
-        split[own[open_]] = offset[feature] + cut
-        tree = own[open_] // size * size
+        tree = own[open_] // size
+        split[own[open_]] = offset[tree, feature] + cut
+        tree = tree * size
         ids = np.column_stack([tree + 2 * (own[open_] - tree) + 1, tree + 2 * (own[open_] - tree) + 2]).ravel()
         G = np.column_stack([G[open_] - GR, GR]).ravel()
         H = np.column_stack([H[open_] - HR, HR]).ravel()
@@ -241,7 +273,7 @@ def _grow_counts(codes, n_cuts, p, n, depth, n_features, rng):
         child, cut_of = np.full((k, 2), -1), np.zeros(k, dtype=int)
         child[open_] = np.where(mixed, np.cumsum(mixed) - 1, -1).reshape(-1, 2)
         cut_of[open_] = cut
-        binary = n_cuts[drawn[at, slot]] == 1
+        binary = ~np.isin(drawn[at, slot], draws.wide)
         for i, key in enumerate(keys):
             here = binary & (slot // together == i)
             found = np.where(here[:, None], np.where(bits.T[slot % together], child[:, 1:], child[:, :1]), -1).take(key)
@@ -252,7 +284,7 @@ def _grow_counts(codes, n_cuts, p, n, depth, n_features, rng):
             target[mine] = np.maximum(target[mine], found)
         kept = np.flatnonzero(target >= 0)
         node, row, weight = target.take(kept), row.take(kept), weight.take(kept)
-    return split.reshape(n_trees, size), value.reshape(n_trees, size)
+    return forests()
 
 
 class _Lot(NamedTuple):
@@ -434,29 +466,58 @@ def _design(X):
     return f, lambda Z: (Z[:, f] > t).astype(float)
 
 
-def random_forest(X, pos, neg, max_depth=10, n_estimators=500, max_features="sqrt", seed=0):
+def _drawn_rows(X, pos, neg, max_features, n_estimators, seed):
+    """Numbers of thresholds, how many lie below each value, the features that a node draws, the rows that each tree draws (positives, all)
+    in blocks of trees, and the random numbers after that."""
     rng = np.random.default_rng(seed)
-    f, design = _design(X)
-    n_cuts = np.bincount(f, minlength=X.shape[1])
-    V = np.column_stack([np.searchsorted(np.unique(x), x) for x in X.T])
+    f, _ = _thresholds(X)
+    below = np.column_stack([np.searchsorted(np.unique(x), x) for x in X.T])
     m = max(1, int(np.sqrt(X.shape[1]))) if max_features == "sqrt" else max_features
     weights = np.concatenate([pos, neg])
     draw = rng.multinomial(int(round(weights.sum())), weights / weights.sum(), n_estimators).astype(float)
     p, n = draw[:, : len(X)], draw[:, : len(X)] + draw[:, len(X) :]
     block = max(1, 20_000 // len(X))
-    blocks = range(0, n_estimators, block)
-    codes = _draw_codes(V, n_cuts, m)
-    trees = [_grow_counts(codes, n_cuts, p[i : i + block], n[i : i + block], max_depth, m, rng) for i in blocks]
+    blocks = [(p[i : i + block], n[i : i + block]) for i in range(0, n_estimators, block)]
+    return np.bincount(f, minlength=X.shape[1]), below, m, blocks, rng
 
+
+def _forest(X, trees, n_estimators):
+    """From the trees of each block."""
+    _, design = _design(X)
     split, value = (np.concatenate(x) for x in zip(*trees))
+    ends = np.cumsum([len(s) for s, _ in trees])[:-1]
 
     def score(Z):
-        leaf = _leaf_values(design(Z), split, value)
-        return sum(leaf[i : i + block].sum(axis=0) for i in blocks) / n_estimators
+        return sum(leaf.sum(axis=0) for leaf in np.split(_leaf_values(design(Z), split, value), ends)) / n_estimators
 
     return score
 
 
+def random_forest(X, pos, neg, max_depth=10, n_estimators=500, max_features="sqrt", seed=0):
+    n_cuts, below, m, blocks, rng = _drawn_rows(X, pos, neg, max_features, n_estimators, seed)
+    draws = _draws([below], [n_cuts], m)
+    return _forest(X, [_grow_counts(draws, n_cuts, p, n, max_depth, m, rng) for p, n in blocks], n_estimators)
+
+
+def random_forest_together(fits, max_depth=10, n_estimators=500, max_features="sqrt", seed=0):
+    """``random_forest`` for several (X, pos, neg) of the same features: blocks of trees of ``FORESTS`` fits are grown at once, among fits
+    that draw from as many features."""
+    out = [None] * len(fits)
+    ranked = np.array([_ranked(np.array([len(np.unique(x)) > 1 for x in X.T])) for X, _, _ in fits])
+    alike = (np.flatnonzero(ranked == r) for r in np.unique(ranked))
+    for these in (at[i : i + FORESTS] for at in alike for i in range(0, len(at), FORESTS)):
+        ready = [_drawn_rows(*fits[i], max_features, n_estimators, seed) for i in these]
+        m, trees = ready[0][2], [[] for _ in these]
+        draws = _draws([below for _, below, _, _, _ in ready], [n_cuts for n_cuts, _, _, _, _ in ready], m)
+        for turn in range(max(len(blocks) for _, _, _, blocks, _ in ready)):
+            rows = [(k, *blocks[turn], rng) for k, (_, _, _, blocks, rng) in enumerate(ready) if turn < len(blocks)]
+            for (k, _, _, _), grown in zip(rows, _grow_forests(draws, rows, max_depth, m)):
+                trees[k].append(grown)
+        for i, grown in zip(these, trees):
+            out[i] = _forest(fits[i][0], grown, n_estimators)
+    return out
+
+
 def ada(X, pos, neg, learning_rate=0.1, n_estimators=100):
     """Boosted stumps on class probabilities (SAMME.R with two classes)."""
     f, design = _design(X)
@@ -552,7 +613,7 @@ LEARNERS = {
 
 
 # Fits that several (X, pos, neg) share steps of; they give what one fit after the other gives.
-TOGETHER = {"xgboost": xgboost_together}
+TOGETHER = {"random forest": random_forest_together, "xgboost": xgboost_together}
 
 
 def fit_many(fits, model_type, **args):

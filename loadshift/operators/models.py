@@ -145,12 +145,13 @@ def walk_forward(
     def all_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting, size = [], 0
         for pdf in _runs(batches, [*keys, "_chunk"]):
-            for one in one_group(pdf):
-                waiting.append(one)
-                size += len(one[1][0]) + len(one[2]) if one[1] else len(one[0][ts])
-                if size >= FITTED_ROWS:
+            for part, fit, asked in one_group(pdf):
+                more = len(fit[0]) + len(asked) if fit else len(part[ts])
+                if waiting and size + more > FITTED_ROWS:
                     yield predicted(waiting)
                     waiting, size = [], 0
+                waiting.append((part, fit, asked))
+                size += more
         if waiting:
             yield predicted(waiting)
 

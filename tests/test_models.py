@@ -379,6 +379,19 @@ def test_boosting_several_fits_together_gives_the_trees_of_each(monkeypatch):
     assert all(np.array_equal(score(X), p) for score, (X, _, _), p in zip(got, fits, want, strict=True))
 
 
+def test_forests_of_several_fits_grown_together_are_those_of_each(monkeypatch):
+    """From the same draws, to the last bit; one fit has fewer features to draw from, and blocks of trees are grown for several fits."""
+    fits = lots(7)
+    fits[2][0][:, 3:] = 1.0
+    want = [learners.random_forest(*one, n_estimators=90)(one[0]) for one in fits]
+    n_blocks = [len(range(0, 90, 20_000 // len(X))) for X, _, _ in fits]
+    calls, grow = [], learners._grow_forests
+    monkeypatch.setattr(learners, "_grow_forests", lambda draws, rows, *a: calls.append(len(rows)) or grow(draws, rows, *a))
+    got = learners.fit_many(fits, "random forest", n_estimators=90)
+    assert sum(calls) == sum(n_blocks) and len(calls) < sum(n_blocks) / 2
+    assert all(np.array_equal(score(X), p) for score, (X, _, _), p in zip(got, fits, want, strict=True))
+
+
 def test_households_fitted_together_equal_one_by_one(spark):
     """Households that meet in one task, one without a number and one whose rows have one class, in batches that cut through them."""
     rng = np.random.default_rng(17)
