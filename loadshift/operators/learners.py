@@ -361,11 +361,11 @@ def _grow_lot(lot, g, h, depth, ridge, min_child):
         before, best, near = G**2 / (H + ridge), np.full(len(ids), 1e-9), []
         if len(wide):
             left = np.empty((2, *order.shape))
-            for w, x in zip((g, h), left):
-                np.cumsum(w.take(order), axis=1, out=x)
-            start = left[:, :, first - 1]
-            start[:, :, 0] = 0.0
-            left -= np.repeat(start, count, axis=2)
+            for w, total, x in zip((g, h), (G, H), left):
+                w = w.take(order)
+                # Sums start again with each node.
+                w[:, first[1:]] -= total[:-1]
+                np.cumsum(w, axis=1, out=x)
             right = np.repeat(np.stack([G, H]), count, axis=1)[:, None] - left
             lighter = np.minimum(left[1], right[1])
             bins = lot.below.take(order + shift)
