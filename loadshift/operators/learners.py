@@ -500,22 +500,23 @@ def random_forest(X, pos, neg, max_depth=10, n_estimators=500, max_features="sqr
 
 
 def random_forest_together(fits, max_depth=10, n_estimators=500, max_features="sqrt", seed=0):
-    """``random_forest`` for several (X, pos, neg) of the same features: blocks of trees of ``FORESTS`` fits are grown at once, among fits
-    that draw from as many features."""
-    out = [None] * len(fits)
-    ranked = np.array([_ranked(np.array([len(np.unique(x)) > 1 for x in X.T])) for X, _, _ in fits])
-    alike = (np.flatnonzero(ranked == r) for r in np.unique(ranked))
-    for these in (at[i : i + FORESTS] for at in alike for i in range(0, len(at), FORESTS)):
-        ready = [_drawn_rows(*fits[i], max_features, n_estimators, seed) for i in these]
-        m, trees = ready[0][2], [[] for _ in these]
-        draws = _draws([below for _, below, _, _, _ in ready], [n_cuts for n_cuts, _, _, _, _ in ready], m)
-        for turn in range(max(len(blocks) for _, _, _, blocks, _ in ready)):
-            rows = [(k, *blocks[turn], rng) for k, (_, _, _, blocks, rng) in enumerate(ready) if turn < len(blocks)]
-            for (k, _, _, _), grown in zip(rows, _grow_forests(draws, rows, max_depth, m)):
-                trees[k].append(grown)
-        for i, grown in zip(these, trees):
-            out[i] = _forest(fits[i][0], grown, n_estimators)
-    return out
+    """``random_forest`` for several (X, pos, neg) of the same features, one after the other: blocks of trees of ``FORESTS`` fits are grown
+    at once, among fits that draw from as many features. No more forests are held."""
+    for start in range(0, len(fits), FORESTS):
+        some = fits[start : start + FORESTS]
+        out = [None] * len(some)
+        ranked = np.array([_ranked(np.array([len(np.unique(x)) > 1 for x in X.T])) for X, _, _ in some])
+        for these in (np.flatnonzero(ranked == r) for r in np.unique(ranked)):
+            ready = [_drawn_rows(*some[i], max_features, n_estimators, seed) for i in these]
+            m, trees = ready[0][2], [[] for _ in these]
+            draws = _draws([below for _, below, _, _, _ in ready], [n_cuts for n_cuts, _, _, _, _ in ready], m)
+            for turn in range(max(len(blocks) for _, _, _, blocks, _ in ready)):
+                rows = [(k, *blocks[turn], rng) for k, (_, _, _, blocks, rng) in enumerate(ready) if turn < len(blocks)]
+                for (k, _, _, _), grown in zip(rows, _grow_forests(draws, rows, max_depth, m)):
+                    trees[k].append(grown)
+            for i, grown in zip(these, trees):
+                out[i] = _forest(some[i][0], grown, n_estimators)
+        yield from out
 
 
 def ada(X, pos, neg, learning_rate=0.1, n_estimators=100):
@@ -617,12 +618,11 @@ TOGETHER = {"random forest": random_forest_together, "xgboost": xgboost_together
 
 
 def fit_many(fits, model_type, **args):
-    """A score function for each of the (X, pos, neg), whose rows are merged and whose features are the same."""
-    if not fits:
-        return []
-    if model_type in TOGETHER:
-        return TOGETHER[model_type](fits, **args)
-    return [LEARNERS[model_type](*one, **args) for one in fits]
+    """One by one a score function for each of the (X, pos, neg), whose rows are merged and whose features are the same."""
+    if fits and model_type in TOGETHER:
+        yield from TOGETHER[model_type](fits, **args)
+    else:
+        yield from (LEARNERS[model_type](*one, **args) for one in fits)
 
 
 def merge_rows(X, model_type):

@@ -138,7 +138,7 @@ def walk_forward(
                 yield part | {"n_pos": pos[used].astype("int64"), "n_neg": (n - pos)[used].astype("int64")}, fit, cells[used]
 
     def predicted(waiting: list) -> pd.DataFrame:
-        scores = iter(learners.fit_many([fit for _, fit, _ in waiting if fit], model_type, **args))
+        scores = learners.fit_many([fit for _, fit, _ in waiting if fit], model_type, **args)
         parts = [pd.DataFrame(part | {"p": next(scores)(asked)} if fit else part) for part, fit, asked in waiting]
         return pd.concat(parts)[columns]
 

@@ -374,7 +374,7 @@ def test_boosting_several_fits_together_gives_the_trees_of_each(monkeypatch):
     want = [learners.xgboost(*one, n_estimators=20, max_bin=32)(one[0]) for one in fits]
     calls, grow = [], learners._grow_lot
     monkeypatch.setattr(learners, "_grow_lot", lambda *a: calls.append(1) or grow(*a))
-    got = learners.fit_many(fits, "xgboost", n_estimators=20, max_bin=32)
+    got = list(learners.fit_many(fits, "xgboost", n_estimators=20, max_bin=32))
     assert len(calls) == 20
     assert all(np.array_equal(score(X), p) for score, (X, _, _), p in zip(got, fits, want, strict=True))
 
@@ -387,7 +387,7 @@ def test_forests_of_several_fits_grown_together_are_those_of_each(monkeypatch):
     n_blocks = [len(range(0, 90, 20_000 // len(X))) for X, _, _ in fits]
     calls, grow = [], learners._grow_forests
     monkeypatch.setattr(learners, "_grow_forests", lambda draws, rows, *a: calls.append(len(rows)) or grow(draws, rows, *a))
-    got = learners.fit_many(fits, "random forest", n_estimators=90)
+    got = list(learners.fit_many(fits, "random forest", n_estimators=90))
     assert sum(calls) == sum(n_blocks) and len(calls) < sum(n_blocks) / 2
     assert all(np.array_equal(score(X), p) for score, (X, _, _), p in zip(got, fits, want, strict=True))
 
